@@ -44,8 +44,11 @@ def decode_series(rows: DataFrame, body: Column, out: str = "series") -> DataFra
     return marked.withColumn(out, F.map_from_entries(series)).drop("_entries", "_ordered")
 
 
-def parse_responses(responses: DataFrame) -> DataFrame:
-    """Served responses as items: a null date makes a series item, any other a per-date item."""
+def parse_responses(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Served responses as items: a null date makes a series item, any other a per-date item.
+
+    `keep` names further columns to carry along, such as an arrival order.
+    """
     served = responses.filter((F.col("status") == 200) & (F.col("body") != ""))
     is_series = F.col("date").isNull()
     return decode_series(served, F.when(is_series, F.col("body"))).select(
@@ -60,6 +63,7 @@ def parse_responses(responses: DataFrame) -> DataFrame:
         "unit",
         F.col("source").alias("source_used"),
         text.truthy(F.col("granularity"), DEFAULT_GRANULARITY).alias("granularity"),
+        *keep,
     )
 
 

@@ -4,47 +4,102 @@ from pyspark.sql import types as T
 
 KEY = ["concept_id", "entity_type", "entity_id", "date", "granularity"]
 
-OBSERVATION = T.StructType.fromDDL(
-    "concept_id INT, entity_type STRING, entity_id BIGINT, date STRING, granularity STRING,"
-    " value STRING, unit STRING, source_used STRING, fetched_at TIMESTAMP"
+_INT, _LONG, _DOUBLE, _TEXT = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()
+_STAMP, _STAMP_NTZ = T.TimestampType(), T.TimestampNTZType()
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
+
+
+OBSERVATION = _struct(
+    concept_id=_INT,
+    entity_type=_TEXT,
+    entity_id=_LONG,
+    date=_TEXT,
+    granularity=_TEXT,
+    value=_TEXT,
+    unit=_TEXT,
+    source_used=_TEXT,
+    fetched_at=_STAMP,
 )
 
-PLAN = T.StructType.fromDDL(
-    "version STRING, mode STRING,"
-    " wanted_concepts ARRAY<STRUCT<concept_id: INT, code: STRING, entity_type: STRING,"
-    "  unit: STRING, frequency: STRING, granularity: STRING,"
-    "  ranked_sources: ARRAY<STRUCT<source: STRING, score: DOUBLE, function_id: INT,"
-    "   function_command: STRING, column_name: STRING, binding_id: INT, confidence: DOUBLE>>>>,"
-    " entity_scope STRUCT<entity_type: STRING, entity_ids: ARRAY<BIGINT>, filter: STRING>,"
-    " date_range STRUCT<start: STRING, end: STRING, frequency: STRING>,"
-    " unroutable ARRAY<STRING>, unmapped ARRAY<STRING>,"
-    " persistence STRUCT<table: STRING>"
+RANKED_SOURCE = _struct(
+    source=_TEXT,
+    score=_DOUBLE,
+    function_id=_INT,
+    function_command=_TEXT,
+    column_name=_TEXT,
+    binding_id=_INT,
+    confidence=_DOUBLE,
 )
 
-IDENTIFIERS = T.StructType.fromDDL(
-    "source STRING, entity_type STRING, entity_id BIGINT, identifier STRING"
+WANTED_CONCEPT = _struct(
+    concept_id=_INT,
+    code=_TEXT,
+    entity_type=_TEXT,
+    unit=_TEXT,
+    frequency=_TEXT,
+    granularity=_TEXT,
+    ranked_sources=T.ArrayType(RANKED_SOURCE),
 )
 
-# Task fields, in the order in which the request key lists them.
-TASK = T.StructType.fromDDL(
-    "source STRING, command STRING, identifier STRING, date STRING, column STRING,"
-    " concept_id INT, entity_type STRING, entity_id BIGINT, unit STRING, granularity STRING,"
-    " start STRING, end STRING"
+PLAN = _struct(
+    version=_TEXT,
+    mode=_TEXT,
+    wanted_concepts=T.ArrayType(WANTED_CONCEPT),
+    entity_scope=_struct(entity_type=_TEXT, entity_ids=T.ArrayType(_LONG), filter=_TEXT),
+    date_range=_struct(start=_TEXT, end=_TEXT, frequency=_TEXT),
+    unroutable=T.ArrayType(_TEXT),
+    unmapped=T.ArrayType(_TEXT),
+    persistence=_struct(table=_TEXT),
 )
-TASK_FIELDS = TASK.fieldNames()
 
-RESPONSE = T.StructType([*TASK.fields, *T.StructType.fromDDL("status INT, body STRING").fields])
+IDENTIFIERS = _struct(source=_TEXT, entity_type=_TEXT, entity_id=_LONG, identifier=_TEXT)
 
-STATEMENT_TASK = T.StructType.fromDDL(
-    "entity_id BIGINT, identifier STRING, source STRING, function_name STRING,"
-    " function_command STRING, concept_ids ARRAY<INT>, start_date STRING, end_date STRING"
+# Task fields, in the order in which the request key lists them.
+TASK = _struct(
+    source=_TEXT,
+    command=_TEXT,
+    identifier=_TEXT,
+    date=_TEXT,
+    column=_TEXT,
+    concept_id=_INT,
+    entity_type=_TEXT,
+    entity_id=_LONG,
+    unit=_TEXT,
+    granularity=_TEXT,
+    start=_TEXT,
+    end=_TEXT,
 )
+TASK_FIELDS = TASK.fieldNames()
 
-PAGE = T.StructType.fromDDL("source STRING, status INT, html STRING")
+RESPONSE = T.StructType([*TASK.fields, *_struct(status=_INT, body=_TEXT).fields])
+
+STATEMENT_TASK = _struct(
+    entity_id=_LONG,
+    identifier=_TEXT,
+    source=_TEXT,
+    function_name=_TEXT,
+    function_command=_TEXT,
+    concept_ids=T.ArrayType(_INT),
+    start_date=_TEXT,
+    end_date=_TEXT,
+)
 
-ENDPOINT_REGISTRY = T.StructType.fromDDL(
-    "id BIGINT, scheme STRING, ip STRING, port INT, auth STRING, status STRING, label STRING,"
-    " created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, retired_at TIMESTAMP_NTZ"
+PAGE = _struct(source=_TEXT, status=_INT, html=_TEXT)
+
+ENDPOINT_REGISTRY = _struct(
+    id=_LONG,
+    scheme=_TEXT,
+    ip=_TEXT,
+    port=_INT,
+    auth=_TEXT,
+    status=_TEXT,
+    label=_TEXT,
+    created_at=_STAMP_NTZ,
+    updated_at=_STAMP_NTZ,
+    retired_at=_STAMP_NTZ,
 )
 
 # They must equal the providers' and the store's own.

@@ -27,14 +27,19 @@ _ARROW = pa.schema(
 
 
 class SourceUnavailable(Exception):
-    """Raised by an adapter's fetch when its source cannot be reached at all."""
+    """Raised by an adapter's `fetch` when its source cannot be reached at all."""
+
+
+class FetchError(Exception):
+    """Raised by an adapter's `fetch` when a call fails."""
 
 
 class Adapter:
     """What a source needs: call parameters, the call, and the value in its result.
 
-    `range_params` and `extract_series` are optional: without the first a range call uses the
-    point parameters at its start, without the second the source cannot serve series.
+    `range_params(command, identifier, start, end, column)` and
+    `extract_series(result, column, start, end)` are optional: without the first a range call uses
+    the point parameters at its start, without the second the source cannot serve series.
     """
 
     def point_params(self, command: str, identifier: str, date: str, column: str) -> dict:
@@ -47,47 +52,71 @@ class Adapter:
         raise NotImplementedError
 
 
-def _attempt(adapter, task: dict) -> dict:
-    """One call: its value, its series, or its error."""
-    command, column, identifier = task["command"], task["column"], task["identifier"]
-    if adapter is None:
-        return {"error": f"{task['source']} unavailable"}
+def _attempt(adapter: Adapter | None, task: dict) -> dict:
+    """One call: its value, its series, or its error; all empty where the source has no value."""
+    source, command, column = task["source"], task["command"], task["column"]
     ranged = task["date"] is None
+    if adapter is None:
+        return {"error": f"{source} unavailable"}
     try:
         if ranged and hasattr(adapter, "range_params"):
-            params = adapter.range_params(command, identifier, task["start"], task["end"], column)
+            params = adapter.range_params(
+                command, task["identifier"], task["start"], task["end"], column
+            )
         else:
             at = task["start"] if ranged else task["date"]
-            params = adapter.point_params(command, identifier, at, column)
+            params = adapter.point_params(command, task["identifier"], at, column)
         result = adapter.fetch(command, params)
-        if not ranged:
-            value = adapter.extract_value(result, column, task["date"], identifier)
-            return {"value": None if value is None or value != value else str(value)}
-        if not hasattr(adapter, "extract_series"):
-            return {"error": f"{task['source']}/{command} has no extract_series"}
-        series = adapter.extract_series(result, column, task["start"], task["end"])
-        return {"series": [(str(day), str(value)) for day, value in (series or {}).items()]}
     except SourceUnavailable:
-        return {"error": f"{task['source']} unavailable"}
-    except Exception as error:
+        return {"error": f"{source} unavailable"}
+    except FetchError as error:
         return {"error": str(error)}
+    if not ranged:
+        value = adapter.extract_value(result, column, task["date"], task["identifier"])
+        missing = value is None or value != value
+        return {} if missing else {"value": str(value)}
+    extract = getattr(adapter, "extract_series", None)
+    series = extract(result, column, task["start"], task["end"]) if extract else None
+    if series is None:
+        return {"error": f"{source}/{command} has no extract_series"}
+    return {"series": [(str(day), str(value)) for day, value in series.items()]}
+
+
+def _walk(adapters: Mapping[str, Adapter], task: dict, chain: list[dict] | None) -> Iterator[dict]:
+    """Attempts in rank order, up to the first that serves the task."""
+    own = {key: task[key] for key in ("source", "command")} | {"column_name": task["column"]}
+    for rank, entry in enumerate(chain or [own]):
+        tried = task | {
+            "source": entry["source"],
+            "command": entry["command"],
+            "column": entry["column_name"] or task["column"],
+        }
+        outcome = _attempt(adapters.get(tried["source"]), tried)
+        yield tried | {"rank": rank} | outcome
+        if outcome.get("value") is not None or outcome.get("series"):
+            return
 
 
 def fetch_attempts(
-    tasks: DataFrame, adapters: Callable[[], Mapping[str, Adapter]], rank: str = "rank"
+    tasks: DataFrame, adapters: Callable[[], Mapping[str, Adapter]], chain: str | None = None
 ) -> DataFrame:
-    """Run every task (a chain entry with its rank) through its source's adapter.
+    """Run tasks through the adapters of their sources, one row per call.
 
-    `adapters` is called once per task partition, so connections are made where they are used.
-    Repartition `tasks` first to set how many calls run at the same time.
+    `chain` names an array column of (source, command, column_name), tried in order until one
+    serves; without it a task tries its own source only. `adapters` is called once per task
+    partition, so connections are made where they are used. Repartition `tasks` first to set how
+    many calls run at the same time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_source = adapters()
         for batch in batches:
-            rows = batch.to_pylist()
-            done = [{**row, **_attempt(by_source.get(row["source"]), row)} for row in rows]
+            done = [
+                attempt
+                for task in batch.to_pylist()
+                for attempt in _walk(by_source, task, task.pop(chain) if chain else None)
+            ]
             yield pa.RecordBatch.from_pylist(done, schema=_ARROW)
 
-    columns = [*TASK_FIELDS, rank]
-    return tasks.select(*columns).withColumnRenamed(rank, "rank").mapInArrow(run, ATTEMPT_DDL)
+    columns = [*TASK_FIELDS, *([chain] if chain else [])]
+    return tasks.select(*columns).mapInArrow(run, ATTEMPT_DDL)

@@ -12,26 +12,28 @@ def truthy(col: Column, default) -> Column:
 def float_text(x: Column) -> Column:
     """Shortest round-trip text of a double, positional for 1e-4 <= |x| < 1e16.
 
-    The JVM prints 0.001 <= |x| < 1e7 positionally; only values outside that range take the
-    formatting path: 15, 16, then 17 significant digits until the text reads back as `x`.
+    The JVM prints 0.001 <= |x| < 1e7 this way. Outside that range its layout differs, and a text
+    of 16 digits or more may hold one too many, so 15, 16, then 17 digits are tried.
     """
-    size = F.abs(x)
-    tries = [F.format_string(f"%.{digits}e", x) for digits in (14, 15, 16)]
-    exact = (
-        F.when(tries[0].cast("double") == x, tries[0])
-        .when(tries[1].cast("double") == x, tries[1])
-        .otherwise(tries[2])
-    )
-    positional = F.regexp_replace(
-        F.regexp_replace(exact.cast("decimal(38,21)").cast("string"), "0+$", ""), r"\.$", ".0"
+    jvm = x.cast("string")
+    rounded = [F.format_string(f"%.{digits}e", x) for digits in (14, 15, 16)]
+    shortest = (
+        F.when(F.length(jvm) <= 16, jvm)
+        .when(rounded[0].cast("double") == x, rounded[0])
+        .when(rounded[1].cast("double") == x, rounded[1])
+        .otherwise(rounded[2])
     )
-    scientific = F.regexp_replace(exact, r"\.?0*e", "e")
-    infinite = F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf"))
+    size = F.abs(x)
+    digits = shortest.cast("decimal(38,21)").cast("string")
+    positional = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
+    mantissa = F.regexp_replace(F.substring_index(F.lower(shortest), "e", 1), r"\.?0*$", "")
+    exponent = F.substring_index(F.lower(shortest), "e", -1).cast("int")
+    scientific = F.concat(mantissa, F.format_string("e%+03d", exponent))
     return (
         F.when(x.isNull(), F.lit(None).cast("string"))
+        .when((x == 0) | ((size >= 1e-3) & (size < 1e7)), jvm)
         .when(F.isnan(x), F.lit("nan"))
-        .when((x == 0) | ((size >= 1e-3) & (size < 1e7)), x.cast("string"))
-        .when(size == float("inf"), infinite)
+        .when(size == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
         .when((size >= 1e-4) & (size < 1e16), positional)
         .otherwise(scientific)
     )

@@ -37,10 +37,12 @@ def decode_series(rows: DataFrame, body: Column, out: str = "series") -> DataFra
     )
     lasts = F.filter(pairs, lambda e: e.isNotNull())
     unique = F.when(F.col("_ordered").isNotNull(), lasts).otherwise(F.col("_entries"))
-    series = F.transform(
+    numbers = F.transform(
         unique,
         lambda e: F.struct(e["key"].alias("key"), text.json_number_text(e["value"]).alias("value")),
     )
+    has_exponent = F.exists("_entries", lambda e: F.coalesce(e["value"].contains("E"), F.lit(False)))
+    series = F.when(has_exponent, numbers).otherwise(unique)
     return marked.withColumn(out, F.map_from_entries(series)).drop("_entries", "_ordered")
 
 
@@ -74,14 +76,38 @@ def _in_range(date: Column) -> Column:
     )
 
 
+_ITEM_ONLY = ("series", "date", "value", "start", "end")
+
+
 def explode_series(items: DataFrame) -> DataFrame:
     """Series items as one row per date inside the item's range; empty series give no rows."""
-    kept = [c for c in items.columns if c not in ("series", "date", "value", "start", "end")]
+    kept = [c for c in items.columns if c not in _ITEM_ONLY]
     rows = items.select(*kept, "start", "end", F.explode("series").alias("date", "value"))
     inside = rows.filter(_in_range(F.col("date")) & ~text.is_missing_text(F.col("value")))
     return with_defaults(inside.drop("start", "end"))
 
 
+def item_rows(items: DataFrame) -> DataFrame:
+    """Both item shapes as observation rows: per-date items unchanged, series items exploded.
+
+    A per-date item counts as an entry of its own, so that one explode serves both shapes and the
+    items are computed once.
+    """
+    kept = [c for c in items.columns if c not in _ITEM_ONLY]
+    is_series = F.col("series").isNotNull()
+    own = F.array(F.struct(F.col("date").alias("key"), F.col("value").alias("value")))
+    rows = items.select(
+        *kept,
+        "start",
+        "end",
+        is_series.alias("_is_series"),
+        F.explode(F.when(is_series, F.map_entries("series")).otherwise(own)).alias("_entry"),
+    ).select("*", F.col("_entry.key").alias("date"), F.col("_entry.value").alias("value"))
+    inside = _in_range(F.col("date")) & ~text.is_missing_text(F.col("value"))
+    wanted = rows.filter(~F.col("_is_series") | inside)
+    return with_defaults(wanted.drop("start", "end", "_is_series", "_entry"))
+
+
 def clamp_stats(items: DataFrame) -> DataFrame:
     """Adds the numbers of entries inside and outside the range: per row, without exploding."""
     days = F.coalesce(F.map_keys("series"), F.array().cast("array<string>"))
@@ -104,13 +130,6 @@ def with_value_text(rows: DataFrame, column: str = "value") -> DataFrame:
     return rows.withColumn(column, text.value_text(F.col(column), rows.schema[column].dataType))
 
 
-def item_rows(items: DataFrame) -> DataFrame:
-    """Both item shapes as observation rows: per-date items unchanged, series items exploded."""
-    dated = items.filter(F.col("series").isNull()).drop("series", "start", "end")
-    series = explode_series(items.filter(F.col("series").isNotNull()))
-    return dated.unionByName(series, allowMissingColumns=True)
-
-
 def complete_keys(rows: DataFrame) -> DataFrame:
     """Rows without a null key part; a null part would never meet a stored key."""
     return rows.dropna(subset=KEY)

@@ -85,16 +85,45 @@ def entity_code(frame: DataFrame) -> Column:
     return truthy(F.col("SECUCODE"), F.col("SECURITY_CODE"))
 
 
-def parse_statements(frame: DataFrame, source: str, ids: list[str], dates=None) -> DataFrame:
-    """Melt, map and filter one source's frames, each row tagged with its `function_name`."""
-    fields = [f for kind in STATEMENT_CONCEPTS[source].values() for f, _ in kind]
-    tagged = frame.withColumn("source", F.lit(source))
-    keys = [*ids, "source", "function_name"]
-    if source == "akshare":
-        melted = melt_wide(tagged, keys, fields)
-    else:
-        melted = melt_transposed(tagged, keys, dates)
-    return map_concepts(melted, concept_map(frame.sparkSession))
+def parse_wide(frame: DataFrame, ids: list[str], date: str = "REPORT_DATE") -> DataFrame:
+    """Wide frames tagged with a `function_name`, as (ids, field, concept_id, date, value).
+
+    The same result as `melt_wide` and `map_concepts`, but a row unfolds into the fields of its
+    own function only, so there is no join and no other field is turned into text.
+    """
+    source = "akshare"
+    day = F.substring(F.col(date).cast("string"), 1, 10)
+    entries = F.lit(None)
+    for kind, fields in STATEMENT_CONCEPTS[source].items():
+        mapped = [
+            F.struct(
+                F.lit(field).alias("field"),
+                F.lit(concept).alias("concept_id"),
+                value_text(F.col(field), frame.schema[field].dataType).alias("value"),
+            )
+            for field, concept in fields
+            if field in frame.columns
+        ]
+        functions = [f"annual_{kind}", f"quarterly_{kind}"]
+        if mapped:
+            entries = F.when(F.col("function_name").isin(functions), F.array(*mapped)).otherwise(
+                entries
+            )
+    rows = frame.filter(day != "").select(
+        *ids,
+        F.lit(source).alias("source"),
+        "function_name",
+        day.alias("date"),
+        F.inline(entries),
+    )
+    return rows.filter(F.col("value").isNotNull() & (F.col("value") != "nan"))
+
+
+def parse_transposed(frame: DataFrame, ids: list[str], dates: list[str]) -> DataFrame:
+    """Transposed frames tagged with a `function_name`; unmapped fields drop out before melting."""
+    tagged = frame.withColumn("source", F.lit("yfinance"))
+    mapped = map_concepts(tagged, concept_map(frame.sparkSession))
+    return melt_transposed(mapped, [*ids, "source", "function_name", "concept_id"], dates)
 
 
 def legacy_rows(parsed: DataFrame, granularity: str = DEFAULT_GRANULARITY) -> DataFrame:

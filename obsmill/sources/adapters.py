@@ -98,14 +98,17 @@ def _walk(adapters: Mapping[str, Adapter], task: dict, chain: list[dict] | None)
 
 
 def fetch_attempts(
-    tasks: DataFrame, adapters: Callable[[], Mapping[str, Adapter]], chain: str | None = None
+    tasks: DataFrame,
+    adapters: Callable[[], Mapping[str, Adapter]],
+    chain: str | None = None,
+    calls: int | None = None,
 ) -> DataFrame:
     """Run tasks through the adapters of their sources, one row per call.
 
     `chain` names an array column of (source, command, column_name), tried in order until one
     serves; without it a task tries its own source only. `adapters` is called once per task
-    partition, so connections are made where they are used. Repartition `tasks` first to set how
-    many calls run at the same time.
+    partition, so connections are made where they are used. `calls` is the number of partitions
+    to spread the tasks over, and so how many calls run at the same time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,4 +122,7 @@ def fetch_attempts(
             yield pa.RecordBatch.from_pylist(done, schema=_ARROW)
 
     columns = [*TASK_FIELDS, *([chain] if chain else [])]
-    return tasks.select(*columns).mapInArrow(run, ATTEMPT_DDL)
+    wanted = tasks.select(*columns)
+    if calls is not None:
+        wanted = wanted.repartition(calls)
+    return wanted.mapInArrow(run, ATTEMPT_DDL)

@@ -18,6 +18,12 @@ def read_plans(spark: SparkSession, path: str) -> DataFrame:
     return plans.select(F.col("_metadata.file_path").alias("plan_id"), *PLAN.fieldNames())
 
 
+def read_plan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Many plans as JSON lines, each with a `plan_id` of its own."""
+    schema = T.StructType([T.StructField("plan_id", T.LongType()), *PLAN.fields])
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def read_identifiers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(IDENTIFIERS).parquet(path)
 

@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from obsmill.sources.landed import parse_plans
+from obsmill.sinks.paths import scratch_path
+from obsmill.sources.landed import read_plan_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -310,9 +311,8 @@ def _ranked(concept: str) -> Column:
     ])
 
 
-def plan_documents(spark, sf_dir) -> DataFrame:
-    """(plan_id, doc): plans as JSON text."""
-    null = F.lit(None).cast("string")
+def plans(spark, sf_dir) -> DataFrame:
+    """Plans with their nested parts as columns."""
     concepts = F.array(
         F.struct(
             F.col("concept_a").alias("concept_id"), F.lit("close").alias("code"),
@@ -323,8 +323,8 @@ def plan_documents(spark, sf_dir) -> DataFrame:
         F.struct(
             F.col("concept_b").alias("concept_id"), F.lit("cap").alias("code"),
             F.lit("company").alias("entity_type"), F.col("unit_b").alias("unit"),
-            F.col("frequency_b").alias("frequency"), null.alias("granularity"),
-            _ranked("b").alias("ranked_sources"),
+            F.col("frequency_b").alias("frequency"),
+            F.lit(None).cast("string").alias("granularity"), _ranked("b").alias("ranked_sources"),
         ),
     )
     ids = F.array(F.col("scope_id"), F.col("scope_id") + 1, F.col("scope_id"))
@@ -335,17 +335,18 @@ def plan_documents(spark, sf_dir) -> DataFrame:
         .alias("entity_ids"),
         F.lit("ignored").alias("filter"),
     )
-    doc = F.struct(
-        F.lit("1").alias("version"), F.col("mode"), concepts.alias("wanted_concepts"),
-        scope.alias("entity_scope"),
-        F.struct(F.col("first_day").alias("start"), F.col("last_day").alias("end")).alias("date_range"),
+    period = F.struct(F.col("first_day").alias("start"), F.col("last_day").alias("end"))
+    return bind(spark, sf_dir, "orders", PLANS).select(
+        "plan_id", "o_orderstatus", "mode", concepts.alias("wanted_concepts"),
+        scope.alias("entity_scope"), period.alias("date_range"),
     )
-    flat = bind(spark, sf_dir, "orders", PLANS)
-    return flat.select("plan_id", "o_orderstatus", F.to_json(doc).alias("doc"))
 
 
-def plans(spark, sf_dir) -> DataFrame:
-    return parse_plans(plan_documents(spark, sf_dir))
+def landed_plans(spark, sf_dir) -> DataFrame:
+    """The same plans, landed as JSON lines and read back."""
+    path = scratch_path(spark, "plans")
+    plans(spark, sf_dir).drop("o_orderstatus").write.json(path)
+    return read_plan_lines(spark, path)
 
 
 # The same inputs for DuckDB, as common table expressions.

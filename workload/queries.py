@@ -41,7 +41,7 @@ def series_text(series: str = "series"):
 
 @query
 def plan_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expansion.flatten_plan(b.plans(spark, sf_dir))
+    return expansion.flatten_plan(b.landed_plans(spark, sf_dir))
 
 
 @query
@@ -218,7 +218,8 @@ def fetch_map(spark, sf_dir):
         F.col("o_orderkey").alias("entity_id"), F.lit("").alias("unit"), F.lit("day").alias("granularity"),
         F.when(ranged, day).alias("start"), F.when(ranged, day).otherwise(none).alias("end"), chain.alias("chain"),
     )
-    attempts = fetch_attempts(tasks, adapters, "chain")
+    calls = spark.sparkContext.defaultParallelism
+    attempts = fetch_attempts(tasks, adapters, "chain", calls)
     return failover.resolve(attempts, ["entity_id", "identifier"])
 
 
@@ -353,14 +354,17 @@ def statement_melt(spark, sf_dir):
 
 @query
 def concept_mapping(spark, sf_dir):
-    parsed = statements.parse_statements(b.statements(spark, sf_dir), "akshare", ["entity_id"])
+    melted = statements.melt_wide(
+        b.statements(spark, sf_dir), ["entity_id", "source", "function_name"], b.STATEMENT_FIELDS
+    )
+    parsed = statements.map_concepts(melted, statements.concept_map(spark))
     return parsed.select("entity_id", "function_name", "field", "concept_id", "date", "value")
 
 
 @query
 def statement_melt_transposed(spark, sf_dir):
     frame = b.transposed_statements(spark, sf_dir)
-    parsed = statements.parse_statements(frame, "yfinance", ["entity_id"], b.TRANSPOSED_DATES)
+    parsed = statements.parse_transposed(frame, ["entity_id"], b.TRANSPOSED_DATES)
     return parsed.select("entity_id", "function_name", "field", "concept_id", "date", "value")
 
 
@@ -384,7 +388,7 @@ def entity_code_fallback(spark, sf_dir):
 
 @query
 def obs_legacy_constants(spark, sf_dir):
-    parsed = statements.parse_statements(b.statements(spark, sf_dir), "akshare", ["entity_id"])
+    parsed = statements.parse_wide(b.statements(spark, sf_dir), ["entity_id"])
     return statements.legacy_rows(parsed).select(*ROW)
 
 
@@ -520,7 +524,7 @@ def frame_profile(spark, sf_dir):
 @query
 def task_outcomes(spark, sf_dir):
     key = ["entity_id", "source", "function_name"]
-    parsed = statements.parse_statements(b.statements(spark, sf_dir), "akshare", ["entity_id"])
+    parsed = statements.parse_wide(b.statements(spark, sf_dir), ["entity_id"])
     tasks = statement_plans.statement_tasks(_stocks(spark, sf_dir))
     return health.task_outcomes(tasks, parsed, key)
 

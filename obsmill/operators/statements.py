@@ -52,14 +52,23 @@ def not_missing(value: Column, dtype: T.DataType) -> Column:
 
 
 def _melt(frame: DataFrame, ids: list[Column | str], columns: list[str]) -> DataFrame:
-    """(ids, name, value text) for each of `columns`; missing values are dropped."""
-    texts = frame.select(
-        *ids,
-        *[value_text(F.col(f"`{c}`"), frame.schema[c].dataType).alias(c) for c in columns],
-    )
-    kept = [c for c in texts.columns if c not in columns]
-    melted = texts.unpivot(kept, [F.col(f"`{c}`") for c in columns], "name", "value")
-    return melted.filter(F.col("value").isNotNull() & (F.col("value") != "nan"))
+    """(ids, name, value text) for each of `columns`; missing values are dropped.
+
+    Columns of one type unfold first and become text once; mixed types need a common one before.
+    """
+    types = {frame.schema[c].dataType for c in columns}
+    shared = types.pop() if len(types) == 1 else None
+    values = [
+        F.col(f"`{c}`") if shared else value_text(F.col(f"`{c}`"), frame.schema[c].dataType).alias(c)
+        for c in columns
+    ]
+    prepared = frame.select(*ids, *values)
+    kept = [c for c in prepared.columns if c not in columns]
+    melted = prepared.unpivot(kept, [F.col(f"`{c}`") for c in columns], "name", "value")
+    present = melted.filter(not_missing(F.col("value"), shared or T.StringType()))
+    if shared is None:
+        return present
+    return present.withColumn("value", value_text(F.col("value"), shared))
 
 
 def melt_wide(

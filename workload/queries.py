@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from obsmill import schemas
@@ -11,11 +12,14 @@ from obsmill.plans import expansion, providers, statements as statement_plans
 from obsmill.sinks.paths import scratch_path
 from obsmill.sinks.snapshots import SnapshotTable
 from obsmill.sinks.store import KeyedStore, ObservationStore, append_audit
-from obsmill.sources import landed
-from obsmill.sources.adapters import fetch_attempts
+from obsmill.sources import adapters as sources, landed
 from obsmill.streaming import intake
 from workload import bindings as b
-from workload.adapters import adapters
+from workload import adapters as samples
+
+# Python workers need not have this repository on their path.
+for module in (sources, samples):
+    cloudpickle.register_pickle_by_value(module)
 
 QUERIES = {}
 NOW = datetime(1998, 1, 1, 0, 30)
@@ -219,7 +223,7 @@ def fetch_map(spark, sf_dir):
         F.when(ranged, day).alias("start"), F.when(ranged, day).otherwise(none).alias("end"), chain.alias("chain"),
     )
     calls = spark.sparkContext.defaultParallelism
-    attempts = fetch_attempts(tasks, adapters, "chain", calls)
+    attempts = sources.fetch_attempts(tasks, samples.adapters, "chain", calls)
     return failover.resolve(attempts, ["entity_id", "identifier"])
 
 

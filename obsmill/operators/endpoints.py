@@ -14,6 +14,7 @@ from obsmill.schemas import (
     PROBE_TARGETS,
     STALE_MINUTES,
 )
+from obsmill.sinks.paths import written
 
 ENDPOINT = ["ip", "port"]
 
@@ -107,21 +108,33 @@ def valid_endpoints(
     Validity needs the passing probes only, so it is a semi join without the target fan-out.
     """
     passing = probes.filter((F.col("status") < below) & F.col("target").isin(*targets))
-    return endpoints.join(passing.select(*ENDPOINT), ENDPOINT, "left_semi")
+    # Distinct first: an endpoint with very many probes sends one row per task.
+    return endpoints.join(passing.select(*ENDPOINT).distinct(), ENDPOINT, "left_semi")
 
 
-def success_rates(results: DataFrame) -> DataFrame:
-    """Passed, tried and percentage per target, plus an `overall` row over endpoints."""
-    per_target = results.groupBy("target").agg(
-        F.count_if("passed").alias("passed"), F.count("*").alias("tried")
+def success_rates(results: DataFrame, targets: list[str] = PROBE_TARGETS) -> DataFrame:
+    """Passed, tried and percentage per target, plus an `overall` row over endpoints.
+
+    An endpoint's outcomes, one per target, meet once and unfold into its targets and the overall
+    row, so the results are computed once. Targets never tried show zeros.
+    """
+    outcome = F.struct("target", "passed")
+    overall = F.struct(F.lit("overall").alias("target"), F.max("passed").alias("passed"))
+    per_endpoint = results.groupBy(*ENDPOINT).agg(
+        F.concat(F.collect_list(outcome), F.array(overall)).alias("outcomes")
+    )
+    counted = (
+        per_endpoint.select(F.inline("outcomes"))
+        .groupBy("target")
+        .agg(F.count_if("passed").alias("passed"), F.count("*").alias("tried"))
     )
-    per_endpoint = results.groupBy(*ENDPOINT).agg(F.max("passed").alias("passed"))
-    overall = per_endpoint.agg(
-        F.count_if("passed").alias("passed"), F.count("*").alias("tried")
-    ).select(F.lit("overall").alias("target"), "passed", "tried")
-    return per_target.unionByName(overall).withColumn(
-        "rate", percentage(F.col("passed"), F.col("tried"))
+    untried = results.sparkSession.createDataFrame(
+        [(name, 0, 0) for name in [*targets, "overall"]], "target STRING, passed BIGINT, tried BIGINT"
     )
+    sums = counted.unionByName(untried).groupBy("target").agg(
+        F.sum("passed").alias("passed"), F.sum("tried").alias("tried")
+    )
+    return sums.withColumn("rate", percentage(F.col("passed"), F.col("tried")))
 
 
 def _known(registry: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -129,14 +142,20 @@ def _known(registry: DataFrame, fresh: DataFrame) -> DataFrame:
     return registry.select(*ENDPOINT).join(fresh.select(*ENDPOINT), ENDPOINT, "left_semi").distinct()
 
 
+def _stamp(moment: datetime) -> Column:
+    """A zone-free literal: neither the session's nor the driver's zone shifts it."""
+    return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")
+
+
 def upsert(registry: DataFrame, fresh: DataFrame, now: datetime) -> DataFrame:
     """Registry with `fresh` (unique per ip and port) put in, keyed on (ip, port).
 
     A hit becomes active, is no longer retired and is updated at `now`; a miss is inserted
     without credentials and without an id, which the store gives out. Two joins rather than a
-    full outer one: with a small `fresh` neither needs to shuffle the registry.
+    full outer one: with a small `fresh` neither needs to shuffle the registry. `fresh` is read
+    three times, so pass a written table.
     """
-    at = F.lit(now).cast("timestamp_ntz")
+    at = _stamp(now)
     hits = registry.join(
         fresh.select(*ENDPOINT, F.lit(True).alias("_hit")), ENDPOINT, "left"
     ).withColumns(
@@ -163,7 +182,7 @@ def upsert(registry: DataFrame, fresh: DataFrame, now: datetime) -> DataFrame:
 
 
 def is_stale(now: datetime, minutes: int = STALE_MINUTES) -> Column:
-    cutoff = F.lit(now - timedelta(minutes=minutes)).cast("timestamp_ntz")
+    cutoff = _stamp(now - timedelta(minutes=minutes))
     return (F.col("status") == "active") & (
         F.col("updated_at").isNull() | (F.col("updated_at") < cutoff)
     )
@@ -175,7 +194,7 @@ def retire(registry: DataFrame, now: datetime, minutes: int = STALE_MINUTES) ->
     return registry.withColumns(
         {
             "status": F.when(stale, F.lit("retired")).otherwise(F.col("status")),
-            "retired_at": F.when(stale, F.lit(now).cast("timestamp_ntz")).otherwise(
+            "retired_at": F.when(stale, _stamp(now)).otherwise(
                 F.col("retired_at")
             ),
         }
@@ -191,9 +210,9 @@ def refresh(
 ) -> DataFrame:
     """One round: gather, validate, upsert, retire. With nothing valid the registry stays as is.
 
-    The check is a driver-side `isEmpty` over at most `n` endpoints.
+    The valid endpoints, at most `n`, are written once and then read by the check and the joins.
     """
-    valid = valid_endpoints(gather(pages, n), probes)
+    valid = written(valid_endpoints(gather(pages, n), probes), "valid-endpoints")
     if valid.isEmpty():
         return registry
     return retire(upsert(registry, valid, now), now)

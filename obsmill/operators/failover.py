@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from obsmill.functions.text import is_missing_text
 
 
-def with_chain(tasks: DataFrame, chain: str = "ranked_sources") -> DataFrame:
+def with_chain(tasks: DataFrame, chain: str = "chain") -> DataFrame:
     """One row per task and chain entry; a task without a chain is its own single entry.
 
     An entry without a column takes the task's.

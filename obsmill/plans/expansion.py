@@ -7,8 +7,13 @@ from obsmill.operators.joins import salted_join
 from obsmill.schemas import REQUEST_SCHEME, TASK_FIELDS
 
 
-def flatten_plan(plans: DataFrame, plan_id: str = "plan_id") -> DataFrame:
-    """One row per concept and ranked source; the position in the list is the rank."""
+def flatten_plan(
+    plans: DataFrame, plan_id: str = "plan_id", chained: bool = False
+) -> DataFrame:
+    """One row per concept and ranked source; the position in the list is the rank.
+
+    `chained` keeps the first source only, with the whole list as its `chain` to fail over along.
+    """
     concepts = plans.select(
         F.col(plan_id).alias("plan_id"),
         (F.col("mode") == "series").alias("is_series"),
@@ -17,6 +22,16 @@ def flatten_plan(plans: DataFrame, plan_id: str = "plan_id") -> DataFrame:
         F.explode("wanted_concepts").alias("concept"),
     )
     ranked = concepts.select("*", F.posexplode("concept.ranked_sources").alias("rank", "ranked"))
+    chain = F.transform(
+        "concept.ranked_sources",
+        lambda entry: F.struct(
+            entry["source"].alias("source"),
+            entry["function_command"].alias("command"),
+            entry["column_name"].alias("column_name"),
+        ),
+    )
+    if chained:
+        ranked = ranked.filter(F.col("rank") == 0)
     return ranked.select(
         "plan_id",
         F.coalesce("is_series", F.lit(False)).alias("is_series"),
@@ -34,6 +49,7 @@ def flatten_plan(plans: DataFrame, plan_id: str = "plan_id") -> DataFrame:
         F.col("ranked.column_name").alias("column"),
         "start",
         "end",
+        *([chain.alias("chain")] if chained else []),
     )
 
 
@@ -66,13 +82,15 @@ def expand_tasks(
     identifiers: DataFrame,
     plan_id: str = "plan_id",
     mode: str | None = None,
+    chained: bool = False,
 ) -> DataFrame:
     """Fetch tasks of the plans: per date, or one per range in series mode.
 
     The entities join first and the dates explode last, so only unexpanded rows shuffle.
-    `mode` limits the result to the plans of one mode ("series" or "per_date").
+    `mode` limits the result to the plans of one mode ("series" or "per_date"). A source is a task
+    of its own, or with `chained` a concept is, carrying its ranked sources in `chain`.
     """
-    flat = flatten_plan(plans, plan_id)
+    flat = flatten_plan(plans, plan_id, chained)
     if mode is not None:
         flat = flat.filter(F.col("is_series") == (mode == "series"))
         wanted = F.coalesce(F.col("mode") == "series", F.lit(False)) == (mode == "series")
@@ -89,6 +107,7 @@ def expand_tasks(
         *[c for c in TASK_FIELDS if c not in ("start", "end")],
         F.when(F.col("is_series"), F.col("start")).alias("start"),
         F.when(F.col("is_series"), F.col("end")).alias("end"),
+        *(["chain"] if chained else []),
     )
 
 
@@ -111,12 +130,14 @@ def request_key():
 
 
 def distinct_tasks(tasks: DataFrame) -> DataFrame:
-    """Tasks without repeats, keyed.
+    """Tasks without repeats, keyed, with their best `rank`.
 
     The key covers all task fields, so distinct fields and distinct keys are the same thing; the
     fields aggregate by hash and map-side, and the long key is built once per survivor.
     """
-    return tasks.select(*TASK_FIELDS).distinct().withColumn("request_key", request_key())
+    kept = [*TASK_FIELDS, *(["chain"] if "chain" in tasks.columns else [])]
+    best = F.min("rank").alias("rank")
+    return tasks.groupBy(*kept).agg(best).withColumn("request_key", request_key())
 
 
 def unseen_tasks(tasks: DataFrame, seen: DataFrame, key: str = "request_key") -> DataFrame:

@@ -3,27 +3,27 @@
 from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from obsmill.schemas import TASK, TASK_FIELDS
 
-ATTEMPT_DDL = (
-    ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TASK.fields)
-    + ", rank INT, value STRING, series MAP<STRING,STRING>, error STRING"
-)
-_ARROW = pa.schema(
+ATTEMPT = T.StructType(
     [
-        pa.field(f.name, {"int": pa.int32(), "bigint": pa.int64()}.get(
-            f.dataType.simpleString(), pa.string()))
-        for f in TASK.fields
-    ]
-    + [
-        pa.field("rank", pa.int32()),
-        pa.field("value", pa.string()),
-        pa.field("series", pa.map_(pa.string(), pa.string())),
-        pa.field("error", pa.string()),
+        T.StructField("request_key", T.StringType()),
+        *TASK.fields,
+        T.StructField("rank", T.IntegerType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("series", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("error", T.StringType()),
     ]
 )
+_ARROW_TYPES = {
+    T.IntegerType: pa.int32(),
+    T.LongType: pa.int64(),
+    T.StringType: pa.string(),
+    T.MapType: pa.map_(pa.string(), pa.string()),
+}
+_ARROW = pa.schema([(field.name, _ARROW_TYPES[type(field.dataType)]) for field in ATTEMPT.fields])
 
 
 class SourceUnavailable(Exception):
@@ -103,7 +103,7 @@ def fetch_attempts(
     chain: str | None = None,
     calls: int | None = None,
 ) -> DataFrame:
-    """Run tasks through the adapters of their sources, one row per call.
+    """Run keyed tasks through the adapters of their sources, one row per call.
 
     `chain` names an array column of (source, command, column_name), tried in order until one
     serves; without it a task tries its own source only. `adapters` is called once per task
@@ -121,8 +121,8 @@ def fetch_attempts(
             ]
             yield pa.RecordBatch.from_pylist(done, schema=_ARROW)
 
-    columns = [*TASK_FIELDS, *([chain] if chain else [])]
+    columns = ["request_key", *TASK_FIELDS, *([chain] if chain else [])]
     wanted = tasks.select(*columns)
     if calls is not None:
         wanted = wanted.repartition(calls)
-    return wanted.mapInArrow(run, ATTEMPT_DDL)
+    return wanted.mapInArrow(run, ATTEMPT)

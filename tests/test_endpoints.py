@@ -69,7 +69,9 @@ def test_validity_and_rates(spark, rows):
         ("eastmoney", 1, 3, 33.3), ("overall", 1, 3, 33.3), ("tencent", 0, 3, 0.0), ("yahoo_finance", 0, 3, 0.0)
     ]
     empty = endpoints.success_rates(endpoints.probe_results(found.limit(0), probes))
-    assert rows(empty, "target", "rate") == [("overall", 0.0)]
+    assert rows(empty, "target", "tried", "rate") == [
+        ("eastmoney", 0, 0.0), ("overall", 0, 0.0), ("tencent", 0, 0.0), ("yahoo_finance", 0, 0.0)
+    ]
 
 
 def _registry(spark, *entries):

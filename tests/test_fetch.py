@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from obsmill import schemas
 from obsmill.operators import extract, failover
+from obsmill.plans.expansion import request_key
 from obsmill.sources.adapters import Adapter, FetchError, SourceUnavailable, fetch_attempts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,7 +42,7 @@ def test_empty_series_is_skipped(spark):
 
 def test_chain(spark, rows):
     schema = ("id INT, source STRING, command STRING, column STRING,"
-              " ranked_sources ARRAY<STRUCT<source: STRING, command: STRING, column_name: STRING>>")
+              " chain ARRAY<STRUCT<source: STRING, command: STRING, column_name: STRING>>")
     tasks = spark.createDataFrame(
         [(1, "a", "ca", "x", [("b", "cb", None), ("c", "cc", "y")]), (2, "a", "ca", "x", []), (3, "a", "ca", "x", None)],
         schema)
@@ -117,8 +118,9 @@ def _fetch(spark, rows, chain, **changes):
         entry = [F.struct(F.lit(s).alias("source"), F.lit("c").alias("command"), F.lit(c).alias("column_name"))
                  for s, c in chain]
         tasks = tasks.withColumn("chain", F.array(*entry))
+    tasks = tasks.withColumn("request_key", request_key())
     attempts = fetch_attempts(tasks, _adapters, "chain" if chain is not None else None, calls=2)
-    outcome = failover.resolve(attempts, ["entity_id"]).first()
+    outcome = failover.resolve(attempts, ["request_key"]).first()
     return attempts.count(), tuple(outcome)[1:]
 
 

@@ -9,7 +9,7 @@ from obsmill import schemas
 from obsmill.functions import dates, text
 from obsmill.operators import endpoints, extract, failover, health, observations as obs, statements
 from obsmill.plans import expansion, providers, statements as statement_plans
-from obsmill.sinks.paths import scratch_path
+from obsmill.sinks.paths import scratch_path, written
 from obsmill.sinks.snapshots import SnapshotTable
 from obsmill.sinks.store import KeyedStore, ObservationStore, append_audit
 from obsmill.sources import adapters as sources, landed
@@ -223,8 +223,9 @@ def fetch_map(spark, sf_dir):
         F.when(ranged, day).alias("start"), F.when(ranged, day).otherwise(none).alias("end"), chain.alias("chain"),
     )
     calls = spark.sparkContext.defaultParallelism
-    attempts = sources.fetch_attempts(tasks, samples.adapters, "chain", calls)
-    return failover.resolve(attempts, ["entity_id", "identifier"])
+    keyed = tasks.withColumn("request_key", expansion.request_key())
+    attempts = sources.fetch_attempts(keyed, samples.adapters, "chain", calls)
+    return failover.resolve(attempts, ["request_key", "entity_id", "identifier"]).drop("request_key")
 
 
 # Observations
@@ -471,7 +472,8 @@ def _registry_text(registry):
 @query
 def endpoint_upsert(spark, sf_dir):
     table = SnapshotTable(spark, scratch_path(spark, "registry"))
-    table.replace(endpoints.upsert(b.registry(spark, sf_dir), _valid(spark, sf_dir), NOW))
+    valid = written(_valid(spark, sf_dir), "valid")
+    table.replace(endpoints.upsert(b.registry(spark, sf_dir), valid, NOW))
     return _registry_text(table.read())
 
 

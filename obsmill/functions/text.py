@@ -26,9 +26,9 @@ def float_text(x: Column) -> Column:
     size = F.abs(x)
     digits = shortest.cast("decimal(38,21)").cast("string")
     positional = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
-    mantissa = F.regexp_replace(F.substring_index(F.lower(shortest), "e", 1), r"\.?0*$", "")
-    exponent = F.substring_index(F.lower(shortest), "e", -1).cast("int")
-    scientific = F.concat(mantissa, F.format_string("e%+03d", exponent))
+    trimmed = F.regexp_replace(F.lower(shortest), r"\.?0*e", "e")
+    signed = F.regexp_replace(trimmed, r"e(?=\d)", "e+")
+    scientific = F.regexp_replace(signed, r"([+-])(\d)$", "$10$2")
     return (
         F.when(x.isNull(), F.lit(None).cast("string"))
         .when((x == 0) | ((size >= 1e-3) & (size < 1e7)), jvm)

@@ -274,7 +274,7 @@ def obs_defaults(spark, sf_dir):
 
 @query
 def obs_value_text(spark, sf_dir):
-    lines = b.table(spark, sf_dir, "lineitem")
+    lines = b.spread(b.table(spark, sf_dir, "lineitem"))
     scaled = [("plain", "l_extendedprice"), ("large", "l_extendedprice * 1000000.0"),
               ("huge", "l_extendedprice * 1e14"), ("small", "l_discount / 64.0"),
               ("tiny", "l_tax / 1048576.0")]

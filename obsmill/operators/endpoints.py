@@ -76,8 +76,13 @@ def first_n(endpoints: DataFrame, n: int = ENDPOINT_FETCH_COUNT) -> DataFrame:
 
 
 def gather(pages: DataFrame, n: int = ENDPOINT_FETCH_COUNT) -> DataFrame:
-    """The first `n` distinct endpoints of the listing pages."""
-    return first_n(first_seen(within_budget(pair_endpoints(pages), n)), n)
+    """The first `n` distinct endpoints of the listing pages.
+
+    The pages are scanned once: their pairs, a small part of the text, are written and then read
+    for the counts and for the rows.
+    """
+    pairs = written(pair_endpoints(pages), "pairs")
+    return first_n(first_seen(within_budget(pairs, n)), n)
 
 
 def with_targets(endpoints: DataFrame, targets: list[str] = PROBE_TARGETS) -> DataFrame:

@@ -2,10 +2,16 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="obsmill-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in `spark.checkpoint.dir`.
 
@@ -15,9 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="obsmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder()
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 

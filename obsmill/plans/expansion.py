@@ -1,10 +1,10 @@
 """From plan documents to fetch tasks."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from obsmill.functions import dates, text
 from obsmill.operators.joins import salted_join
-from obsmill.schemas import REQUEST_SCHEME, TASK_FIELDS
+from obsmill.schemas import REQUEST_SCHEME, TASK, TASK_FIELDS
 
 
 def flatten_plan(
@@ -111,14 +111,14 @@ def expand_tasks(
     )
 
 
-def request_key():
+def request_key() -> Column:
     """Text identity of a task over all its non-null fields."""
-    pairs = [
-        F.when(
-            F.col(name).isNotNull(), F.concat(F.lit(f"{name}="), text.form_encode(F.col(name)))
-        )
-        for name in TASK_FIELDS
-    ]
+    pairs = []
+    for field in TASK.fields:
+        value = F.col(field.name)
+        # Numbers have nothing to encode.
+        encoded = text.form_encode(value) if field.dataType == T.StringType() else value.cast("string")
+        pairs.append(F.when(value.isNotNull(), F.concat(F.lit(f"{field.name}="), encoded)))
     return F.concat(
         F.lit(REQUEST_SCHEME),
         F.col("source"),

@@ -1,10 +1,12 @@
 """Append-only keyed tables with first-writer-wins inserts."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from obsmill.functions.text import is_missing_text
 from obsmill.operators.observations import (
     absent_from,
     first_writer,
@@ -38,11 +40,13 @@ class KeyedStore:
         key: list[str],
         partition_by: list[str] = (),
         prune_by: list[str] = (),
+        required: list[str] = (),
     ):
         self.spark = spark
         self.path = path
         self.schema = schema
         self.key = list(key)
+        self.required = [*key, *required]
         self.partition_by = list(partition_by)
         self.prune_by = list(prune_by)
 
@@ -64,11 +68,12 @@ class KeyedStore:
 
         A first pass over the key columns counts the rows and takes the ranges of `prune_by`, so
         the anti join reads only the stored files that can hold one of the new keys. Rows with a
-        null key part are rejected.
+        null key part or required column are rejected, before they could count as a first writer.
         """
+        incomplete = reduce(Column.__or__, [F.col(c).isNull() for c in self.required])
         summary = rows.agg(
             F.count("*").alias("attempted"),
-            F.count_if(self._incomplete()).alias("rejected"),
+            F.count_if(incomplete).alias("rejected"),
             *[F.min(c).alias(f"min_{c}") for c in self.prune_by],
             *[F.max(c).alias(f"max_{c}") for c in self.prune_by],
         ).first()
@@ -77,7 +82,7 @@ class KeyedStore:
         stored = self.read(except_batch=batch_id)
         for c in self.prune_by:
             stored = stored.filter(F.col(c).between(summary[f"min_{c}"], summary[f"max_{c}"]))
-        firsts = first_writer(rows.dropna(subset=self.key), order, self.key)
+        firsts = first_writer(rows.dropna(subset=self.required), order, self.key)
         fresh = absent_from(firsts, stored, self.key).select(*self.schema.fieldNames())
         target = f"{self.path}/{BATCH}={batch_id}"
         writer = fresh
@@ -91,12 +96,6 @@ class KeyedStore:
         inserted = self.spark.read.schema(self.schema).parquet(target).count()
         return InsertReport(summary["attempted"], summary["rejected"], inserted)
 
-    def _incomplete(self) -> Column:
-        missing = F.lit(False)
-        for c in self.key:
-            missing = missing | F.col(c).isNull()
-        return missing
-
 
 class ObservationStore(KeyedStore):
     """The observation table, in folders by batch, granularity and concept."""
@@ -109,16 +108,30 @@ class ObservationStore(KeyedStore):
             KEY,
             partition_by=["granularity", "concept_id"],
             prune_by=["concept_id", "date"],
+            required=["value"],
         )
 
     def insert(self, rows: DataFrame, batch_id: str, order: list[str]) -> InsertReport:
-        """Insert-if-absent with defaults filled and values as text, stamped once per batch."""
-        filled = with_value_text(with_defaults(rows)).withColumn(
-            "fetched_at", F.current_timestamp()
+        """Insert-if-absent with defaults filled and values as text, stamped once per batch.
+
+        Rows without a value, not-a-number included, are rejected.
+        """
+        filled = with_value_text(with_defaults(rows)).withColumns(
+            {
+                "value": F.when(~is_missing_text(F.col("value")), F.col("value")),
+                "fetched_at": F.current_timestamp(),
+            }
         )
         return super().insert(filled, batch_id, order)
 
 
-def append_audit(items: DataFrame, path: str) -> None:
-    """Append items, not exploded, as JSON lines with nulls and all characters kept."""
-    items.write.mode("append").option("ignoreNullFields", False).json(path)
+def append_audit(items: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """Append items, not exploded, as JSON lines with nulls and all characters kept.
+
+    With a batch id the lines form a folder of their own, which a replay replaces.
+    """
+    writer = items.write.option("ignoreNullFields", False)
+    if batch_id is None:
+        writer.mode("append").json(path)
+    else:
+        writer.mode("overwrite").json(f"{path}/{BATCH}={batch_id}")

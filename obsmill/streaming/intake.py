@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from obsmill.sinks.store import KeyedStore, ObservationStore
+from obsmill.operators.observations import item_rows, parse_responses
+from obsmill.sinks.store import KeyedStore, ObservationStore, append_audit
 
 
 def task_stream(
@@ -60,3 +61,23 @@ def upsert_stream(
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def response_stream_to_store(
+    responses: DataFrame,
+    store: ObservationStore,
+    order: list[str],
+    checkpoint: str,
+    audit: str | None = None,
+) -> None:
+    """Responses as they arrive: parsed, exploded, inserted if absent, then audited unexploded."""
+
+    def take(batch: DataFrame, number: int) -> None:
+        batch_id = f"{number:012d}"
+        items = parse_responses(batch, keep=tuple(order))
+        store.insert(item_rows(items), batch_id, order)
+        if audit is not None:
+            append_audit(items.drop(*order), audit, batch_id)
+
+    writer = responses.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()

@@ -78,7 +78,7 @@ def test_series(spark, rows):
 
 class _Ranged(Adapter):
     def range_params(self, command, identifier, start, end, column):
-        return {"symbol": identifier, "start_date": start, "end_date": end}
+        return {"id": identifier, "first": start, "last": end}
 
     def fetch(self, command, params):
         return params
@@ -87,7 +87,7 @@ class _Ranged(Adapter):
         return float("nan") if identifier == "nan" else f"{column}@{result['date']}"
 
     def extract_series(self, result, column, start, end):
-        return {result["start_date"]: 1.5, result["end_date"]: 1.6}
+        return {result["first"]: 1.5, result["last"]: 1.6}
 
 
 class _Failing(Adapter):

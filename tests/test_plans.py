@@ -155,3 +155,38 @@ def test_provider_params(spark):
         {"symbol": "a", "start_date": "20240102", "end_date": "20240201", "adjust": "qfq"},
         {"symbol": "600000.SS"}, {"symbol": "000001.SZ"}, {"symbol": "600000"}, None,
     )
+
+
+def test_a_hot_plan_is_split_at_run_time(spark, tmp_path):
+    """One plan holds nearly all tasks; without broadcasts its join is split by AQE."""
+    entities = 40000
+    concept = ("named_struct('concept_id', 1, 'code', 'c', 'entity_type', 'fund', 'unit', '', 'frequency', 'daily',"
+               " 'granularity', '', 'ranked_sources', array(named_struct('source', 'akshare', 'function_command', 'c',"
+               " 'column_name', 'x')))")
+    plans = spark.range(2000).selectExpr(
+        "id AS plan_id", "'series' AS mode", f"array({concept}) AS wanted_concepts",
+        f"named_struct('entity_type', 'fund', 'entity_ids', if(id = 0, sequence(0L, {entities - 1}L), array(id)))"
+        " AS entity_scope", "named_struct('start', '2024-01-01', 'end', '2024-12-31') AS date_range")
+    ids = spark.range(entities).selectExpr(
+        "'akshare' AS source", "'fund' AS entity_type", "id AS entity_id", "cast(id AS string) AS identifier")
+    plans.write.parquet(f"{tmp_path}/plans")
+    ids.repartition(8).write.parquet(f"{tmp_path}/ids")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "65536",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "65536",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        tasks = expansion.expand_tasks(spark.read.parquet(f"{tmp_path}/plans"), spark.read.parquet(f"{tmp_path}/ids"))
+        counted = expansion.distinct_tasks(tasks).agg(F.count("*"))
+        assert counted.collect()[0][0] == entities
+        assert "SortMergeJoin(skew=true)" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

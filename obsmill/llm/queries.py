@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obsmill.llm import contamination, mixing, private_data, sharding
-from obsmill.llm.shared import table
+from obsmill.llm import contamination, language_filters, mixing, private_data, sharding, token_trie
+from obsmill.llm.shared import remainder, table
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,17 @@ def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(shown(plain), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    filters = language_filters.learn(documents.filter(remainder("doc_id", 3) != 1))
+    decided = language_filters.language(documents, filters)
+    return decided.select("doc_id", (F.coalesce(remainder("doc_id", 3), F.lit(0)) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_trie.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,6 +61,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_private_data": op3_private_data,
+    "op6_language": op6_language,
+    "op7_token_counts": op7_token_counts,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
 }

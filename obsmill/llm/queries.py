@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obsmill.llm import contamination, language_filters, mixing, private_data, sharding, token_trie
+from obsmill.llm import contamination, language_filters, mixing, overlap_join, private_data, sharding, token_trie
 from obsmill.llm.shared import remainder, table
 
 
@@ -31,6 +31,10 @@ def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(shown(plain), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     filters = language_filters.learn(documents.filter(remainder("doc_id", 3) != 1))
@@ -61,6 +65,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_private_data": op3_private_data,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_language": op6_language,
     "op7_token_counts": op7_token_counts,
     "op9_mixing": op9_mixing,

@@ -96,9 +96,13 @@ def _survivors(signed: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, identifier: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """(set_id, n, shingles) of the wanted rows, one row a set."""
-    rows = documents.select(F.col(identifier).alias("_id"), F.col(text).alias("_text"))
-    chosen = rows.join(wanted.select(F.col("_id").alias("_wanted")), F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi")
+    """(set_id, n, shingles) of the wanted rows, a row that repeats another's identifier and text once.
+
+    A set comes twice only from rows of one identifier and different texts; what follows allows that.
+    """
+    key = F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_key")
+    rows = documents.select(F.col(identifier).alias("_id"), F.col(text).alias("_text")).select(key, "_text")
+    chosen = rows.join(wanted.select(key).distinct(), "_key", "left_semi").dropDuplicates(["_key", "_text"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,8 +118,7 @@ def _sets(documents: DataFrame, identifier: str, text: str, width: int, wanted:
                     names=["set_id", "n", "shingles"],
                 )
 
-    found = chosen.select("_text").mapInArrow(cut, "set_id long, n long, shingles array<long>")
-    return found.dropDuplicates(["set_id"])
+    return chosen.select("_text").mapInArrow(cut, "set_id long, n long, shingles array<long>")
 
 
 def _candidates(sets: DataFrame) -> DataFrame:
@@ -131,7 +134,7 @@ def _candidates(sets: DataFrame) -> DataFrame:
     own = (
         posted.join(rated, "s")
         .groupBy("set_id", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("_sets", "s"))).alias("_shared"))
+        .agg(F.sort_array(F.collect_set(F.struct("_sets", "s"))).alias("_shared"))
     )
     least = F.expr(f"cast(ceil({PART} * n / {WHOLE}) as int)")
     lone = F.col("n") - F.size("_shared")

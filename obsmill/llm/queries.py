@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obsmill.llm import contamination, language_filters, mixing, overlap_join, private_data, sharding, token_trie
+from obsmill.llm import contamination, language_filters, lattice, mixing, overlap_join, private_data, sharding, token_trie
 from obsmill.llm.shared import remainder, table
 
 
@@ -46,6 +46,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_trie.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
     "op6_language": op6_language,
     "op7_token_counts": op7_token_counts,
+    "op8_near_vectors": op8_near_vectors,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
 }

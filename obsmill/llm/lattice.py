@@ -23,6 +23,8 @@ STEP = 2.0
 SEED = 8
 #: Vectors of one part of a cell; fuller cells are compared part against part.
 PART = 1_500
+#: Rows of one task's bucket of cells, on average.
+BUCKET = 20_000
 
 
 def nearest_e8(x: np.ndarray) -> np.ndarray:
@@ -104,60 +106,77 @@ def _classes(embeddings: DataFrame, identifier: str, vector: str, label: str) ->
     return rows.withColumn("node", F.when(F.col("_valid"), own))
 
 
+def _links(own: np.ndarray, group: dict[str, np.ndarray], x: np.ndarray, home: np.ndarray, probed: np.ndarray, threshold: float):
+    """Pairs of rows of one cell's part (or two parts) that link and that this cell is the first to show."""
+    side, at_home, ids = group["_side"][own], group["at_home"][own], group["node"][own]
+    table, cell = int(group["table"][own[0]]), group["cell"][own[0]]
+    if not at_home.any():
+        return own[:0], own[:0]
+    rows, columns = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(own)),) * 2
+    near = x[own[rows]] @ x[own[columns]].T >= threshold - 1e-9
+    if not side.any():
+        near &= np.tri(len(own), k=-1, dtype=bool)
+    i, j = np.nonzero(near)
+    a, b = rows[i], columns[j]
+    # Where the cosine is so near the threshold that the order of sums counts, it is summed plainly.
+    shown = ((x[own[a]] * x[own[b]]).sum(axis=1) >= threshold) & (at_home[a] | at_home[b])
+    a, b = a[shown], b[shown]
+    a_least = ids[a] < ids[b]
+    first = np.ones(len(a), bool)
+    p, q = own[a], own[b]
+    for t in range(table + 1):
+        both = home[p, t] == home[q, t]
+        ab = (probed[q, t] == home[p, t][:, None]).any(axis=1)
+        ba = (probed[p, t] == home[q, t][:, None]).any(axis=1)
+        if t < table:
+            first &= ~(both | ab | ba)
+        else:
+            # In one table: the shared home, else the home of the lesser node, else the other's.
+            lesser = np.where(a_least, home[p, t], home[q, t])
+            other = np.where(a_least, home[q, t], home[p, t])
+            first &= cell == np.where(both | np.where(a_least, ab, ba), lesser, other)
+    return p[first], q[first]
+
+
 def _search(threshold: float, tables: int, probes: int):
-    """Links of one part of a cell with another, each link in the first cell only that shows it."""
-
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_side", "node"], ignore_index=True)
-        table, cell = int(group["table"].iloc[0]), np.uint64(int(group["cell"].iloc[0]) & ((1 << 64) - 1))
-        ids, side, at_home = (group[c].to_numpy() for c in ("node", "_side", "at_home"))
-        copies = group["copies"].to_numpy()
-        x = unit(group["vector"].tolist())
+    """Counts of links and a spanning forest of them, for a bucket of cells' parts."""
+
+    def search(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["label", "table", "cell", "_low", "_high", "_side", "node"], ignore_index=True)
+        group = {c: frame[c].to_numpy() for c in ("node", "table", "_low", "_high", "_side", "at_home", "copies")}
+        group["cell"] = frame["cell"].to_numpy().view(np.uint64)
+        label = frame["label"].to_numpy()
+        x = unit(frame["vector"].tolist())
         home, probed = cells(x, tables, probes)
-        rows, columns = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(x)),) * 2
-        near = x[rows] @ x[columns].T >= threshold - 1e-9
-        if not side.any():
-            near &= np.tri(len(x), k=-1, dtype=bool)
-        i, j = np.nonzero(near)
-        a, b = rows[i], columns[j]
-        # Where the cosine is so near the threshold that the order of sums counts, it is summed plainly.
-        exact = (x[a] * x[b]).sum(axis=1) >= threshold
-        shown = exact & (at_home[a] | at_home[b])
-        a, b = a[shown], b[shown]
-        first = np.ones(len(a), bool)
-        for t in range(table + 1):
-            both = home[a, t] == home[b, t]
-            ab = (probed[b, t] == home[a, t][:, None]).any(axis=1)
-            ba = (probed[a, t] == home[b, t][:, None]).any(axis=1)
-            if t < table:
-                first &= ~(both | ab | ba)
-            else:
-                # In one table: the shared home, else the home of the lesser node, else the other's.
-                lesser = np.where(ids[a] < ids[b], home[a, t], home[b, t])
-                other = np.where(ids[a] < ids[b], home[b, t], home[a, t])
-                seen = np.where(ids[a] < ids[b], ab, ba)
-                first &= cell == np.where(both | seen, lesser, other)
-        a, b = a[first], b[first]
-        counts = np.zeros(len(x), np.int64)
-        np.add.at(counts, a, copies[b])
-        np.add.at(counts, b, copies[a])
-        # Links become counts and the edges of a spanning forest: the pairs themselves stay here.
-        root = np.arange(len(x))
+        same = label[1:] == label[:-1]
+        for c in ("table", "cell", "_low", "_high"):
+            same &= group[c][1:] == group[c][:-1]
+        starts = np.concatenate([[0], np.flatnonzero(~same) + 1, [len(frame)]])
+        counts = np.zeros(len(frame), np.int64)
+        root = np.arange(len(frame))
+
+        def top(k: int) -> int:
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
         edges = []
-        for p, q in zip(a.tolist(), b.tolist()):
-            while root[p] != p:
-                root[p] = root[root[p]]
-                p = root[p]
-            while root[q] != q:
-                root[q] = root[root[q]]
-                q = root[q]
-            if p != q:
-                root[p] = q
-                edges.append((ids[p], ids[q]))
+        for begin, end in zip(starts[:-1], starts[1:]):
+            if end - begin < 2:
+                continue
+            a, b = _links(np.arange(begin, end), group, x, home, probed, threshold)
+            np.add.at(counts, a, group["copies"][b])
+            np.add.at(counts, b, group["copies"][a])
+            for p, q in zip(a.tolist(), b.tolist()):
+                p, q = top(p), top(q)
+                if p != q:
+                    root[p] = q
+                    edges.append((group["node"][p], group["node"][q]))
         linked = np.flatnonzero(counts)
         return pd.DataFrame(
             {
-                "node": np.concatenate([ids[linked], np.array([e[0] for e in edges], np.int64)]),
+                "node": np.concatenate([group["node"][linked], np.array([e[0] for e in edges], np.int64)]),
                 "other": pd.array([None] * len(linked) + [e[1] for e in edges], dtype="Int64"),
                 "links": np.concatenate([counts[linked], np.zeros(len(edges), np.int64)]),
             }
@@ -225,6 +244,7 @@ def near_vectors(
     # A cell without a home vector, or with one vector, shows nothing.
     counts = keyed.groupBy(*cell).agg(F.count("*").alias("_all"), F.max("at_home").alias("_home")).filter("_all > 1 and _home")
     parts = F.ceil(F.col("_all") / part).cast("int")
+    buckets = max(1, -(-keyed.count() // BUCKET))
     placed = (
         keyed.join(counts, cell)
         .withColumn("_parts", parts)
@@ -236,9 +256,10 @@ def near_vectors(
             (F.col("_part") > F.col("_other")).cast("int").alias("_side"),
         )
     )
-    filled = placed.join(classes.select("node", "vector", "copies"), "node")
+    bucket = F.pmod(F.xxhash64("label", "table", "cell", "_low", "_high"), F.lit(buckets)).alias("_bucket")
+    filled = placed.join(classes.select("node", "vector", "copies"), "node").select("*", bucket)
     found = written(
-        filled.groupBy(*cell, "_low", "_high").applyInPandas(_search(threshold, tables, probes), "node long, other long, links long"),
+        filled.groupBy("dims", "_bucket").applyInPandas(_search(threshold, tables, probes), "node long, other long, links long"),
         "links",
     )
     links = found.groupBy("node").agg(F.sum("links").alias("_links"))

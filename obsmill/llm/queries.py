@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obsmill.llm import contamination, language_filters, lattice, mixing, overlap_join, private_data, sharding, token_trie
+from obsmill.llm import contamination, language_filters, lattice, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie
 from obsmill.llm.shared import remainder, table
 
 
@@ -35,6 +35,14 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    scored = suffix_tree.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     filters = language_filters.learn(documents.filter(remainder("doc_id", 3) != 1))
@@ -70,6 +78,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_private_data": op3_private_data,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_suffix_tree": op5_suffix_tree,
     "op6_language": op6_language,
     "op7_token_counts": op7_token_counts,
     "op8_near_vectors": op8_near_vectors,

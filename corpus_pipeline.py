@@ -1,17 +1,63 @@
-"""A corpus from raw documents to shards: STAGES in order, each over all that its predecessor kept."""
+"""A corpus from raw documents to shards: STAGES in order, each over all that its predecessor kept.
 
-from pyspark.sql import DataFrame, SparkSession
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as
+the next one's docs. All but the last return the columns of documents.
+"""
 
-from obsmill.llm import contamination, mixing, sharding
-from obsmill.llm.shared import table
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from obsmill.llm import contamination, language_filters, mixing, overlap_join, sharding
+from obsmill.llm.shared import remainder, table
 from obsmill.sinks.paths import written
 
+#: A document is rejected if its likeliest language holds less than this of its letter trigrams.
+LEAST_LANGUAGE = 0.25
 
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+
+def _whole(docs: DataFrame) -> DataFrame:
+    """Rows as one column beside the text, so that an operator hands them through."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
+
+
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or of no language that the labelled ones teach, go."""
+    filters = language_filters.learn(docs.filter(remainder("doc_id", 3) != 1))
+    decided = language_filters.language(_whole(docs), filters, identifier="row")
+    known = (F.col("lang_pred") != language_filters.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)
+    return decided.filter(known).select("row.*")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near-duplicates the document with the least identifier stays."""
+    return overlap_join.one_of_each(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a window of a benchmark item occurs go."""
+    found = contamination.contamination(_whole(docs), table(spark, sf_dir, "benchmark"), identifier="row")
+    return found.filter("n_hit = 0").select("row.*")
 
 
-STAGES = [("decontamination", decontaminated)]
+def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its size, checksum, shard and slot."""
+    return sharding.shard(docs, carry=True)
+
+
+STAGES = [
+    ("language", in_a_language),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("mixing", to_target_weights),
+    ("sharding", into_shards),
+]
+
+#: Language filters, components and differencing aren't expressible in SQL; tests take their place.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +65,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
     return docs
-
-
-ORACLE_SQL = None

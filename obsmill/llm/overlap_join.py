@@ -7,9 +7,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from obsmill.llm.shared import LOWER, components, rolled
+from obsmill.llm.shared import LOWER, components, matching, rolled
 from obsmill.sinks.paths import written
 
 WIDTH = 5
@@ -102,7 +102,8 @@ def _sets(documents: DataFrame, identifier: str, text: str, width: int, wanted:
     """
     key = F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_key")
     rows = documents.select(F.col(identifier).alias("_id"), F.col(text).alias("_text")).select(key, "_text")
-    chosen = rows.join(wanted.select(key).distinct(), "_key", "left_semi").dropDuplicates(["_key", "_text"])
+    keys = written(wanted.select(key).distinct(), "wanted")
+    chosen = matching(rows, keys, "_key").dropDuplicates(["_key", "_text"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,3 +266,23 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("_name")).otherwise(F.col("_id")).alias("component_id"),
     )
+
+
+def one_of_each(documents: DataFrame, identifier: str = "doc_id", text: str = "text") -> DataFrame:
+    """`documents` without those whose component another row names; columns unchanged.
+
+    Of rows that repeat the naming identifier and the text one stays. Rows without words stay.
+    """
+    found = near_duplicates(documents, identifier, text)
+    gone = found.filter(~F.col(identifier).eqNullSafe(F.col("component_id")))
+    key = F.coalesce(F.col(identifier).cast("string"), F.lit(""))
+    removed = written(gone.select(key.alias("_key")).distinct(), "removed")
+    kept = matching(documents.withColumn("_key", key), removed, "_key", "left_anti").drop("_key")
+    repeated = found.filter("n_shingles > 0").groupBy("component_id").agg(F.count_if(F.col(identifier).eqNullSafe(F.col("component_id"))).alias("_rows"))
+    if not repeated.filter("_rows > 1").head(1):
+        return kept
+    # Some identifier comes twice with equal words: of its rows the least by text stays.
+    order = Window.partitionBy(identifier).orderBy(text)
+    worded = F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]"))
+    numbered = kept.withColumn("_k", F.when(F.coalesce(worded, F.lit(False)), F.row_number().over(order)).otherwise(1))
+    return numbered.filter("_k = 1").drop("_k")

@@ -2,10 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obsmill.llm import contamination, language_filters, lattice, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie
+from obsmill.llm import contamination, cotraining, language_filters, lattice, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie
 from obsmill.llm.shared import remainder, table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = cotraining.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("kept", F.col("score") >= 0.5)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -75,6 +80,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_private_data": op3_private_data,
     "op4_near_duplicates": op4_near_duplicates,

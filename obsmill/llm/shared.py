@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from obsmill.sinks.paths import written
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Identifiers that may be broadcast; a documented bound, some 64 MB at most.
+BROADCAST_KEYS = 1_000_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,6 +51,16 @@ def pieces(texts: list[str], limit: int) -> Iterator[range]:
         yield range(begin, len(texts))
 
 
+def matching(frame: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows of `frame` whose `key` is (left_semi) or isn't (left_anti) among the distinct `keys`.
+
+    Up to `BROADCAST_KEYS` keys are broadcast, so that wide rows stay where they are; more are
+    joined by a shuffle. `keys` should be a written table: it is counted first.
+    """
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return frame.join(F.broadcast(keys) if few else keys, key, how)
+
+
 def gapless(frame: DataFrame, group: list[str], chunk: list[str], order: list[str], name: str) -> DataFrame:
     """Adds `name`: the row's number from 0 within `group`, by `chunk`, then `order`.
 

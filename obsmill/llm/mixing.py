@@ -27,13 +27,13 @@ def targets(sizes: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     by_room = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
     before = by_room.rowsBetween(Window.unboundedPreceding, -1)
     rest = by_room.rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.partitionBy()
+    whole = by_room.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        sizes.withColumn("_all", F.sum("source_size").over(everything))
+        sizes.withColumn("_all", F.sum("source_size").over(whole))
         .withColumn("_held", F.coalesce(F.sum("source_size").over(before), F.lit(0)) * most)
         .withColumn("_level", (F.col("_all") - F.col("_held")) / F.sum("weight").over(rest))
         .withColumn("_room", F.col("source_size") * most)
-        .withColumn("_level", F.min(F.when(F.col("_room") >= F.col("_level") * F.col("weight"), F.col("_level"))).over(everything))
+        .withColumn("_level", F.first(F.when(F.col("_room") >= F.col("_level") * F.col("weight"), F.col("_level")), ignorenulls=True).over(whole))
         .withColumn("target", F.least(F.col("_room").cast("double"), F.col("_level") * F.col("weight")))
         .drop("_all", "_held", "_level", "_room")
         .withColumn("target", F.coalesce("target", F.lit(0.0)))
@@ -130,7 +130,8 @@ WITH d AS (
   FROM w WINDOW room AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST)
 ), t AS (
   SELECT source, source_size, coalesce(least({MOST_COPIES}.0::DOUBLE * source_size,
-    min(CASE WHEN {MOST_COPIES} * source_size >= level * weight THEN level END) OVER () * weight), 0) AS target FROM f
+    first_value(CASE WHEN {MOST_COPIES} * source_size >= level * weight THEN level END IGNORE NULLS) OVER whole * weight), 0) AS target FROM f
+  WINDOW whole AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY bin, slice, size, h, doc_id) - 1 AS k FROM d
 ), c AS (

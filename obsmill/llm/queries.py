@@ -29,10 +29,8 @@ def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = lambda spans: F.concat_ws(
         ",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["end"].cast("string")))
     )
-    counts = [
-        F.size(F.filter(plain, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in private_data.KINDS
-    ]
+    count = lambda kind: F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in private_data.KINDS]
     return found.select("doc_id", *counts, F.sha2(shown(plain), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 

@@ -112,9 +112,10 @@ def _links(own: np.ndarray, group: dict[str, np.ndarray], x: np.ndarray, home: n
     table, cell = int(group["table"][own[0]]), group["cell"][own[0]]
     if not at_home.any():
         return own[:0], own[:0]
-    rows, columns = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(own)),) * 2
+    within = group["_low"][own[0]] == group["_high"][own[0]]
+    rows, columns = (np.arange(len(own)),) * 2 if within else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
     near = x[own[rows]] @ x[own[columns]].T >= threshold - 1e-9
-    if not side.any():
+    if within:
         near &= np.tri(len(own), k=-1, dtype=bool)
     i, j = np.nonzero(near)
     a, b = rows[i], columns[j]

@@ -210,8 +210,10 @@ def _search(pair: pd.DataFrame) -> pd.DataFrame:
     sets = [np.asarray(s).view(np.uint64) for s in pair["shingles"]]
     ids, side = pair["set_id"].to_numpy(), pair["_side"].to_numpy()
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if not len(right):
+    if pair["_low"].iloc[0] == pair["_high"].iloc[0]:
         links = [(left[a], left[b]) for a, b in divide_skip([sets[k] for k in left], [sets[k] for k in left], True)]
+    elif not len(left) or not len(right):
+        links = []
     else:
         every = np.concatenate([left, right])
         links = [(every[a], left[b]) for a, b in divide_skip([sets[k] for k in right], [sets[k] for k in left], False)]

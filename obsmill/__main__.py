@@ -1,6 +1,7 @@
 """Command line: `spark-submit` or `python -m obsmill <command> ...`."""
 
 import argparse
+import json
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -52,7 +53,12 @@ def _refresh(spark: SparkSession, args) -> None:
 
 def _health(spark: SparkSession, args) -> None:
     lines = health.health_lines(spark.read.parquet(args.log))
-    health.source_health(lines).orderBy("source", "command").show(1000, truncate=False)
+    report = health.source_health(lines).orderBy("source", "command")
+    if args.out:
+        report.write.parquet(args.out)
+        return
+    for row in report.toLocalIterator():
+        print(json.dumps(row.asDict(recursive=True), default=str, ensure_ascii=False))
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -84,7 +90,7 @@ def _parser() -> argparse.ArgumentParser:
         "refresh", _refresh, "registry", "pages", "probes", "now",
         count={"type": int, "default": endpoints.ENDPOINT_FETCH_COUNT},
     )
-    command("health", _health, "log")
+    command("health", _health, "log", out={})
     return parser
 
 

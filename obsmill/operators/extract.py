@@ -1,6 +1,6 @@
 """Values out of landed provider frames."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from obsmill.functions.text import is_missing_text, value_text
 from obsmill.schemas import DATE_COLUMN_NAMES
@@ -45,10 +45,13 @@ def extract_series(
     """Map from date to value per `keys`, over the inclusive range.
 
     One value per date (the first by `order`) is kept before the values of a key are collected,
-    and only plain dates count, so a series never holds more entries than the range has days.
+    and only days count, so a series never holds more entries than the range has days. A timestamp
+    counts for its day; a text counts if it is a plain date.
     """
     dated = dated or date_column(frame)
-    day = F.col(dated).cast("string")
+    kind = frame.schema[dated].dataType
+    timed = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+    day = (F.to_date(dated) if timed else F.col(dated)).cast("string")
     value = value_text(F.col(column), frame.schema[column].dataType)
     points = (
         frame.filter(day.between(start, end) & (F.length(day) == 10))

@@ -14,6 +14,7 @@ from obsmill.operators.observations import (
     with_value_text,
 )
 from obsmill.schemas import KEY, OBSERVATION
+from obsmill.sinks.paths import written
 
 BATCH = "batch_id"
 
@@ -28,8 +29,8 @@ class InsertReport:
 class KeyedStore:
     """Parquet table that keeps the first row written for each key.
 
-    Each insert is one `batch_id=` folder, replaced when the batch is replayed; a replay compares
-    with the other batches only, so it gives the same rows again. One writer at a time.
+    Each batch is one `batch_id=` folder, which is only ever added to. A replay finds its rows there
+    and adds what is missing; another insert under the same id adds its own. One writer at a time.
     """
 
     def __init__(
@@ -50,7 +51,7 @@ class KeyedStore:
         self.partition_by = list(partition_by)
         self.prune_by = list(prune_by)
 
-    def read(self, except_batch: str | None = None) -> DataFrame:
+    def read(self, except_batch: str | None = None, only_batch: str | None = None) -> DataFrame:
         columns = self.schema.fieldNames()
         stored = T.StructType([*self.schema.fields, T.StructField(BATCH, T.StringType())])
         try:
@@ -61,6 +62,8 @@ class KeyedStore:
             return self.spark.createDataFrame([], self.schema)
         if except_batch is not None:
             rows = rows.filter(F.col(BATCH) != except_batch)
+        if only_batch is not None:
+            rows = rows.filter(F.col(BATCH) == only_batch)
         return rows.select(*columns)
 
     def insert(self, rows: DataFrame, batch_id: str, order: list[str]) -> InsertReport:
@@ -69,7 +72,9 @@ class KeyedStore:
         A first pass over the key columns counts the rows and takes the ranges of `prune_by`, so
         the anti join reads only the stored files that can hold one of the new keys. Rows with a
         null key part or required column are rejected, before they could count as a first writer.
+        The input is computed once. `inserted` counts the input's keys that no other batch holds.
         """
+        rows = written(rows, "insert")
         incomplete = reduce(Column.__or__, [F.col(c).isNull() for c in self.required])
         summary = rows.agg(
             F.count("*").alias("attempted"),
@@ -83,17 +88,16 @@ class KeyedStore:
         for c in self.prune_by:
             stored = stored.filter(F.col(c).between(summary[f"min_{c}"], summary[f"max_{c}"]))
         firsts = first_writer(rows.dropna(subset=self.required), order, self.key)
-        fresh = absent_from(firsts, stored, self.key).select(*self.schema.fieldNames())
-        target = f"{self.path}/{BATCH}={batch_id}"
-        writer = fresh
+        fresh = written(absent_from(firsts, stored, self.key).select(*self.schema.fieldNames()), "fresh")
+        writer = absent_from(fresh, self.read(only_batch=batch_id), self.key)
         if self.partition_by:
             # Few files per folder; a hot folder is split by size.
-            writer = fresh.hint("rebalance", *self.partition_by)
-        writer = writer.write.mode("overwrite")
+            writer = writer.hint("rebalance", *self.partition_by)
+        writer = writer.write.mode("append")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(target)
-        inserted = self.spark.read.schema(self.schema).parquet(target).count()
+        writer.parquet(f"{self.path}/{BATCH}={batch_id}")
+        inserted = fresh.count()
         return InsertReport(summary["attempted"], summary["rejected"], inserted)
 
 

@@ -76,6 +76,15 @@ def test_series(spark, rows):
     assert rows(got) == [("A", {"2024-01-02": "1.0", "2024-01-05": "3.0"})]
 
 
+def test_series_of_a_frame_with_times(spark, rows):
+    frame = spark.sql(
+        "SELECT 'Q' AS identifier, timestamp'2023-05-06 07:08:09' AS date, 1 AS n, 2.25D AS close"
+        " UNION ALL SELECT 'Q', timestamp'2023-05-06 09:00:00', 2, 8D UNION ALL SELECT 'Q', timestamp'2023-06-01 00:00:00', 3, 4D"
+    )
+    got = extract.extract_series(frame, ["identifier"], "close", "n", "2023-05-01", "2023-05-31")
+    assert rows(got) == [("Q", {"2023-05-06": "2.25"})]
+
+
 class _Ranged(Adapter):
     def range_params(self, command, identifier, start, end, column):
         return {"id": identifier, "first": start, "last": end}

@@ -158,3 +158,11 @@ def test_range_count_and_misses(spark, rows):
         "concept_id INT, entity_type STRING, entity_id BIGINT, granularity STRING, frequency STRING,"
         " start STRING, end STRING")
     assert rows(obs.cache_misses(wanted, stored), "date") == [("2024-01-02",), ("2024-01-04",)]
+
+
+def test_different_inserts_under_one_batch_id_keep_both(spark, tmp_path, rows):
+    store = ObservationStore(spark, str(tmp_path / "store"))
+    assert store.insert(_rows(spark, (71, "2023-02-28", "day", 1.5)), "same", ["arrival"]).inserted == 1
+    assert store.insert(_rows(spark, (72, "2023-03-01", "day", 2.5)), "same", ["arrival"]).inserted == 1
+    store.insert(_rows(spark, (71, "2023-02-28", "day", 9.5)), "same", ["arrival"])
+    assert rows(store.read(), "entity_id", "value") == [(71, "1.5"), (72, "2.5")]

@@ -58,6 +58,17 @@ def test_salted_join_equals_the_plain_join(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_salted_join_repeats_and_broadcasts_within_bounds_only(spark):
+    big = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    small = spark.range(40).select((F.col("id") % 3).alias("k"), F.col("id").alias("w"))
+    plain = big.join(small, "k")
+    for bound in (40, 39):
+        joined = salted_join(big, small, ["k"], ["v"], broadcast_rows=bound)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (bound == 40)
+        assert joined.count() == plain.count() and joined.exceptAll(plain).isEmpty()
+
+
 def test_written_tables_go_to_the_shared_folder(spark):
     frame = paths.written(spark.range(5), "numbers")
     assert frame.count() == 5

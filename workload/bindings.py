@@ -16,16 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """`frame` over all cores where it is read from fewer files than there are cores.
-
-    The test tables are one row group each, so one task would do all the work of a wide expansion.
-    Tables of many files are left alone.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if len(frame.inputFiles()) >= cores else frame.repartition(cores)
-
-
 def code(key: str) -> str:
     """Identifier of an entity: six digits, a prefixed form, or digits and a newline."""
     digits = f"lpad(cast({key} as string), 6, '0')"
@@ -223,13 +213,11 @@ RANKED = [
 ]
 
 
-def bind(
-    spark: SparkSession, sf_dir: str, name: str, exprs: list[str], wide: bool = False
-) -> DataFrame:
-    """A table under `exprs`; `wide` inputs get much work per row."""
+def bind(spark: SparkSession, sf_dir: str, name: str, exprs: list[str]) -> DataFrame:
+    """A table under `exprs`."""
     rows = table(spark, sf_dir, name)
     columns = [e.replace('"', "`") if e.endswith('"') else e for e in exprs]
-    return (spread(rows) if wide else rows).selectExpr(*columns)
+    return rows.selectExpr(*columns)
 
 
 def identifiers(spark, sf_dir) -> DataFrame:
@@ -241,15 +229,15 @@ def identifiers(spark, sf_dir) -> DataFrame:
 
 
 def observations(spark, sf_dir) -> DataFrame:
-    return bind(spark, sf_dir, "events", OBSERVATIONS, wide=True)
+    return bind(spark, sf_dir, "events", OBSERVATIONS)
 
 
 def attempts(spark, sf_dir) -> DataFrame:
-    return bind(spark, sf_dir, "events", ATTEMPTS, wide=True)
+    return bind(spark, sf_dir, "events", ATTEMPTS)
 
 
 def responses(spark, sf_dir) -> DataFrame:
-    return bind(spark, sf_dir, "events", RESPONSES, wide=True)
+    return bind(spark, sf_dir, "events", RESPONSES)
 
 
 def event_frame(spark, sf_dir) -> DataFrame:
@@ -260,7 +248,7 @@ def event_frame(spark, sf_dir) -> DataFrame:
 
 
 def statements(spark, sf_dir) -> DataFrame:
-    return bind(spark, sf_dir, "lineitem", STATEMENTS, wide=True)
+    return bind(spark, sf_dir, "lineitem", STATEMENTS)
 
 
 def transposed_statements(spark, sf_dir) -> DataFrame:
@@ -350,7 +338,7 @@ def plans(spark, sf_dir) -> DataFrame:
         F.lit("ignored").alias("filter"),
     )
     period = F.struct(F.col("first_day").alias("start"), F.col("last_day").alias("end"))
-    return bind(spark, sf_dir, "orders", PLANS, wide=True).select(
+    return bind(spark, sf_dir, "orders", PLANS).select(
         "plan_id", "o_orderstatus", "mode", concepts.alias("wanted_concepts"),
         scope.alias("entity_scope"), period.alias("date_range"),
     )

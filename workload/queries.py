@@ -274,7 +274,7 @@ def obs_defaults(spark, sf_dir):
 
 @query
 def obs_value_text(spark, sf_dir):
-    lines = b.spread(b.table(spark, sf_dir, "lineitem"))
+    lines = b.table(spark, sf_dir, "lineitem")
     scaled = [("plain", "l_extendedprice"), ("large", "l_extendedprice * 1000000.0"),
               ("huge", "l_extendedprice * 1e14"), ("small", "l_discount / 64.0"),
               ("tiny", "l_tax / 1048576.0")]
@@ -312,6 +312,15 @@ def obs_insert_if_absent(spark, sf_dir):
     return store.read().select(*ROW)
 
 
+@query
+def obs_insert_repeated_batch(spark, sf_dir):
+    store = ObservationStore(spark, scratch_path(spark, "observations"))
+    rows = b.observations(spark, sf_dir)
+    store.insert(rows.filter(F.col("wave") == 0), "legacy", ["arrival"])
+    store.insert(rows, "legacy", ["arrival"])
+    return store.read().select(*ROW)
+
+
 @query
 def obs_granularity_coexist(spark, sf_dir):
     cadences = _firsts(spark, sf_dir).groupBy("concept_id", "entity_type", "entity_id", "date").agg(

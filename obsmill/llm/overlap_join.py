@@ -96,14 +96,14 @@ def _survivors(signed: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, identifier: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """(set_id, n, shingles) of the wanted rows, a row that repeats another's identifier and text once.
+    """(set_id, n, shingles) of the wanted rows, each set once; texts stay where they are read.
 
-    A set comes twice only from rows of one identifier and different texts; what follows allows that.
+    Only rows that repeat an identifier can give a set twice, so sets are shuffled only where one does.
     """
     key = F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_key")
     rows = documents.select(F.col(identifier).alias("_id"), F.col(text).alias("_text")).select(key, "_text")
     keys = written(wanted.select(key).distinct(), "wanted")
-    chosen = matching(rows, keys, "_key").dropDuplicates(["_key", "_text"])
+    chosen = matching(rows, keys, "_key")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,7 +119,9 @@ def _sets(documents: DataFrame, identifier: str, text: str, width: int, wanted:
                     names=["set_id", "n", "shingles"],
                 )
 
-    return chosen.select("_text").mapInArrow(cut, "set_id long, n long, shingles array<long>")
+    sets = written(chosen.select("_text").mapInArrow(cut, "set_id long, n long, shingles array<long>"), "sets")
+    repeated = sets.groupBy("set_id").agg(F.count("*").alias("_rows")).filter("_rows > 1").head(1)
+    return written(sets.dropDuplicates(["set_id"]), "sets") if repeated else sets
 
 
 def _candidates(sets: DataFrame) -> DataFrame:
@@ -242,7 +244,7 @@ def near_duplicates(
     alive = written(_survivors(signed), "alive")
     candidate = members.filter("n > 0").join(alive.withColumnRenamed("_id", "_a"), F.col("_id").eqNullSafe(F.col("_a")), "left_semi")
     first = candidate.groupBy("set_id").agg(F.min("_id").alias("_id")).select("_id").distinct()
-    sets = written(_sets(documents, identifier, text, width, first), "sets")
+    sets = _sets(documents, identifier, text, width, first)
     grouped = _candidates(sets)
     weights = sets.select("set_id", "n").join(grouped, "set_id")
     total = weights.groupBy("group").agg(F.sum("n").alias("_all"), F.count("*").alias("_sets")).filter("_sets > 1")

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from obsmill.operators import endpoints, health, statements
 from obsmill.plans import crawl, statements as statement_plans
+from obsmill.schemas import ENDPOINT_REGISTRY
 from obsmill.sinks.snapshots import SnapshotTable
 from obsmill.sinks.store import ObservationStore
 from obsmill.sources import landed
@@ -47,8 +48,13 @@ def _refresh(spark: SparkSession, args) -> None:
     pages = landed.fetched_ok(landed.read_pages(spark, args.pages))
     probes = spark.read.parquet(args.probes)
     now = datetime.fromisoformat(args.now)
-    registry.replace(endpoints.refresh(registry.read(), pages, probes, now, args.count))
-    health.status_counts(registry.read()).show()
+    before = registry.read(ENDPOINT_REGISTRY)
+    after = endpoints.refresh(before, pages, probes, now, args.count)
+    if after is not before:
+        registry.replace(after)
+    for row in endpoints.changes(before, registry.read(ENDPOINT_REGISTRY), now).collect():
+        print(json.dumps(row.asDict()))
+    health.status_counts(registry.read(ENDPOINT_REGISTRY)).show()
 
 
 def _health(spark: SparkSession, args) -> None:

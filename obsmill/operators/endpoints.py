@@ -30,49 +30,51 @@ def page_matches(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def pair_endpoints(pages: DataFrame, source: str = "source") -> DataFrame:
-    """(source, pos, scheme, ip, port): addresses and ports paired by position in the page.
+    """(source, source_rank, pos, scheme, ip, port): addresses and ports paired by position in the page.
 
-    The longer list is cut; ports outside 1..65535 drop out after pairing.
+    The longer list is cut; ports outside 1..65535 drop out after pairing. A page without a rank
+    counts as rank 0.
     """
+    rank = F.coalesce("source_rank", F.lit(0)).alias("source_rank")
     pairs = page_matches(pages).select(
-        F.col(source).alias("source"), F.posexplode(F.arrays_zip("ips", "ports")).alias("pos", "pair")
+        F.col(source).alias("source"), rank, F.posexplode(F.arrays_zip("ips", "ports")).alias("pos", "pair")
     )
     port = F.col("pair.ports").cast("int")
     return pairs.filter(F.col("pair.ips").isNotNull() & port.between(1, 65535)).select(
-        "source", "pos", F.lit("http").alias("scheme"), F.col("pair.ips").alias("ip"),
+        "source", "source_rank", "pos", F.lit("http").alias("scheme"), F.col("pair.ips").alias("ip"),
         port.alias("port"),
     )
 
 
 def within_budget(endpoints: DataFrame, budget: int = ENDPOINT_FETCH_COUNT) -> DataFrame:
-    """Rows of the sources that are read until `budget` rows are gathered, repeats included.
+    """Rows of the sources that are read, by `source_rank`, until `budget` rows are gathered.
 
-    A source is used if the sources before it hold fewer than `budget` rows. Every source counted
-    here has a row, so the last one used is among the first `budget` sources: the running total
-    runs over at most that many counts, and the rest is a comparison with the last source.
+    Repeats count. A source is used if the sources before it hold fewer than `budget` rows. Every
+    source counted here has a row, so the last one used is among the first `budget` sources: the
+    running total runs over at most that many counts, the rest is a comparison with the last rank.
     """
-    counts = endpoints.groupBy("source").agg(F.count("*").alias("rows"))
-    leading = counts.orderBy("source").limit(budget)
-    before = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
+    counts = endpoints.groupBy("source_rank").agg(F.count("*").alias("rows"))
+    leading = counts.orderBy("source_rank").limit(budget)
+    before = Window.orderBy("source_rank").rowsBetween(Window.unboundedPreceding, -1)
     last = (
         leading.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
         .filter(F.col("before") < budget)
-        .agg(F.max("source").alias("last_source"))
+        .agg(F.max("source_rank").alias("last_rank"))
     )
     # One row, so the broadcast is of fixed size.
-    return endpoints.join(F.broadcast(last), F.col("source") <= F.col("last_source")).drop(
-        "last_source"
-    )
+    return endpoints.join(F.broadcast(last), F.col("source_rank") <= F.col("last_rank")).drop("last_rank")
 
 
 def first_seen(endpoints: DataFrame) -> DataFrame:
-    """The first row of each (ip, port) by source and position; reduced map-side."""
-    first = F.min(F.struct("source", "pos", "scheme")).alias("first")
-    return endpoints.groupBy(*ENDPOINT).agg(first).select("first.*", *ENDPOINT)
+    """The first row of each (ip, port) by the source's rank and position; reduced map-side."""
+    first = F.min(F.struct("source_rank", "pos", "source", "scheme")).alias("first")
+    return endpoints.groupBy(*ENDPOINT).agg(first).select(
+        "first.source", "first.source_rank", "first.pos", "first.scheme", *ENDPOINT
+    )
 
 
 def first_n(endpoints: DataFrame, n: int = ENDPOINT_FETCH_COUNT) -> DataFrame:
-    return endpoints.orderBy("source", "pos").limit(n)
+    return endpoints.orderBy("source_rank", "pos").limit(n)
 
 
 def gather(pages: DataFrame, n: int = ENDPOINT_FETCH_COUNT) -> DataFrame:
@@ -206,6 +208,23 @@ def retire(registry: DataFrame, now: datetime, minutes: int = STALE_MINUTES) ->
     )
 
 
+def changes(before: DataFrame, after: DataFrame, now: datetime) -> DataFrame:
+    """One row: endpoints that a refresh at `now` touched (updated or inserted), inserted and retired.
+
+    Each is stamped with `now` in `after`; `before` only tells how many rows there were.
+    """
+    at = _stamp(now)
+    known = before.agg(F.count("*").alias("_rows"))
+    stamped = after.agg(
+        F.count_if(F.col("updated_at") == at).alias("touched"),
+        F.count("*").alias("_all"),
+        F.count_if(F.col("retired_at") == at).alias("retired"),
+    )
+    # Both sides are one row of a global aggregate.
+    both = stamped.join(F.broadcast(known))
+    return both.select("touched", (F.col("_all") - F.col("_rows")).alias("inserted"), "retired")
+
+
 def refresh(
     registry: DataFrame,
     pages: DataFrame,

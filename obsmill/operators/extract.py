@@ -1,36 +1,61 @@
 """Values out of landed provider frames."""
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from obsmill.functions.text import is_missing_text, value_text
 from obsmill.schemas import DATE_COLUMN_NAMES
 
+POINT_KEY = ["source", "identifier", "date", "column"]
+
 
 def date_column(frame: DataFrame) -> str | None:
     """First column, in column order, with a known date name in any letter case."""
     return next((c for c in frame.columns if c.lower() in DATE_COLUMN_NAMES), None)
 
 
-def extract_points(
-    tasks: DataFrame, frame: DataFrame, column: str, order: str, on: str = "identifier"
-) -> DataFrame:
-    """Each task's value of `column` at its date: the first matching row's, else null.
+def _name(column: str) -> str:
+    return f"`{column.replace('`', '``')}`"
+
+
+def frame_points(frame: DataFrame, order: str, on: str = "identifier") -> DataFrame:
+    """(source, identifier, date, column, value): a frame with a `source` column, unfolded.
 
-    Dates match by their text, so a timestamp column matches no plain date. Repeats are reduced
-    map-side before the join; not-a-number counts as missing.
+    Each date has the values of its first row by `order`; repeats are reduced map-side, before the
+    columns unfold. Missing values, not-a-number included, are left out. A frame without a date
+    column has no points.
     """
     dated = date_column(frame)
-    if dated is None or column not in frame.columns:
-        return tasks.withColumn("value", F.lit(None).cast("string"))
-    value = value_text(F.col(column), frame.schema[column].dataType)
-    points = (
-        frame.select(on, F.col(dated).cast("string").alias("date"), F.col(order), F.col(column))
-        .groupBy(on, "date")
-        .agg(F.min_by(F.col(column), F.col(order)).alias(column))
-        .select(on, "date", value.alias("value"))
-    )
-    points = points.filter(~is_missing_text(F.col("value")))
-    return tasks.join(points, [on, "date"], "left")
+    if dated is None:
+        return frame.sparkSession.createDataFrame([], ", ".join(f"`{c}` STRING" for c in [*POINT_KEY, "value"]))
+    values = [c for c in frame.columns if c not in (dated, order, on, "source")]
+    row = F.struct(*[value_text(F.col(_name(c)), frame.schema[c].dataType).alias(f"v{n}") for n, c in enumerate(values)])
+    firsts = frame.groupBy(
+        "source", F.col(on).alias("identifier"), F.col(_name(dated)).cast("string").alias("date")
+    ).agg(F.min_by(row, order).alias("_row"))
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"_row.v{n}").alias("value")) for n, c in enumerate(values)]
+    unfolded = firsts.select("source", "identifier", "date", F.inline(F.array(*entries)))
+    return unfolded.filter(~is_missing_text(F.col("value")))
+
+
+def extract_points(tasks: DataFrame, points: DataFrame) -> DataFrame:
+    """Each task's value: that of its own source, identifier, date and column, else null.
+
+    Dates match by their text, so a timestamp column matches no plain date.
+    """
+    return tasks.join(points, POINT_KEY, "left")
+
+
+def extract_ranges(tasks: DataFrame, points: DataFrame, task: list[str]) -> DataFrame:
+    """The `task` columns of series tasks and a map from date to value over each inclusive range.
+
+    Points join on source, identifier and column; a task's map holds at most one entry a day of
+    its range. Points whose date is not a plain day, and tasks without a value, drop out.
+    """
+    days = points.filter(F.length("date") == 10).withColumnRenamed("date", "_day")
+    inside: Column = F.col("_day").between(F.col("start"), F.col("end"))
+    found = tasks.join(days, ["source", "identifier", "column"]).filter(inside)
+    entries = F.array_sort(F.collect_list(F.struct("_day", "value")))
+    return found.groupBy(*task).agg(F.map_from_entries(entries).alias("series"))
 
 
 def extract_series(

@@ -1,6 +1,6 @@
 """Ranked-source failover over landed fetch attempts."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from obsmill.functions.text import is_missing_text
 
@@ -28,10 +28,17 @@ def with_chain(tasks: DataFrame, chain: str = "chain") -> DataFrame:
 
 
 def attempt_body(attempts: DataFrame) -> DataFrame:
-    """Adds `body`: the value text or the series as JSON; null where the source gave nothing."""
+    """Adds `body`: the value text or the series as JSON; null where the source gave nothing.
+
+    A series is a map, or JSON text already; a source without entries leaves the text null.
+    """
     value = F.when(~is_missing_text(F.col("value")), F.col("value"))
     if "series" in attempts.columns:
-        value = F.coalesce(value, F.when(F.size("series") > 0, F.to_json("series")))
+        if attempts.schema["series"].dataType == T.StringType():
+            series = F.col("series")
+        else:
+            series = F.when(F.size("series") > 0, F.to_json("series"))
+        value = F.coalesce(value, series)
     return attempts.withColumn("body", value)
 
 
@@ -65,3 +72,15 @@ def resolve(attempts: DataFrame, task: list[str], order: list[str] | None = None
         F.col("winner.source").alias("served_source"),
         F.when(F.col("winner").isNull(), F.col("failure.error")).alias("last_error"),
     )
+
+
+def outcomes(
+    tasks: DataFrame, attempts: DataFrame, task: list[str], order: list[str] | None = None
+) -> DataFrame:
+    """`tasks` with the outcome of their attempts; a task without any has status 204.
+
+    Attempts resolve per key before they meet the tasks. Key columns must not be null.
+    """
+    return tasks.join(resolve(attempts, task, order), task, "left").withColumns(
+        {"status": F.coalesce("status", F.lit(204)), "body": F.coalesce("body", F.lit(""))}
+    )

@@ -46,6 +46,15 @@ def decode_series(rows: DataFrame, body: Column, out: str = "series") -> DataFra
     return marked.withColumn(out, F.map_from_entries(series)).drop("_entries", "_ordered")
 
 
+def decode_faults(responses: DataFrame) -> DataFrame:
+    """Series bodies per source, and how many of them are malformed and so give no rows."""
+    served = responses.filter((F.col("status") == 200) & (F.col("body") != "") & F.col("date").isNull())
+    malformed = F.from_json("body", "map<string,string>").isNull()
+    return served.groupBy("source").agg(
+        F.count("*").alias("bodies"), F.count_if(malformed).alias("malformed")
+    )
+
+
 def parse_responses(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Served responses as items: a null date makes a series item, any other a per-date item.
 

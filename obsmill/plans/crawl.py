@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame
 
-from obsmill.operators.failover import resolve
+from obsmill.operators.failover import outcomes
 from obsmill.operators.observations import item_rows, parse_responses
 from obsmill.plans.expansion import distinct_tasks, expand_tasks, unseen_tasks
 from obsmill.sinks.paths import written
@@ -23,10 +23,10 @@ def plan_tasks(
 def task_responses(tasks: DataFrame, attempts: DataFrame) -> DataFrame:
     """Tasks with the outcome of their attempts (request_key, rank, source, value, ...).
 
-    Attempts may have landed earlier or come out of `fetch_attempts`. They resolve per key before
-    they meet the tasks; a task without attempts drops out.
+    Attempts may have landed earlier or come out of `fetch_attempts`. A task without attempts has
+    status 204.
     """
-    return tasks.join(resolve(attempts, ["request_key"]), "request_key")
+    return outcomes(tasks, attempts, ["request_key"])
 
 
 def store_responses(
@@ -39,5 +39,5 @@ def store_responses(
     items = written(parse_responses(responses, keep=("rank",)), "items")
     report = store.insert(item_rows(items), batch_id, ["rank", "source_used"])
     if audit is not None:
-        append_audit(items.drop("rank"), audit)
+        append_audit(items.drop("rank"), audit, batch_id)
     return report

@@ -87,7 +87,8 @@ STATEMENT_TASK = _struct(
     end_date=_TEXT,
 )
 
-PAGE = _struct(source=_TEXT, status=_INT, html=_TEXT)
+# Pages are read in the order of `source_rank`.
+PAGE = _struct(source=_TEXT, source_rank=_INT, status=_INT, html=_TEXT)
 
 ENDPOINT_REGISTRY = _struct(
     id=_LONG,

@@ -1,7 +1,7 @@
 """Tables that are replaced as a whole: each version in a folder of its own."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 class SnapshotTable:
@@ -24,8 +24,12 @@ class SnapshotTable:
             return 0
         return log.agg(F.max("version")).first()[0] or 0
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/version={self.version()}")
+    def read(self, schema: T.StructType | None = None) -> DataFrame:
+        """The last version; before the first one an empty table, if its `schema` is given."""
+        version = self.version()
+        if version == 0 and schema is not None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.parquet(f"{self.path}/version={version}")
 
     def replace(self, rows: DataFrame) -> int:
         version = self.version() + 1

@@ -1,11 +1,15 @@
 """User adapters: one Python object per source, run per task partition."""
 
+import json
 from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from obsmill.schemas import TASK, TASK_FIELDS
+from obsmill.schemas import DATE_COLUMN_NAMES, TASK, TASK_FIELDS
+
+#: Names the adapter of sources that have none of their own.
+ANY_SOURCE = "*"
 
 ATTEMPT = T.StructType(
     [
@@ -13,7 +17,7 @@ ATTEMPT = T.StructType(
         *TASK.fields,
         T.StructField("rank", T.IntegerType()),
         T.StructField("value", T.StringType()),
-        T.StructField("series", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("series", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )
@@ -21,7 +25,6 @@ _ARROW_TYPES = {
     T.IntegerType: pa.int32(),
     T.LongType: pa.int64(),
     T.StringType: pa.string(),
-    T.MapType: pa.map_(pa.string(), pa.string()),
 }
 _ARROW = pa.schema([(field.name, _ARROW_TYPES[type(field.dataType)]) for field in ATTEMPT.fields])
 
@@ -49,37 +52,60 @@ class Adapter:
         raise NotImplementedError
 
     def extract_value(self, result, column: str, date: str, identifier: str):
-        raise NotImplementedError
+        """The column's value in the first of the result's rows (mappings) that has the date."""
+        for row in result or ():
+            dated = next((c for c in row if c.lower() in DATE_COLUMN_NAMES), None)
+            if dated is not None and str(row[dated]) == date:
+                return row.get(column)
+        return None
+
+
+def _missing(value) -> bool:
+    return value is None or value != value
+
+
+def _series_json(series: Mapping) -> str | None:
+    """JSON text of the days that have a value, numbers as numbers; null without any."""
+    plain = {str(day): v.item() if hasattr(v, "item") else v for day, v in series.items()}
+    kept = {day: v for day, v in plain.items() if not _missing(v)}
+    return json.dumps(kept, ensure_ascii=False, separators=(",", ":"), default=str) if kept else None
 
 
 def _attempt(adapter: Adapter | None, task: dict) -> dict:
-    """One call: its value, its series, or its error; all empty where the source has no value."""
-    source, command, column = task["source"], task["command"], task["column"]
-    ranged = task["date"] is None
+    """One call: its value, its series, or its error; all empty where the source has no value.
+
+    Whatever the adapter raises is this attempt's error, and the next source is tried.
+    """
+    source = task["source"]
     if adapter is None:
         return {"error": f"{source} unavailable"}
     try:
-        if ranged and hasattr(adapter, "range_params"):
-            params = adapter.range_params(
-                command, task["identifier"], task["start"], task["end"], column
-            )
-        else:
-            at = task["start"] if ranged else task["date"]
-            params = adapter.point_params(command, task["identifier"], at, column)
-        result = adapter.fetch(command, params)
+        return _call(adapter, task)
     except SourceUnavailable:
         return {"error": f"{source} unavailable"}
     except FetchError as error:
         return {"error": str(error)}
+    except Exception as error:
+        return {"error": f"{type(error).__name__}: {error}"}
+
+
+def _call(adapter: Adapter, task: dict) -> dict:
+    source, command, column = task["source"], task["command"], task["column"]
+    ranged = task["date"] is None
+    if ranged and hasattr(adapter, "range_params"):
+        params = adapter.range_params(command, task["identifier"], task["start"], task["end"], column)
+    else:
+        at = task["start"] if ranged else task["date"]
+        params = adapter.point_params(command, task["identifier"], at, column)
+    result = adapter.fetch(command, params)
     if not ranged:
         value = adapter.extract_value(result, column, task["date"], task["identifier"])
-        missing = value is None or value != value
-        return {} if missing else {"value": str(value)}
+        return {} if _missing(value) else {"value": str(value)}
     extract = getattr(adapter, "extract_series", None)
     series = extract(result, column, task["start"], task["end"]) if extract else None
     if series is None:
         return {"error": f"{source}/{command} has no extract_series"}
-    return {"series": [(str(day), str(value)) for day, value in series.items()]}
+    return {"series": _series_json(series)}
 
 
 def _walk(adapters: Mapping[str, Adapter], task: dict, chain: list[dict] | None) -> Iterator[dict]:
@@ -91,7 +117,7 @@ def _walk(adapters: Mapping[str, Adapter], task: dict, chain: list[dict] | None)
             "command": entry["command"],
             "column": entry["column_name"] or task["column"],
         }
-        outcome = _attempt(adapters.get(tried["source"]), tried)
+        outcome = _attempt(adapters.get(tried["source"], adapters.get(ANY_SOURCE)), tried)
         yield tried | {"rank": rank} | outcome
         if outcome.get("value") is not None or outcome.get("series"):
             return
@@ -107,7 +133,8 @@ def fetch_attempts(
 
     `chain` names an array column of (source, command, column_name), tried in order until one
     serves; without it a task tries its own source only. `adapters` is called once per task
-    partition, so connections are made where they are used. `calls` is the number of partitions
+    partition, so connections are made where they are used. Under `ANY_SOURCE` it may name an
+    adapter for all other sources, such as one with the default parameters and look-up by column. `calls` is the number of partitions
     to spread the tasks over, and so how many calls run at the same time.
     """
 

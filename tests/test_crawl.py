@@ -19,7 +19,7 @@ ATTEMPT = "request_key STRING, rank INT, source STRING, value STRING, series MAP
 def inputs(spark, tmp_path):
     def write(plan):
         (tmp_path / "plan.json").write_text(json.dumps(plan), encoding="utf-8")
-        ids = [("akshare", "fund", 5369, "110011"), ("yfinance", "fund", 5369, "F1")]
+        ids = [("akshare", "bond", 9001, "730285"), ("yfinance", "bond", 9001, "F1")]
         spark.createDataFrame(ids, IDS).write.parquet(f"{tmp_path}/ids")
         return landed.read_plans(spark, f"{tmp_path}/plan.json"), landed.read_identifiers(spark, f"{tmp_path}/ids")
 
@@ -53,7 +53,7 @@ def test_crawl_through_adapters(spark, tmp_path, inputs, rows):
     store = ObservationStore(spark, f"{tmp_path}/store")
     assert crawl.store_responses(responses, store, "1").inserted == 2
     assert rows(store.read(), "concept_id", "entity_id", "date", "value", "unit") == [
-        (378, 5369, "2024-01-01", "1.5", "CNY"), (378, 5369, "2024-12-31", "1.6", "CNY")
+        (64, 9001, "2024-01-01", "1.5", "SEK"), (64, 9001, "2024-12-31", "1.6", "SEK")
     ]
 
 
@@ -64,7 +64,7 @@ def test_other_commands(spark, tmp_path, inputs, rows):
     main([*tasks, f"{base}/tasks"])
     main([*tasks, f"{base}/again", "--seen", f"{base}/tasks"])
     assert spark.read.parquet(f"{base}/tasks").count() == 1 and spark.read.parquet(f"{base}/again").isEmpty()
-    main(["statement-tasks", "--identifiers", f"{base}/ids", "--out", f"{base}/st", "--entity-type", "fund", "--concepts", "239, 240"])
+    main(["statement-tasks", "--identifiers", f"{base}/ids", "--out", f"{base}/st", "--entity-type", "bond", "--concepts", "239, 240"])
     statement = spark.read.json(f"{base}/st")
     assert statement.count() == 12 and statement.first().concept_ids == [239, 240]
     prices = spark.createDataFrame([(1, "000001", "2024-01-02", 1.4)], "entity_id BIGINT, symbol STRING, date STRING, close DOUBLE")
@@ -79,10 +79,14 @@ def test_refresh_and_health_commands(spark, tmp_path, capsys, rows):
         [(1, "http", "1.1.1.1", 80, None, "active", "free-proxy", None, None, None)],
         ENDPOINT_REGISTRY)
     SnapshotTable(spark, f"{base}/registry").replace(registry)
-    spark.createDataFrame([("a", 200, "3.3.3.3 <td>80</td>")], landed.PAGE).write.parquet(f"{base}/pages")
+    spark.createDataFrame([("a", 0, 200, "3.3.3.3 <td>80</td>")], landed.PAGE).write.parquet(f"{base}/pages")
     spark.createDataFrame([("3.3.3.3", 80, "tencent", 200)], "ip STRING, port INT, target STRING, status INT").write.parquet(f"{base}/probes")
     main(["refresh", "--registry", f"{base}/registry", "--pages", f"{base}/pages", "--probes", f"{base}/probes", "--now", "2024-01-31T12:00:00"])
     assert rows(SnapshotTable(spark, f"{base}/registry").read(), "ip", "status") == [("1.1.1.1", "retired"), ("3.3.3.3", "active")]
+    main(["refresh", "--registry", f"{base}/first", "--pages", f"{base}/pages", "--probes", f"{base}/probes", "--now", "2024-01-31T12:00:00"])
+    first = SnapshotTable(spark, f"{base}/first")
+    assert first.version() == 1 and rows(first.read(), "ip", "status") == [("3.3.3.3", "active")]
+    assert '{"touched": 1, "inserted": 1, "retired": 0}' in capsys.readouterr().out
     spark.createDataFrame([("a", "x", 10, None)], "source STRING, command STRING, elapsed_ms INT, error STRING").write.parquet(f"{base}/log")
     main(["health", "--log", f"{base}/log"])
     assert "slowest_ms" in capsys.readouterr().out

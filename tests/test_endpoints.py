@@ -3,6 +3,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from obsmill.operators import endpoints, health
 from obsmill.schemas import ENDPOINT_REGISTRY
 from obsmill.sinks.snapshots import SnapshotTable
@@ -10,11 +12,18 @@ from obsmill.sources.landed import fetched_ok
 
 NOW = datetime(2024, 1, 31, 12, 0)
 ENDPOINT = "source STRING, pos INT, scheme STRING, ip STRING, port INT"
+
+
+def _ranked(frame):
+    """Sources come in reverse order of their names."""
+    return frame.withColumn("source_rank", -F.ascii(F.substring("source", -1, 1)) - 100 * F.ascii(F.substring("source", -2, 1)))
+
+
 PROBE = "ip STRING, port INT, target STRING, status INT"
 
 
 def _page(spark, html, source="a", status=200):
-    return spark.createDataFrame([(source, status, html)], "source STRING, status INT, html STRING")
+    return spark.createDataFrame([(source, status, html)], "source STRING, status INT, html STRING").withColumn("source_rank", F.lit(1))
 
 
 def test_pairs_by_position(spark, rows):
@@ -32,8 +41,8 @@ def test_bad_ports_drop_after_pairing(spark, rows):
 
 
 def _many(spark, *sizes):
-    return spark.createDataFrame(
-        [(f"s{n:02d}", i, "http", f"{n}.0.0.{i % 20}", 80) for n, size in enumerate(sizes) for i in range(size)], ENDPOINT)
+    return _ranked(spark.createDataFrame(
+        [(f"s{99 - n:02d}", i, "http", f"{n}.0.0.{i % 20}", 80) for n, size in enumerate(sizes) for i in range(size)], ENDPOINT))
 
 
 @pytest.mark.parametrize("sizes,budget", [
@@ -44,7 +53,7 @@ def test_budget_against_a_plain_loop(spark, rows, sizes, budget):
     for n, size in enumerate(sizes):
         if total >= budget:
             break
-        used.append((f"s{n:02d}",))
+        used.append((f"s{99 - n:02d}",))
         total += size
     kept = endpoints.within_budget(_many(spark, *sizes), budget)
     assert rows(kept.select("source").distinct()) == sorted(used) and kept.count() == total
@@ -54,8 +63,9 @@ def test_first_seen_and_top(spark, rows):
     frame = spark.createDataFrame(
         [("b", 0, "http", "1.1.1.1", 80), ("a", 5, "http", "1.1.1.1", 80), ("a", 9, "http", "1.1.1.1", 80),
          ("a", 7, "http", "1.1.1.1", 81)], ENDPOINT)
-    assert rows(endpoints.first_seen(frame), "source", "pos", "port") == [("a", 5, 80), ("a", 7, 81)]
-    assert rows(endpoints.first_n(frame, 2), "source", "pos") == [("a", 5), ("a", 7)]
+    frame = _ranked(frame)
+    assert rows(endpoints.first_seen(frame), "source", "pos", "port") == [("a", 7, 81), ("b", 0, 80)]
+    assert rows(endpoints.first_n(frame, 2), "source", "pos") == [("a", 5), ("b", 0)]
 
 
 def test_validity_and_rates(spark, rows):

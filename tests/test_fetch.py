@@ -59,11 +59,37 @@ def test_points(spark, rows):
     tasks = spark.createDataFrame([("A", "2024-01-02"), ("A", "2024-01-03"), ("B", "2024-01-02")], "identifier STRING, date STRING")
     assert extract.date_column(frame) == "Date"
     expected = [("A", "2024-01-02", "1.5"), ("A", "2024-01-03", None), ("B", "2024-01-02", None)]
-    assert rows(extract.extract_points(tasks, frame, "close", "n"), "identifier", "date", "value") == expected
+    frame = frame.withColumn("source", F.lit("a"))
+    tasks = tasks.withColumns({"source": F.lit("a"), "column": F.lit("close")})
+    assert rows(extract.extract_points(tasks, extract.frame_points(frame, "n")), "identifier", "date", "value") == expected
     stamped = frame.withColumn("Date", F.col("Date").cast("timestamp_ntz"))
-    for other in (stamped, frame.drop("Date", "时间"), frame.drop("close")):
-        values = extract.extract_points(tasks, other, "close", "n").select("value").distinct()
-        assert rows(values) == [(None,)]
+    for other in (stamped, frame.drop("Date", "时间"), frame.drop("close"), frame.withColumn("source", F.lit("b"))):
+        assert rows(extract.extract_points(tasks, extract.frame_points(other, "n")).select("value").distinct()) == [(None,)]
+
+
+def test_points_of_the_task_s_own_column(spark, rows):
+    frame = spark.createDataFrame([(1, "a", "A", "d", 1.5, 7)], "n INT, source STRING, identifier STRING, date STRING, `x.y` DOUBLE, z INT")
+    tasks = spark.createDataFrame([("a", "A", "d", c) for c in ("x.y", "z", "none")], "source STRING, identifier STRING, date STRING, column STRING")
+    got = extract.extract_points(tasks, extract.frame_points(frame, "n"))
+    assert rows(got, "column", "value") == [("none", None), ("x.y", "1.5"), ("z", "7")]
+
+
+def test_ranges(spark, rows):
+    points = spark.createDataFrame(
+        [("a", "A", d, "x", v) for d, v in [("2021-03-01", "1"), ("2021-03-02", "2"), ("2021-03-04", "4"), ("2021-03-02 00:00:00", "9")]],
+        "source STRING, identifier STRING, date STRING, column STRING, value STRING")
+    tasks = spark.createDataFrame(
+        [(1, "a", "A", None, "x", "2021-03-02", "2021-03-04"), (2, "a", "A", None, "y", "2021-03-02", "2021-03-04"),
+         (3, "a", "A", None, "x", "2021-03-04", "2021-03-02")],
+        "task INT, source STRING, identifier STRING, date STRING, column STRING, start STRING, end STRING")
+    got = extract.extract_ranges(tasks, points, ["task", "source"])
+    assert rows(got) == [(1, "a", {"2021-03-02": "2", "2021-03-04": "4"})]
+
+
+def test_tasks_without_attempts_have_a_status(spark, rows):
+    tasks = spark.createDataFrame([(1,), (2,)], "task INT")
+    attempts = spark.createDataFrame([(1, 0, "a", "5", None, None)], ATTEMPT)
+    assert rows(failover.outcomes(tasks, attempts, ["task"]), "task", "status", "body") == [(1, 200, "5"), (2, 204, "")]
 
 
 def test_series(spark, rows):
@@ -96,13 +122,15 @@ class _Ranged(Adapter):
         return float("nan") if identifier == "nan" else f"{column}@{result['date']}"
 
     def extract_series(self, result, column, start, end):
-        return {result["first"]: 1.5, result["last"]: 1.6}
+        return {result["first"]: 1.5, "2024-01-02T": None, "2024-01-02U": float("nan"), result["last"]: 1.6}
 
 
 class _Failing(Adapter):
     def fetch(self, command, params):
         if params["symbol"] == "closed":
             raise SourceUnavailable
+        if params["symbol"] == "odd":
+            raise ValueError("not a number")
         raise FetchError("HTTP 500")
 
 
@@ -118,9 +146,21 @@ def _adapters():
     return {"akshare": _Ranged(), "bad": _Failing(), "points": _PointOnly()}
 
 
+class _Rows(Adapter):
+    def fetch(self, command, params):
+        return [{"Date": "2021-03-01", "x": 1}, {"Date": params["date"], "x": 2.5}]
+
+
+def test_sources_without_an_adapter_of_their_own(spark):
+    task = dict.fromkeys(schemas.TASK_FIELDS) | {"source": "new", "command": "c", "identifier": "A", "date": "2021-03-02"}
+    tasks = spark.createDataFrame([task | {"column": c} for c in ("x", "y")], schemas.TASK).withColumn("request_key", F.col("column"))
+    got = fetch_attempts(tasks, lambda: {"*": _Rows()}).orderBy("request_key").collect()
+    assert [(r.value, r.error) for r in got] == [("2.5", None), (None, None)]
+
+
 def _fetch(spark, rows, chain, **changes):
-    task = {"source": "akshare", "command": "c", "identifier": "110011", "date": None, "column": "单位净值",
-            "concept_id": 378, "entity_type": "fund", "entity_id": 5369, "unit": "CNY", "granularity": "day",
+    task = {"source": "akshare", "command": "c", "identifier": "730285", "date": None, "column": "yield",
+            "concept_id": 64, "entity_type": "bond", "entity_id": 9001, "unit": "SEK", "granularity": "day",
             "start": "2024-01-02", "end": "2024-01-03"}
     tasks = spark.createDataFrame([task | changes], schemas.TASK)
     if chain is not None:
@@ -134,18 +174,19 @@ def _fetch(spark, rows, chain, **changes):
 
 
 def test_adapter_serves_a_series(spark, rows):
-    assert _fetch(spark, rows, None) == (1, (200, '{"2024-01-02":"1.5","2024-01-03":"1.6"}', "akshare", None))
+    assert _fetch(spark, rows, None) == (1, (200, '{"2024-01-02":1.5,"2024-01-03":1.6}', "akshare", None))
 
 
 def test_walk_stops_at_the_first_that_serves(spark, rows):
-    chain = [("bad", ""), ("akshare", "净值"), ("points", "")]
+    chain = [("bad", ""), ("akshare", "spread"), ("points", "")]
     calls, outcome = _fetch(spark, rows, chain, date="2024-01-02")
-    assert (calls, outcome) == (2, (200, "净值@2024-01-02", "akshare", None))
+    assert (calls, outcome) == (2, (200, "spread@2024-01-02", "akshare", None))
 
 
 def test_failures(spark, rows):
     assert _fetch(spark, rows, [("bad", ""), ("points", "")], date="d")[1] == (503, "", None, "HTTP 500")
     assert _fetch(spark, rows, [("bad", "")], identifier="closed")[1] == (503, "", None, "bad unavailable")
+    assert _fetch(spark, rows, [("bad", "")], identifier="odd")[1] == (503, "", None, "ValueError: not a number")
     assert _fetch(spark, rows, [("nowhere", "")])[1] == (503, "", None, "nowhere unavailable")
     assert _fetch(spark, rows, [("points", "")])[1] == (503, "", None, "points/c has no extract_series")
     assert _fetch(spark, rows, [("points", "")], date="d")[1] == (204, "", None, None)

@@ -1,13 +1,16 @@
+import datetime
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from obsmill import schemas
 from obsmill.operators import observations as obs
 from obsmill.sinks.store import ObservationStore, append_audit
 
-TASK = {"source": "akshare", "command": "c", "identifier": "1", "date": None, "column": "x", "concept_id": 378,
-        "entity_type": "fund", "entity_id": 5369, "unit": "CNY", "granularity": None,
+TASK = {"source": "akshare", "command": "c", "identifier": "1", "date": None, "column": "x", "concept_id": 64,
+        "entity_type": "bond", "entity_id": 9001, "unit": "SEK", "granularity": None,
         "start": "2024-01-01", "end": "2024-12-31"}
 ITEM = ("concept_id INT, entity_type STRING, entity_id BIGINT, date STRING, value STRING, series MAP<STRING,STRING>,"
         " start STRING, end STRING, unit STRING, source_used STRING, granularity STRING")
@@ -18,7 +21,7 @@ def _responses(spark, *changes):
 
 
 def _series(spark, series, start="2024-01-01", end="2024-12-31", granularity=None):
-    row = (378, "fund", 5369, None, None, series, start, end, "CNY", "akshare", granularity)
+    row = (64, "bond", 9001, None, None, series, start, end, "SEK", "akshare", granularity)
     return spark.createDataFrame([row], ITEM)
 
 
@@ -37,7 +40,7 @@ def test_series_response(spark):
 def test_per_date_response(spark):
     (item,) = obs.parse_responses(_responses(spark, {"body": "1.5", "date": "2024-01-02"})).collect()
     assert (item.date, item.value, item.series, item.granularity) == ("2024-01-02", "1.5", None, "day")
-    assert (item.unit, item.source_used) == ("CNY", "akshare")
+    assert (item.unit, item.source_used) == ("SEK", "akshare")
 
 
 def test_unserved_and_empty_responses_drop_out(spark):
@@ -54,14 +57,22 @@ def test_decoding(spark):
     assert _decoded(spark, "no json") is None
 
 
-def test_explode_and_clamp(spark, rows):
-    series = {"2023-12-29": "9.9", "2024-01-02": "1.5", "2024-12-31": "1.6", "2025-01-02": "9.8"}
-    exploded = obs.explode_series(_series(spark, series))
-    assert rows(exploded, "date", "value", "granularity", "source_used") == [
-        ("2024-01-02", "1.5", "day", "akshare"), ("2024-12-31", "1.6", "day", "akshare")
-    ]
-    stats = obs.clamp_stats(_series(spark, series)).first()
-    assert (stats.kept, stats.dropped) == (2, 2)
+@pytest.mark.parametrize("start,end", [("2019-03-01", "2019-03-20"), ("2019-03-05", "2019-03-05"), ("2019-04-01", None), ("2019-05-01", "2019-04-01")])
+def test_clamp_against_a_plain_filter(spark, rows, start, end):
+    rng = random.Random(5)
+    days = [(datetime.date(2019, 2, 20) + datetime.timedelta(n)).isoformat() for n in range(60)]
+    series = {day: str(rng.randint(1, 99)) for day in rng.sample(days, 40)} | {"2019-03-05": "7"}
+    kept = sorted((d, v, "day") for d, v in series.items() if start <= d and (end is None or d <= end))
+    item = _series(spark, series, start, end)
+    assert rows(obs.explode_series(item), "date", "value", "granularity") == kept
+    stats = obs.clamp_stats(item).first()
+    assert (stats.kept, stats.dropped) == (len(kept), len(series) - len(kept))
+
+
+def test_malformed_bodies_are_counted(spark, rows):
+    bodies = ['{"2019-03-05": 1}', '{"2019-03-05": 1', "plain", "{}"]
+    responses = _responses(spark, *[{"body": b} for b in bodies], {"body": "x", "date": "2019-03-05"}, {"body": "x", "status": 503})
+    assert rows(obs.decode_faults(responses)) == [("akshare", 4, 2)]
 
 
 def test_clamp_compares_text_and_is_open_without_bounds(spark, rows):
@@ -86,11 +97,11 @@ def test_monthly_series_keeps_its_tag(spark, rows):
 
 def test_both_shapes_in_one_sink(spark, rows):
     dated = spark.createDataFrame(
-        [(378, "fund", 5369, "2024-06-01", "1.5", None, None, None, "CNY", "akshare", "month")], ITEM)
-    items = dated.union(_series(spark, {"2024-01-02": "1.5", "2025-01-02": "9"}))
+        [(64, "bond", 9001, "2024-06-01", "1.5", None, None, None, "SEK", "akshare", "month")], ITEM)
+    items = dated.union(_series(spark, {"2024-01-02": "1.5", "2031-01-02": "9"}))
     assert rows(obs.item_rows(items), *schemas.KEY, "value", "unit", "source_used") == [
-        (378, "fund", 5369, "2024-01-02", "day", "1.5", "CNY", "akshare"),
-        (378, "fund", 5369, "2024-06-01", "month", "1.5", "CNY", "akshare"),
+        (64, "bond", 9001, "2024-01-02", "day", "1.5", "SEK", "akshare"),
+        (64, "bond", 9001, "2024-06-01", "month", "1.5", "SEK", "akshare"),
     ]
 
 

@@ -11,12 +11,12 @@ from obsmill.sources import landed
 IDS = "source STRING, entity_type STRING, entity_id BIGINT, identifier STRING"
 
 
-def _plan(mode="series", ids=(5369,), frequency="daily", sources=("akshare",), **changes):
+def _plan(mode="series", ids=(9001,), frequency="daily", sources=("akshare",), **changes):
     """A plan of one concept, with the fields that expansion reads."""
-    ranked = [{"source": s, "function_command": "nav history", "column_name": "单位净值"} for s in sources]
-    concept = {"concept_id": 378, "entity_type": "fund", "unit": "CNY", "frequency": frequency,
+    ranked = [{"source": s, "function_command": "nav history", "column_name": "yield"} for s in sources]
+    concept = {"concept_id": 64, "entity_type": "bond", "unit": "SEK", "frequency": frequency,
                "ranked_sources": ranked}
-    scope = {"entity_type": "fund", "entity_ids": None if ids is None else list(ids)}
+    scope = {"entity_type": "bond", "entity_ids": None if ids is None else list(ids)}
     plan = {"mode": mode, "wanted_concepts": [concept], "entity_scope": scope,
             "date_range": {"start": "2024-01-01", "end": "2024-12-31"}}
     return plan | changes
@@ -35,21 +35,21 @@ def plans(spark, tmp_path):
 @pytest.fixture
 def identifiers(spark):
     return spark.createDataFrame(
-        [("akshare", "fund", 5369, "110011"), ("akshare", "fund", 5370, "110022"),
-         ("yfinance", "fund", 5369, "F5369"), ("akshare", "stock", 5369, "600000")], IDS)
+        [("akshare", "bond", 9001, "730285"), ("akshare", "bond", 9002, "730296"),
+         ("yfinance", "bond", 9001, "F9001"), ("akshare", "stock", 9001, "600000")], IDS)
 
 
 def test_flatten(plans, rows):
     flat = expansion.flatten_plan(plans(_plan(sources=("akshare", "yfinance"))))
     assert rows(flat, "concept_id", "rank", "source", "column", "granularity", "is_series") == [
-        (378, 0, "akshare", "单位净值", "day", True), (378, 1, "yfinance", "单位净值", "day", True)
+        (64, 0, "akshare", "yield", "day", True), (64, 1, "yfinance", "yield", "day", True)
     ]
 
 
 def test_series_mode_gives_one_task_per_entity(plans, identifiers, rows):
-    tasks = expansion.expand_tasks(plans(_plan(ids=(5369, 5370))), identifiers)
+    tasks = expansion.expand_tasks(plans(_plan(ids=(9001, 9002))), identifiers)
     assert rows(tasks, "entity_id", "identifier", "date", "start", "end") == [
-        (5369, "110011", None, "2024-01-01", "2024-12-31"), (5370, "110022", None, "2024-01-01", "2024-12-31")
+        (9001, "730285", None, "2024-01-01", "2024-12-31"), (9002, "730296", None, "2024-01-01", "2024-12-31")
     ]
     assert all("date=" not in key for (key,) in rows(tasks, expansion.request_key()))
 
@@ -69,12 +69,12 @@ def test_absent_mode_means_per_date(plans, identifiers):
 @pytest.mark.parametrize("ids", [None, ()])
 def test_no_ids_reach_all_entities_of_the_type(plans, identifiers, rows, ids):
     scoped = expansion.scoped_entities(plans(_plan(ids=ids)), identifiers)
-    assert rows(scoped, "source", "entity_id") == [("akshare", 5369), ("akshare", 5370), ("yfinance", 5369)]
+    assert rows(scoped, "source", "entity_id") == [("akshare", 9001), ("akshare", 9002), ("yfinance", 9001)]
 
 
 def test_repeated_ids_count_once(plans, identifiers, rows):
-    scoped = expansion.scoped_entities(plans(_plan(ids=(5369, 5369))), identifiers)
-    assert rows(scoped, "source", "identifier") == [("akshare", "110011"), ("yfinance", "F5369")]
+    scoped = expansion.scoped_entities(plans(_plan(ids=(9001, 9001))), identifiers)
+    assert rows(scoped, "source", "identifier") == [("akshare", "730285"), ("yfinance", "F9001")]
 
 
 def test_reversed_range_stays_reversed_in_series_mode(plans, identifiers, rows):
@@ -84,8 +84,8 @@ def test_reversed_range_stays_reversed_in_series_mode(plans, identifiers, rows):
 
 
 def test_request_key_is_the_form_encoded_task(spark):
-    task = {"source": "akshare", "command": "a b/c*~", "identifier": "11 0+", "date": None, "column": "单位净值",
-            "concept_id": 378, "entity_type": "fund", "entity_id": 5369, "unit": "", "granularity": "day",
+    task = {"source": "akshare", "command": "a b/c*~", "identifier": "11 0+", "date": None, "column": "yield",
+            "concept_id": 64, "entity_type": "bond", "entity_id": 9001, "unit": "", "granularity": "day",
             "start": "2024-01-01", "end": "2024-12-31"}
     got = spark.createDataFrame([task], schemas.TASK).select(expansion.request_key()).first()[0]
     query = urllib.parse.urlencode({k: str(v) for k, v in task.items() if v is not None})
@@ -160,15 +160,15 @@ def test_provider_params(spark):
 def test_a_hot_plan_is_split_at_run_time(spark, tmp_path):
     """One plan holds nearly all tasks; without broadcasts its join is split by AQE."""
     entities = 40000
-    concept = ("named_struct('concept_id', 1, 'code', 'c', 'entity_type', 'fund', 'unit', '', 'frequency', 'daily',"
+    concept = ("named_struct('concept_id', 1, 'code', 'c', 'entity_type', 'bond', 'unit', '', 'frequency', 'daily',"
                " 'granularity', '', 'ranked_sources', array(named_struct('source', 'akshare', 'function_command', 'c',"
                " 'column_name', 'x')))")
     plans = spark.range(2000).selectExpr(
         "id AS plan_id", "'series' AS mode", f"array({concept}) AS wanted_concepts",
-        f"named_struct('entity_type', 'fund', 'entity_ids', if(id = 0, sequence(0L, {entities - 1}L), array(id)))"
+        f"named_struct('entity_type', 'bond', 'entity_ids', if(id = 0, sequence(0L, {entities - 1}L), array(id)))"
         " AS entity_scope", "named_struct('start', '2024-01-01', 'end', '2024-12-31') AS date_range")
     ids = spark.range(entities).selectExpr(
-        "'akshare' AS source", "'fund' AS entity_type", "id AS entity_id", "cast(id AS string) AS identifier")
+        "'akshare' AS source", "'bond' AS entity_type", "id AS entity_id", "cast(id AS string) AS identifier")
     plans.write.parquet(f"{tmp_path}/plans")
     ids.repartition(8).write.parquet(f"{tmp_path}/ids")
     settings = {

@@ -79,6 +79,9 @@ ATTEMPTS = [
     "CASE WHEN event_id % 11 = 0 THEN 'timeout of call ' || cast(event_id as string) END AS error",
 ]
 
+PRICE_SOURCE = "CASE WHEN o_orderkey % 3 = 0 THEN 'yfinance' ELSE 'akshare' END"
+PRICE = "CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END"
+
 IS_SERIES = "event_id % 4 = 0"
 RESPONSES = [
     "event_id",
@@ -94,7 +97,7 @@ RESPONSES = [
     "cast(CASE event_id % 9 WHEN 1 THEN 204 WHEN 2 THEN 503 ELSE 200 END as int) AS status",
     # A repeated key, a large number, a null and a time-stamped key.
     "CASE WHEN event_id % 13 = 0 THEN ''"
-    f" WHEN {IS_SERIES} THEN '{{\"' || {DAY} || '\": 1.50, \"2023-12-29\": 9.9, \"' || {DAY} ||"
+    f" WHEN {IS_SERIES} THEN '{{\"' || {DAY} || '\": 1.50, \"2021-06-30\": 3.25, \"' || {DAY} ||"
     " '\": ' || cast(value as string) || ', \"2024-01-20 00:00:00\": 20000000.0,"
     " \"2024-01-19\": null}'"
     " ELSE cast(value as string) END AS body",
@@ -141,7 +144,9 @@ LISTING_ROW = (
     f" ELSE '<td>' || cast({port('listed')} as string) || '</td>' END || '</tr>'"
 )
 PAGE_NO = "cast(floor(c_custkey / 50) as bigint)"
-PAGE_SOURCE = "'site-' || lpad(cast(page_no as string), 9, '0')"
+# Sources come in the order of their pages, which isn't that of their names.
+PAGE_SOURCE = "'site-' || reverse(lpad(cast(page_no as string), 9, '0'))"
+PAGE_RANK = "cast(page_no as int)"
 PAGE_STATUS = "cast(CASE WHEN page_no % 10 = 9 THEN 500 ELSE 200 END as int)"
 
 REGISTRY = [
@@ -247,6 +252,16 @@ def event_frame(spark, sf_dir) -> DataFrame:
     ])
 
 
+def price_frame(spark, sf_dir) -> DataFrame:
+    """Landed frames of two sources, each with a value column of its own."""
+    return bind(spark, sf_dir, "orders", [
+        "o_orderkey", f"{PRICE_SOURCE} AS source", f"{code('o_custkey')} AS identifier",
+        "cast(o_orderdate as date) AS `日期`",
+        f"CASE WHEN {PRICE_SOURCE} = 'akshare' THEN {PRICE} END AS `收盘`",
+        f"CASE WHEN {PRICE_SOURCE} = 'yfinance' THEN {PRICE} END AS `Close*~+`",
+    ])
+
+
 def statements(spark, sf_dir) -> DataFrame:
     return bind(spark, sf_dir, "lineitem", STATEMENTS)
 
@@ -274,7 +289,7 @@ def listing(spark, sf_dir) -> DataFrame:
     cells = F.array_sort(F.collect_list(F.struct("c_custkey", "cell")))
     html = F.array_join(cells["cell"], "")
     return rows.groupBy("page_no").agg(html.alias("html")).selectExpr(
-        f"{PAGE_SOURCE} AS source", f"{PAGE_STATUS} AS status", "html"
+        f"{PAGE_SOURCE} AS source", f"{PAGE_RANK} AS source_rank", f"{PAGE_STATUS} AS status", "html"
     )
 
 
@@ -401,6 +416,12 @@ CTES = {
     " entity_type, entity_id, \"date\", granularity ORDER BY arrival) = 1",
     "obs_waves": "SELECT * FROM obs_filled QUALIFY row_number() OVER (PARTITION BY concept_id,"
     " entity_type, entity_id, \"date\", granularity ORDER BY wave, arrival) = 1",
+    # One column a source; the first order of a day counts, also where it has no price.
+    "points": "SELECT source, identifier, \"date\", CASE source WHEN 'akshare' THEN '收盘' ELSE 'Close*~+'"
+    " END AS \"column\", cast(price as string) AS value FROM (SELECT " + PRICE_SOURCE + " AS source,"
+    f" {code('o_custkey')} AS identifier, strftime(o_orderdate, '%Y-%m-%d') AS \"date\","
+    f" list({PRICE} ORDER BY o_orderkey)[1] AS price FROM orders GROUP BY 1, 2, 3)"
+    " WHERE price IS NOT NULL",
     "attempts": _select("events", ATTEMPTS),
     "responses": _select("events", RESPONSES + ["value AS raw_value", f"{DAY} AS raw_day"]),
     "served": "SELECT * FROM responses WHERE status = 200 AND body <> ''",
@@ -408,7 +429,7 @@ CTES = {
     "decoded": "SELECT event_id, concept_id, entity_type, entity_id, unit, granularity, source,"
     " \"start\", \"end\", d.day AS day, d.value AS value FROM served, LATERAL (VALUES"
     " (raw_day, CASE WHEN raw_day = '2024-01-19' THEN NULL ELSE cast(raw_value as string) END),"
-    " ('2023-12-29', '9.9'), ('2024-01-20 00:00:00', '20000000.0'),"
+    " ('2021-06-30', '3.25'), ('2024-01-20 00:00:00', '20000000.0'),"
     " (CASE WHEN raw_day = '2024-01-19' THEN NULL ELSE '2024-01-19' END, NULL)) AS d(day, value)"
     " WHERE \"date\" IS NULL AND d.day IS NOT NULL",
     "exploded": "SELECT * FROM decoded WHERE value IS NOT NULL AND day BETWEEN \"start\""
@@ -432,17 +453,17 @@ CTES = {
     " ('annual_is', 'OPERATE_INCOME'), ('annual_is', 'NETPROFIT'),"
     " ('quarterly_cf', 'NETCASH_OPERATE'))",
     "listing_rows": f"SELECT c_custkey, {PAGE_NO} AS page_no, {LISTED} AS listed FROM customer",
-    "listing": f"SELECT {PAGE_SOURCE} AS source, {PAGE_STATUS} AS status, html FROM ("
+    "listing": f"SELECT {PAGE_SOURCE} AS source, {PAGE_RANK} AS source_rank, {PAGE_STATUS} AS status, html FROM ("
     f"SELECT page_no, string_agg({LISTING_ROW}, '' ORDER BY c_custkey) AS html"
     " FROM listing_rows GROUP BY page_no)",
-    "pairs": "SELECT source, cast(pos - 1 as int) AS pos, 'http' AS scheme, ips[pos] AS ip,"
+    "pairs": "SELECT source, source_rank, cast(pos - 1 as int) AS pos, 'http' AS scheme, ips[pos] AS ip,"
     " cast(ports[pos] as int) AS port FROM (SELECT *, unnest(range(1, least(len(ips), len(ports))"
-    " + 1)) AS pos FROM (SELECT source,"
+    " + 1)) AS pos FROM (SELECT source, source_rank,"
     r" regexp_extract_all(html, '(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})', 1) AS ips,"
     r" regexp_extract_all(html, '<td>(\d{2,5})</td>', 1) AS ports"
     " FROM listing WHERE status = 200)) WHERE cast(ports[pos] as int) BETWEEN 1 AND 65535",
     "unique_pairs": "SELECT * FROM pairs QUALIFY"
-    " row_number() OVER (PARTITION BY ip, port ORDER BY source, pos) = 1",
+    " row_number() OVER (PARTITION BY ip, port ORDER BY source_rank, pos) = 1",
     "registry": _select("orders", REGISTRY),
     "probes": " UNION ALL ".join(
         f"SELECT {ip('o_orderkey')} AS ip, {port('o_orderkey')} AS port, '{target}' AS target,"

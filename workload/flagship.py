@@ -9,22 +9,19 @@ from workload import bindings as b
 
 def stored_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations per concept and granularity, after failover and first-writer-wins."""
-    tasks = expand_tasks(b.plans(spark, sf_dir), b.identifiers(spark, sf_dir), mode="per_date")
-    frame = b.bind(spark, sf_dir, "orders", [
-        "o_orderkey", f"{b.code('o_custkey')} AS identifier", "cast(o_orderdate as date) AS `date`",
-        "o_totalprice AS `close`",
-    ])
-    attempts = extract.extract_points(tasks, frame, "close", "o_orderkey").withColumn(
-        "error", F.lit(None).cast("string")
+    plans, ids = b.plans(spark, sf_dir), b.identifiers(spark, sf_dir)
+    points = extract.frame_points(b.price_frame(spark, sf_dir), "o_orderkey")
+    task = ["plan_id", "concept_id", "entity_type", "entity_id", "date", "unit", "granularity", "start", "end"]
+    tried = [*task, "rank", "source"]
+    # Only served tasks count here, so the others leave before the shuffle of the outcomes.
+    single = expand_tasks(plans, ids, mode="per_date").join(points, extract.POINT_KEY).select(
+        *tried, "value", F.lit(None).cast("map<string,string>").alias("series")
     )
-    task = ["plan_id", "concept_id", "entity_type", "entity_id", "date", "unit", "granularity"]
-    responses = failover.resolve(attempts, task).withColumns(
-        {
-            "source": F.col("served_source"),
-            "start": F.lit(None).cast("string"),
-            "end": F.lit(None).cast("string"),
-        }
+    ranged = extract.extract_ranges(expand_tasks(plans, ids, mode="series"), points, tried).withColumn(
+        "value", F.lit(None).cast("string")
     )
+    attempts = single.unionByName(ranged).withColumn("error", F.lit(None).cast("string"))
+    responses = failover.resolve(attempts, task).withColumn("source", F.col("served_source"))
     rows = obs.with_defaults(obs.item_rows(obs.parse_responses(responses, keep=("plan_id",))))
     firsts = obs.first_writer(obs.complete_keys(rows), ["plan_id"])
     return firsts.groupBy("concept_id", "granularity").agg(

@@ -36,18 +36,21 @@ REQUEST_KEY = (
     )
     + ")"
 )
+SAME_FRAME = 'f.source = t.source AND f.identifier = t.identifier AND f."column" = t."column"'
+PAIR = "source, source_rank, pos, scheme, ip, port"
 VALID = (
-    "SELECT source, pos, scheme, ip, port FROM unique_pairs u WHERE EXISTS (SELECT 1 FROM probes p"
+    f"SELECT {PAIR} FROM unique_pairs u WHERE EXISTS (SELECT 1 FROM probes p"
     " WHERE p.ip = u.ip AND p.port = u.port AND p.status < 600)"
 )
 BUDGETED = (
-    "SELECT * FROM pairs WHERE source IN (SELECT source FROM (SELECT source,"
-    " coalesce(sum(n) OVER (ORDER BY source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
-    f" AS before FROM (SELECT source, count(*) AS n FROM pairs GROUP BY source)) WHERE before < {BUDGET})"
+    "SELECT * FROM pairs WHERE source_rank IN (SELECT source_rank FROM (SELECT source_rank,"
+    " coalesce(sum(n) OVER (ORDER BY source_rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    " AS before FROM (SELECT source_rank, count(*) AS n FROM pairs GROUP BY source_rank))"
+    f" WHERE before < {BUDGET})"
 )
 TOP = (
     f"SELECT * FROM ({BUDGETED}) QUALIFY row_number() OVER (PARTITION BY ip, port"
-    f" ORDER BY source, pos) = 1 ORDER BY source, pos LIMIT {BUDGET}"
+    f" ORDER BY source_rank, pos) = 1 ORDER BY source_rank, pos LIMIT {BUDGET}"
 )
 TOP_VALID = (
     f"SELECT * FROM ({TOP}) u WHERE EXISTS (SELECT 1 FROM probes p"
@@ -151,13 +154,12 @@ _BODIES = {
     "tasks_per_date": f'SELECT {TASK} FROM tasks WHERE "date" IS NOT NULL',
     "tasks_series": f'SELECT {TASK} FROM tasks WHERE "date" IS NULL',
     "provider_params": "SELECT source, concept_id, granularity, unit, identifier AS point_symbol,"
-    ' "start" AS point_date, identifier AS range_symbol,'
+    ' coalesce("date", "start") AS point_date, identifier AS range_symbol,'
     " replace(\"start\", '-', '') AS history_start, replace(\"end\", '-', '') AS history_end,"
     " CASE source WHEN 'akshare' THEN identifier WHEN 'yfinance' THEN identifier ||"
     " CASE WHEN starts_with(identifier, '6') THEN '.SS' ELSE '.SZ' END END AS statement_symbol"
-    f" FROM (SELECT DISTINCT {', '.join(chr(34) + f + chr(34) for f in TASK_FIELDS)} FROM tasks"
-    ' WHERE "date" IS NULL)',
-    "request_key": f'SELECT plan_id, {REQUEST_KEY} AS request_key FROM tasks WHERE "date" IS NULL',
+    f" FROM (SELECT DISTINCT {', '.join(chr(34) + f + chr(34) for f in TASK_FIELDS)} FROM tasks)",
+    "request_key": f"SELECT plan_id, {REQUEST_KEY} AS request_key FROM tasks",
     "task_dedup": f"SELECT DISTINCT {REQUEST_KEY} AS request_key FROM tasks",
     "task_incremental": f"SELECT DISTINCT {REQUEST_KEY} AS request_key FROM tasks EXCEPT"
     f" SELECT {REQUEST_KEY} FROM tasks WHERE plan_id IN"
@@ -174,24 +176,25 @@ _BODIES = {
     " FROM (SELECT entity_id, min(identifier) AS identifier FROM"
     f" ({STOCKS.format(source='')}) GROUP BY entity_id), ({FUNCTIONS})) WHERE task_key NOT IN"
     " (SELECT s_suppkey || ':akshare:annual_bs' FROM supplier)",
-    "point_extract": 'SELECT plan_id, concept_id, source, t.identifier, t."date", value FROM tasks t'
-    f" LEFT JOIN (SELECT {code('o_custkey')} AS identifier, strftime(o_orderdate, '%Y-%m-%d') AS"
-    " \"date\", cast(list(CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END"
-    " ORDER BY o_orderkey)[1] as string) AS value FROM orders GROUP BY 1, 2) f"
-    ' ON f.identifier = t.identifier AND f."date" = t."date" WHERE t."date" IS NOT NULL',
+    "point_extract": 'SELECT plan_id, concept_id, t.source, t.identifier, t."date", t."column", value'
+    f' FROM tasks t LEFT JOIN points f ON {SAME_FRAME} AND f."date" = t."date"'
+    ' WHERE t."date" IS NOT NULL',
     "series_extract": SERIES,
     "source_failover": f"SELECT entity_id, command, \"date\", body, served_source FROM ({OUTCOMES})"
     " WHERE status = 200",
-    "fetch_status": f'SELECT entity_id, command, "date", status, last_error FROM ({OUTCOMES})',
+    "fetch_status": 'SELECT t.entity_id, t.command, t."date", coalesce(status, 204) AS status, last_error'
+    ' FROM (SELECT DISTINCT entity_id, command, "date" FROM attempts) t LEFT JOIN ('
+    + OUTCOMES.replace("FROM attempts", "FROM attempts WHERE arrival % 4 <> 3")
+    + ') o ON o.entity_id = t.entity_id AND o.command = t.command AND o."date" = t."date"',
     "fetch_map": """
         SELECT entity_id, cast(n as string) AS identifier,
           cast(CASE WHEN first_served OR second_served THEN 200
                WHEN first_error IS NOT NULL OR second_error IS NOT NULL THEN 503 ELSE 204 END
                as int) AS status,
           CASE WHEN first_served AND ranged THEN
-                 '{"' || strftime(d, '%Y-%m-%d') || '":"' || (n * 10) || '","'
-                 || strftime(d + INTERVAL 1 DAY, '%Y-%m-%d') || '":"' || (n * 10 + 1) || '","'
-                 || strftime(d + INTERVAL 2 DAY, '%Y-%m-%d') || '":"' || (n * 10 + 2) || '"}'
+                 '{"' || strftime(d, '%Y-%m-%d') || '":' || (n * 10) || ',"'
+                 || strftime(d + INTERVAL 1 DAY, '%Y-%m-%d') || '":' || (n * 10 + 1) || ',"'
+                 || strftime(d + INTERVAL 2 DAY, '%Y-%m-%d') || '":' || (n * 10 + 2) || '}'
                WHEN first_served THEN cast(n * 100 + day(d) as string)
                WHEN second_served THEN cast(-n as string) ELSE '' END AS body,
           CASE WHEN first_served THEN 'akshare' WHEN second_served THEN 'yfinance' END
@@ -213,6 +216,8 @@ _BODIES = {
     f' CASE WHEN "date" IS NULL THEN "end" END AS "end",{ITEM_TAIL} FROM served',
     "series_decode": "SELECT event_id, string_agg(day || '=' || coalesce(value, 'null'), '|'"
     " ORDER BY day) AS series FROM decoded GROUP BY event_id",
+    "series_decode_faults": "SELECT source, count(*) AS bodies, count(*) FILTER (WHERE event_id % 5 = 0)"
+    " AS malformed FROM served WHERE \"date\" IS NULL GROUP BY source",
     "series_explode_clamp": EXPLODED,
     "series_clamp_stats": "SELECT concept_id, entity_id, count(DISTINCT event_id) AS items,"
     " count(*) FILTER (WHERE day BETWEEN \"start\" AND coalesce(\"end\", '9999-12-31')) AS kept,"
@@ -264,14 +269,15 @@ _BODIES = {
     " cast(o_totalprice as string) AS value, 'currency' AS unit, 'astock' AS source_used FROM orders"
     " UNION ALL SELECT concept_id, 'stock', entity_id, \"date\", 'day', value, 'currency',"
     " 'astock-profit' FROM melted WHERE concept_id IN (239, 240)",
-    "page_ip_extract": "SELECT page_id, cast(pos - 1 as int) AS pos, ips[pos] AS ip FROM (SELECT *,"
-    " unnest(range(1, len(ips) + 1)) AS pos FROM (SELECT page_id,"
-    r" regexp_extract_all(html, '(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})', 1) AS ips"
+    "page_ip_extract": "SELECT page_id, cast(pos - 1 as int) AS pos, ips[pos] AS ip, ports[pos] AS port"
+    " FROM (SELECT *, unnest(range(1, greatest(len(ips), len(ports)) + 1)) AS pos FROM (SELECT page_id,"
+    r" regexp_extract_all(html, '(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})', 1) AS ips,"
+    r" regexp_extract_all(html, '<td>(\d{2,5})</td>', 1) AS ports"
     " FROM pages WHERE page_id % 10 <> 9))",
-    "endpoint_pair": "SELECT source, pos, scheme, ip, port FROM pairs",
-    "endpoint_source_budget": f"SELECT source, pos, scheme, ip, port FROM ({BUDGETED})",
-    "endpoint_dedup": "SELECT source, pos, scheme, ip, port FROM unique_pairs",
-    "endpoint_topn": f"SELECT source, pos, scheme, ip, port FROM ({TOP})",
+    "endpoint_pair": f"SELECT {PAIR} FROM pairs",
+    "endpoint_source_budget": f"SELECT {PAIR} FROM ({BUDGETED})",
+    "endpoint_dedup": f"SELECT {PAIR} FROM unique_pairs",
+    "endpoint_topn": f"SELECT {PAIR} FROM ({TOP})",
     "endpoint_valid": VALID,
     "target_success_rate": "SELECT target, passed, tried, round(100.0::double * passed / tried, 1)"
     " AS rate FROM (SELECT target, count(*) FILTER (WHERE coalesce(status < 600, false)) AS passed,"
@@ -283,6 +289,9 @@ _BODIES = {
     "endpoint_upsert": f"SELECT {STAMPED} FROM ({upserted(VALID)})",
     "endpoint_retire": f"SELECT {STAMPED} FROM ({retired('SELECT * FROM registry')})",
     "endpoint_refresh": f"SELECT {STAMPED} FROM ({retired(upserted(TOP_VALID))})",
+    "endpoint_changes": f"SELECT count(*) FILTER (WHERE updated_at = {NOW}) AS touched, count(*)"
+    " - (SELECT count(*) FROM registry) AS inserted, count(*) FILTER (WHERE retired_at = "
+    f"{NOW}) AS retired FROM ({retired(upserted(TOP_VALID))})",
     "endpoint_status_counts": "SELECT status, count(*) AS endpoints FROM registry"
     " WHERE status IN ('active', 'retired') GROUP BY status",
     "recent_outcomes": "SELECT source, endpoint_id, status, classification,"
@@ -326,10 +335,12 @@ _BODIES = {
         FROM (SELECT *, {code('o_custkey')} AS ident FROM orders)""",
     "stored_observations": "SELECT concept_id, granularity, count(*) AS observations,"
     " count(DISTINCT entity_id) AS entities, min(\"date\") AS first_date, max(\"date\") AS last_date"
-    " FROM (SELECT DISTINCT concept_id, entity_type, t.entity_id, t.\"date\", granularity FROM tasks t"
-    f" JOIN (SELECT DISTINCT {code('o_custkey')} AS identifier,"
-    " strftime(o_orderdate, '%Y-%m-%d') AS \"date\" FROM orders) f"
-    ' ON f.identifier = t.identifier AND f."date" = t."date") GROUP BY ALL',
+    " FROM (SELECT DISTINCT concept_id, entity_type, entity_id, day AS \"date\", granularity FROM"
+    ' (SELECT t.*, f."date" AS day FROM tasks t'
+    f' JOIN points f ON {SAME_FRAME} AND f."date" BETWEEN coalesce(t."date", t."start")'
+    ' AND coalesce(t."date", t."end") QUALIFY t.rank = min(t.rank) OVER (PARTITION BY t.plan_id,'
+    ' t.concept_id, t.entity_type, t.entity_id, t."date", t.unit, t.granularity, t."start", t."end")))'
+    " GROUP BY ALL",
 }
 
 ORACLES = {name: with_ctes(body) for name, body in _BODIES.items()}

@@ -98,8 +98,8 @@ def tasks_series(spark, sf_dir):
 
 @query
 def provider_params(spark, sf_dir):
-    tasks = expansion.distinct_tasks(_tasks(spark, sf_dir, "series"))
-    point = providers.point_params(F.col("identifier"), F.col("start"))
+    tasks = expansion.distinct_tasks(_tasks(spark, sf_dir))
+    point = providers.point_params(F.col("identifier"), F.coalesce("date", "start"))
     ranged = providers.range_params(F.col("identifier"))
     history = providers.history_params(F.col("identifier"), F.col("start"), F.col("end"))
     statement = providers.statement_params(F.col("source"), F.col("identifier"))
@@ -119,7 +119,7 @@ def provider_params(spark, sf_dir):
 
 @query
 def request_key(spark, sf_dir):
-    return _tasks(spark, sf_dir, "series").select("plan_id", expansion.request_key().alias("request_key"))
+    return _tasks(spark, sf_dir).select("plan_id", expansion.request_key().alias("request_key"))
 
 
 @query
@@ -164,14 +164,11 @@ def statement_task_dedup(spark, sf_dir):
 
 @query
 def point_extract(spark, sf_dir):
-    frame = b.bind(spark, sf_dir, "orders", [
-        "o_orderkey", f"{b.code('o_custkey')} AS identifier", "cast(o_orderdate as date) AS `日期`",
-        "CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS `收盘`",
-    ])
     tasks = _tasks(spark, sf_dir, "per_date").select(
-        "plan_id", "concept_id", "source", "identifier", "date"
+        "plan_id", "concept_id", "source", "identifier", "date", "column"
     )
-    return extract.extract_points(tasks, frame, "收盘", "o_orderkey")
+    points = extract.frame_points(b.price_frame(spark, sf_dir), "o_orderkey")
+    return extract.extract_points(tasks, points)
 
 
 def _series(spark, sf_dir):
@@ -203,7 +200,12 @@ def source_failover(spark, sf_dir):
 
 @query
 def fetch_status(spark, sf_dir):
-    return _outcomes(spark, sf_dir).select("entity_id", "command", "date", "status", "last_error")
+    """Tasks of all attempts, of which a quarter never landed."""
+    key = ["entity_id", "command", "date"]
+    attempts = b.attempts(spark, sf_dir)
+    landed_ones = attempts.filter(F.col("arrival") % 4 != 3)
+    found = failover.outcomes(attempts.select(*key).distinct(), landed_ones, key, ["arrival"])
+    return found.select(*key, "status", "last_error")
 
 
 @query
@@ -248,6 +250,13 @@ def series_decode(spark, sf_dir):
     return decoded.select("event_id", series_text().alias("series"))
 
 
+@query
+def series_decode_faults(spark, sf_dir):
+    """Bodies cut short count as malformed, per source."""
+    cut = F.when(F.col("event_id") % 5 == 0, F.expr("substring(body, 1, length(body) - 1)"))
+    return obs.decode_faults(b.responses(spark, sf_dir).withColumn("body", F.coalesce(cut, "body")))
+
+
 def _series_items(spark, sf_dir):
     items = obs.parse_responses(b.responses(spark, sf_dir))
     return items.filter(F.col("series").isNotNull())
@@ -427,7 +436,8 @@ def page_ip_extract(spark, sf_dir):
     pages = b.table(spark, sf_dir, "pages")
     status = F.when(F.col("page_id") % 10 == 9, 404).otherwise(200)
     found = endpoints.page_matches(landed.fetched_ok(pages, status))
-    return found.select("page_id", F.posexplode("ips").alias("pos", "ip"))
+    both = found.select("page_id", F.posexplode(F.arrays_zip("ips", "ports")).alias("pos", "found"))
+    return both.select("page_id", "pos", F.col("found.ips").alias("ip"), F.col("found.ports").alias("port"))
 
 
 def _pairs(spark, sf_dir):
@@ -500,6 +510,14 @@ def endpoint_refresh(spark, sf_dir):
     return _registry_text(refreshed)
 
 
+@query
+def endpoint_changes(spark, sf_dir):
+    registry = b.registry(spark, sf_dir)
+    pages = landed.fetched_ok(b.listing(spark, sf_dir))
+    refreshed = written(endpoints.refresh(registry, pages, b.probes(spark, sf_dir), NOW, BUDGET), "refreshed")
+    return endpoints.changes(registry, refreshed, NOW)
+
+
 @query
 def endpoint_status_counts(spark, sf_dir):
     return health.status_counts(b.registry(spark, sf_dir))

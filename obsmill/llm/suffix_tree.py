@@ -18,8 +18,11 @@ LEAST_COUNT = 24
 DIVERGENCE = 0.9
 #: Taken off each seen next word's count and given to the shorter context.
 DISCOUNT = 0.75
-#: Words whose counts every task holds: the most frequent ones, this many. The rest are joined.
+#: Words whose counts every task holds: the most frequent ones, this many at most. The rest are joined.
 FREQUENT = 1 << 17
+#: Counts up to this are told apart when the least count of a frequent word is sought, larger ones by
+#: eighths of a doubling.
+EXACT_COUNTS = 1 << 10
 #: Bits of the map that tells tasks which tokens may follow a kept context.
 MAP_BITS = 1 << 22
 #: Word pairs counted together before they leave a task.
@@ -104,6 +107,41 @@ def _kept(words: DataFrame) -> DataFrame:
     return able.filter(told - (CLASSES - 1) / (2 * F.col("n")) >= DIVERGENCE).select("word")
 
 
+def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Words, in order, and counts of all words from the least count that `FREQUENT` words or fewer reach.
+
+    A histogram of counts, of some thousand bins, tells that count, so that no partition sends words
+    that are not among them.
+    """
+    step = F.when(F.col("n") <= EXACT_COUNTS, F.col("n")).otherwise(EXACT_COUNTS + F.ceil(8 * F.log2(F.col("n") / EXACT_COUNTS)))
+    bins = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()
+    least = words = 0
+    for row in sorted(bins, key=lambda r: -r["step"]):
+        words += row["words"]
+        if words > FREQUENT:
+            break
+        least = row["least"]
+    top = counts.filter(F.col("n") >= least).collect() if least else []
+    frequent = np.array([r["word"] for r in top], np.int64).view(np.uint64)
+    order = np.argsort(frequent)
+    return frequent[order], np.array([r["n"] for r in top], np.float64)[order]
+
+
+def _map(kept: DataFrame) -> np.ndarray:
+    """The bit map of the kept contexts, put together from at most `MAP_BITS` / 32 rows."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.unique(_bit(np.asarray(batch.column(0)).view(np.uint64))).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["place"])
+
+    bit = F.expr("shiftleft(1L, cast(place % 32 as int))")
+    packed = np.zeros(MAP_BITS // 32, "<u4")
+    for row in kept.mapInArrow(places, "place long").groupBy(F.expr("place div 32").alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
+        packed[row["at"]] = row["bits"]
+    return packed.view(np.uint8)
+
+
 def _read(rows: DataFrame, frequent, kept, scale: float) -> DataFrame:
     """One row a text: its share of the base score from frequent words, its rare words, and the
     tokens (two words back, one back, itself) after words that the map says may be contexts."""
@@ -228,21 +266,9 @@ def score(documents: DataFrame, trained: Column, identifier: str = "doc_id", tex
     scale = float(learned + distinct + 1)
     end = spark.createDataFrame([(int(END), ends)][: int(ends > 0)], "word long, n long")
     counts = words.select("word", "n").union(end)
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    frequent = np.array([r[0] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(frequent)
-    held = spark.sparkContext.broadcast((frequent[order], np.array([r[1] for r in top], np.float64)[order]))
+    held = spark.sparkContext.broadcast(_frequent(counts))
     kept = written(_kept(words), "kept")
-    bits = np.zeros(MAP_BITS, np.uint8)
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.unique(_bit(np.asarray(batch.column(0)).view(np.uint64))).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["place"])
-
-    for (place,) in kept.mapInArrow(places, "place long").distinct().collect():
-        bits[place] = 1
-    mapped = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+    mapped = spark.sparkContext.broadcast(_map(kept))
     read = written(_read(rows, held, mapped, scale), "read")
     rare = read.select("_row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("_row", "x.*")
     found = rare.join(counts.withColumnRenamed("word", "rare"), "rare", "left")

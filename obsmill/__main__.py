@@ -2,9 +2,11 @@
 
 import argparse
 import json
+import uuid
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from obsmill.operators import endpoints, health, statements
 from obsmill.plans import crawl, statements as statement_plans
@@ -24,10 +26,17 @@ def _crawl(spark: SparkSession, args) -> None:
 
 
 def _tasks(spark: SparkSession, args) -> None:
-    seen = spark.read.parquet(args.seen) if args.seen else None
+    record = crawl.seen_tasks(spark, args.record) if args.record else None
     plans = landed.read_plans(spark, args.plan)
+    known = [record.read()] if record else []
+    if args.seen:
+        known.append(spark.read.parquet(args.seen).select("request_key"))
+    seen = reduce(DataFrame.union, known) if known else None
     tasks = crawl.plan_tasks(plans, landed.read_identifiers(spark, args.identifiers), seen)
     tasks.write.mode("errorifexists").parquet(args.out)
+    if record:
+        # After the tasks: a run that breaks off in between repeats them rather than losing them.
+        record.insert(spark.read.parquet(args.out).select("request_key"), uuid.uuid4().hex, ["request_key"])
 
 
 def _statement_tasks(spark: SparkSession, args) -> None:
@@ -37,6 +46,15 @@ def _statement_tasks(spark: SparkSession, args) -> None:
     statement_plans.in_entity_order(tasks).write.mode("errorifexists").json(args.out)
 
 
+def _statements(spark: SparkSession, args) -> None:
+    tasks = spark.read.schema("entity_id BIGINT, source STRING, function_name STRING").json(args.tasks)
+    wide, transposed = (spark.read.parquet(p) if p else None for p in (args.wide, args.transposed))
+    store = ObservationStore(spark, args.store)
+    report, outcomes = crawl.store_statements(tasks, wide, transposed, store, args.batch)
+    print(report)
+    outcomes.show()
+
+
 def _migrate(spark: SparkSession, args) -> None:
     table = spark.read.parquet(args.table)
     rows = statements.migrate_legacy(table, args.source, args.symbol, args.limit)
@@ -81,13 +99,14 @@ def _parser() -> argparse.ArgumentParser:
         return sub
 
     command("crawl", _crawl, "plan", "identifiers", "attempts", "store", "batch", audit={})
-    command("tasks", _tasks, "plan", "identifiers", "out", seen={})
+    command("tasks", _tasks, "plan", "identifiers", "out", seen={}, record={})
     command(
         "statement-tasks", _statement_tasks, "identifiers", "out",
         entity_type={"default": "stock"},
         concepts={"type": lambda text: [int(part) for part in text.split(",")]},
         start_date={}, end_date={},
     )
+    command("statements", _statements, "tasks", "store", "batch", wide={}, transposed={})
     migrate = command(
         "migrate", _migrate, "table", "store", "batch", symbol={}, limit={"type": int}
     )

@@ -1,5 +1,8 @@
 """Financial statements, wide or transposed, to observation rows."""
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from obsmill.functions.text import is_missing_text, truthy, value_text
@@ -8,6 +11,7 @@ from obsmill.schemas import (
     LEGACY_ENTITY_TYPE,
     LEGACY_UNIT,
     STATEMENT_CONCEPTS,
+    STATEMENT_FUNCTIONS,
 )
 
 # Legacy tables: date column and concept of each value column. Ours: only the price close and the
@@ -135,6 +139,27 @@ def parse_transposed(frame: DataFrame, ids: list[str], dates: list[str]) -> Data
     return melt_transposed(mapped, [*ids, "source", "function_name", "concept_id"], dates)
 
 
+def date_columns(frame: DataFrame) -> list[str]:
+    """Columns of a transposed frame whose names begin with a plain date."""
+    return [c for c in frame.columns if re.match(r"\d{4}-\d{2}-\d{2}", c)]
+
+
+def parse_frames(wide: DataFrame | None, transposed: DataFrame | None) -> DataFrame:
+    """Landed frames of both forms as (entity_id, source, function_name, concept_id, date, value, arrival).
+
+    `arrival` is the function's place in the fixed list, the order in which an entity's tasks are made.
+    """
+    parsed = []
+    if wide is not None:
+        parsed.append(parse_wide(wide, ["entity_id"]))
+    if transposed is not None:
+        parsed.append(parse_transposed(transposed, ["entity_id"], date_columns(transposed)))
+    columns = ["entity_id", "source", "function_name", "concept_id", "date", "value"]
+    rows = reduce(DataFrame.unionByName, [p.select(*columns) for p in parsed])
+    places = [F.lit(f"{source} {name}") for source, name, _ in STATEMENT_FUNCTIONS]
+    return rows.withColumn("arrival", F.array_position(F.array(*places), F.concat_ws(" ", "source", "function_name")))
+
+
 def legacy_rows(parsed: DataFrame, granularity: str = DEFAULT_GRANULARITY) -> DataFrame:
     """Observation rows of the statement writer: constant entity type and unit."""
     return parsed.select(
@@ -146,6 +171,7 @@ def legacy_rows(parsed: DataFrame, granularity: str = DEFAULT_GRANULARITY) -> Da
         "value",
         F.lit(LEGACY_UNIT).alias("unit"),
         F.col("source").alias("source_used"),
+        *[c for c in ["arrival"] if c in parsed.columns],
     )
 
 

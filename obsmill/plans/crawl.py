@@ -1,12 +1,16 @@
 """The whole way from plans to the store, on landed attempts or through adapters."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from obsmill.operators.failover import outcomes
+from obsmill.operators.health import task_outcomes
 from obsmill.operators.observations import item_rows, parse_responses
+from obsmill.operators.statements import legacy_rows, parse_frames
 from obsmill.plans.expansion import distinct_tasks, expand_tasks, unseen_tasks
 from obsmill.sinks.paths import written
-from obsmill.sinks.store import InsertReport, ObservationStore, append_audit
+from obsmill.sinks.store import InsertReport, KeyedStore, ObservationStore, append_audit
+
+SEEN = T.StructType([T.StructField("request_key", T.StringType())])
 
 
 def plan_tasks(
@@ -41,3 +45,24 @@ def store_responses(
     if audit is not None:
         append_audit(items.drop("rank"), audit, batch_id)
     return report
+
+
+def store_statements(
+    tasks: DataFrame,
+    wide: DataFrame | None,
+    transposed: DataFrame | None,
+    store: ObservationStore,
+    batch_id: str,
+) -> tuple[InsertReport, DataFrame]:
+    """Landed statement frames into the store, and per source the tasks that gave rows and that gave none.
+
+    Of rows with one key the one of the earlier task counts, by the order of the statement functions.
+    """
+    parsed = written(parse_frames(wide, transposed), "statements")
+    report = store.insert(legacy_rows(parsed), batch_id, ["arrival", "value"])
+    return report, task_outcomes(tasks, parsed, ["entity_id", "source", "function_name"])
+
+
+def seen_tasks(spark: SparkSession, path: str) -> KeyedStore:
+    """Keys of the tasks that earlier runs have taken; empty before the first."""
+    return KeyedStore(spark, path, SEEN, ["request_key"])

@@ -73,6 +73,50 @@ def test_other_commands(spark, tmp_path, inputs, rows):
     assert rows(ObservationStore(spark, f"{base}/m").read(), "concept_id", "value") == [(234, "1.4")]
 
 
+def test_runs_extend_the_record_of_tasks(spark, tmp_path, inputs):
+    inputs(_plan(mode="per_date", frequency="monthly"))
+    base = str(tmp_path)
+    found = []
+    for k, end in enumerate(("2024-03-31", "2024-07-31", "2024-07-31", "2024-03-31")):
+        plan = _plan(mode="per_date", frequency="monthly")
+        text = json.dumps(plan).replace("2024-12-31", end)
+        (tmp_path / f"plan{k}.json").write_text(text, encoding="utf-8")
+        main(["tasks", "--plan", f"{base}/plan{k}.json", "--identifiers", f"{base}/ids", "--out", f"{base}/out{k}",
+              "--record", f"{base}/record"])
+        found.append(spark.read.parquet(f"{base}/out{k}").count())
+    assert found == [3, 4, 0, 0]
+    assert crawl.seen_tasks(spark, f"{base}/record").read().distinct().count() == 7
+
+
+def test_statements_command(spark, tmp_path, capsys, rows):
+    base = str(tmp_path)
+    spark.createDataFrame(
+        [(5, "quarterly_bs", "2023-06-30", 3.5, 1.0), (5, "annual_bs", "2023-06-30 00:00:00", 2.5, None),
+         (6, "annual_bs", None, 9.0, 9.0), (6, "unknown", "2023-06-30", 9.0, 9.0)],
+        "entity_id BIGINT, function_name STRING, REPORT_DATE STRING, TOTAL_ASSETS DOUBLE, TOTAL_EQUITY DOUBLE",
+    ).write.parquet(f"{base}/wide")
+    spark.createDataFrame(
+        [(5, "annual_bs", "Total Assets", 7.5, 8.5), (5, "annual_is", "Net Income", None, None)],
+        "entity_id BIGINT, function_name STRING, field STRING, `2023-06-30 00:00:00` DOUBLE, `2022-06-30` DOUBLE",
+    ).write.parquet(f"{base}/transposed")
+    tasks = [(entity, source, name) for entity in (5, 6) for source in ("akshare", "yfinance")
+             for name in ("annual_bs", "annual_is", "quarterly_bs")]
+    spark.createDataFrame(tasks, "entity_id BIGINT, source STRING, function_name STRING").write.json(f"{base}/tasks")
+    command = ["statements", "--tasks", f"{base}/tasks", "--wide", f"{base}/wide", "--transposed", f"{base}/transposed",
+               "--store", f"{base}/store", "--batch"]
+    main([*command, "1"])
+    shown = capsys.readouterr().out
+    assert "attempted=5, rejected=0, inserted=3" in shown
+    outcome = [tuple(line.strip("|").replace(" ", "").split("|")) for line in shown.splitlines() if "akshare" in line or "yfinance" in line]
+    assert sorted(outcome) == [("akshare", "2", "4"), ("yfinance", "1", "5")]
+    stored = ObservationStore(spark, f"{base}/store")
+    want = [(242, 5, "2022-06-30", "8.5", "yfinance"), (242, 5, "2023-06-30", "2.5", "akshare"),
+            (244, 5, "2023-06-30", "1.0", "akshare")]
+    assert rows(stored.read(), "concept_id", "entity_id", "date", "value", "source_used") == want
+    main([*command, "2"])
+    assert "inserted=0" in capsys.readouterr().out and stored.read().count() == 3
+
+
 def test_refresh_and_health_commands(spark, tmp_path, capsys, rows):
     base = str(tmp_path)
     registry = spark.createDataFrame(

@@ -264,6 +264,12 @@ _BODIES = {
     "entity_code_fallback": "SELECT coalesce(nullif(\"SECUCODE\", ''), \"SECURITY_CODE\")"
     " AS entity_code, count(*) AS n FROM statements GROUP BY 1",
     "obs_legacy_constants": LEGACY,
+    "statement_store": "SELECT concept_id, 'stock' AS entity_type, entity_id, \"date\", 'day' AS granularity,"
+    " value, 'currency' AS unit, source AS source_used FROM (SELECT *, row_number() OVER (PARTITION BY"
+    " concept_id, entity_id, \"date\" ORDER BY source, list_position(['annual_bs', 'annual_is', 'annual_cf',"
+    " 'quarterly_bs', 'quarterly_is', 'quarterly_cf'], function_name), value) AS place FROM (SELECT concept_id,"
+    " entity_id, source, function_name, \"date\", value FROM mapped UNION ALL SELECT concept_id, entity_id,"
+    f" 'yfinance', function_name, \"date\", value FROM ({TRANSPOSED}))) WHERE place = 1",
     "legacy_migrate": "SELECT 234 AS concept_id, 'stock' AS entity_type, o_custkey AS entity_id,"
     " substring(cast(o_orderdate as string), 1, 10) AS \"date\", 'day' AS granularity,"
     " cast(o_totalprice as string) AS value, 'currency' AS unit, 'astock' AS source_used FROM orders"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from obsmill import schemas
 from obsmill.functions import dates, text
 from obsmill.operators import endpoints, extract, failover, health, observations as obs, statements
-from obsmill.plans import expansion, providers, statements as statement_plans
+from obsmill.plans import crawl, expansion, providers, statements as statement_plans
 from obsmill.sinks.paths import scratch_path, written
 from obsmill.sinks.snapshots import SnapshotTable
 from obsmill.sinks.store import KeyedStore, ObservationStore, append_audit
@@ -415,6 +415,15 @@ def obs_legacy_constants(spark, sf_dir):
     return statements.legacy_rows(parsed).select(*ROW)
 
 
+@query
+def statement_store(spark, sf_dir):
+    store = ObservationStore(spark, scratch_path(spark, "observations"))
+    tasks = statement_plans.statement_tasks(_stocks(spark, sf_dir))
+    wide, transposed = b.statements(spark, sf_dir), b.transposed_statements(spark, sf_dir)
+    crawl.store_statements(tasks, wide, transposed, store, "statements")
+    return store.read().select(*ROW)
+
+
 @query
 def legacy_migrate(spark, sf_dir):
     prices = b.bind(spark, sf_dir, "orders", [

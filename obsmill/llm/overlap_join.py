@@ -239,6 +239,15 @@ def near_duplicates(
     identifiers never name a component unless it has no other. Rows are told apart by their set,
     so rows that repeat an identifier keep their own sets. An empty table gives no rows.
     """
+    return _components(documents, identifier, text, width, chunk).select(
+        F.col("_id").alias(identifier),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("_name")).otherwise(F.col("_id")).alias("component_id"),
+    )
+
+
+def _components(documents: DataFrame, identifier: str, text: str, width: int = WIDTH, chunk: int = CHUNK) -> DataFrame:
+    """(_id, n, set_id, root, _name) of every row: its set, and its component's least set and identifier."""
     signed = written(signatures(documents, identifier, text, width), "signed")
     members = signed.select("_id", "n", "set_id")
     alive = written(_survivors(signed), "alive")
@@ -265,28 +274,41 @@ def near_duplicates(
     roots = components(links, "a", "b").select(F.col("node").alias("set_id"), "root")
     rooted = members.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     names = rooted.filter("n > 0").groupBy("root").agg(F.min("_id").alias("_name"))
-    return rooted.join(names, "root", "left").select(
-        F.col("_id").alias(identifier),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("_name")).otherwise(F.col("_id")).alias("component_id"),
-    )
+    return rooted.join(names, "root", "left")
 
 
 def one_of_each(documents: DataFrame, identifier: str = "doc_id", text: str = "text") -> DataFrame:
     """`documents` without those whose component another row names; columns unchanged.
 
-    Of rows that repeat the naming identifier and the text one stays. Rows without words stay.
+    One row of each component stays: of the rows with the naming identifier those of the least set,
+    of these the least by text. Rows are told apart by identifier and set, so another text under
+    the same identifier, or without one, stays or goes by its own component. Rows without words stay.
+
+    Identifiers of which every row goes, or whose only row stays, need no look at the text. The
+    rows of the others are cut again for their sets.
     """
-    found = near_duplicates(documents, identifier, text)
-    gone = found.filter(~F.col(identifier).eqNullSafe(F.col("component_id")))
-    key = F.coalesce(F.col(identifier).cast("string"), F.lit(""))
-    removed = written(gone.select(key.alias("_key")).distinct(), "removed")
-    kept = matching(documents.withColumn("_key", key), removed, "_key", "left_anti").drop("_key")
-    repeated = found.filter("n_shingles > 0").groupBy("component_id").agg(F.count_if(F.col(identifier).eqNullSafe(F.col("component_id"))).alias("_rows"))
-    if not repeated.filter("_rows > 1").head(1):
-        return kept
-    # Some identifier comes twice with equal words: of its rows the least by text stays.
-    order = Window.partitionBy(identifier).orderBy(text)
-    worded = F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]"))
-    numbered = kept.withColumn("_k", F.when(F.coalesce(worded, F.lit(False)), F.row_number().over(order)).otherwise(1))
-    return numbered.filter("_k = 1").drop("_k")
+    found = _components(documents, identifier, text)
+    named = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+    members = written(found.select(named(F.col("_id")).alias("_one_key"), "n", "set_id", "root", F.col("_id").eqNullSafe(F.col("_name")).alias("_names")), "members")
+    chosen = members.filter("n > 0 and _names").groupBy("root").agg(F.min("set_id").alias("_chosen"))
+    stays = (F.col("n") == 0) | (F.col("_names") & (F.col("set_id") == F.col("_chosen")))
+    decided = written(members.join(chosen, "root", "left").select("_one_key", "set_id", stays.alias("_stays")), "decided")
+    by_key = decided.groupBy("_one_key").agg(F.count("*").alias("_rows"), F.count_if("_stays").alias("_kept"))
+    removed = written(by_key.filter("_kept = 0").select("_one_key"), "removed")
+    kept = matching(documents.withColumn("_one_key", named(F.col(identifier))), removed, "_one_key", "left_anti")
+    asked = written(by_key.filter("_kept > 0 and _rows > 1").select("_one_key"), "asked")
+    if not asked.head(1):
+        return kept.drop("_one_key")
+
+    @F.pandas_udf("long")
+    def set_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([_set_id(shingles(t)) for t in texts], dtype="Int64")
+
+    gone = written(matching(decided.filter("not _stays"), asked, "_one_key").select("_one_key", F.col("set_id").alias("_one_set")).distinct(), "gone")
+    repeated = matching(kept, asked, "_one_key").withColumn("_one_set", set_of(F.col(text)))
+    repeated = matching(repeated, gone, ["_one_key", "_one_set"], "left_anti")
+    order = Window.partitionBy("_one_key", "_one_set").orderBy(text)
+    worded = repeated.filter("_one_set is not null").withColumn("_one_row", F.row_number().over(order)).filter("_one_row = 1")
+    alone = matching(kept, asked, "_one_key", "left_anti")
+    parts = [part.select(documents.columns) for part in (alone, repeated.filter("_one_set is null"), worded)]
+    return parts[0].union(parts[1]).union(parts[2])

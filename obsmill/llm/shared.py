@@ -51,7 +51,7 @@ def pieces(texts: list[str], limit: int) -> Iterator[range]:
         yield range(begin, len(texts))
 
 
-def matching(frame: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+def matching(frame: DataFrame, keys: DataFrame, key: str | list[str], how: str = "left_semi") -> DataFrame:
     """Rows of `frame` whose `key` is (left_semi) or isn't (left_anti) among the distinct `keys`.
 
     Up to `BROADCAST_KEYS` keys are broadcast, so that wide rows stay where they are; more are

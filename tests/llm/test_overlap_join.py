@@ -61,3 +61,39 @@ def test_one_of_each_component_stays(spark):
     want = sorted({(name, n, c) for name, n, c in brute(rows) if n and name == c} | {(5, 0, 5), (6, 0, 6), (7, 0, 7)})
     assert sorted(r.doc_id for r in kept.collect()) == [w[0] for w in want]
     assert near_duplicates(documents.limit(0)).count() == 0
+
+
+def one_a_component(rows):
+    """What one_of_each must keep, as (doc_id, words): one row a component, and the wordless rows."""
+    named = [(k, " ".join((t or "").lower().split())) for k, t in rows]
+    # Each row under an identifier of its own, so that components are known row by row.
+    parts = {}
+    for (k, own), (_, _, c) in zip(named, sorted(brute([(n, t) for n, (_, t) in enumerate(rows)]), key=lambda r: r[0])):
+        if own:
+            parts.setdefault(c, []).append((k is None, k or 0))
+    return sorted(min(p) for p in parts.values()), sorted(str(k) for k, own in named if not own)
+
+
+def test_repeated_and_null_identifiers_are_decided_row_by_row(spark):
+    words = lambda tag, n=60: [f"{tag}{k}" for k in range(n)]
+    near = lambda own: " ".join([*own[:-1], "other"])
+    a, b, c = words("a"), words("b"), words("c")
+    rows = [(3, " ".join(a)), (7, near(a)), (7, " ".join(b))]
+    rows += [(None, near(b)), (None, " ".join(c)), (None, "quite on its own"), (None, " "), (None, None)]
+    rows += [(20, "first text of this number"), (20, "second text under the same one"), (20, "First  text of this number"), (21, " ".join(words("d")))]
+    rows += [(20, ""), (30, " ".join(words("e"))), (30, near(words("e"))), (31, " ".join(words("e")))]
+    rows += corpus()
+    documents = spark.createDataFrame([(*r, "n") for r in rows], "doc_id long, text string, _key string")
+    kept = one_of_each(documents)
+    assert kept.columns == documents.columns
+    assert {r["_key"] for r in kept.collect()} == {"n"}
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    worded, wordless = one_a_component(rows)
+    assert sorted((k is None, k or 0) for k, t in got if (t or "").split()) == worded
+    assert sorted(str(k) for k, t in got if not (t or "").split()) == wordless
+    texts = [(k, t) for k, t in got]
+    assert {(3, " ".join(a)), (7, " ".join(b)), (None, " ".join(c)), (None, "quite on its own")} <= set(texts)
+    assert {t for k, t in texts if k == 20} == {"First  text of this number", "second text under the same one", ""}
+    # No two kept rows are near copies.
+    left = [(n, t) for n, (_, t) in enumerate(got)]
+    assert all(n == c for n, size, c in brute(left) if size)

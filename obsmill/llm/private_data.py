@@ -57,8 +57,8 @@ class _Fold(dict):
 
 _FOLD = _Fold()
 _NUMBER = "|".join(DIGIT_WORDS)
-_SPELLED_DIGIT = re.compile(rf"(?<![A-Za-z])(?:{_NUMBER})(?![A-Za-z])", re.I)
-_SPELLED_RUN = re.compile(rf"(?<![A-Za-z])(?:{_NUMBER})(?:(?:[ \t,]+|-)(?:{_NUMBER}))*(?![A-Za-z])", re.I)
+_SPELLED_DIGIT = re.compile(rf"(?<![A-Za-z])(?:{_NUMBER})(?![A-Za-z])", re.I | re.A)
+_SPELLED_RUN = re.compile(rf"(?<![A-Za-z])(?:{_NUMBER})(?:(?:[ \t,]+|-)(?:{_NUMBER}))*(?![A-Za-z])", re.I | re.A)
 _PLUS = re.compile(r"(?<![A-Za-z])plus[ \t]+(?=[0-9])", re.I)
 _LOOKALIKE = re.compile(r"(?<![A-Za-z0-9])(?=[OolI]*[0-9])[0-9OolI]*[OolI][0-9OolI]*(?![A-Za-z0-9])")
 _LOOKS = str.maketrans("OolI", "0011")
@@ -73,7 +73,6 @@ _BARE_DOT = {at: re.compile(rf"[ \t]+{dot}[ \t]+", re.I) for at, dot in SPELLED.
 _DIGIT_DOT = re.compile(r"(?<=[0-9])[ \t]+dot[ \t]+(?=[0-9])", re.I)
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+@[ \t]+(?=[A-Za-z0-9])")
 _HINT = re.compile(r"[\[({<][ \t]*(?:at|arroba|arobase|@|dot|punto|punkt|point|\.)[ \t]*[\])}>]", re.I)
-_ODD = re.compile(f"[{INVISIBLE}{''.join(CONFUSABLE)}٠-٩۰-۹०-९！-～\U0001d400-\U0001d7ff]")
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -153,39 +152,45 @@ class Aligned:
         return int(self.begin[a]), int(self.end[b - 1])
 
 
-def _disguised(text: str, lower: str) -> bool:
-    """Whether any transducer has something to do that could matter."""
-    return (
-        (not text.isascii() and _ODD.search(text) is not None)
-        or any(f" {word} " in lower for word in SPELLED.values())
-        or _HINT.search(text) is not None
-        or " @ " in text
-        or sum(map(lower.count, DIGIT_WORDS)) >= 4
-        or ("o" in lower or "l" in lower) and _LOOKALIKE.search(text) is not None
-    )
+def _folds(text: str) -> bool:
+    """Whether `fold` changes the text; its distinct characters tell."""
+    return not text.isascii() and any(_FOLD[ord(c)] != c for c in set(text) if c > "\x7f")
 
 
 def normalised(text: str) -> Aligned:
-    """`text` after the transducers for homoglyphs, digit words, look-alike digits, dots and ats."""
+    """`text` after the transducers for homoglyphs, digit words, look-alike digits, dots and ats.
+
+    A transducer is left out only where a word or character that each of its matches holds is missing.
+    """
     out = Aligned(text)
-    out.fold()
-    edits = []
-    for run in _SPELLED_RUN.finditer(out.text):
-        digits = list(_SPELLED_DIGIT.finditer(out.text, run.start(), run.end()))
-        if len(digits) < 2:
-            edits.append((*digits[0].span(), DIGIT_WORDS[digits[0][0].lower()]))
-            continue
-        for this, after in zip(digits, [*digits[1:], None]):
-            # The blank between two spelled digits goes with the former.
-            edits.append((this.start(), after.start() if after else this.end(), DIGIT_WORDS[this[0].lower()]))
-    out.rewrite(edits)
-    out.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(out.text)])
+    if _folds(text):
+        out.fold()
+    lower = out.text.lower()
+    if any(word in lower for word in DIGIT_WORDS):
+        edits = []
+        for run in _SPELLED_RUN.finditer(out.text):
+            digits = list(_SPELLED_DIGIT.finditer(out.text, run.start(), run.end()))
+            if len(digits) < 2:
+                edits.append((*digits[0].span(), DIGIT_WORDS[digits[0][0].lower()]))
+                continue
+            for this, after in zip(digits, [*digits[1:], None]):
+                # The blank between two spelled digits goes with the former.
+                edits.append((this.start(), after.start() if after else this.end(), DIGIT_WORDS[this[0].lower()]))
+        out.rewrite(edits)
+    if "plus" in lower or not text.isascii():
+        out.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(out.text)])
     out.rewrite([(*m.span(), m[0].translate(_LOOKS)) for m in _LOOKALIKE.finditer(out.text)])
-    out.rewrite([(*m.span(), "@") for m in _AT.finditer(out.text)])
-    out.rewrite([(*m.span(), ".") for m in _DOT.finditer(out.text)])
-    out.rewrite([(*m.span(), ".") for m in _DIGIT_DOT.finditer(out.text)])
-    out.rewrite([(*m.span(), "@") for m in _SPACED_AT.finditer(out.text)])
-    for (at, _), pattern in zip(SPELLED.items(), _BARE):
+    if _HINT.search(out.text):
+        out.rewrite([(*m.span(), "@") for m in _AT.finditer(out.text)])
+        out.rewrite([(*m.span(), ".") for m in _DOT.finditer(out.text)])
+    if "dot" in lower:
+        out.rewrite([(*m.span(), ".") for m in _DIGIT_DOT.finditer(out.text)])
+    if "@" in out.text:
+        out.rewrite([(*m.span(), "@") for m in _SPACED_AT.finditer(out.text)])
+    for (at, dot), pattern in zip(SPELLED.items(), _BARE):
+        # Some letters outside ASCII match i in any case; they have other lower-case forms.
+        if dot not in lower and text.isascii():
+            continue
         edits = []
         for m in pattern.finditer(out.text):
             if m[3].lower() in TOP_LEVELS:
@@ -205,12 +210,11 @@ def private_spans(text: str) -> tuple[dict, dict]:
     """(plain, disguised) spans by kind, in code points of `text`."""
     plain = detect(text)
     more: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
-    if _disguised(text, text.lower()):
-        out = normalised(text)
-        if out.text != text:
-            for kind, spans in detect(out.text).items():
-                mapped = (out.source(a, b) for a, b in spans)
-                more[kind] = [s for s in mapped if _new(s, plain[kind])]
+    out = normalised(text)
+    if out.text != text:
+        for kind, spans in detect(out.text).items():
+            mapped = (out.source(a, b) for a, b in spans)
+            more[kind] = [s for s in mapped if _new(s, plain[kind])]
     return plain, more
 
 

@@ -81,6 +81,34 @@ def test_disguised_spans_map_back(text, kind, span):
     assert span in [text[a:b] for a, b in more[kind] + base[kind]]
 
 
+ALONE = [
+    ("card 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+    ("+1 415 555 01 two", "phone", "+1 415 555 01 two"),
+    ("plus 49 30 1234567", "phone", "plus 49 30 1234567"),
+    ("৪১১১১১১১১১১১১১১১", "card", "৪১১১১১১১১১১১১১১১"),
+    ("๑๐.๒๐.๓๐.๔๐", "ip", "๑๐.๒๐.๓๐.๔๐"),
+    ("④①①①①①①①①①①①①①①①", "card", "④①①①①①①①①①①①①①①①"),
+    ("+⁴⁴ 20 7946 0958", "phone", "+⁴⁴ 20 7946 0958"),
+    ("jane﹫example.com", "email", "jane﹫example.com"),
+    ("ⓙane@example.com", "email", "ⓙane@example.com"),
+    ("jane\t@\texample.com", "email", "jane\t@\texample.com"),
+    ("10\tdot\t20\tdot\t30\tdot\t40", "ip", "10\tdot\t20\tdot\t30\tdot\t40"),
+    ("jane at example\tdot\tcom", "email", "jane at example\tdot\tcom"),
+]
+
+
+@pytest.mark.parametrize("text, kind, span", [*DISGUISED, *ALONE])
+def test_what_is_found_does_not_depend_on_the_rest_of_the_text(text, kind, span):
+    around = "None stood alone, someone wrote; often nine or ten gone. ＡＢ (at) the end. "
+    for before, after in (("", ""), (around, ""), ("", "; " + around), (around, "; " + around)):
+        base, more = private_spans(before + text + after)
+        assert span in [(before + text + after)[a:b] for a, b in more[kind] + base[kind]]
+
+
+def test_letters_that_only_fold_to_ascii_beside_digit_words():
+    assert private_spans("fİve sİx eİght nİne one two three four")[1]["card"] == []
+
+
 @pytest.mark.parametrize(
     "text",
     ["look at the dot on this page", "we met at noon. dot dot dot", "one two three, at home", "a (at) b", "Привет, мир 2024", "stare at polka dot dresses", "point at this point in time"],

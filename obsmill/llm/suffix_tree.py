@@ -11,25 +11,27 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from obsmill.llm.shared import LOWER, mixed
 from obsmill.sinks.paths import written
 
-#: The next words of a context are first compared in this many classes by hash.
-CLASSES = 16
-#: A context is looked at if it occurs this often, and kept if it tells this many nats a word.
+#: A context is tested if it occurs this often.
 LEAST_COUNT = 24
-DIVERGENCE = 0.9
+#: One of this many texts, by hash, is held out when the least divergence of a context is set.
+FOLDS = 8
+#: Least divergences are tried in steps of this many nats.
+STEP = 0.05
 #: Taken off each seen next word's count and given to the shorter context.
 DISCOUNT = 0.75
-#: Words whose counts every task holds: the most frequent ones, this many at most. The rest are joined.
+#: Words whose counts, and tokens in context whose gains, every task holds: the most frequent ones, this
+#: many of each at most. The rest are joined.
 FREQUENT = 1 << 17
 #: Counts up to this are told apart when the least count of a frequent word is sought, larger ones by
 #: eighths of a doubling.
 EXACT_COUNTS = 1 << 10
-#: Bits of the map that tells tasks which tokens may follow a kept context.
+#: Bits of the maps that tell tasks which tokens may follow a context.
 MAP_BITS = 1 << 22
 #: Word pairs counted together before they leave a task.
 FLUSH = 3_000_000
-#: A word is its hash without the low bits, in which a class has its place.
-_WORD = np.uint64((1 << 64) - CLASSES)
-END = np.uint64(CLASSES)
+#: A word is its hash without the low bits; the end and a missing word are numbers of their own.
+_WORD = np.uint64((1 << 64) - 32)
+END = np.uint64(16)
 NONE = np.uint64(0)
 
 
@@ -40,77 +42,115 @@ def tokens(text: str | None) -> np.ndarray:
     return np.append(out, END)
 
 
-def _class(words: np.ndarray) -> np.ndarray:
-    return mixed(words) & np.uint64(CLASSES - 1)
+def _context(far: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """A hash of contexts; one word alone has no far word."""
+    return mixed(mixed(far) + near)
 
 
-def _bit(words: np.ndarray) -> np.ndarray:
-    return (mixed(words) >> np.uint64(20)) & np.uint64(MAP_BITS - 1)
+def _bit(contexts: np.ndarray) -> np.ndarray:
+    return (contexts >> np.uint64(20)) & np.uint64(MAP_BITS - 1)
 
 
-def _successions(training: DataFrame) -> DataFrame:
-    """(word, n, classes) of the training texts: its count, and what class of word comes next.
+def _counted(training: DataFrame, width: int, bits=None) -> DataFrame:
+    """Runs of `width` words (far, near, next or near, next) of the training texts, n and held.
 
-    Each word is followed by one token, so counts of words are sums over the next word's classes.
-    Classes are kept for words that can be contexts. Tasks count before the shuffle, so a frequent
-    word is a few rows a task.
+    `held` is the part of n in held-out texts. With a map only runs after its contexts are counted.
+    Tasks count before the shuffle, and runs are grouped as a whole, so a hot context's counts are
+    spread by its next words.
     """
+    names = ["far", "near", "next"][3 - width :]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        wanted = None if bits is None else np.unpackbits(bits.value, bitorder="little").astype(bool)
+        held: list[tuple] = []
         size = 0
 
         def flushed() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
+            runs = [np.concatenate([h[k] for h in held] or [np.zeros(0, np.uint64)]) for k in range(width)]
+            out = np.concatenate([h[width] for h in held] or [np.zeros(0, np.int64)])
+            order = np.lexsort(runs[::-1])
+            runs, out = [r[order] for r in runs], out[order]
+            new = np.ones(len(out), bool)
+            if len(out):
+                new[1:] = np.any([r[1:] != r[:-1] for r in runs], axis=0)
+            at = np.flatnonzero(new)
+            n = np.diff(np.append(at, len(out)))
+            part = np.add.reduceat(out, at) if len(at) else out
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array((keys & _WORD).view(np.int64)),
-                    pa.array((keys & ~_WORD).astype(np.int32)),
-                    pa.array(n.astype(np.int64)),
-                ],
-                names=["word", "class", "n"],
+                [*(pa.array(r[at].view(np.int64)) for r in runs), pa.array(n.astype(np.int64)), pa.array(part)],
+                names=[*names, "n", "held"],
             )
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 own = tokens(text)
-                held.append(own[:-1] | _class(own[1:]))
-                size += len(own)
+                runs = [own[k : len(own) - width + 1 + k] for k in range(width)] if len(own) >= width else []
+                if not runs:
+                    continue
+                if wanted is not None:
+                    asked = wanted[_bit(_context(runs[0], runs[1]))]
+                    runs = [r[asked] for r in runs]
+                out = int(xxhash.xxh3_64_intdigest((text or "").encode(), seed=1) % FOLDS == 0)
+                held.append((*runs, np.full(len(runs[0]), out, np.int64)))
+                size += len(runs[0])
                 if size > FLUSH:
                     yield flushed()
                     held, size = [], 0
         yield flushed()
 
-    counted = training.select("_text").mapInArrow(count, "word long, class int, n long")
-    each = counted.repartition("word").groupBy("word", "class").agg(F.sum("n").alias("n"))
-    listed = F.collect_list(F.struct("class", "n"))
-    return each.groupBy("word").agg(
-        F.sum("n").alias("n"), F.when(F.sum("n") >= LEAST_COUNT, listed).alias("classes")
+    schema = ", ".join(f"{c} long" for c in [*names, "n", "held"])
+    counted = training.select("_text").mapInArrow(count, schema)
+    return counted.groupBy(*names).agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
+
+
+def _tested(runs: DataFrame, context: list[str]) -> DataFrame:
+    """(context, told, learned_told, gain): by how many nats a context's next words diverge from the
+    shorter one's, by all texts and by those not held out, and what it gains on the held-out ones.
+
+    `runs` has n, held, total, learned (total without held) and p and q (of the context and of the
+    shorter one), p_learned and q_learned. An estimate from few words diverges by itself; its mean
+    excess is taken off.
+    """
+    own = F.col("n") - F.col("held")
+    told = F.col("n") / F.col("total") * F.log(F.col("n") / F.col("total") / F.col("q"))
+    learned = F.when(own > 0, own / F.col("learned") * F.log(own / F.col("learned") / F.col("q_learned")))
+    gain = F.when((F.col("held") > 0) & (F.col("learned") > 0), F.col("held") * F.log(F.col("p_learned") / F.col("q_learned")))
+    return runs.groupBy(*context).agg(
+        (F.sum(told) - (F.first("kinds") - 1) / (2 * F.first("total"))).alias("told"),
+        (F.sum(learned) - (F.first("learned_kinds") - 1) / (2 * F.first("learned"))).alias("learned_told"),
+        F.sum(gain).alias("gain"),
     )
 
 
-def _kept(words: DataFrame) -> DataFrame:
-    """Words kept as contexts: what comes next diverges from what comes next anywhere."""
-    able = words.filter("classes is not null")
-    shares = {
-        r["class"]: r["n"]
-        for r in able.select(F.explode("classes").alias("c")).groupBy("c.class").agg(F.sum("c.n").alias("n")).collect()
-    }
-    total = sum(shares.values())
-    share = F.array(*[F.lit((shares.get(k, 0) + 1) / (total + CLASSES)) for k in range(CLASSES)])
-    told = F.aggregate(
-        "classes",
-        F.lit(0.0),
-        lambda s, c: s + c["n"] / F.col("n") * F.log(c["n"] / F.col("n") / F.get(share, c["class"])),
+def _threshold(tested: DataFrame) -> float:
+    """The least divergence that gives held-out texts the greatest likelihood; without gain none is kept."""
+    step = F.floor(F.col("learned_told") / STEP)
+    bins = tested.filter("learned_told is not null and gain is not null").groupBy(step.alias("step")).agg(F.sum("gain").alias("gain")).collect()
+    best, at, total = 0.0, float("inf"), 0.0
+    for row in sorted(bins, key=lambda r: -r["step"]):
+        total += row["gain"]
+        if total > best:
+            best, at = total, row["step"] * STEP
+    return at
+
+
+def _with_p(runs: DataFrame, context: list[str]) -> DataFrame:
+    """Adds to runs with q the totals and kinds of their contexts, p and p_learned."""
+    own = F.col("n") - F.col("held")
+    totals = runs.groupBy(*context).agg(
+        F.sum("n").alias("total"), F.sum(own).alias("learned"), F.count("*").alias("kinds"), F.count_if(own > 0).alias("learned_kinds")
+    )
+    return (
+        runs.join(totals, context)
+        .withColumn("p", _p(F.col("n"), F.col("total"), F.col("kinds"), F.col("q")))
+        .withColumn("p_learned", F.when(F.col("learned") > 0, _p(own, F.col("learned"), F.col("learned_kinds"), F.col("q_learned"))))
     )
-    # An estimate from few words diverges by itself; its mean excess is taken off.
-    return able.filter(told - (CLASSES - 1) / (2 * F.col("n")) >= DIVERGENCE).select("word")
 
 
-def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Words, in order, and counts of all words from the least count that `FREQUENT` words or fewer reach.
+def _least(counts: DataFrame) -> int:
+    """The least n that `FREQUENT` rows or fewer reach; 0 if none does.
 
-    A histogram of counts, of some thousand bins, tells that count, so that no partition sends words
+    A histogram of counts, of some thousand bins, tells that count, so that no partition sends rows
     that are not among them.
     """
     step = F.when(F.col("n") <= EXACT_COUNTS, F.col("n")).otherwise(EXACT_COUNTS + F.ceil(8 * F.log2(F.col("n") / EXACT_COUNTS)))
@@ -121,30 +161,47 @@ def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if words > FREQUENT:
             break
         least = row["least"]
+    return least
+
+
+def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Words, in order, and counts of all words from the least count that `FREQUENT` words or fewer reach."""
+    least = _least(counts)
     top = counts.filter(F.col("n") >= least).collect() if least else []
     frequent = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(frequent)
     return frequent[order], np.array([r["n"] for r in top], np.float64)[order]
 
 
+def _hot(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, in order, and gains of the most frequent tokens in context, `FREQUENT` at most."""
+    least = _least(seen)
+    top = seen.filter(F.col("n") >= least).select("far", "near", "next", "gain").collect() if least else []
+    far, near, own = (np.array([r[c] for r in top], np.int64).view(np.uint64) for c in ("far", "near", "next"))
+    hashed = _context(_context(far, near), own)
+    order = np.argsort(hashed)
+    return hashed[order], np.array([r["gain"] for r in top], np.float64)[order]
+
+
 def _map(kept: DataFrame) -> np.ndarray:
-    """The bit map of the kept contexts, put together from at most `MAP_BITS` / 32 rows."""
+    """The bit map of contexts (far, near), put together from at most `MAP_BITS` / 32 rows."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.unique(_bit(np.asarray(batch.column(0)).view(np.uint64))).astype(np.int64)
+            found = np.unique(_bit(_context(*(np.asarray(c).view(np.uint64) for c in batch.columns)))).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found)], names=["place"])
 
     bit = F.expr("shiftleft(1L, cast(place % 32 as int))")
     packed = np.zeros(MAP_BITS // 32, "<u4")
-    for row in kept.mapInArrow(places, "place long").groupBy(F.expr("place div 32").alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
+    for row in kept.select("far", "near").mapInArrow(places, "place long").groupBy(F.expr("place div 32").alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
         packed[row["at"]] = row["bits"]
     return packed.view(np.uint8)
 
 
-def _read(rows: DataFrame, frequent, kept, scale: float) -> DataFrame:
-    """One row a text: its share of the base score from frequent words, its rare words, and the
-    tokens (two words back, one back, itself) after words that the map says may be contexts."""
+def _read(rows: DataFrame, frequent, hot, kept, scale: float) -> DataFrame:
+    """One row a text: its share of the base score from frequent words, its rare words, the gain of
+    its frequent tokens in context, and the other tokens (two words back, one back, itself) after
+    what the map says may be contexts. The word two back is left out where it can't be in one."""
     schema = T.StructType(
         [
             T.StructField("_row", T.LongType()),
@@ -153,38 +210,46 @@ def _read(rows: DataFrame, frequent, kept, scale: float) -> DataFrame:
             T.StructField("n_tokens", T.LongType()),
             T.StructField("n_known", T.LongType()),
             T.StructField("base", T.DoubleType()),
+            T.StructField("hot_gain", T.DoubleType()),
             *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("rare", "rare_n", "far", "near", "next", "next_n")],
         ]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = frequent.value
+        known, gains = hot.value
         bits = np.unpackbits(kept.value, bitorder="little").astype(bool)
         at = TaskContext.get().partitionId() << 33
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
-                columns: list[list] = [[] for _ in range(9)]
+                columns: list[list] = [[] for _ in range(10)]
                 for text in part.column("_text").to_pylist():
                     own = tokens(text)
                     distinct, n = np.unique(own, return_counts=True)
                     k = np.minimum(np.searchsorted(words, distinct), max(len(words) - 1, 0))
                     held = words[k] == distinct if len(words) else np.zeros(len(distinct), bool)
                     c = counts[k[held]] if len(words) else np.zeros(0)
-                    after = np.flatnonzero(bits[_bit(own[:-1])])
-                    far = np.where(after > 0, own[after - 1], NONE)
+                    near, own_next = own[:-1], own[1:]
+                    far = np.append(NONE, own[:-2]) if len(near) else near
+                    far = np.where((far != NONE) & bits[_bit(_context(far, near))], far, NONE)
+                    hashed = _context(_context(far, near), own_next)
+                    g = np.minimum(np.searchsorted(known, hashed), max(len(known) - 1, 0))
+                    hit = known[g] == hashed if len(known) else np.zeros(len(near), bool)
+                    hot_gain = float(gains[g[hit]].sum()) if len(known) else 0.0
+                    after = np.flatnonzero(~hit & ((far != NONE) | bits[_bit(_context(np.zeros_like(near), near))]))
                     trio, times = np.unique(
-                        np.stack([far, own[after], own[after + 1]], axis=1), axis=0, return_counts=True
+                        np.stack([far[after], near[after], own_next[after]], axis=1), axis=0, return_counts=True
                     ) if len(after) else (np.zeros((0, 3), np.uint64), np.zeros(0, np.int64))
                     made = (
-                        len(own), int(n[held].sum()), float((n[held] * np.log10((c + 1) / scale)).sum()),
+                        len(own), int(n[held].sum()), float((n[held] * np.log10((c + 1) / scale)).sum()), hot_gain,
                         distinct[~held].view(np.int64), n[~held], *(trio[:, j].copy().view(np.int64) for j in range(3)), times,
                     )
                     for column, value in zip(columns, made):
                         column.append(value)
                 ids = np.arange(at, at + part.num_rows, dtype=np.int64)
                 at += part.num_rows
-                kinds = [pa.int64(), pa.int64(), pa.float64(), *[pa.list_(pa.int64())] * 6]
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), *[pa.list_(pa.int64())] * 6]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids), part.column("_id"), part.column("_trained"), *map(pa.array, columns, kinds)],
                     names=schema.fieldNames(),
@@ -198,43 +263,52 @@ def _p(count: Column, total: Column, kinds: Column, shorter: Column) -> Column:
     return (F.greatest(count - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * shorter) / total
 
 
-def _gains(trios: DataFrame, words: DataFrame, kept: DataFrame, scale: float) -> DataFrame:
-    """(far, near, next, gain): log10 of the longest kept context's probability over the root's.
+def _seen(pairs: DataFrame, trios, counts: DataFrame, scale: float, learned_scale: float) -> tuple[DataFrame, DataFrame]:
+    """States of the tree and their seen next words.
 
-    `trios` has each distinct token in context with its training count `n`. A word alone is a
-    context if kept; two words are if the latter is, they occur often enough, and their next words
-    diverge from the latter's.
+    (far, near, rest): the kept contexts and log10 of what they give the shorter context for an
+    unseen word; (far, near, next, n, gain): log10 of the probability over the root's. far is 0 in
+    contexts of one word. `trios` gives the runs after the contexts of a table. Contexts of two
+    words are tested whether or not their last word alone is kept, which then joins them.
     """
-    trios = trios.join(kept.withColumnRenamed("word", "near"), "near", "left_semi")
-    root = words.select(F.col("word").alias("next"), F.col("n").alias("_w"))
-    pairs = trios.groupBy("near", "next").agg(F.sum("n").alias("_pair"))
-    ones = pairs.groupBy("near").agg(F.sum("_pair").alias("_one"), F.count_if(F.col("_pair") > 0).alias("_one_kinds"))
-    p_root = (F.coalesce("_w", F.lit(0)) + 1) / F.lit(scale)
-    pairs = (
-        pairs.join(root, "next", "left").join(ones, "near")
-        .withColumn("_p0", p_root)
-        .withColumn("_p1", _p(F.col("_pair"), F.col("_one"), F.col("_one_kinds"), F.col("_p0")))
-        .select("near", "next", "_p0", "_p1")
+    often = pairs.groupBy("near").agg(F.sum("n").alias("_all")).filter(F.col("_all") >= LEAST_COUNT).select("near")
+    root = counts.select(F.col("word").alias("next"), F.col("n").alias("_c"), F.col("held").alias("_h"))
+    rooted = pairs.join(often, "near").join(root, "next").select(
+        "near", "next", "n", "held",
+        ((F.col("_c") + 1) / F.lit(scale)).alias("q"), ((F.col("_c") - F.col("_h") + 1) / F.lit(learned_scale)).alias("q_learned"),
     )
-    twos = (
-        trios.filter(F.col("far") != 0)
-        .groupBy("far", "near")
-        .agg(F.sum("n").alias("_two"), F.count_if(F.col("n") > 0).alias("_two_kinds"))
-        .filter(F.col("_two") >= LEAST_COUNT)
-    )
-    joined = written(trios.join(pairs, ["near", "next"]), "pairs")
-    asked = joined.join(twos, ["far", "near"])
-    told = F.when(F.col("n") > 0, F.col("n") / F.col("_two") * F.log(F.col("n") / F.col("_two") / F.col("_p1")))
-    longer = (
-        asked.groupBy("far", "near")
-        .agg(F.sum(told).alias("_told"), F.first("_two").alias("_two"), F.first("_two_kinds").alias("_two_kinds"))
-        .filter(F.col("_told") - (F.col("_two_kinds") - 1) / (2 * F.col("_two")) >= DIVERGENCE)
-        .drop("_told")
-    )
-    p2 = F.when(F.col("_two").isNotNull(), _p(F.col("n"), F.col("_two"), F.col("_two_kinds"), F.col("_p1"))).otherwise(F.col("_p1"))
-    return joined.join(longer, ["far", "near"], "left").select(
-        "far", "near", "next", (F.log10(p2) - F.log10("_p0")).alias("gain")
+    ones = written(_with_p(rooted, ["near"]), "ones")
+    tested = written(_tested(ones, ["near"]), "tested")
+    kept = tested.filter(F.col("told") >= _threshold(tested)).select("near")
+    able = pairs.filter(F.col("n") >= LEAST_COUNT).select(F.col("near").alias("far"), F.col("next").alias("near")).filter(F.col("near") != int(END))
+    able = written(able, "able")
+    shorter = ones.select("near", "next", F.col("q").alias("p0"), F.col("p").alias("q"), F.col("p_learned").alias("q_learned"))
+    after = written(trios(able), "trios").join(able, ["far", "near"], "left_semi").join(shorter, ["near", "next"])
+    twos = written(_with_p(after, ["far", "near"]), "twos")
+    tested = written(_tested(twos, ["far", "near"]), "tested")
+    longer = written(tested.filter(F.col("told") >= _threshold(tested)).select("far", "near"), "longer")
+    kept = written(kept.union(longer.select("near")).distinct(), "kept")
+    one, two = ones.join(kept, "near"), twos.join(longer, ["far", "near"])
+    none = F.lit(0).cast("long").alias("far")
+    rest = F.log10(DISCOUNT * F.first("kinds") / F.first("total")).alias("rest")
+    states = one.groupBy("near").agg(rest).select(none, "near", "rest").union(two.groupBy("far", "near").agg(rest).select("far", "near", "rest"))
+    seen = one.select(none, "near", "next", "n", F.log10(F.col("p") / F.col("q")).alias("gain")).union(
+        two.select("far", "near", "next", "n", F.log10(F.col("p") / F.col("p0")).alias("gain"))
     )
+    return written(states, "states"), written(seen, "seen")
+
+
+def _gains(trios: DataFrame, states: DataFrame, seen: DataFrame) -> DataFrame:
+    """(far, near, next, gain) of distinct tokens in context, by the longest state of each."""
+    seen = seen.select("far", "near", "next", "gain")
+    short = seen.filter("far = 0").select("near", "next", F.col("gain").alias("_short"))
+    long = seen.filter("far != 0").withColumnRenamed("gain", "_long")
+    one = states.filter("far = 0").select("near", F.col("rest").alias("_rest"))
+    two = states.filter("far != 0").withColumnRenamed("rest", "_more")
+    by_one = F.coalesce("_short", "_rest", F.lit(0.0))
+    found = trios.join(short, ["near", "next"], "left").join(one, "near", "left")
+    found = found.join(long, ["far", "near", "next"], "left").join(two, ["far", "near"], "left")
+    return found.select("far", "near", "next", F.coalesce("_long", F.col("_more") + by_one, by_one).alias("gain"))
 
 
 def score(documents: DataFrame, trained: Column, identifier: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,13 +317,16 @@ def score(documents: DataFrame, trained: Column, identifier: str = "doc_id", tex
     Tokens are a text's words, A-Z in lower case, then one end. The model learns from the rows where
     `trained` holds. Its root gives a word (c + 1) / (N + V + 1), and `base_score` sums log10 of
     that. Contexts of one and two words are states of a suffix tree if they occur `LEAST_COUNT`
-    times and their next words diverge from the shorter context's by `DIVERGENCE` nats; a state's
-    distribution is discounted and filled up from the shorter context's. A token is scored by its
-    longest state; `score` sums log10 of that.
+    times and their next words diverge from the shorter context's; the last word of a state of two
+    is a state too. For each length the least divergence is the one that gives most to the
+    likelihood of one training text in `FOLDS`, under a model of the others. A state's distribution
+    is discounted and filled up from the shorter context's. A token is scored by its longest state;
+    `score` sums log10 of that.
 
     Counts cover all training rows and grow with them. Tasks hold the `FREQUENT` commonest words'
-    counts and a bit map of `MAP_BITS` of kept contexts; both are of fixed size. Rare words and
-    tokens after kept contexts are shuffled, counted before that, and joined.
+    counts, as many gains of tokens in context and a bit map of `MAP_BITS` of contexts; all are of
+    fixed size. Rare words and other tokens after kept contexts are shuffled, counted before that,
+    and joined.
 
     A null text is empty and has one token, the end. A null `trained` counts as false. Repeated
     rows are learned from and scored each; an empty table gives no rows.
@@ -259,17 +336,21 @@ def score(documents: DataFrame, trained: Column, identifier: str = "doc_id", tex
         F.col(identifier).alias("_id"), F.col(text).alias("_text"), F.coalesce(trained, F.lit(False)).alias("_trained")
     )
     training = rows.filter("_trained")
-    words = written(_successions(training), "words")
+    pairs = written(_counted(training, 2), "pairs")
+    words = written(pairs.groupBy(F.col("near").alias("word")).agg(F.sum("n").alias("n"), F.sum("held").alias("held")), "words")
     ends = training.count()
-    known = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    out = pairs.filter(F.col("next") == int(END)).agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+    known = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0))).first()
     learned, distinct = known[1] + ends, known[0] + int(ends > 0)
     scale = float(learned + distinct + 1)
-    end = spark.createDataFrame([(int(END), ends)][: int(ends > 0)], "word long, n long")
-    counts = words.select("word", "n").union(end)
-    held = spark.sparkContext.broadcast(_frequent(counts))
-    kept = written(_kept(words), "kept")
-    mapped = spark.sparkContext.broadcast(_map(kept))
-    read = written(_read(rows, held, mapped, scale), "read")
+    end = spark.createDataFrame([(int(END), ends, out)][: int(ends > 0)], "word long, n long, held long")
+    counted = words.union(end)
+    counts = counted.select("word", "n")
+    shared = spark.sparkContext.broadcast
+    held = shared(_frequent(counts))
+    trios_of = lambda able: _counted(training, 3, shared(_map(able)))
+    states, seen = _seen(pairs, trios_of, counted, scale, scale - known[2] - out)
+    read = written(_read(rows, held, shared(_hot(seen)), shared(_map(states)), scale), "read")
     rare = read.select("_row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("_row", "x.*")
     found = rare.join(counts.withColumnRenamed("word", "rare"), "rare", "left")
     c = F.coalesce("n", F.lit(0))
@@ -278,16 +359,14 @@ def score(documents: DataFrame, trained: Column, identifier: str = "doc_id", tex
         F.sum(F.when(c > 0, F.col("rare_n")).otherwise(0)).alias("_known"),
     )
     in_context = read.filter(F.size("next") > 0).select(
-        "_row", "_trained", F.explode(F.arrays_zip("far", "near", "next", "next_n")).alias("x")
-    ).select("_row", "_trained", "x.*")
-    trios = in_context.groupBy("far", "near", "next").agg(
-        F.sum(F.when(F.col("_trained"), F.col("next_n")).otherwise(0)).alias("n")
-    )
-    gains = written(_gains(written(trios, "trios"), counts, kept, scale), "gains")
+        "_row", F.explode(F.arrays_zip("far", "near", "next", "next_n")).alias("x")
+    ).select("_row", "x.*")
+    trios = in_context.select("far", "near", "next").distinct()
+    gains = written(_gains(trios, states, seen), "gains")
     gained = in_context.join(gains, ["far", "near", "next"]).groupBy("_row").agg(F.sum(F.col("next_n") * F.col("gain")).alias("_gain"))
     total = F.col("base") + F.coalesce("_base", F.lit(0.0))
     return (
-        read.select("_row", "_id", "_trained", "n_tokens", "n_known", "base")
+        read.select("_row", "_id", "_trained", "n_tokens", "n_known", "base", "hot_gain")
         .join(base, "_row", "left")
         .join(gained, "_row", "left")
         .select(
@@ -297,6 +376,6 @@ def score(documents: DataFrame, trained: Column, identifier: str = "doc_id", tex
             (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
             F.lit(learned).cast("long").alias("train_tokens"),
             total.alias("base_score"),
-            (total + F.coalesce("_gain", F.lit(0.0))).alias("score"),
+            (total + F.col("hot_gain") + F.coalesce("_gain", F.lit(0.0))).alias("score"),
         )
     )

@@ -38,3 +38,31 @@ def test_nothing_to_learn_from(spark):
     (row,) = suffix_tree.score(documents, F.lit(False)).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.score) == (3, 0, 0, 0.0)
     assert suffix_tree.score(documents.limit(0), F.lit(True)).count() == 0
+
+
+def test_a_two_word_context_counts_though_its_last_word_alone_tells_nothing(spark):
+    draw = random.Random(5)
+    rows = []
+    for k in range(600):
+        words = []
+        for _ in range(25):
+            lead = f"l{draw.randint(0, 39)}"
+            # After "the" alone any of 40 words comes; the word before tells which.
+            words += [lead, "the", f"n{lead}", *(f"r{draw.randint(0, 300)}" for _ in range(3))]
+        rows.append((k, " ".join(words)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [r for r in suffix_tree.score(documents, F.col("doc_id") % 4 != 0).collect() if not r.trained]
+    per_lead = sum(r.score - r.base_score for r in found) / (25 * len(found))
+    # "the" after a lead and its word are sure, 40 equally likely words before: both are learned.
+    assert per_lead > 2.0
+
+
+def test_gains_held_by_tasks_and_joined_ones_agree(spark, monkeypatch):
+    draw = random.Random(9)
+    rows = [(k, " ".join(f"w{min(draw.randint(0, 30), draw.randint(0, 30))}" if draw.random() < 0.6 else "x y z" for _ in range(60))) for k in range(200)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = []
+    for n in (1 << 17, 3):
+        monkeypatch.setattr(suffix_tree, "FREQUENT", n)
+        scores.append({r.doc_id: round(r.score, 6) for r in suffix_tree.score(documents, F.col("doc_id") % 3 != 0).collect()})
+    assert scores[0] == scores[1]

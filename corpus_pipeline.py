@@ -10,8 +10,9 @@ from obsmill.llm import contamination, language_filters, mixing, overlap_join, s
 from obsmill.llm.shared import remainder, table
 from obsmill.sinks.paths import written
 
-#: A document is rejected if its likeliest language holds less than this of its letter trigrams.
-LEAST_LANGUAGE = 0.25
+#: A document is rejected if its likeliest language holds less of its letter trigrams than this part
+#: of what the language holds of half of its own labelled documents.
+LEAST_OF_USUAL = 0.3
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -19,12 +20,30 @@ def _whole(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
 
 
+def _usual(docs: DataFrame, filters: language_filters.Filters) -> dict[str, float]:
+    """By language: the median score of the documents that bear its label and are found to be in it."""
+    labelled = docs.select(F.col("lang").cast("string").alias("own"), "text").filter("own is not null")
+    scored = language_filters.language(labelled, filters, identifier="own").filter("own = lang_pred")
+    return {r[0]: r[1] for r in scored.groupBy("own").agg(F.percentile_approx("score", 0.5)).collect()}
+
+
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or of no language that the labelled ones teach, go."""
-    filters = language_filters.learn(docs.filter(remainder("doc_id", 3) != 1))
+    """Documents without a letter, or of no language that the labelled ones teach, go.
+
+    What a language usually holds is told by documents that it didn't learn from; a language that
+    has none is measured on those that it did learn from.
+    """
+    held_out = remainder("doc_id", 3) == 1
+    filters = language_filters.learn(docs.filter(~held_out))
+    usual = _usual(docs.filter(held_out), filters)
+    untold = [name for name in filters.languages if name not in usual]
+    if untold:
+        usual |= _usual(docs.filter(F.col("lang").cast("string").isin(untold)), filters)
     decided = language_filters.language(_whole(docs), filters, identifier="row")
-    known = (F.col("lang_pred") != language_filters.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)
-    return decided.filter(known).select("row.*")
+    rows = [(name, LEAST_OF_USUAL * score) for name, score in usual.items()]
+    least = F.broadcast(spark.createDataFrame(rows, "lang_pred string, _least double"))
+    known = decided.filter(F.col("lang_pred") != language_filters.UNKNOWN).join(least, "lang_pred", "left")
+    return known.filter(F.col("score") >= F.coalesce("_least", F.lit(0.0))).select("row.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,19 +5,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from obsmill.llm.shared import mixed, pieces
+from obsmill.sinks.paths import written
 
 UNKNOWN = "und"
 GRAM = 3
-#: A language's filter holds its most frequent n-grams, this many at most: the model's size.
-GRAMS_PER_LANGUAGE = 6_000
 #: An n-gram belongs to the languages that use it at least this share as often as its first user.
 SHARE = 0.3
-#: Rows of the filter for each n-gram held, and rows that each n-gram sets.
+#: Rows of the filter for each n-gram held, and rows that each n-gram sets. A filter of more than
+#: `MOST_ROWS` rows has fewer a n-gram, at least `LEAST_ROWS_PER_GRAM`; its false rate, taken off the
+#: scores, is greater, but it holds every n-gram.
 ROWS_PER_GRAM = 16
+LEAST_ROWS_PER_GRAM = 2
+MOST_ROWS = 1 << 24
 HASHES = 2
+#: Rows of the filter that come to the driver as one value.
+BLOCK = 1 << 12
 MOST_LANGUAGES = 4096
 #: Characters worked on at once; longer texts are cut into pieces that overlap.
 PIECE = 1_000_000
@@ -67,11 +72,21 @@ class Filters:
 
     @staticmethod
     def of(languages: list[str], held: list[np.ndarray]) -> "Filters":
-        size = 1 << max(12, int(ROWS_PER_GRAM * max(map(len, held), default=1)).bit_length())
+        size = Filters.size(max(map(len, held), default=1))
         rows = np.zeros((size, max(1, -(-len(languages) // 64))), np.uint64)
         for k, own in enumerate(held):
             for at in Filters._places(own, size):
                 np.bitwise_or.at(rows[:, k // 64], at, np.uint64(1 << (k % 64)))
+        return Filters.filled(languages, rows)
+
+    @staticmethod
+    def size(most: int) -> int:
+        """Rows of a filter whose largest language has `most` n-grams."""
+        wanted = 1 << max(12, int(ROWS_PER_GRAM * most).bit_length())
+        return wanted if wanted <= MOST_ROWS else max(MOST_ROWS, 1 << int(LEAST_ROWS_PER_GRAM * most).bit_length())
+
+    @staticmethod
+    def filled(languages: list[str], rows: np.ndarray) -> "Filters":
         full = [float((rows[:, k // 64] >> np.uint64(k % 64) & np.uint64(1)).mean()) for k in range(len(languages))]
         return Filters(languages, rows, np.array(full) ** HASHES)
 
@@ -125,38 +140,53 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def learn(
-    documents: DataFrame,
-    text: str = "text",
-    lang: str = "lang",
-    per_language: int = GRAMS_PER_LANGUAGE,
-    share: float = SHARE,
-) -> Filters:
-    """Filters from labelled rows. The driver gets at most `per_language` n-grams a language.
+def _rows(kept: DataFrame, names: list[str], size: int) -> np.ndarray:
+    """The filter's rows, put together by blocks in tasks."""
+    at = {name: k for k, name in enumerate(names)}
 
-    Rows without a label or a text are not learned from; their languages are only known if other
-    rows name them. Languages are in order of code point.
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = np.array([at[name] for name in batch.column(0).to_pylist()], np.int64)
+            bits = (np.uint64(1) << (lang % 64).astype(np.uint64)).view(np.int64)
+            for row in Filters._places(np.asarray(batch.column(1)), size):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((row // BLOCK).astype(np.int32)), pa.array((lang // 64).astype(np.int32)), pa.array((row % BLOCK).astype(np.int32)), pa.array(bits)],
+                    names=["block", "word", "row", "bits"],
+                )
+
+    def block(part: pa.Table) -> pa.Table:
+        own = np.zeros(BLOCK, np.uint64)
+        np.bitwise_or.at(own, part.column("row").to_numpy(), part.column("bits").to_numpy().view(np.uint64))
+        return pa.table({"block": part.column("block")[:1], "word": part.column("word")[:1], "rows": pa.array([own.tobytes()], pa.binary())})
+
+    placed = kept.select("lang", "gram").mapInArrow(place, "block int, word int, row int, bits long")
+    placed = placed.groupBy("block", "word", "row").agg(F.bit_or("bits").alias("bits"))
+    rows = np.zeros((size, max(1, -(-len(names) // 64))), np.uint64)
+    for r in placed.groupBy("block", "word").applyInArrow(block, "block int, word int, rows binary").collect():
+        rows[r["block"] * BLOCK : (r["block"] + 1) * BLOCK, r["word"]] = np.frombuffer(r["rows"], np.uint64)
+    return rows
+
+
+def learn(documents: DataFrame, text: str = "text", lang: str = "lang", share: float = SHARE) -> Filters:
+    """Filters from labelled rows, of every n-gram that passes the share test.
+
+    The filter is sized by the n-grams of its largest language and built in tasks; the driver gets
+    its bits, not the n-grams. Rows without a label or a text are not learned from; their languages
+    are only known if other rows name them. Languages are in order of code point.
     """
     rows = documents.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
     counts = gram_counts(rows)
     total = counts.groupBy("lang").agg(F.sum("n").alias("_all"))
     rated = counts.join(total, "lang").withColumn("rate", F.col("n") / F.col("_all"))
     first = rated.groupBy("gram").agg(F.max("rate").alias("_first"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = (
-        rated.join(first, "gram")
-        .filter(F.col("rate") >= F.lit(share) * F.col("_first"))
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= per_language)
+    kept = written(
+        rated.join(first, "gram").filter(F.col("rate") >= F.lit(share) * F.col("_first")).select("lang", "gram"), "grams"
     )
-    named = {r[0]: [] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()}
-    if len(named) > MOST_LANGUAGES:
+    names = sorted(r[0] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(names) > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} values in {lang}: not a column of languages")
-    found = kept.select("lang", "gram").toPandas()
-    for name, own in found.groupby("lang")["gram"]:
-        named[name] = own.to_numpy(np.int64)
-    names = sorted(named)
-    return Filters.of(names, [np.asarray(named[n], np.int64) for n in names])
+    most = kept.groupBy("lang").count().agg(F.max("count")).first()[0]
+    return Filters.filled(names, _rows(kept, names, Filters.size(most or 1)))
 
 
 def language(documents: DataFrame, filters: Filters, identifier: str = "doc_id", text: str = "text") -> DataFrame:

@@ -37,3 +37,24 @@ def test_long_texts_are_cut_without_loss(monkeypatch):
     whole = np.concatenate(list(language_filters._parts(text)))
     monkeypatch.setattr(language_filters, "PIECE", 7)
     assert np.array_equal(np.concatenate(list(language_filters._parts(text))), whole)
+
+
+def test_every_trigram_of_a_large_inventory_is_held(spark):
+    draw = np.random.default_rng(4)
+    large = ["".join(map(chr, draw.integers(0x4E00, 0x4E00 + 400, 500))) for _ in range(40)]
+    rows = [*((t, "xz") for t in large), *((t, name) for name, t in TEXTS.items())]
+    filters = learn(spark.createDataFrame(rows, "text string, lang string"))
+    at = filters.languages.index("xz")
+    assert len(np.unique(np.concatenate([grams(codes(t)) for t in large]))) > 15_000
+    for t in large:
+        own = grams(codes(f" {t} "))
+        assert filters.counts(own)[at] == len(own)
+    assert [filters.decide(t)[0] for t in TEXTS.values()] == list(TEXTS)
+    held = [grams(codes(f" {t} ")) for t in TEXTS.values()]
+    in_tasks = learn(spark.createDataFrame([(t, name) for name, t in TEXTS.items()], "text string, lang string"), share=0.0)
+    assert np.array_equal(in_tasks.rows, Filters.of(list(TEXTS), held).rows)
+
+
+def test_size_grows_with_the_trigrams():
+    assert Filters.size(6_000) == 1 << 17 and Filters.size(10**7) == 1 << 25
+    assert all(Filters.size(n) >= 2 * n for n in (1, 10**5, 10**6, 10**8))

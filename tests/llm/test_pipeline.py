@@ -23,3 +23,15 @@ def test_mended_inputs(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() <= 3 * len(rows) * 2
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_a_language_with_a_long_tail_of_trigrams_stays(spark):
+    import random
+
+    draw = random.Random(2)
+    wide = [(k, "".join(chr(0x4E00 + draw.randrange(70)) for _ in range(200)), "xz") for k in range(300)]
+    plain = [(1000 + k, "the cat sat on the mat again and again", "en") for k in range(20)]
+    noise = [(2000 + k, "жщъ" * 20, None) for k in range(5)]
+    docs = spark.createDataFrame(wide + plain + noise, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.in_a_language(spark, docs, SF).collect()}
+    assert kept == {k for k, _, _ in wide + plain}

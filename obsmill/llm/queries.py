@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obsmill.llm import contamination, cotraining, language_filters, lattice, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie
+from obsmill.llm import contamination, cotraining, language_filters, lattice, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie, turn_repair
 from obsmill.llm.shared import remainder, table
 
 
@@ -77,6 +77,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hurt = turn_repair.damaged(table(spark, sf_dir, "conversations"))
+    return turn_repair.report(turn_repair.repair(hurt, copies="copies")).withColumnRenamed("conversation", "conv_id")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -88,5 +93,6 @@ QUERIES = {
     "op8_near_vectors": op8_near_vectors,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
+    "op11_repair": op11_repair,
 }
-ORACLES = {"op2_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE}
+ORACLES = {"op2_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE, "op11_repair": turn_repair.ORACLE}

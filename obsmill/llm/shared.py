@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from obsmill.sinks.paths import written
 
+#: The characters of `[\x20\x09-\x0D]`.
+TEXT_SPACE = " \t\n\x0b\x0c\r"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Identifiers that may be broadcast; a documented bound, some 64 MB at most.
 BROADCAST_KEYS = 1_000_000

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obsmill.llm import contamination, cotraining, language_filters, lattice, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie, turn_repair
+from obsmill.llm import contamination, cotraining, language_filters, lattice, middle_frames, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie, turn_repair
 from obsmill.llm.shared import remainder, table
 
 
@@ -82,6 +82,10 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.report(turn_repair.repair(hurt, copies="copies")).withColumnRenamed("conversation", "conv_id")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle_frames.fill_in_middle(middle_frames.framed(table(spark, sf_dir, "documents")), text=False)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -94,5 +98,11 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
     "op11_repair": op11_repair,
+    "op12_fill_in_middle": op12_fill_in_middle,
+}
+ORACLES = {
+    "op2_decontamination": contamination.ORACLE,
+    "op9_mixing": mixing.ORACLE,
+    "op11_repair": turn_repair.ORACLE,
+    "op12_fill_in_middle": middle_frames.ORACLE,
 }
-ORACLES = {"op2_decontamination": contamination.ORACLE, "op9_mixing": mixing.ORACLE, "op11_repair": turn_repair.ORACLE}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obsmill.llm import contamination, cotraining, language_filters, lattice, middle_frames, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie, turn_repair
+from obsmill.llm import contamination, cotraining, event_chat, language_filters, lattice, middle_frames, mixing, overlap_join, private_data, sharding, suffix_tree, token_trie, turn_repair
 from obsmill.llm.shared import remainder, table
 
 
@@ -86,6 +86,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle_frames.fill_in_middle(middle_frames.framed(table(spark, sf_dir, "documents")), text=False)
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    awkward = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", awkward), (-7, 1, "assistant", awkward)], said.schema)
+    finished = event_chat.messages(event_chat.log_of(said.unionByName(own)))
+    return event_chat.accounts(finished).withColumnRenamed("conversation", "conv_id")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -99,10 +107,12 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_repair": op11_repair,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_chat_format": op13_chat_format,
 }
 ORACLES = {
     "op2_decontamination": contamination.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op11_repair": turn_repair.ORACLE,
     "op12_fill_in_middle": middle_frames.ORACLE,
+    "op13_chat_format": event_chat.ORACLE,
 }

@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from obsmill.operators import endpoints, health, statements
-from obsmill.plans import crawl, statements as statement_plans
+from obsmill.plans import crawl, ranges, statements as statement_plans
 from obsmill.schemas import ENDPOINT_REGISTRY
+from obsmill.sinks.paths import written
 from obsmill.sinks.snapshots import SnapshotTable
 from obsmill.sinks.store import ObservationStore
 from obsmill.sources import landed
@@ -32,8 +33,11 @@ def _tasks(spark: SparkSession, args) -> None:
     if args.seen:
         known.append(spark.read.parquet(args.seen).select("request_key"))
     seen = reduce(DataFrame.union, known) if known else None
-    tasks = crawl.plan_tasks(plans, landed.read_identifiers(spark, args.identifiers), seen)
-    tasks.write.mode("errorifexists").parquet(args.out)
+    taken = ranges.read_ranges(spark, args.taken) if args.taken else None
+    found = written(ranges.distinct_ranges(plans, landed.read_identifiers(spark, args.identifiers), taken), "ranges")
+    crawl.range_tasks(found, seen).write.mode("errorifexists").parquet(args.out)
+    if args.taken:
+        ranges.record_ranges(found, args.taken)
     if record:
         # After the tasks: a run that breaks off in between repeats them rather than losing them.
         record.insert(spark.read.parquet(args.out).select("request_key"), uuid.uuid4().hex, ["request_key"])
@@ -99,7 +103,7 @@ def _parser() -> argparse.ArgumentParser:
         return sub
 
     command("crawl", _crawl, "plan", "identifiers", "attempts", "store", "batch", audit={})
-    command("tasks", _tasks, "plan", "identifiers", "out", seen={}, record={})
+    command("tasks", _tasks, "plan", "identifiers", "out", taken={}, seen={}, record={})
     command(
         "statement-tasks", _statement_tasks, "identifiers", "out",
         entity_type={"default": "stock"},

@@ -42,6 +42,38 @@ def date_spine(start: Column, end: Column, frequency: Column) -> Column:
     return F.when(frequency == "yearly", years).when(frequency == "monthly", months).otherwise(days)
 
 
+def cadence(frequency: Column) -> Column:
+    """The unit of a spine's steps: year, month or day."""
+    return F.when(frequency == "yearly", "year").when(frequency == "monthly", "month").otherwise("day")
+
+
+def spine_steps(start: Column, end: Column, frequency: Column) -> tuple[Column, Column]:
+    """First and last step of `date_spine`: years, months since year 0 or days since 1970."""
+    low, high = _bounds(start, end)
+
+    def step(day: Column) -> Column:
+        yearly = F.year(day)
+        monthly = F.year(day) * 12 + F.month(day) - 1
+        return F.when(frequency == "yearly", yearly).when(frequency == "monthly", monthly).otherwise(F.unix_date(day))
+
+    return step(low), step(high)
+
+
+def step_date(unit: Column, step: Column) -> Column:
+    """The day that a step of `cadence` stands for."""
+    whole = step.cast("int")
+    return (
+        F.when(unit == "year", F.make_date(whole, F.lit(12), F.lit(31)))
+        .when(unit == "month", F.make_date(F.floor(whole / 12).cast("int"), F.pmod(whole, F.lit(12)) + 1, F.lit(1)))
+        .otherwise(F.date_from_unix_date(whole))
+    )
+
+
+def step_text(unit: Column, step: Column) -> Column:
+    """The same day as `date_spine` writes it."""
+    return step_date(unit, step).cast("string")
+
+
 def spine_size(start: Column, end: Column, frequency: Column) -> Column:
     """Length of `date_spine` without building it."""
     low, high = _bounds(start, end)

@@ -6,7 +6,8 @@ from obsmill.operators.failover import outcomes
 from obsmill.operators.health import task_outcomes
 from obsmill.operators.observations import item_rows, parse_responses
 from obsmill.operators.statements import legacy_rows, parse_frames
-from obsmill.plans.expansion import distinct_tasks, expand_tasks, unseen_tasks
+from obsmill.plans.expansion import request_key, unseen_tasks
+from obsmill.plans.ranges import balanced, distinct_ranges, expand
 from obsmill.sinks.paths import written
 from obsmill.sinks.store import InsertReport, KeyedStore, ObservationStore, append_audit
 
@@ -18,9 +19,19 @@ def plan_tasks(
     identifiers: DataFrame,
     seen: DataFrame | None = None,
     chained: bool = False,
+    taken: DataFrame | None = None,
 ) -> DataFrame:
-    """Distinct tasks of the plans that no earlier run has taken."""
-    tasks = distinct_tasks(expand_tasks(plans, identifiers, chained=chained))
+    """Distinct tasks of the plans that no earlier run has taken.
+
+    Earlier runs are told by the ranges they took, which are compared before any task is expanded, or
+    by the keys of `seen` tasks.
+    """
+    return range_tasks(distinct_ranges(plans, identifiers, taken, chained=chained), seen)
+
+
+def range_tasks(ranges: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Keyed tasks of distinct ranges, in even partitions, without those of `seen` keys."""
+    tasks = expand(balanced(ranges)).withColumn("request_key", request_key())
     return tasks if seen is None else unseen_tasks(tasks, seen)
 
 

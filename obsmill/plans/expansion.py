@@ -86,28 +86,16 @@ def expand_tasks(
 ) -> DataFrame:
     """Fetch tasks of the plans: per date, or one per range in series mode.
 
-    The entities join first and the dates explode last, so only unexpanded rows shuffle.
+    Entities join ranges, which are cut and dealt out in even parts before they unfold, so that neither a long
+    range nor a large scope makes a long task, and only unexpanded rows shuffle.
     `mode` limits the result to the plans of one mode ("series" or "per_date"). A source is a task
     of its own, or with `chained` a concept is, carrying its ranked sources in `chain`.
     """
-    flat = flatten_plan(plans, plan_id, chained)
-    if mode is not None:
-        flat = flat.filter(F.col("is_series") == (mode == "series"))
-        wanted = F.coalesce(F.col("mode") == "series", F.lit(False)) == (mode == "series")
-        plans = plans.filter(wanted)
-    spine = dates.date_spine(F.col("start"), F.col("end"), F.col("frequency"))
-    per_range = F.array(F.lit(None).cast("string"))
-    tasks = scoped_entities(plans, identifiers, plan_id).join(flat, ["plan_id", "source"])
-    dated = tasks.withColumn(
-        "date", F.explode(F.when(F.col("is_series"), per_range).otherwise(spine))
-    )
-    return dated.select(
-        "plan_id",
-        "rank",
-        *[c for c in TASK_FIELDS if c not in ("start", "end")],
-        F.when(F.col("is_series"), F.col("start")).alias("start"),
-        F.when(F.col("is_series"), F.col("end")).alias("end"),
-        *(["chain"] if chained else []),
+    from obsmill.plans import ranges
+
+    found = ranges.task_ranges(plans, identifiers, plan_id, mode, chained)
+    return ranges.expand(ranges.balanced(found)).select(
+        "plan_id", "rank", *TASK_FIELDS, *(["chain"] if chained else [])
     )
 
 

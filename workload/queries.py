@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from obsmill import schemas
 from obsmill.functions import dates, text
 from obsmill.operators import endpoints, extract, failover, health, observations as obs, statements
-from obsmill.plans import crawl, expansion, providers, statements as statement_plans
+from obsmill.plans import crawl, expansion, providers, ranges, statements as statement_plans
 from obsmill.sinks.paths import scratch_path, written
 from obsmill.sinks.snapshots import SnapshotTable
 from obsmill.sinks.store import KeyedStore, ObservationStore, append_audit
@@ -96,9 +96,14 @@ def tasks_series(spark, sf_dir):
     return _tasks(spark, sf_dir, "series")
 
 
+def _distinct(spark, sf_dir, taken=None):
+    found = ranges.distinct_ranges(b.plans(spark, sf_dir), b.identifiers(spark, sf_dir), taken)
+    return crawl.range_tasks(found)
+
+
 @query
 def provider_params(spark, sf_dir):
-    tasks = expansion.distinct_tasks(_tasks(spark, sf_dir))
+    tasks = _distinct(spark, sf_dir)
     point = providers.point_params(F.col("identifier"), F.coalesce("date", "start"))
     ranged = providers.range_params(F.col("identifier"))
     history = providers.history_params(F.col("identifier"), F.col("start"), F.col("end"))
@@ -124,15 +129,16 @@ def request_key(spark, sf_dir):
 
 @query
 def task_dedup(spark, sf_dir):
-    return expansion.distinct_tasks(_tasks(spark, sf_dir)).select("request_key")
+    return _distinct(spark, sf_dir).select("request_key")
 
 
 @query
 def task_incremental(spark, sf_dir):
-    plans = b.plans(spark, sf_dir)
-    seen = _tasks(spark, sf_dir, plans=plans.filter(F.col("o_orderstatus") == "F"))
-    tasks = expansion.distinct_tasks(_tasks(spark, sf_dir))
-    return expansion.unseen_tasks(tasks, expansion.distinct_tasks(seen)).select("request_key")
+    """A second run after one that took the finished orders' plans and recorded their ranges."""
+    path = scratch_path(spark, "taken")
+    earlier = b.plans(spark, sf_dir).filter(F.col("o_orderstatus") == "F")
+    ranges.record_ranges(ranges.distinct_ranges(earlier, b.identifiers(spark, sf_dir)), path)
+    return _distinct(spark, sf_dir, ranges.read_ranges(spark, path)).select("request_key")
 
 
 @query

@@ -56,6 +56,35 @@ def json_number_text(text: Column) -> Column:
     return F.when(jvm_float, float_text(text.try_cast("double"))).otherwise(text)
 
 
+def json_text(raw: Column, kind: Column) -> Column:
+    """Text of a decoded JSON value, from its raw text and its variant type (`schema_of_variant`).
+
+    Texts stay as they are, numbers are spelled like stored values, true and false like booleans.
+    """
+    number = (
+        F.when(raw == '"Infinity"', F.lit("inf"))
+        .when(raw == '"-Infinity"', F.lit("-inf"))
+        .when(raw == '"NaN"', F.lit("nan"))
+        .otherwise(json_number_text(raw))
+    )
+    boolean = F.when(raw == "true", F.lit("True")).otherwise(F.lit("False"))
+    return F.when(kind == "STRING", raw).when(kind == "BOOLEAN", boolean).otherwise(number)
+
+
+def variant_text(value: Column) -> Column:
+    """Text under which a variant's value is stored; null for a null.
+
+    A whole number within 64 bits that was written with a point keeps it; beyond, and from 39 digits on, a variant
+    no longer tells a whole number from one with a point.
+    """
+    kind, plain = F.schema_of_variant(value), value.cast("string")
+    real = F.try_variant_get(value, "$", "double")
+    whole = kind.rlike(r"^DECIMAL\(\d+,0\)") & (F.abs(real) >= 2.0**63)
+    is_real = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
+    boolean = F.when(plain == "true", F.lit("True")).otherwise(F.lit("False"))
+    return F.when(kind == "BOOLEAN", boolean).when(is_real & ~whole, float_text(real)).otherwise(plain)
+
+
 def is_missing_text(text: Column) -> Column:
     """Null or a not-a-number marker as JSON decoding leaves it."""
     return text.isNull() | text.isin("nan", "NaN", '"NaN"')

@@ -7,43 +7,53 @@ from obsmill.functions.dates import date_spine
 from obsmill.schemas import DEFAULT_GRANULARITY, KEY, OPEN_END
 
 
-def decode_series(rows: DataFrame, body: Column, out: str = "series") -> DataFrame:
-    """Adds a JSON body as a date -> value map; null where malformed.
+#: Raw texts that a text and a value of another type may share.
+_AMBIGUOUS = r'^(true|false|"-?Infinity"|"NaN"|-?\d\.\d+E-?\d+)\z'
 
-    A key that repeats in the body keeps its last value: sorted by key and position, the last
-    entry of a run is the one that another key follows. Bodies without repeats skip the sort.
+
+def _lasts(entries: str) -> Column:
+    """Places of a body's entries, of a repeated key the last only, in order of the keys if any repeats.
+
+    Sorted by key and place, the last entry of a run is the one that another key follows.
     """
-    decoded = rows.withColumn("_entries", F.map_entries(F.from_json(body, "map<string,string>")))
-    keys = F.col("_entries.key")
-    ordered = F.array_sort(
-        F.transform(
-            "_entries",
-            lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value")),
-        )
+    keys = F.col(f"{entries}.key")
+    ordered = F.array_sort(F.transform(keys, lambda key, i: F.struct(key.alias("key"), i.alias("at"))))
+    following = F.concat(F.slice(ordered["key"], 2, F.size(keys)), F.array(F.lit(None).cast("string")))
+    places = F.zip_with(
+        ordered, following, lambda e, after: F.when(after.isNull() | (after != e["key"]), e["at"])
     )
-    marked = decoded.withColumn(
-        "_ordered", F.when(F.size(F.array_distinct(keys)) < F.size(keys), ordered)
+    repeats = F.size(F.array_distinct(keys)) < F.size(keys)
+    # Bodies without repeats skip the sort.
+    return F.when(repeats, F.filter(places, lambda at: at.isNotNull())).otherwise(
+        F.transform(keys, lambda key, i: i)
     )
-    following = F.concat(
-        F.slice(F.col("_ordered.key"), 2, F.size("_ordered")), F.array(F.lit(None).cast("string"))
-    )
-    pairs = F.zip_with(
-        "_ordered",
-        following,
-        lambda e, after: F.when(
-            after.isNull() | (after != e["key"]),
-            F.struct(e["key"].alias("key"), e["value"].alias("value")),
+
+
+def decode_series(rows: DataFrame, body: Column, out: str = "series", typed: str | None = None) -> DataFrame:
+    """Adds a JSON body as a date -> value map; null where malformed. A repeated key keeps its last value.
+
+    Values are texts: numbers are spelled like stored values, `true` and `Infinity` as `True` and `inf`, and texts
+    stay as they are. `typed` names a second map that keeps numbers, texts and booleans apart, as variants.
+    Only bodies whose raw texts don't tell the types are read as variants for the first map.
+    """
+    decoded = rows.withColumn("_raw", F.map_entries(F.from_json(body, "map<string,string>")))
+    decoded = decoded.withColumn("_at", _lasts("_raw"))
+    unclear = F.exists("_raw", lambda e: F.coalesce(e["value"].rlike(_AMBIGUOUS), F.lit(False)))
+    variants = F.map_entries(F.from_json(body, "map<string,variant>"))
+    decoded = decoded.withColumn("_typed", F.when(unclear, variants))
+    plain = F.transform("_at", lambda at: F.col("_raw")[at])
+    spelled = F.transform(
+        "_at",
+        lambda at: F.struct(
+            F.col("_raw")[at]["key"].alias("key"),
+            text.json_text(F.col("_raw")[at]["value"], F.schema_of_variant(F.col("_typed")[at]["value"])).alias("value"),
         ),
     )
-    lasts = F.filter(pairs, lambda e: e.isNotNull())
-    unique = F.when(F.col("_ordered").isNotNull(), lasts).otherwise(F.col("_entries"))
-    numbers = F.transform(
-        unique,
-        lambda e: F.struct(e["key"].alias("key"), text.json_number_text(e["value"]).alias("value")),
-    )
-    has_exponent = F.exists("_entries", lambda e: F.coalesce(e["value"].contains("E"), F.lit(False)))
-    series = F.when(has_exponent, numbers).otherwise(unique)
-    return marked.withColumn(out, F.map_from_entries(series)).drop("_entries", "_ordered")
+    decoded = decoded.withColumn(out, F.map_from_entries(F.when(F.col("_typed").isNotNull(), spelled).otherwise(plain)))
+    if typed is not None:
+        decoded = decoded.withColumn("_typed", variants)
+        decoded = decoded.withColumn(typed, F.map_from_entries(F.transform("_at", lambda at: F.col("_typed")[at])))
+    return decoded.drop("_raw", "_at", "_typed")
 
 
 def decode_faults(responses: DataFrame) -> DataFrame:
@@ -55,14 +65,16 @@ def decode_faults(responses: DataFrame) -> DataFrame:
     )
 
 
-def parse_responses(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_responses(responses: DataFrame, keep: tuple[str, ...] = (), typed: bool = False) -> DataFrame:
     """Served responses as items: a null date makes a series item, any other a per-date item.
 
-    `keep` names further columns to carry along, such as an arrival order.
+    `keep` names further columns to carry along, such as an arrival order. With `typed` items also
+    have their series with numbers as numbers, for the audit log.
     """
     served = responses.filter((F.col("status") == 200) & (F.col("body") != ""))
     is_series = F.col("date").isNull()
-    return decode_series(served, F.when(is_series, F.col("body"))).select(
+    decoded = decode_series(served, F.when(is_series, F.col("body")), typed="typed" if typed else None)
+    return decoded.select(
         "concept_id",
         "entity_type",
         "entity_id",
@@ -74,6 +86,7 @@ def parse_responses(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
         "unit",
         F.col("source").alias("source_used"),
         text.truthy(F.col("granularity"), DEFAULT_GRANULARITY).alias("granularity"),
+        *(["typed"] if typed else []),
         *keep,
     )
 
@@ -85,7 +98,7 @@ def _in_range(date: Column) -> Column:
     )
 
 
-_ITEM_ONLY = ("series", "date", "value", "start", "end")
+_ITEM_ONLY = ("series", "typed", "date", "value", "start", "end")
 
 
 def explode_series(items: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def store_responses(
 
     Several sources may answer for one key; the better-ranked one counts as the first writer.
     """
-    items = written(parse_responses(responses, keep=("rank",)), "items")
+    items = written(parse_responses(responses, keep=("rank",), typed=audit is not None), "items")
     report = store.insert(item_rows(items), batch_id, ["rank", "source_used"])
     if audit is not None:
         append_audit(items.drop("rank"), audit, batch_id)

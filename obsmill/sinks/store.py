@@ -132,8 +132,12 @@ class ObservationStore(KeyedStore):
 def append_audit(items: DataFrame, path: str, batch_id: str | None = None) -> None:
     """Append items, not exploded, as JSON lines with nulls and all characters kept.
 
+    Items with a typed series are written with that one, so that numbers are numbers and texts are texts; a whole
+    number loses its point, and infinities, which JSON doesn't know, are quoted.
     With a batch id the lines form a folder of their own, which a replay replaces.
     """
+    if "typed" in items.columns:
+        items = items.withColumn("series", F.col("typed")).drop("typed")
     writer = items.write.option("ignoreNullFields", False)
     if batch_id is None:
         writer.mode("append").json(path)

@@ -62,6 +62,16 @@ def read_frames(
     return spark.read.schema(schema).options(**options).format(fmt).load(path)
 
 
+def read_open_frames(spark: SparkSession, path: str) -> DataFrame:
+    """JSON rows of frames with unlike columns: `row`, a map of variants, and the folders' own columns.
+
+    Each row keeps the order of its columns, and no schema has to hold the columns of all frames. Lines that
+    aren't an object have a null row.
+    """
+    lines = spark.read.text(path)
+    return lines.withColumn("row", F.from_json("value", "map<string,variant>")).drop("value")
+
+
 def read_responses(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(RESPONSE).format(fmt).load(path)
 

@@ -74,7 +74,7 @@ def response_stream_to_store(
 
     def take(batch: DataFrame, number: int) -> None:
         batch_id = f"{number:012d}"
-        items = parse_responses(batch, keep=tuple(order))
+        items = parse_responses(batch, keep=tuple(order), typed=audit is not None)
         store.insert(item_rows(items), batch_id, order)
         if audit is not None:
             append_audit(items.drop(*order), audit, batch_id)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from obsmill import schemas
 from obsmill.operators import extract, failover
 from obsmill.plans.expansion import request_key
+from obsmill.sources import landed
 from obsmill.sources.adapters import Adapter, FetchError, SourceUnavailable, fetch_attempts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -191,3 +192,38 @@ def test_failures(spark, rows):
     assert _fetch(spark, rows, [("points", "")])[1] == (503, "", None, "points/c has no extract_series")
     assert _fetch(spark, rows, [("points", "")], date="d")[1] == (204, "", None, None)
     assert _fetch(spark, rows, None, date="d", identifier="nan")[1] == (204, "", None, None)
+
+
+def test_open_frames_have_unlike_columns(spark, tmp_path, rows):
+    """Two JSON frames under one look-up; the first known date name of a row counts, in the row's own order."""
+    lines = {
+        "a": ['{"id": "x", "n": 2, "Date": "2020-01-01", "v": 5.0, "w": "t"}', '{"id": "x", "n": 1, "Date": "2020-01-01", "v": 1e20}',
+              '{"id": "x", "n": 3, "datetime": "2020-01-02 10:00:00", "date": "1999-01-01", "v": true}', "no row", '{"id": "x", "v": 1}'],
+        "b": ['{"日期": "2020-01-01", "id": "x", "n": 1, "收 盘`": 12, "v": null, "z": NaN}'],
+    }
+    for source, rows_of in lines.items():
+        (tmp_path / f"source={source}").mkdir()
+        (tmp_path / f"source={source}" / "f.json").write_text("\n".join(rows_of), encoding="utf-8")
+    frames = landed.read_open_frames(spark, str(tmp_path))
+    found = extract.open_points(frames, "n", on="id")
+    assert rows(found) == [
+        ("a", "x", "2020-01-01", "v", "1e+20"), ("a", "x", "2020-01-02 10:00:00", "date", "1999-01-01"),
+        ("a", "x", "2020-01-02 10:00:00", "v", "True"), ("b", "x", "2020-01-01", "收 盘`", "12"),
+    ]
+    daily = extract.open_points(frames, "n", on="id", daily=True)
+    assert ("a", "x", "2020-01-02", "v", "True") in rows(daily)
+    tasks = spark.createDataFrame([("b", "x", "2020-01-01", "收 盘`", 1), ("a", "x", "2020-01-01", "收 盘`", 2)],
+                                  "source STRING, identifier STRING, date STRING, column STRING, n INT")
+    assert rows(extract.extract_points(tasks, found), "n", "value") == [(1, "12"), (2, None)]
+
+
+def test_ranges_over_time_stamps(spark, rows):
+    """The first row of a day counts, also where its value is missing."""
+    frame = spark.sql("SELECT * FROM VALUES (1, 's', 'x', timestamp_ntz'2020-01-01 09:00:00', 1.5D), "
+                      "(0, 's', 'x', timestamp_ntz'2020-01-01 17:00:00', 2.5D), (2, 's', 'x', timestamp_ntz'2020-01-02 00:00:00', double('nan')), "
+                      "(3, 's', 'x', timestamp_ntz'2020-01-02 01:00:00', 9D), (4, 's', 'x', timestamp_ntz'2020-01-03 23:59:59', 3D) AS t(n, source, identifier, date, v)")
+    tasks = spark.createDataFrame([("s", "x", "v", "2020-01-01", "2020-01-03")], "source STRING, identifier STRING, column STRING, start STRING, end STRING")
+    days = extract.frame_points(frame, "n", daily=True)
+    (found,) = extract.extract_ranges(tasks, days, ["identifier"]).collect()
+    assert found.series == {"2020-01-01": "2.5", "2020-01-03": "3.0"}
+    assert extract.extract_ranges(tasks, extract.frame_points(frame, "n"), ["identifier"]).isEmpty()

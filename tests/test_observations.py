@@ -30,17 +30,46 @@ def _decoded(spark, body):
     return obs.decode_series(frame, F.col("body")).first()["series"]
 
 
-def test_series_response(spark):
-    body = json.dumps({"2024-01-02": 1.5, "2024-01-03": 1.6})
-    (item,) = obs.parse_responses(_responses(spark, {"body": body})).collect()
-    assert item.series == {"2024-01-02": "1.5", "2024-01-03": "1.6"}
-    assert (item.date, item.start, item.end, item.granularity) == (None, "2024-01-01", "2024-12-31", "day")
+def test_series_item_over_new_year(spark):
+    """A null day, a repeated day, a text and a number without a point; the task's bounds go along."""
+    body = '{"2018-12-31": 3, "2019-01-01": null, "2019-01-02": 7.25, "2018-12-31": "n/a"}'
+    found = obs.parse_responses(_responses(spark, {"body": body, "start": "2018-12-30", "end": None, "granularity": "week"}))
+    (item,) = found.collect()
+    assert item.series == {"2018-12-31": "n/a", "2019-01-01": None, "2019-01-02": "7.25"}
+    assert (item.value, item.start, item.end, item.granularity) == (None, "2018-12-30", None, "week")
+    assert [r.date for r in obs.item_rows(found).sort("date").collect()] == ["2018-12-31", "2019-01-02"]
+
+
+def test_dated_item_keeps_its_body(spark, rows):
+    """The body is the value whatever it looks like, and bounds belong to series only."""
+    bodies = ["0", "{}", " ", "null"]
+    found = obs.parse_responses(_responses(spark, *[{"body": b, "date": f"2019-03-0{n}"} for n, b in enumerate(bodies, 1)]))
+    assert rows(found, "date", "value", "series", "start", "end") == [
+        (f"2019-03-0{n}", b, None, None, None) for n, b in enumerate(bodies, 1)
+    ]
 
 
-def test_per_date_response(spark):
-    (item,) = obs.parse_responses(_responses(spark, {"body": "1.5", "date": "2024-01-02"})).collect()
-    assert (item.date, item.value, item.series, item.granularity) == ("2024-01-02", "1.5", None, "day")
-    assert (item.unit, item.source_used) == ("SEK", "akshare")
+def test_decoding_by_type(spark):
+    body = ('{"a": true, "b": "true", "c": "1.5E3", "d": 1.5E3, "e": 12345678901234567890123, "f": Infinity,'
+            ' "g": -Infinity, "h": "x", "a": false, "i": NaN, "j": "1e5", "k": -0.0}')
+    want = {"a": "False", "b": "true", "c": "1.5E3", "d": "1500.0", "e": "12345678901234567890123", "f": "inf",
+            "g": "-inf", "h": "x", "i": "nan", "j": "1e5", "k": "-0.0"}
+    assert _decoded(spark, body) == want
+    frame = spark.createDataFrame([(body,), ("no json",), (None,)], "body STRING")
+    both = obs.decode_series(frame, F.col("body"), typed="typed")
+    kinds = both.filter("body LIKE '{%'").select(F.explode("typed").alias("k", "v")).select("k", F.schema_of_variant("v"))
+    assert {k for k, kind in kinds.collect() if kind == "STRING"} == {"b", "c", "h", "j"}
+    assert [r.typed for r in both.filter("body NOT LIKE '{%' OR body IS NULL").collect()] == [None, None]
+
+
+def test_audit_keeps_numbers(spark, tmp_path):
+    body = '{"2019-01-01": 2.50, "2019-01-02": "2.50", "2019-01-03": true, "2019-01-04": null}'
+    items = obs.parse_responses(_responses(spark, {"body": body}, {"body": "7", "date": "2019-03-05"}), typed=True)
+    append_audit(items, f"{tmp_path}/audit")
+    lines = sorted((json.loads(r.value) for r in spark.read.text(f"{tmp_path}/audit").collect()), key=str)
+    series = [line["series"] for line in lines]
+    assert {"2019-01-01": 2.5, "2019-01-02": "2.50", "2019-01-03": True, "2019-01-04": None} in series and None in series
+    assert all("typed" not in line for line in lines)
 
 
 def test_unserved_and_empty_responses_drop_out(spark):

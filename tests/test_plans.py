@@ -46,17 +46,27 @@ def test_flatten(plans, rows):
     ]
 
 
-def test_series_mode_gives_one_task_per_entity(plans, identifiers, rows):
-    tasks = expansion.expand_tasks(plans(_plan(ids=(9001, 9002))), identifiers)
-    assert rows(tasks, "entity_id", "identifier", "date", "start", "end") == [
-        (9001, "730285", None, "2024-01-01", "2024-12-31"), (9002, "730296", None, "2024-01-01", "2024-12-31")
-    ]
-    assert all("date=" not in key for (key,) in rows(tasks, expansion.request_key()))
-
-
-def test_per_date_mode_expands_the_year(plans, identifiers):
-    tasks = expansion.expand_tasks(plans(_plan(mode="per_date")), identifiers)
-    assert tasks.count() == 366 and tasks.filter("date IS NULL OR start IS NOT NULL").isEmpty()
+def test_series_tasks_are_not_dated(plans, identifiers, rows):
+    """Two sources over a reversed window: a task per source that knows the entity, bounds as they were."""
+    window = {"start": "2022-03-01", "end": "2021-11-15"}
+    plan = _plan(ids=(9001, 9002), sources=("yfinance", "akshare"), date_range=window)
+    tasks = expansion.expand_tasks(plans(plan), identifiers)
+    assert rows(tasks, "source", "entity_id", "rank") == [("akshare", 9001, 1), ("akshare", 9002, 1), ("yfinance", 9001, 0)]
+    assert {(r.date, r.start, r.end) for r in tasks.collect()} == {(None, "2022-03-01", "2021-11-15")}
+    keys = [key for (key,) in rows(tasks, expansion.request_key())]
+    assert len(set(keys)) == 3 and not any("&date=" in key for key in keys)
+
+
+def test_dated_tasks_walk_the_window_either_way(plans, identifiers):
+    """119 days from mid November to mid March in a leap year, for two sources, whichever bound comes first."""
+    ahead, back = ({"start": a, "end": b} for a, b in (("2019-11-18", "2020-03-15"), ("2020-03-15", "2019-11-18")))
+    for window in (ahead, back):
+        plan = _plan(mode="per_date", sources=("akshare", "yfinance"), date_range=window)
+        tasks = expansion.expand_tasks(plans(plan), identifiers)
+        per_source = {r.source: (r.n, r.low, r.high) for r in tasks.groupBy("source").agg(
+            F.countDistinct("date").alias("n"), F.min("date").alias("low"), F.max("date").alias("high")).collect()}
+        assert per_source == dict.fromkeys(("akshare", "yfinance"), (119, "2019-11-18", "2020-03-15"))
+        assert tasks.filter("start IS NOT NULL OR end IS NOT NULL").isEmpty()
 
 
 def test_absent_mode_means_per_date(plans, identifiers):

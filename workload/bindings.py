@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obsmill.sinks.paths import scratch_path
-from obsmill.sources.landed import read_plan_lines
+from obsmill.sources.landed import read_open_frames, read_plan_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,13 @@ PRICE_SOURCE = "CASE WHEN o_orderkey % 3 = 0 THEN 'yfinance' ELSE 'akshare' END"
 PRICE = "CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END"
 
 IS_SERIES = "event_id % 4 = 0"
+# Series entries of every type: key, JSON, the text that is stored.
+TYPED = [
+    ("2024-01-21 00:00:01", "true", "True"), ("2024-01-21 00:00:02", '"true"', "true"),
+    ("2024-01-21 00:00:03", '"1.5E3"', "1.5E3"), ("2024-01-21 00:00:04", "1.5E3", "1500.0"),
+    ("2024-01-21 00:00:05", "12345678901234567890", "12345678901234567890"),
+    ("2024-01-21 00:00:06", "Infinity", "inf"), ("2024-01-21 00:00:07", "1e22", "1e+22"),
+]
 RESPONSES = [
     "event_id",
     "CASE WHEN user_id % 4 = 0 THEN 'akshare' ELSE 'yfinance' END AS source",
@@ -95,11 +102,11 @@ RESPONSES = [
     "'2024-01-05' AS \"start\"",
     "CASE WHEN event_id % 8 = 0 THEN '2024-01-20' END AS \"end\"",
     "cast(CASE event_id % 9 WHEN 1 THEN 204 WHEN 2 THEN 503 ELSE 200 END as int) AS status",
-    # A repeated key, a large number, a null and a time-stamped key.
+    # A repeated key, a large number, a null, time-stamped keys, and values of every type.
     "CASE WHEN event_id % 13 = 0 THEN ''"
     f" WHEN {IS_SERIES} THEN '{{\"' || {DAY} || '\": 1.50, \"2021-06-30\": 3.25, \"' || {DAY} ||"
     " '\": ' || cast(value as string) || ', \"2024-01-20 00:00:00\": 20000000.0,"
-    " \"2024-01-19\": null}'"
+    f" \"2024-01-19\": null, {', '.join(f'{chr(34)}{day}{chr(34)}: {raw}' for day, raw, _ in TYPED)}}}'"
     " ELSE cast(value as string) END AS body",
 ]
 
@@ -252,16 +259,29 @@ def event_frame(spark, sf_dir) -> DataFrame:
     ])
 
 
-def price_frame(spark, sf_dir) -> DataFrame:
-    """Landed frames of two sources, each with a value column of its own."""
+def price_frame(spark, sf_dir, timed: bool = False) -> DataFrame:
+    """Landed frames of two sources, each with a value column of its own, by day or by time stamp."""
+    day = "o_orderdate + make_dt_interval(0, cast(o_orderkey % 24 as int), 30)" if timed else "cast(o_orderdate as date)"
     return bind(spark, sf_dir, "orders", [
         "o_orderkey", f"{PRICE_SOURCE} AS source", f"{code('o_custkey')} AS identifier",
-        "cast(o_orderdate as date) AS `日期`",
+        f"{day} AS `日期`",
         f"CASE WHEN {PRICE_SOURCE} = 'akshare' THEN {PRICE} END AS `收盘`",
         f"CASE WHEN {PRICE_SOURCE} = 'yfinance' THEN {PRICE} END AS `Close*~+`",
     ])
 
 
+def open_price_frames(spark, sf_dir) -> DataFrame:
+    """The same prices as JSON frames of two sources with unlike columns, in a folder each."""
+    path = scratch_path(spark, "frames")
+    rows = price_frame(spark, sf_dir)
+    own = {"akshare": ["日期", "收盘"], "yfinance": ["Date", "Close*~+", "Volume"]}
+    for source, columns in own.items():
+        frame = rows.filter(F.col("source") == source).withColumnRenamed("日期", columns[0])
+        frame = frame.withColumn("Volume", F.col("o_orderkey") % 2 == 0)
+        frame.select(columns[0], "o_orderkey", "identifier", *columns[1:]).write.json(f"{path}/source={source}")
+    return read_open_frames(spark, path)
+
+
 def statements(spark, sf_dir) -> DataFrame:
     return bind(spark, sf_dir, "lineitem", STATEMENTS)
 
@@ -430,6 +450,7 @@ CTES = {
     " \"start\", \"end\", d.day AS day, d.value AS value FROM served, LATERAL (VALUES"
     " (raw_day, CASE WHEN raw_day = '2024-01-19' THEN NULL ELSE cast(raw_value as string) END),"
     " ('2021-06-30', '3.25'), ('2024-01-20 00:00:00', '20000000.0'),"
+    + "".join(f" ('{day}', '{stored}')," for day, _, stored in TYPED) +
     " (CASE WHEN raw_day = '2024-01-19' THEN NULL ELSE '2024-01-19' END, NULL)) AS d(day, value)"
     " WHERE \"date\" IS NULL AND d.day IS NOT NULL",
     "exploded": "SELECT * FROM decoded WHERE value IS NOT NULL AND day BETWEEN \"start\""

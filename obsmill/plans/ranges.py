@@ -7,14 +7,13 @@ nothing that is as large as the tasks themselves is ever shuffled.
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from obsmill.functions import dates
 from obsmill.operators.joins import salted_join
 from obsmill.plans.expansion import flatten_plan, scoped_entities
 from obsmill.schemas import TASK, TASK_FIELDS
-from obsmill.sinks.paths import written
+from obsmill.sinks.paths import exists, written
 
 #: What a range has in common with each of its tasks; `axis` says what its steps are.
 AXIS = "axis"
@@ -235,12 +234,9 @@ def distinct_ranges(
 
 def read_ranges(spark: SparkSession, path: str) -> DataFrame:
     """The ranges that earlier runs have taken; empty before the first."""
-    try:
-        return spark.read.schema(RANGE).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], RANGE)
+    return spark.read.schema(RANGE).parquet(path)
 
 
 def record_ranges(ranges: DataFrame, path: str) -> None:

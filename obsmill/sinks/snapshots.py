@@ -1,8 +1,9 @@
 """Tables that are replaced as a whole: each version in a folder of its own."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from obsmill.sinks.paths import exists
+
 
 class SnapshotTable:
     """Versioned parquet table.
@@ -16,12 +17,9 @@ class SnapshotTable:
         self.path = path
 
     def version(self) -> int:
-        try:
-            log = self.spark.read.schema("version INT").json(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, f"{self.path}/commits"):
             return 0
+        log = self.spark.read.schema("version INT").json(f"{self.path}/commits")
         return log.agg(F.max("version")).first()[0] or 0
 
     def read(self, schema: T.StructType | None = None) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from obsmill import schemas
 from obsmill.operators import observations as obs
-from obsmill.sinks.store import ObservationStore, append_audit
+from obsmill.sinks.paths import discard, exists
+from obsmill.sinks.store import BucketedObservations, ObservationStore, append_audit, observed
 
 TASK = {"source": "akshare", "command": "c", "identifier": "1", "date": None, "column": "x", "concept_id": 64,
         "entity_type": "bond", "entity_id": 9001, "unit": "SEK", "granularity": None,
@@ -206,3 +207,40 @@ def test_different_inserts_under_one_batch_id_keep_both(spark, tmp_path, rows):
     assert store.insert(_rows(spark, (72, "2023-03-01", "day", 2.5)), "same", ["arrival"]).inserted == 1
     store.insert(_rows(spark, (71, "2023-02-28", "day", 9.5)), "same", ["arrival"])
     assert rows(store.read(), "entity_id", "value") == [(71, "1.5"), (72, "2.5")]
+
+
+def test_bucketed_store_keeps_first_writers_without_moving_the_store(spark, tmp_path, rows):
+    store = BucketedObservations(spark, f"{tmp_path}/store", "bucketed_observations", buckets=4)
+    first = _rows(spark, *[(e, f"2024-01-{d:02d}", "day", e + d / 10) for e in range(40) for d in (1, 2)])
+    report = store.insert(first, "1", ["arrival"])
+    assert (report.attempted, report.rejected, report.inserted) == (80, 0, 80)
+    later = _rows(spark, (3, "2024-01-01", "day", 9.0), (3, "2024-01-01", "month", 7.0), (99, "2024-01-01", "day", None), (50, "2024-01-02", "day", 8.0))
+    for _ in range(2):  # a replay
+        report = store.insert(later, "2", ["arrival"])
+        assert (report.attempted, report.rejected, report.inserted) == (4, 1, 2)
+    again = BucketedObservations(spark, f"{tmp_path}/store", "bucketed_again", buckets=4)
+    assert again.read().count() == 82 == store.read().count()
+    assert rows(again.read().filter("entity_id = 3 AND date = '2024-01-01'"), "granularity", "value") == [("day", "3.1"), ("month", "7.0")]
+    summary = {"min_concept_id": 1, "max_concept_id": 1, "min_date": "2024-01-01", "max_date": "2024-01-31"}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = store.hits(later, "9", summary)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The stored side is read by bucket: the only exchange is the batch's own.
+    stored_side = plan[plan.index("ShuffledHashJoin") : plan.index("bucketed_observations")]
+    assert "Bucketed: true" in plan and "Exchange" not in stored_side and "Sort " not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError):
+        BucketedObservations.__mro__[2](spark, "x", schemas.OBSERVATION, schemas.KEY, "x", partition_by=["unit"])
+
+
+def test_counts_are_taken_while_rows_are_written(spark, rows):
+    frame = _rows(spark, (1, "2024-01-01", "day", 1.0), (1, "2024-01-02", "day", None))
+    table, counts = observed(frame, "probe", F.count("*").alias("n"), F.max("date").alias("last"))
+    assert counts == {"n": 2, "last": "2024-01-02"} and rows(table) == rows(frame)
+    discard(table)
+    assert not exists(spark, table._scratch)
+    empty, counts = observed(frame.limit(0), "probe", F.count("*").alias("n"), F.max("date").alias("last"))
+    assert counts["n"] == 0 and counts["last"] is None and empty.isEmpty()

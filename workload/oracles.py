@@ -234,6 +234,7 @@ _BODIES = {
     f' body AS value,{ITEM_TAIL} FROM served WHERE "date" IS NOT NULL',
     "obs_first_writer": f"SELECT {KEY}, value, unit, source_used FROM obs_first",
     "obs_insert_if_absent": f"SELECT {KEY}, value, unit, source_used FROM obs_waves",
+    "obs_insert_bucketed": f"SELECT {KEY}, value, unit, source_used FROM obs_waves",
     "obs_insert_repeated_batch": f"SELECT {KEY}, value, unit, source_used FROM obs_waves",
     "stream_obs_upsert": f"SELECT {KEY}, value, unit, source_used FROM obs_waves",
     "obs_granularity_coexist": 'SELECT concept_id, entity_type, entity_id, "date",'

@@ -11,7 +11,7 @@ from obsmill.operators import endpoints, extract, failover, health, observations
 from obsmill.plans import crawl, expansion, providers, ranges, statements as statement_plans
 from obsmill.sinks.paths import scratch_path, written
 from obsmill.sinks.snapshots import SnapshotTable
-from obsmill.sinks.store import KeyedStore, ObservationStore, append_audit
+from obsmill.sinks.store import BucketedObservations, KeyedStore, ObservationStore, append_audit
 from obsmill.sources import adapters as sources, landed
 from obsmill.streaming import intake
 from workload import bindings as b
@@ -336,6 +336,16 @@ def obs_insert_repeated_batch(spark, sf_dir):
     return store.read().select(*ROW)
 
 
+@query
+def obs_insert_bucketed(spark, sf_dir):
+    path = scratch_path(spark, "bucketed")
+    store = BucketedObservations(spark, path, path.rsplit("/", 1)[-1].replace("-", "_"), buckets=16)
+    rows = b.observations(spark, sf_dir)
+    store.insert(rows.filter(F.col("wave") == 0), "a", ["arrival"])
+    store.insert(rows, "b", ["arrival"])
+    return store.read().select(*ROW)
+
+
 @query
 def obs_granularity_coexist(spark, sf_dir):
     cadences = _firsts(spark, sf_dir).groupBy("concept_id", "entity_type", "entity_id", "date").agg(

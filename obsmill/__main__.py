@@ -9,12 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from obsmill.operators import endpoints, health, statements
-from obsmill.plans import crawl, ranges, statements as statement_plans
-from obsmill.schemas import ENDPOINT_REGISTRY
+from obsmill.plans import crawl, expansion, ranges, statements as statement_plans
+from obsmill.schemas import ENDPOINT_REGISTRY, STATEMENT_TASK
 from obsmill.sinks.paths import written
 from obsmill.sinks.snapshots import SnapshotTable
-from obsmill.sinks.store import ObservationStore
+from obsmill.sinks.store import KeyedStore, ObservationStore
 from obsmill.sources import landed
+from obsmill.streaming import intake
 
 
 def _crawl(spark: SparkSession, args) -> None:
@@ -61,8 +62,8 @@ def _statements(spark: SparkSession, args) -> None:
 
 def _migrate(spark: SparkSession, args) -> None:
     table = spark.read.parquet(args.table)
-    rows = statements.migrate_legacy(table, args.source, args.symbol, args.limit)
-    print(ObservationStore(spark, args.store).insert(rows, args.batch, ["source_used", "value"]))
+    rows = statements.migrate_legacy(table, args.source, args.symbol, args.limit, arrival=args.arrival)
+    print(ObservationStore(spark, args.store).insert(rows, args.batch, ["arrival"]))
 
 
 def _refresh(spark: SparkSession, args) -> None:
@@ -79,6 +80,30 @@ def _refresh(spark: SparkSession, args) -> None:
     health.status_counts(registry.read(ENDPOINT_REGISTRY)).show()
 
 
+def _take_responses(spark: SparkSession, args) -> None:
+    stream = intake.response_stream(spark, args.incoming)
+    store = ObservationStore(spark, args.store)
+    intake.response_stream_to_store(stream, store, ["source_used"], args.checkpoint, args.audit)
+    print(store.read().count())
+
+
+def _take_tasks(spark: SparkSession, args) -> None:
+    stream = intake.task_stream(spark, args.incoming, STATEMENT_TASK, args.files)
+    keyed = statement_plans.with_task_key(stream)
+    queue = KeyedStore(spark, args.queue, keyed.schema, ["task_key"])
+    intake.drain_tasks(keyed, queue, ["identifier"], args.checkpoint)
+    print(queue.read().count())
+
+
+def _size(spark: SparkSession, args) -> None:
+    identifiers = landed.read_identifiers(spark, args.identifiers)
+    if args.plan:
+        for row in expansion.plan_totals(landed.read_plans(spark, args.plan), identifiers).toLocalIterator():
+            print(json.dumps(row.asDict()))
+    stocks = statement_plans.stock_codes(landed.scan_identifiers(identifiers, "akshare", args.entity_type))
+    print(json.dumps(statement_plans.queue_size(stocks).first().asDict()))
+
+
 def _health(spark: SparkSession, args) -> None:
     lines = health.health_lines(spark.read.parquet(args.log))
     report = health.source_health(lines).orderBy("source", "command")
@@ -112,7 +137,7 @@ def _parser() -> argparse.ArgumentParser:
     )
     command("statements", _statements, "tasks", "store", "batch", wide={}, transposed={})
     migrate = command(
-        "migrate", _migrate, "table", "store", "batch", symbol={}, limit={"type": int}
+        "migrate", _migrate, "table", "store", "batch", symbol={}, limit={"type": int}, arrival={}
     )
     migrate.add_argument("source", choices=list(statements.LEGACY_TABLES))
     command(
@@ -120,6 +145,9 @@ def _parser() -> argparse.ArgumentParser:
         count={"type": int, "default": endpoints.ENDPOINT_FETCH_COUNT},
     )
     command("health", _health, "log", out={})
+    command("take-responses", _take_responses, "incoming", "store", "checkpoint", audit={})
+    command("take-tasks", _take_tasks, "incoming", "queue", "checkpoint", files={"type": int})
+    command("size", _size, "identifiers", plan={}, entity_type={"default": "stock"})
     return parser
 
 

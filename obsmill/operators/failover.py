@@ -27,6 +27,19 @@ def with_chain(tasks: DataFrame, chain: str = "chain") -> DataFrame:
     )
 
 
+def in_chain(tasks: DataFrame, attempts: DataFrame, key: list[str], chain: str = "chain") -> DataFrame:
+    """The attempts whose source stands in their task's chain, at that place.
+
+    A task without a `chain` column, or with an empty one, has its own source at rank 0 alone. An attempt of a source
+    that the task doesn't list, or at another rank, isn't part of its outcome. Key columns must not be null.
+    """
+    sources = F.array("source")
+    if chain in tasks.columns:
+        sources = F.when(F.size(chain) > 0, F.col(f"{chain}.source")).otherwise(sources)
+    listed = tasks.select(*key, F.posexplode(sources).alias("rank", "source")).distinct()
+    return attempts.join(listed, [*key, "rank", "source"], "left_semi")
+
+
 def attempt_body(attempts: DataFrame) -> DataFrame:
     """Adds `body`: the value text or the series as JSON; null where the source gave nothing.
 

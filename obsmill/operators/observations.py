@@ -2,8 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from obsmill.functions import text
-from obsmill.functions.dates import date_spine
+from obsmill.functions import dates, text
 from obsmill.schemas import DEFAULT_GRANULARITY, KEY, OPEN_END
 
 
@@ -130,11 +129,17 @@ def item_rows(items: DataFrame) -> DataFrame:
     return with_defaults(wanted.drop("start", "end", "_is_series", "_entry"))
 
 
-def clamp_stats(items: DataFrame) -> DataFrame:
-    """Adds the numbers of entries inside and outside the range: per row, without exploding."""
+def clamp_counts() -> tuple[Column, Column]:
+    """An item's numbers of entries inside and outside its range."""
     days = F.coalesce(F.map_keys("series"), F.array().cast("array<string>"))
     kept = F.size(F.filter(days, _in_range))
-    return items.withColumns({"kept": kept, "dropped": F.size(days) - kept})
+    return kept, F.size(days) - kept
+
+
+def clamp_stats(items: DataFrame) -> DataFrame:
+    """Adds the numbers of entries inside and outside the range: per row, without exploding."""
+    kept, dropped = clamp_counts()
+    return items.withColumns({"kept": kept, "dropped": dropped})
 
 
 def with_defaults(rows: DataFrame) -> DataFrame:
@@ -195,7 +200,57 @@ def count_in_period(stored: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
+#: Bits of a coverage map, and the number of its first day, so that every day of year 1 on has a place.
+COVERED_DAYS = 32_768
+_FIRST_DAY = 719_163
+SERIES_KEY = [c for c in KEY if c != "date"]
+
+
+def _place(day: Column) -> Column:
+    """A day's number, from 1 for the first day of year 1."""
+    return (F.unix_date(day) + _FIRST_DAY).cast("long")
+
+
+def coverage(stored: DataFrame) -> DataFrame:
+    """Which days each series holds: SERIES_KEY, bucket, `covered` (a bitmap) and `days`.
+
+    A bucket is a bitmap of 32,768 days, put together map-side; a series has one, seldom two. Dates that aren't a
+    plain day have no place in it.
+    """
+    day = F.try_to_date("date", "yyyy-MM-dd")
+    placed = stored.withColumn("_day", _place(day)).filter((F.length("date") == 10) & F.col("_day").isNotNull())
+    return (
+        placed.groupBy(*SERIES_KEY, F.bitmap_bucket_number("_day").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_day")).alias("covered"))
+        .withColumn("days", F.bitmap_count("covered"))
+    )
+
+
 def cache_misses(wanted: DataFrame, stored: DataFrame) -> DataFrame:
-    """Dates of wanted (key, start, end, frequency) rows that the store does not hold."""
-    spine = date_spine(F.col("start"), F.col("end"), F.col("frequency"))
-    return absent_from(wanted.select("*", F.explode(spine).alias("date")), stored)
+    """Dates of wanted (SERIES_KEY, start, end, frequency) rows that the store does not hold.
+
+    The store is reduced to bitmaps of covered days, and a wanted range is compared with them as a whole: only
+    the dates that are missing become rows. Further columns stay.
+    """
+    unit = dates.cadence(F.col("frequency"))
+    first, last = dates.spine_steps(F.col("start"), F.col("end"), F.col("frequency"))
+    ranged = wanted.withColumns({"_unit": unit, "_first": first, "_last": last}).filter("_first IS NOT NULL")
+    day = lambda step: _place(dates.step_date(F.col("_unit"), step))
+    buckets = F.sequence(F.bitmap_bucket_number(day(F.col("_first"))), F.bitmap_bucket_number(day(F.col("_last"))))
+    cut = ranged.withColumn("bucket", F.explode(buckets))
+    compared = cut.join(coverage(stored).drop("days"), [*SERIES_KEY, "bucket"], "left")
+    # Only the steps of days can be many, so only these are cut to the bucket beforehand.
+    low = (F.col("bucket") - 1) * COVERED_DAYS + 1 - _FIRST_DAY
+    daily = F.col("_unit") == "day"
+    begin = F.when(daily, F.greatest(F.col("_first").cast("long"), low)).otherwise(F.col("_first"))
+    end = F.when(daily, F.least(F.col("_last").cast("long"), low + COVERED_DAYS - 1)).otherwise(F.col("_last"))
+
+    def missing(step: Column) -> Column:
+        at = F.bitmap_bit_position(day(step))
+        octet = F.conv(F.hex(F.substring("covered", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        held = F.coalesce(F.expr("1").cast("int").bitwiseAND(F.call_function("shiftright", octet, (at % 8).cast("int"))), F.lit(0))
+        return (F.bitmap_bucket_number(day(step)) == F.col("bucket")) & (held == 0)
+
+    steps = F.filter(F.sequence(begin.cast("long"), end.cast("long")), missing)
+    found = compared.withColumn("_step", F.explode(steps))
+    return found.select(*wanted.columns, dates.step_text(F.col("_unit"), F.col("_step")).alias("date"))

@@ -49,10 +49,10 @@ def map_concepts(melted: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def not_missing(value: Column, dtype: T.DataType) -> Column:
-    """Not null, not the exact text `nan`, not a not-a-number."""
+    """Not null, not a not-a-number and not its text: the rule of the store as well."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return value.isNotNull() & ~F.isnan(value)
-    return value.isNotNull() & (value.cast("string") != "nan")
+    return ~is_missing_text(value.cast("string"))
 
 
 def _melt(frame: DataFrame, ids: list[Column | str], columns: list[str]) -> DataFrame:
@@ -129,7 +129,7 @@ def parse_wide(frame: DataFrame, ids: list[str], date: str = "REPORT_DATE") -> D
         day.alias("date"),
         F.inline(entries),
     )
-    return rows.filter(F.col("value").isNotNull() & (F.col("value") != "nan"))
+    return rows.filter(~is_missing_text(F.col("value")))
 
 
 def parse_transposed(frame: DataFrame, ids: list[str], dates: list[str]) -> DataFrame:
@@ -182,28 +182,31 @@ def migrate_legacy(
     limit: int | None = None,
     symbol_column: str = "symbol",
     entity_column: str = "entity_id",
+    arrival: str | None = None,
 ) -> DataFrame:
-    """A legacy per-source table as observation rows.
+    """A legacy per-source table as observation rows, with their `arrival`.
 
     `symbol` and `limit` select source rows, as the command's options do; the limit takes the
-    first rows by symbol and date.
+    first rows by symbol, date and arrival. Rows arrive in the order of the column `arrival`, else in
+    that of the table's files: of several rows of one key the first to arrive is the first writer.
     """
     date, concepts = LEGACY_TABLES[name]
-    rows = table
+    place = F.col(arrival).cast("long") if arrival else F.monotonically_increasing_id()
+    rows = table.withColumn("_arrival", place)
     if symbol is not None:
         rows = rows.filter(F.col(symbol_column) == symbol)
     if limit is not None:
-        rows = rows.orderBy(symbol_column, date).limit(limit)
+        rows = rows.orderBy(symbol_column, date, "_arrival").limit(limit)
     ids = [F.col(entity_column).alias("entity_id")]
     melted = _melt(
         rows,
-        [*ids, F.substring(F.col(date).cast("string"), 1, 10).alias("date")],
+        [*ids, F.substring(F.col(date).cast("string"), 1, 10).alias("date"), F.col("_arrival").alias("arrival")],
         [c for c in concepts if c in table.columns],
     )
     concept = F.create_map(*[F.lit(x) for pair in concepts.items() for x in pair])
     return legacy_rows(
         melted.filter(F.col("date") != "").select(
             "entity_id", "date", "value", concept[F.col("name")].alias("concept_id"),
-            F.lit(name).alias("source"),
+            F.lit(name).alias("source"), "arrival",
         )
     )

@@ -1,15 +1,24 @@
 """The whole way from plans to the store, on landed attempts or through adapters."""
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from dataclasses import asdict, dataclass
 
-from obsmill.operators.failover import outcomes
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from obsmill.operators.failover import in_chain, outcomes
 from obsmill.operators.health import task_outcomes
-from obsmill.operators.observations import item_rows, parse_responses
+from obsmill.operators.observations import clamp_counts, item_rows, parse_responses
 from obsmill.operators.statements import legacy_rows, parse_frames
 from obsmill.plans.expansion import request_key, unseen_tasks
 from obsmill.plans.ranges import balanced, distinct_ranges, expand
-from obsmill.sinks.paths import written
-from obsmill.sinks.store import InsertReport, KeyedStore, ObservationStore, append_audit
+from obsmill.sinks.paths import discard, written
+from obsmill.sinks.store import InsertReport, KeyedStore, ObservationStore, append_audit, observed
+
+
+@dataclass(frozen=True)
+class ResponseReport(InsertReport):
+    kept: int
+    dropped: int
+
 
 SEEN = T.StructType([T.StructField("request_key", T.StringType())])
 
@@ -38,24 +47,32 @@ def range_tasks(ranges: DataFrame, seen: DataFrame | None = None) -> DataFrame:
 def task_responses(tasks: DataFrame, attempts: DataFrame) -> DataFrame:
     """Tasks with the outcome of their attempts (request_key, rank, source, value, ...).
 
-    Attempts may have landed earlier or come out of `fetch_attempts`. A task without attempts has
-    status 204.
+    Attempts may have landed earlier or come out of `fetch_attempts`. Only those of the task's own sources, at
+    their places in its chain, count. A task without attempts has status 204.
     """
-    return outcomes(tasks, attempts, ["request_key"])
+    return outcomes(tasks, in_chain(tasks, attempts, ["request_key"]), ["request_key"])
 
 
 def store_responses(
     responses: DataFrame, store: ObservationStore, batch_id: str, audit: str | None = None
-) -> InsertReport:
+) -> ResponseReport:
     """Items of the responses into the store, and unexploded into the audit log.
 
-    Several sources may answer for one key; the better-ranked one counts as the first writer.
+    Several sources may answer for one key; the better-ranked one counts as the first writer. The report
+    also has the numbers of series entries inside and outside their ranges, taken while the items are written.
     """
-    items = written(parse_responses(responses, keep=("rank",), typed=audit is not None), "items")
+    kept, dropped = clamp_counts()
+    items, clamped = observed(
+        parse_responses(responses, keep=("rank",), typed=audit is not None),
+        "items",
+        F.sum(kept).alias("kept"),
+        F.sum(dropped).alias("dropped"),
+    )
     report = store.insert(item_rows(items), batch_id, ["rank", "source_used"])
     if audit is not None:
         append_audit(items.drop("rank"), audit, batch_id)
-    return report
+    discard(items)
+    return ResponseReport(**asdict(report), kept=clamped["kept"] or 0, dropped=clamped["dropped"] or 0)
 
 
 def store_statements(

@@ -153,3 +153,9 @@ def plan_size(plans: DataFrame, identifiers: DataFrame, plan_id: str = "plan_id"
             F.sum(F.col("entities") * F.col("per_entity")).alias("tasks"),
         )
     )
+
+
+def plan_totals(plans: DataFrame, identifiers: DataFrame, plan_id: str = "plan_id") -> DataFrame:
+    """`plan_size` with totals: of each concept (null source) and of all plans (null concept and source)."""
+    sizes = plan_size(plans, identifiers, plan_id)
+    return sizes.rollup("concept_id", "source").agg(F.sum("entities").alias("entities"), F.sum("tasks").alias("tasks"))

@@ -60,3 +60,11 @@ def new_statement_tasks(stocks: DataFrame, seen: DataFrame, **task_options) -> D
 def in_entity_order(tasks: DataFrame) -> DataFrame:
     """Global order by entity: a range partitioning, not a single task."""
     return tasks.orderBy("entity_id")
+
+
+def queue_size(stocks: DataFrame) -> DataFrame:
+    """How many statement tasks the stocks make, before any is made: stocks, functions of a stock, tasks."""
+    functions = F.lit(len(STATEMENT_FUNCTIONS)).cast("bigint")
+    return stocks.agg(F.count("*").alias("stocks")).select(
+        "stocks", functions.alias("functions"), (F.col("stocks") * functions).alias("tasks")
+    )

@@ -1,10 +1,13 @@
 """User adapters: one Python object per source, run per task partition."""
 
+import hashlib
 import json
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from obsmill.schemas import DATE_COLUMN_NAMES, TASK, TASK_FIELDS
 
@@ -108,7 +111,52 @@ def _call(adapter: Adapter, task: dict) -> dict:
     return {"series": _series_json(series)}
 
 
-def _walk(adapters: Mapping[str, Adapter], task: dict, chain: list[dict] | None) -> Iterator[dict]:
+class Landing:
+    """Outcomes of calls by request key and rank, in a shared folder.
+
+    An outcome lands before its task goes on, so a task that is lost and repeated finds what its calls gave
+    instead of making them again. One folder belongs to one run. `uri` is a path or URI of any file
+    system that Arrow knows; each outcome is a small file that is renamed into place once it is complete.
+    """
+
+    def __init__(self, uri: str):
+        self.files, root = fs.FileSystem.from_uri(uri)
+        self.root = root.rstrip("/")
+
+    def _place(self, key: str, rank: int) -> str:
+        name = hashlib.sha256(key.encode()).hexdigest()
+        return f"{self.root}/{name[:2]}/{name}-{rank}.json"
+
+    def get(self, key: str, rank: int) -> dict | None:
+        place = self._place(key, rank)
+        if self.files.get_file_info(place).type == fs.FileType.NotFound:
+            return None
+        with self.files.open_input_stream(place) as stream:
+            return json.loads(stream.read())
+
+    def put(self, key: str, rank: int, outcome: dict) -> None:
+        place = self._place(key, rank)
+        self.files.create_dir(place.rsplit("/", 1)[0], recursive=True)
+        part = f"{place}.{uuid.uuid4().hex}"
+        with self.files.open_output_stream(part) as stream:
+            stream.write(json.dumps(outcome, ensure_ascii=False).encode())
+        self.files.move(part, place)
+
+
+def _landed(landing: Landing | None, adapter: Adapter | None, tried: dict, rank: int) -> dict:
+    """The outcome of a call, made now unless it has landed before."""
+    if landing is None:
+        return _attempt(adapter, tried)
+    outcome = landing.get(tried["request_key"], rank)
+    if outcome is None:
+        outcome = _attempt(adapter, tried)
+        landing.put(tried["request_key"], rank, outcome)
+    return outcome
+
+
+def _walk(
+    adapters: Mapping[str, Adapter], task: dict, chain: list[dict] | None, landing: Landing | None = None
+) -> Iterator[dict]:
     """Attempts in rank order, up to the first that serves the task."""
     own = {key: task[key] for key in ("source", "command")} | {"column_name": task["column"]}
     for rank, entry in enumerate(chain or [own]):
@@ -117,7 +165,7 @@ def _walk(adapters: Mapping[str, Adapter], task: dict, chain: list[dict] | None)
             "command": entry["command"],
             "column": entry["column_name"] or task["column"],
         }
-        outcome = _attempt(adapters.get(tried["source"], adapters.get(ANY_SOURCE)), tried)
+        outcome = _landed(landing, adapters.get(tried["source"], adapters.get(ANY_SOURCE)), tried, rank)
         yield tried | {"rank": rank} | outcome
         if outcome.get("value") is not None or outcome.get("series"):
             return
@@ -128,6 +176,7 @@ def fetch_attempts(
     adapters: Callable[[], Mapping[str, Adapter]],
     chain: str | None = None,
     calls: int | None = None,
+    landing: str | None = None,
 ) -> DataFrame:
     """Run keyed tasks through the adapters of their sources, one row per call.
 
@@ -135,16 +184,18 @@ def fetch_attempts(
     serves; without it a task tries its own source only. `adapters` is called once per task
     partition, so connections are made where they are used. Under `ANY_SOURCE` it may name an
     adapter for all other sources, such as one with the default parameters and look-up by column. `calls` is the number of partitions
-    to spread the tasks over, and so how many calls run at the same time.
+    to spread the tasks over, and so how many calls run at the same time. `landing` is the folder of a
+    `Landing`: calls whose outcome has landed there aren't made again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_source = adapters()
+        landed = Landing(landing) if landing else None
         for batch in batches:
             done = [
                 attempt
                 for task in batch.to_pylist()
-                for attempt in _walk(by_source, task, task.pop(chain) if chain else None)
+                for attempt in _walk(by_source, task, task.pop(chain) if chain else None, landed)
             ]
             yield pa.RecordBatch.from_pylist(done, schema=_ARROW)
 
@@ -153,3 +204,26 @@ def fetch_attempts(
     if calls is not None:
         wanted = wanted.repartition(calls)
     return wanted.mapInArrow(run, ATTEMPT)
+
+
+def fetch_table(adapters: Callable[[], Mapping[str, Adapter]], chain: str | None = None, landing: str | None = None):
+    """The same calls as a table function for SQL, to be registered with `spark.udtf.register`.
+
+    `SELECT * FROM fetch(TABLE(tasks) PARTITION BY (source, part))`: the adapters are made once per group, so a
+    group's calls share a connection. Rows need `request_key`, the task fields and `chain`, if it is named; `part`,
+    a hash of the request key, splits a source that has most of the tasks.
+    """
+    names = ATTEMPT.fieldNames()
+
+    class Fetch:
+        def __init__(self):
+            self.by_source = adapters()
+            self.landed = Landing(landing) if landing else None
+
+        def eval(self, row: Row):
+            given = row.asDict(recursive=True)
+            task = {name: given[name] for name in ("request_key", *TASK_FIELDS)}
+            for attempt in _walk(self.by_source, task, given[chain] if chain else None, self.landed):
+                yield tuple(attempt.get(name) for name in names)
+
+    return F.udtf(Fetch, returnType=ATTEMPT)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from obsmill.operators.observations import item_rows, parse_responses
+from obsmill.schemas import RESPONSE
 from obsmill.sinks.store import KeyedStore, ObservationStore, append_audit
 
 
@@ -25,6 +26,11 @@ def observation_stream(
     return reader.parquet(path)
 
 
+def response_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Responses, one JSON object per line, as files arrive in a folder."""
+    return task_stream(spark, path, RESPONSE, files_per_batch)
+
+
 def _insert_batches(stream: DataFrame, store: KeyedStore, order: list[str], checkpoint: str):
     def insert(batch: DataFrame, number: int) -> None:
         store.insert(batch, f"{number:012d}", order)
@@ -50,7 +56,7 @@ def upsert_stream(
     checkpoint: str,
     interval: str | None = None,
 ):
-    """Insert-if-absent per micro-batch; a replayed batch replaces its own folder.
+    """Insert-if-absent per micro-batch; a replayed batch finds its rows in its own folder and adds what is missing.
 
     Without an interval the stream takes what is there and ends; with one it keeps running.
     A killed job loses at most the batch in hand, which the checkpoint brings back.
@@ -74,10 +80,11 @@ def response_stream_to_store(
 
     def take(batch: DataFrame, number: int) -> None:
         batch_id = f"{number:012d}"
-        items = parse_responses(batch, keep=tuple(order), typed=audit is not None)
+        more = tuple(c for c in order if c != "source_used")
+        items = parse_responses(batch, keep=more, typed=audit is not None)
         store.insert(item_rows(items), batch_id, order)
         if audit is not None:
-            append_audit(items.drop(*order), audit, batch_id)
+            append_audit(items.drop(*more), audit, batch_id)
 
     writer = responses.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from obsmill import schemas
 from obsmill.__main__ import main
 from obsmill.plans import crawl
 from obsmill.schemas import ENDPOINT_REGISTRY
@@ -134,3 +135,49 @@ def test_refresh_and_health_commands(spark, tmp_path, capsys, rows):
     spark.createDataFrame([("a", "x", 10, None)], "source STRING, command STRING, elapsed_ms INT, error STRING").write.parquet(f"{base}/log")
     main(["health", "--log", f"{base}/log"])
     assert "slowest_ms" in capsys.readouterr().out
+
+
+def test_responses_and_tasks_arrive_by_command(spark, tmp_path, capsys, rows):
+    base = str(tmp_path)
+    task = {"source": "akshare", "command": "c", "identifier": "1", "column": "x", "concept_id": 64, "entity_type": "bond", "entity_id": 9001,
+            "unit": "", "granularity": "day", "start": "2019-03-01", "end": "2019-03-31", "status": 200}
+    (tmp_path / "in").mkdir()
+    for n, body in enumerate(('{"2019-03-04": 1.25, "2019-05-01": 2}', '{"2019-03-04": 9, "2019-03-05": 3}')):
+        (tmp_path / "in" / f"{n}.json").write_text(json.dumps(task | {"body": body}) + "\n", encoding="utf-8")
+        main(["take-responses", "--incoming", f"{base}/in", "--store", f"{base}/store", "--checkpoint", f"{base}/check", "--audit", f"{base}/audit"])
+    assert rows(ObservationStore(spark, f"{base}/store").read(), "date", "value") == [("2019-03-04", "1.25"), ("2019-03-05", "3")]
+    lines = [json.loads(r.value)["series"] for r in spark.read.text(f"{base}/audit").collect()]
+    assert {"2019-03-04": 1.25, "2019-05-01": 2} in lines and len(lines) == 2
+    (tmp_path / "tasks").mkdir()
+    waiting = {"entity_id": 3, "identifier": "600000", "source": "akshare", "function_name": "annual_bs", "function_command": "b"}
+    for n in range(2):
+        (tmp_path / "tasks" / f"{n}.json").write_text(json.dumps(waiting) + "\n", encoding="utf-8")
+        main(["take-tasks", "--incoming", f"{base}/tasks", "--queue", f"{base}/queue", "--checkpoint", f"{base}/check-tasks"])
+    assert capsys.readouterr().out.split() == ["1", "2", "1", "1"]
+
+
+def test_size_command(spark, tmp_path, capsys, inputs):
+    inputs(_plan(mode="per_date", frequency="monthly", sources=("akshare", "yfinance")))
+    main(["size", "--identifiers", f"{tmp_path}/ids", "--plan", f"{tmp_path}/plan.json", "--entity-type", "bond"])
+    found = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert found[-1] == {"stocks": 1, "functions": 12, "tasks": 12}
+    assert sorted((r["concept_id"] or 0, r["source"] or "", r["tasks"]) for r in found[:-1]) == [
+        (0, "", 24), (64, "", 24), (64, "akshare", 12), (64, "yfinance", 12)]
+
+
+def test_report_counts_entries_beyond_their_range(spark, tmp_path):
+    response = {"source": "akshare", "command": "c", "identifier": "1", "column": "x", "concept_id": 64, "entity_type": "bond", "entity_id": 1,
+                "unit": "", "granularity": "day", "start": "2019-03-01", "end": "2019-03-31", "status": 200, "rank": 0, "body": '{"2019-03-04": 1, "2019-04-01": 2, "2019-02-28": 3}'}
+    frame = spark.createDataFrame([response | {"date": None}], schemas.T.StructType([*schemas.RESPONSE.fields, schemas.T.StructField("rank", schemas.T.IntegerType())]))
+    report = crawl.store_responses(frame, ObservationStore(spark, f"{tmp_path}/store"), "1")
+    assert (report.attempted, report.inserted, report.kept, report.dropped) == (1, 1, 1, 2)
+    assert crawl.store_responses(frame.limit(0), ObservationStore(spark, f"{tmp_path}/store"), "2").kept == 0
+
+
+def test_the_first_row_to_arrive_is_migrated(spark, tmp_path, rows):
+    table = spark.createDataFrame([(1, "s", "2020-01-01", 9.0, 1), (1, "s", "2020-01-01", 10.0, 0), (1, "t", "2020-01-01", 3.0, 2)],
+                                  "entity_id BIGINT, symbol STRING, date STRING, close DOUBLE, n INT").coalesce(1)
+    table.write.parquet(f"{tmp_path}/t")
+    for store, option, want in (("a", [], "9.0"), ("b", ["--arrival", "n"], "10.0"), ("c", ["--arrival", "n", "--limit", "1"], "10.0")):
+        main(["migrate", "astock-us", "--table", f"{tmp_path}/t", "--store", f"{tmp_path}/{store}", "--batch", "1", *option])
+        assert rows(ObservationStore(spark, f"{tmp_path}/{store}").read(), "value") == [(want,)]

@@ -1,14 +1,17 @@
 import datetime
+import os
 import sys
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from obsmill import schemas
 from obsmill.operators import extract, failover
+from obsmill.plans import crawl
 from obsmill.plans.expansion import request_key
 from obsmill.sources import landed
-from obsmill.sources.adapters import Adapter, FetchError, SourceUnavailable, fetch_attempts
+from obsmill.sources.adapters import Adapter, FetchError, SourceUnavailable, fetch_attempts, fetch_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(sys.modules[fetch_attempts.__module__])
@@ -227,3 +230,57 @@ def test_ranges_over_time_stamps(spark, rows):
     (found,) = extract.extract_ranges(tasks, days, ["identifier"]).collect()
     assert found.series == {"2020-01-01": "2.5", "2020-01-03": "3.0"}
     assert extract.extract_ranges(tasks, extract.frame_points(frame, "n"), ["identifier"]).isEmpty()
+
+
+class _Counted(Adapter):
+    """Leaves a mark for each call; breaks off the whole task where a file says so."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def fetch(self, command, params):
+        with open(f"{self.folder}/{params['symbol']}", "a") as marks:
+            marks.write(".")
+        if params["symbol"] == "5" and os.path.exists(f"{self.folder}/break"):
+            raise SystemExit("the executor is gone")
+        if params["symbol"] == "6":
+            raise FetchError("no")
+        return [{"date": "2024-01-02", "v": params["symbol"]}]
+
+
+def test_a_repeated_task_makes_no_call_twice(spark, tmp_path, rows):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    tasks = spark.createDataFrame([(f"k{n}", "s", "c", str(n), "2024-01-02", "v", 1, "x", n, "", "day", None, None) for n in range(8)],
+                                  ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in [schemas.T.StructField("request_key", schemas.T.StringType()), *schemas.TASK.fields]))
+    folder = str(calls)
+    run = lambda: fetch_attempts(tasks, lambda: {"s": _Counted(folder)}, calls=1, landing=f"{tmp_path}/landed")
+    (calls / "break").write_text("")
+    with pytest.raises(Exception):
+        run().collect()
+    made = {p.name: len(p.read_text()) for p in calls.iterdir() if p.name != "break"}
+    assert made["5"] == 1 and 1 < len(made) <= 8
+    (calls / "break").unlink()
+    want = [(str(n), None if n == 6 else str(n), "no" if n == 6 else None) for n in range(8)]
+    assert rows(run(), "identifier", "value", "error") == want
+    # Only the call in hand was made again.
+    assert {p.name: len(p.read_text()) for p in calls.iterdir()} == {str(n): 2 if n == 5 else 1 for n in range(8)}
+    tasks.withColumn("part", F.lit(0)).createOrReplaceTempView("counted_tasks")
+    spark.udtf.register("counted", fetch_table(lambda: {"s": _Counted(folder)}, landing=f"{tmp_path}/landed"))
+    again = spark.sql("SELECT * FROM counted(TABLE(counted_tasks) PARTITION BY (source, part))")
+    assert rows(again, "identifier", "value", "error") == want
+    assert sum(len(p.read_text()) for p in calls.iterdir()) == 9
+
+
+def test_only_the_chain_s_attempts_count(spark, rows):
+    entry = "struct<source:string,command:string,column_name:string>"
+    tasks = spark.createDataFrame(
+        [("a", "own", "c", "v", [("p", "c", ""), ("q", "c", "")]), ("b", "own", "c", "v", []), ("c", "own", "c", "v", None)],
+        f"request_key STRING, source STRING, command STRING, column STRING, chain ARRAY<{entry}>")
+    attempts = spark.createDataFrame(
+        [("a", 0, "q", "misplaced"), ("a", 1, "q", "1"), ("a", 0, "stranger", "2"), ("b", 0, "own", "3"), ("b", 1, "own", "4"), ("c", 0, "own", "5"), ("d", 0, "own", "6")],
+        "request_key STRING, rank INT, source STRING, value STRING").withColumn("error", F.lit(None).cast("string"))
+    assert rows(failover.in_chain(tasks, attempts, ["request_key"]), "value") == [("1",), ("3",), ("5",)]
+    assert rows(failover.in_chain(tasks.drop("chain"), attempts, ["request_key"]), "value") == [("3",), ("5",)]
+    found = crawl.task_responses(tasks, attempts)
+    assert rows(found, "request_key", "status", "body") == [("a", 200, "1"), ("b", 200, "3"), ("c", 200, "5")]

@@ -244,3 +244,23 @@ def test_counts_are_taken_while_rows_are_written(spark, rows):
     assert not exists(spark, table._scratch)
     empty, counts = observed(frame.limit(0), "probe", F.count("*").alias("n"), F.max("date").alias("last"))
     assert counts["n"] == 0 and counts["last"] is None and empty.isEmpty()
+
+
+@pytest.mark.parametrize("frequency", ["daily", "monthly", "yearly", None])
+def test_misses_without_unfolding_what_is_stored(spark, rows, frequency):
+    """Against sets, over ranges that span two bitmaps; odd dates cover nothing."""
+    rng = random.Random(11)
+    spans = [(7, "1999-12-20", "2000-02-03"), (7, "2000-01-05", "1999-11-30"), (8, "1955-01-01", "1976-12-31"), (9, "2020-02-28", "2020-02-28")]
+    wanted = spark.createDataFrame([(1, "x", e, "day", frequency, a, b, "kept") for e, a, b in spans],
+                                   "concept_id INT, entity_type STRING, entity_id BIGINT, granularity STRING, frequency STRING, start STRING, end STRING, note STRING")
+    spine = wanted.select("entity_id", F.explode(obs.dates.date_spine(F.col("start"), F.col("end"), F.col("frequency"))).alias("date"))
+    days = sorted({(r.entity_id, r.date) for r in spine.collect()})
+    held = set(rng.sample(days, len(days) // 2)) | {(7, "not a day"), (7, "2000-01-01 00:00:00"), (99, "2000-01-01")}
+    stored = spark.createDataFrame([(1, "x", e, d, g) for e, d in held for g in ("day", "day")] + [(1, "x", 9, "2020-02-28", "month")],
+                                   "concept_id INT, entity_type STRING, entity_id BIGINT, date STRING, granularity STRING")
+    misses = obs.cache_misses(wanted, stored)
+    old = obs.absent_from(wanted.select("*", F.explode(obs.dates.date_spine(F.col("start"), F.col("end"), F.col("frequency"))).alias("date")), stored)
+    assert rows(misses, *old.columns) == rows(old, *old.columns) and misses.columns == [*wanted.columns, "date"]
+    covered = obs.coverage(stored).groupBy("entity_id").agg(F.sum("days"))
+    plain = [e for e, d in held if len(d) == 10 and d[4] == "-" and e != 9]
+    assert dict(rows(covered.filter("entity_id != 9"))) == {e: plain.count(e) for e in set(plain)}

@@ -142,7 +142,6 @@ STATEMENT_ROW = (
     " WHEN 'purchase' THEN 'Total Revenue' WHEN 'signup' THEN 'Stockholders Equity'"
     " ELSE 'Other' END"
 )
-TRANSPOSED_DATES = [f"2024-01-{day:02d} 00:00:00" for day in range(1, 32)]
 
 # A quarter of the customers repeats the endpoint of an earlier one, on another page.
 LISTED = "CASE WHEN c_custkey % 4 = 3 AND c_custkey > 61 THEN c_custkey - 61 ELSE c_custkey END"
@@ -287,11 +286,11 @@ def statements(spark, sf_dir) -> DataFrame:
 
 
 def transposed_statements(spark, sf_dir) -> DataFrame:
-    """Fields as rows, one column per January day, several functions per entity."""
+    """Fields as rows, one column per day of the table, several functions per entity."""
     cells = table(spark, sf_dir, "events").selectExpr(
         "user_id AS entity_id", f"{STATEMENT_ROW} AS field", f"{DAY} || ' 00:00:00' AS day", "value"
     )
-    wide = cells.groupBy("entity_id", "field").pivot("day", TRANSPOSED_DATES).agg(F.max("value"))
+    wide = cells.groupBy("entity_id", "field").pivot("day").agg(F.max("value"))
     function = (
         F.when(F.col("field").isin("Total Assets", "Stockholders Equity"), F.lit("annual_bs"))
         .otherwise(F.lit("quarterly_is"))

@@ -1,6 +1,6 @@
 """SQL that gives each query's result in DuckDB, over the same whole tables."""
 
-from workload.bindings import SPINE, code, with_ctes
+from workload.bindings import REPORT_DATE, SPINE, code, with_ctes
 
 KEY = 'concept_id, entity_type, entity_id, "date", granularity'
 TASK = (
@@ -137,9 +137,11 @@ TRANSPOSED = (
     " CASE event_type WHEN 'click' THEN 'Total Assets' WHEN 'view' THEN 'Net Income'"
     " WHEN 'purchase' THEN 'Total Revenue' WHEN 'signup' THEN 'Stockholders Equity' END AS field,"
     " substring(cast(ts as string), 1, 10) AS \"date\", max(value) AS value FROM events GROUP BY ALL)"
-    " WHERE field IS NOT NULL AND \"date\" BETWEEN '2024-01-01' AND '2024-01-31'"
+    " WHERE field IS NOT NULL"
 )
 
+PRICES = f"SELECT *, {code('o_custkey')} AS symbol FROM orders"
+
 _BODIES = {
     "plan_flatten": 'SELECT plan_id, is_series, concept_id, code, entity_type, unit, frequency,'
     ' granularity, rank, source, command, "column", "start", "end" FROM plan_flat',
@@ -169,6 +171,13 @@ _BODIES = {
     " (SELECT concept_id, source, cast(sum(n) as bigint) AS entities FROM plan_flat JOIN"
     " (SELECT plan_id, source, count(*) AS n FROM scoped GROUP BY ALL) USING (plan_id, source)"
     " GROUP BY ALL) e ON t.concept_id = e.concept_id AND t.source = e.source",
+    "plan_totals": "SELECT t.concept_id, t.source, e.entities, t.tasks FROM"
+    " (SELECT concept_id, source, count(*) AS tasks FROM tasks GROUP BY ROLLUP (concept_id, source)) t JOIN"
+    " (SELECT concept_id, source, cast(sum(n) as bigint) AS entities FROM plan_flat JOIN"
+    " (SELECT plan_id, source, count(*) AS n FROM scoped GROUP BY ALL) USING (plan_id, source)"
+    " GROUP BY ROLLUP (concept_id, source)) e ON t.concept_id IS NOT DISTINCT FROM e.concept_id"
+    " AND t.source IS NOT DISTINCT FROM e.source",
+    "queue_size": f"SELECT count(*) AS stocks, cast(12 as bigint) AS functions, 12 * count(*) AS tasks FROM ({AKSHARE_STOCKS})",
     "statement_tasks": "SELECT entity_id, identifier, source, function_name, function_command,"
     f" '2024-01-01' AS start_date FROM ({STATEMENT_TASKS}) ORDER BY entity_id",
     "statement_task_dedup": "SELECT task_key, entity_id, identifier, source, function_name,"
@@ -246,6 +255,8 @@ _BODIES = {
     " (SELECT strftime(d, '%Y-%m-%d') AS \"date\" FROM (SELECT unnest(generate_series("
     "timestamp '2024-01-01', timestamp '2024-01-31', INTERVAL 1 DAY)) AS d))"
     " EXCEPT SELECT concept_id, entity_type, entity_id, \"date\", granularity FROM obs_first",
+    "obs_coverage": "SELECT concept_id, entity_type, entity_id, granularity, count(*) AS days"
+    " FROM obs_first GROUP BY ALL",
     "audit_json": 'SELECT concept_id, entity_id, "date", CASE WHEN "date" IS NOT NULL THEN body END'
     ' AS value, s.series, s.numbers, CASE WHEN "date" IS NULL THEN "end" END AS "end", unit,'
     " source AS source_used FROM served LEFT JOIN (SELECT event_id, string_agg(day || '=' ||"
@@ -276,11 +287,22 @@ _BODIES = {
     " 'quarterly_bs', 'quarterly_is', 'quarterly_cf'], function_name), value) AS place FROM (SELECT concept_id,"
     " entity_id, source, function_name, \"date\", value FROM mapped UNION ALL SELECT concept_id, entity_id,"
     f" 'yfinance', function_name, \"date\", value FROM ({TRANSPOSED}))) WHERE place = 1",
+    # Three price tables and three of statements; one symbol of the second, the first rows of the third and last.
     "legacy_migrate": "SELECT 234 AS concept_id, 'stock' AS entity_type, o_custkey AS entity_id,"
     " substring(cast(o_orderdate as string), 1, 10) AS \"date\", 'day' AS granularity,"
-    " cast(o_totalprice as string) AS value, 'currency' AS unit, 'astock' AS source_used FROM orders"
+    " cast(o_totalprice as string) AS value, 'currency' AS unit, name AS source_used FROM ("
+    f"SELECT 'astock' AS name, * FROM ({PRICES}) WHERE o_orderkey % 3 = 0 UNION ALL"
+    f" SELECT 'astock-hk', * FROM ({PRICES}) WHERE o_orderkey % 3 = 1 AND symbol = 'HK000007' UNION ALL"
+    f" SELECT 'astock-us', * FROM (SELECT * FROM ({PRICES}) WHERE o_orderkey % 3 = 2"
+    " ORDER BY symbol, o_orderdate, o_orderkey LIMIT 500))"
+    " UNION ALL SELECT concept_id, 'stock', entity_id, \"date\", 'day', value, 'currency',"
+    " 'astock-balance' FROM melted WHERE concept_id IN (242, 243, 244)"
     " UNION ALL SELECT concept_id, 'stock', entity_id, \"date\", 'day', value, 'currency',"
-    " 'astock-profit' FROM melted WHERE concept_id IN (239, 240)",
+    " 'astock-profit' FROM melted WHERE concept_id IN (239, 240)"
+    " UNION ALL SELECT 241, 'stock', l_suppkey, substring(REPORT_DATE, 1, 10), 'day', cast(l_extendedprice as string), 'currency',"
+    " 'astock-cashflow' FROM (SELECT *, " + REPORT_DATE + " AS REPORT_DATE FROM lineitem"
+    " ORDER BY l_partkey::string, REPORT_DATE NULLS FIRST, l_orderkey * 10 + l_linenumber LIMIT 2000)"
+    " WHERE REPORT_DATE <> ''",
     "page_ip_extract": "SELECT page_id, cast(pos - 1 as int) AS pos, ips[pos] AS ip, ports[pos] AS port"
     " FROM (SELECT *, unnest(range(1, greatest(len(ips), len(ports)) + 1)) AS pos FROM (SELECT page_id,"
     r" regexp_extract_all(html, '(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})', 1) AS ips,"

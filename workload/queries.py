@@ -1,6 +1,7 @@
 """One query per operator. Each takes (spark, sf_dir) and runs over whole tables."""
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -146,6 +147,16 @@ def plan_size(spark, sf_dir):
     return expansion.plan_size(b.plans(spark, sf_dir), b.identifiers(spark, sf_dir))
 
 
+@query
+def plan_totals(spark, sf_dir):
+    return expansion.plan_totals(b.plans(spark, sf_dir), b.identifiers(spark, sf_dir))
+
+
+@query
+def queue_size(spark, sf_dir):
+    return statement_plans.queue_size(_stocks(spark, sf_dir))
+
+
 def _stocks(spark, sf_dir, source="akshare"):
     ids = landed.scan_identifiers(b.identifiers(spark, sf_dir), source, "stock")
     return statement_plans.stock_codes(ids)
@@ -192,9 +203,17 @@ def series_extract(spark, sf_dir):
 
 
 def _outcomes(spark, sf_dir):
-    return failover.resolve(
-        b.attempts(spark, sf_dir), ["entity_id", "command", "date"], ["arrival"]
-    )
+    """Attempts along the chain of their tasks; an unlisted source, and a listed one out of place, don't count."""
+    key = ["entity_id", "command", "date"]
+    attempts = b.attempts(spark, sf_dir)
+    entry = lambda source: F.struct(*[F.lit(v).alias(n) for n, v in (("source", source), ("command", "c"), ("column_name", ""))])
+    chain = F.array(*[entry(source) for source in ("akshare", "yfinance", "wbgapi")])
+    tasks = attempts.select(*key).distinct().withColumns({"source": F.lit("akshare"), "column": F.lit("v"), "chain": chain})
+    better = attempts.filter("arrival % 2 = 0")
+    strangers = better.withColumns({"source": F.lit("unlisted"), "value": F.lit("!"), "rank": F.lit(0)})
+    misplaced = better.withColumns({"source": F.lit("wbgapi"), "value": F.lit("?"), "rank": F.lit(0)})
+    every = reduce(DataFrame.unionByName, [attempts, strangers, misplaced])
+    return failover.resolve(failover.in_chain(tasks, every, key), key, ["arrival"])
 
 
 @query
@@ -230,9 +249,12 @@ def fetch_map(spark, sf_dir):
         F.col("o_orderkey").alias("entity_id"), F.lit("").alias("unit"), F.lit("day").alias("granularity"),
         F.when(ranged, day).alias("start"), F.when(ranged, day).otherwise(none).alias("end"), chain.alias("chain"),
     )
+    # The table function: groups of one source, split by a hash of the key.
     calls = spark.sparkContext.defaultParallelism
     keyed = tasks.withColumn("request_key", expansion.request_key())
-    attempts = sources.fetch_attempts(keyed, samples.adapters, "chain", calls)
+    keyed.withColumn("part", F.pmod(F.xxhash64("request_key"), F.lit(calls))).createOrReplaceTempView("keyed_tasks")
+    spark.udtf.register("fetch", sources.fetch_table(samples.adapters, "chain"))
+    attempts = spark.sql("SELECT * FROM fetch(TABLE(keyed_tasks) PARTITION BY (source, part))")
     return failover.resolve(attempts, ["request_key", "entity_id", "identifier"]).drop("request_key")
 
 
@@ -369,6 +391,12 @@ def obs_cache_misses(spark, sf_dir):
     return obs.cache_misses(wanted, stored).select(*schemas.KEY)
 
 
+@query
+def obs_coverage(spark, sf_dir):
+    covered = obs.coverage(_firsts(spark, sf_dir))
+    return covered.groupBy(*obs.SERIES_KEY).agg(F.sum("days").alias("days"))
+
+
 @query
 def audit_json(spark, sf_dir):
     path = scratch_path(spark, "audit")
@@ -408,7 +436,7 @@ def concept_mapping(spark, sf_dir):
 @query
 def statement_melt_transposed(spark, sf_dir):
     frame = b.transposed_statements(spark, sf_dir)
-    parsed = statements.parse_transposed(frame, ["entity_id"], b.TRANSPOSED_DATES)
+    parsed = statements.parse_transposed(frame, ["entity_id"], statements.date_columns(frame))
     return parsed.select("entity_id", "function_name", "field", "concept_id", "date", "value")
 
 
@@ -447,16 +475,22 @@ def statement_store(spark, sf_dir):
 
 @query
 def legacy_migrate(spark, sf_dir):
+    """All six sources: all rows, one symbol, or the first rows."""
     prices = b.bind(spark, sf_dir, "orders", [
-        "o_custkey AS entity_id", f"{b.code('o_custkey')} AS symbol", "o_orderdate AS `date`",
+        "o_orderkey", "o_custkey AS entity_id", f"{b.code('o_custkey')} AS symbol", "o_orderdate AS `date`",
         "o_totalprice AS `close`",
     ])
-    profits = b.statements(spark, sf_dir).withColumn("symbol", F.col("SECURITY_CODE"))
-    return (
-        statements.migrate_legacy(prices, "astock")
-        .unionByName(statements.migrate_legacy(profits, "astock-profit"))
-        .select(*ROW)
-    )
+    frames = b.bind(spark, sf_dir, "lineitem", [*b.STATEMENTS, "cast(l_partkey as string) AS symbol", "l_orderkey * 10 + l_linenumber AS place"])
+    tables = [
+        ("astock", prices.filter("o_orderkey % 3 = 0"), {}),
+        ("astock-hk", prices.filter("o_orderkey % 3 = 1"), {"symbol": "HK000007"}),
+        ("astock-us", prices.filter("o_orderkey % 3 = 2"), {"limit": 500, "arrival": "o_orderkey"}),
+        ("astock-balance", frames, {}),
+        ("astock-profit", frames, {}),
+        ("astock-cashflow", frames, {"limit": 2000, "arrival": "place"}),
+    ]
+    migrated = [statements.migrate_legacy(table, name, **options) for name, table, options in tables]
+    return reduce(DataFrame.unionByName, migrated).select(*ROW)
 
 
 # Endpoints and health

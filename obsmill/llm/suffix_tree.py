@@ -1,18 +1,23 @@
-"""Scoring texts with a probabilistic suffix tree over words."""
+"""Scoring texts with a probabilistic suffix tree over words.
+
+Contexts are named by 64-bit hashes, so that a run of any length is a few numbers: its context, the
+context without its farthest word, and the next word. Runs of one word more are counted only after
+contexts that occur often enough, which a bit map of fixed size tells every task.
+"""
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from obsmill.llm.shared import LOWER, mixed
-from obsmill.sinks.paths import written
+from obsmill.llm.shared import BROADCAST_KEYS, LOWER, mixed
+from obsmill.sinks.paths import discard, written
 
-#: A context is tested if it occurs this often.
+#: A context is tested if it occurs this often, and has at most this many words.
 LEAST_COUNT = 24
+DEPTH = 2
 #: One of this many texts, by hash, is held out when the least divergence of a context is set.
 FOLDS = 8
 #: Least divergences are tried in steps of this many nats.
@@ -21,18 +26,21 @@ STEP = 0.05
 DISCOUNT = 0.75
 #: Words whose counts, and tokens in context whose gains, every task holds: the most frequent ones, this
 #: many of each at most. The rest are joined.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 20
 #: Counts up to this are told apart when the least count of a frequent word is sought, larger ones by
 #: eighths of a doubling.
 EXACT_COUNTS = 1 << 10
-#: Bits of the maps that tell tasks which tokens may follow a context.
-MAP_BITS = 1 << 22
-#: Word pairs counted together before they leave a task.
+#: Bits of the maps that tell tasks which contexts there are.
+MAP_BITS = 1 << 24
+#: Runs counted together before they leave a task, texts read together, and a word's runs that one group holds.
 FLUSH = 3_000_000
-#: A word is its hash without the low bits; the end and a missing word are numbers of their own.
+TEXTS = 256
+GROUP = 2_000_000
+#: A word is its hash without the low bits; the end is a number of its own.
 _WORD = np.uint64((1 << 64) - 32)
 END = np.uint64(16)
-NONE = np.uint64(0)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_KEY = np.uint64(0xD6E8FEB86659FD93)
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -42,109 +50,122 @@ def tokens(text: str | None) -> np.ndarray:
     return np.append(out, END)
 
 
-def _context(far: np.ndarray, near: np.ndarray) -> np.ndarray:
-    """A hash of contexts; one word alone has no far word."""
-    return mixed(mixed(far) + near)
+def _together(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of several texts, and the text of each."""
+    own = [tokens(text) for text in texts]
+    return np.concatenate(own), np.repeat(np.arange(len(own)), [len(o) for o in own])
+
+
+def _contexts(own: np.ndarray, text: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For lengths 1 to `depth`: the hash of the words before each token, and whether there are so many."""
+    out = []
+    runs = np.zeros(len(own), np.uint64)
+    for length in range(1, depth + 1):
+        before = np.zeros_like(runs)
+        before[1:] = runs[:-1]
+        runs = extended(before, own)
+        context = np.zeros_like(runs)
+        context[1:] = runs[:-1]
+        there = np.zeros(len(own), bool)
+        there[length:] = text[length:] == text[:-length]
+        out.append((context, there))
+    return out
+
+
+def extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The context of one more word; 0 is the context of none."""
+    return mixed(context * _STEP + word)
+
+
+def _key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(context * _KEY + word)
 
 
 def _bit(contexts: np.ndarray) -> np.ndarray:
     return (contexts >> np.uint64(20)) & np.uint64(MAP_BITS - 1)
 
 
-def _counted(training: DataFrame, width: int, bits=None) -> DataFrame:
-    """Runs of `width` words (far, near, next or near, next) of the training texts, n and held.
+def _unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, bitorder="little").astype(bool)
 
-    `held` is the part of n in held-out texts. With a map only runs after its contexts are counted.
-    Tasks count before the shuffle, and runs are grouped as a whole, so a hot context's counts are
-    spread by its next words.
-    """
-    names = ["far", "near", "next"][3 - width :]
+
+def _long(values: np.ndarray) -> pa.Array:
+    return pa.array(values.astype(np.uint64).view(np.int64))
+
+
+def _held_out(text: str | None) -> bool:
+    return xxhash.xxh3_64_intdigest((text or "").encode(), seed=1) % FOLDS == 0
+
+
+def _combined(held: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """Rows (key, ..., out) with equal keys as one row of its count n and its part of held-out ones."""
+    columns = [np.concatenate([h[k] for h in held]) for k in range(len(held[0]))]
+    order = np.argsort(columns[0])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = columns[0][1:] != columns[0][:-1]
+    at = np.flatnonzero(new)
+    n = np.diff(np.append(at, len(order)))
+    out = np.add.reduceat(columns[-1].astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([*(_long(c[at]) for c in columns[1:-1]), pa.array(n), pa.array(out)], names=names)
+
+
+def _runs(training: DataFrame, names: list[str], read) -> DataFrame:
+    """Rows of `names`, n and held, counted within tasks: `read` gives arrays (key, names...) of a part's tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = None if bits is None else np.unpackbits(bits.value, bitorder="little").astype(bool)
         held: list[tuple] = []
         size = 0
-
-        def flushed() -> pa.RecordBatch:
-            runs = [np.concatenate([h[k] for h in held] or [np.zeros(0, np.uint64)]) for k in range(width)]
-            out = np.concatenate([h[width] for h in held] or [np.zeros(0, np.int64)])
-            order = np.lexsort(runs[::-1])
-            runs, out = [r[order] for r in runs], out[order]
-            new = np.ones(len(out), bool)
-            if len(out):
-                new[1:] = np.any([r[1:] != r[:-1] for r in runs], axis=0)
-            at = np.flatnonzero(new)
-            n = np.diff(np.append(at, len(out)))
-            part = np.add.reduceat(out, at) if len(at) else out
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array(r[at].view(np.int64)) for r in runs), pa.array(n.astype(np.int64)), pa.array(part)],
-                names=[*names, "n", "held"],
-            )
-
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own = tokens(text)
-                runs = [own[k : len(own) - width + 1 + k] for k in range(width)] if len(own) >= width else []
-                if not runs:
-                    continue
-                if wanted is not None:
-                    asked = wanted[_bit(_context(runs[0], runs[1]))]
-                    runs = [r[asked] for r in runs]
-                out = int(xxhash.xxh3_64_intdigest((text or "").encode(), seed=1) % FOLDS == 0)
-                held.append((*runs, np.full(len(runs[0]), out, np.int64)))
-                size += len(runs[0])
+            texts = batch.column(0).to_pylist()
+            for begin in range(0, len(texts), TEXTS):
+                part = texts[begin : begin + TEXTS]
+                own, text = _together(part)
+                picked, arrays = read(own, text)
+                out = np.array([_held_out(t) for t in part])[text[picked]]
+                held.append((*arrays, out))
+                size += len(out)
                 if size > FLUSH:
-                    yield flushed()
+                    yield _combined(held, [*names, "n", "held"])
                     held, size = [], 0
-        yield flushed()
+        if held:
+            yield _combined(held, [*names, "n", "held"])
+
+    return training.select("_text").mapInArrow(count, ", ".join(f"{c} long" for c in [*names, "n", "held"]))
+
 
-    schema = ", ".join(f"{c} long" for c in [*names, "n", "held"])
-    counted = training.select("_text").mapInArrow(count, schema)
-    return counted.groupBy(*names).agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
+def _words(training: DataFrame) -> DataFrame:
+    counted = _runs(training, ["word"], lambda own, text: (np.arange(len(own)), (own, own)))
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
 
 
-def _tested(runs: DataFrame, context: list[str]) -> DataFrame:
-    """(context, told, learned_told, gain): by how many nats a context's next words diverge from the
-    shorter one's, by all texts and by those not held out, and what it gains on the held-out ones.
+def _counted(training: DataFrame, length: int, bits, frequent) -> DataFrame:
+    """Runs (context, shorter, next, part) of `length` words and the next after contexts of the map; n, held.
 
-    `runs` has n, held, total, learned (total without held) and p and q (of the context and of the
-    shorter one), p_learned and q_learned. An estimate from few words diverges by itself; its mean
-    excess is taken off.
+    `part` splits the runs before a next word that is very frequent into groups of a bounded size.
     """
-    own = F.col("n") - F.col("held")
-    told = F.col("n") / F.col("total") * F.log(F.col("n") / F.col("total") / F.col("q"))
-    learned = F.when(own > 0, own / F.col("learned") * F.log(own / F.col("learned") / F.col("q_learned")))
-    gain = F.when((F.col("held") > 0) & (F.col("learned") > 0), F.col("held") * F.log(F.col("p_learned") / F.col("q_learned")))
-    return runs.groupBy(*context).agg(
-        (F.sum(told) - (F.first("kinds") - 1) / (2 * F.first("total"))).alias("told"),
-        (F.sum(learned) - (F.first("learned_kinds") - 1) / (2 * F.first("learned"))).alias("learned_told"),
-        F.sum(gain).alias("gain"),
-    )
 
+    def read(own, text):
+        wanted = _unpacked(bits.value)
+        contexts = _contexts(own, text, length)
+        context, there = contexts[-1]
+        picked = np.flatnonzero(there & wanted[_bit(context)])
+        after, word = context[picked], own[picked]
+        shorter = contexts[-2][0][picked] if length > 1 else np.zeros_like(after)
+        known, counts = frequent.value
+        parts = 1 + (_looked_up(known, counts, word)[0] // GROUP).astype(np.uint64)
+        return picked, (_key(after, word), after, shorter, word, (after >> np.uint64(8)) % parts)
 
-def _threshold(tested: DataFrame) -> float:
-    """The least divergence that gives held-out texts the greatest likelihood; without gain none is kept."""
-    step = F.floor(F.col("learned_told") / STEP)
-    bins = tested.filter("learned_told is not null and gain is not null").groupBy(step.alias("step")).agg(F.sum("gain").alias("gain")).collect()
-    best, at, total = 0.0, float("inf"), 0.0
-    for row in sorted(bins, key=lambda r: -r["step"]):
-        total += row["gain"]
-        if total > best:
-            best, at = total, row["step"] * STEP
-    return at
+    return _runs(training, ["context", "shorter", "next", "part"], read)
 
 
-def _with_p(runs: DataFrame, context: list[str]) -> DataFrame:
-    """Adds to runs with q the totals and kinds of their contexts, p and p_learned."""
-    own = F.col("n") - F.col("held")
-    totals = runs.groupBy(*context).agg(
-        F.sum("n").alias("total"), F.sum(own).alias("learned"), F.count("*").alias("kinds"), F.count_if(own > 0).alias("learned_kinds")
-    )
-    return (
-        runs.join(totals, context)
-        .withColumn("p", _p(F.col("n"), F.col("total"), F.col("kinds"), F.col("q")))
-        .withColumn("p_learned", F.when(F.col("learned") > 0, _p(own, F.col("learned"), F.col("learned_kinds"), F.col("q_learned"))))
-    )
+def _looked_up(known: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of what is known, else 0, and whether it is."""
+    if not len(known):
+        return np.zeros(len(asked)), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    hit = known[at] == asked
+    return np.where(hit, values[at], 0), hit
 
 
 def _least(counts: DataFrame) -> int:
@@ -154,228 +175,397 @@ def _least(counts: DataFrame) -> int:
     that are not among them.
     """
     step = F.when(F.col("n") <= EXACT_COUNTS, F.col("n")).otherwise(EXACT_COUNTS + F.ceil(8 * F.log2(F.col("n") / EXACT_COUNTS)))
-    bins = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()
-    least = words = 0
+    bins = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.min("n").alias("least")).collect()
+    least = rows = 0
     for row in sorted(bins, key=lambda r: -r["step"]):
-        words += row["words"]
-        if words > FREQUENT:
+        rows += row["rows"]
+        if rows > FREQUENT:
             break
         least = row["least"]
     return least
 
 
-def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Words, in order, and counts of all words from the least count that `FREQUENT` words or fewer reach."""
+def _frequent(counts: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, in order, and values of all rows from the least n that `FREQUENT` rows or fewer reach."""
     least = _least(counts)
-    top = counts.filter(F.col("n") >= least).collect() if least else []
-    frequent = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(frequent)
-    return frequent[order], np.array([r["n"] for r in top], np.float64)[order]
+    if not least:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    top = counts.filter(F.col("n") >= least).select(key, F.col(value).cast("double").alias("v")).toArrow()
+    keys = np.asarray(top.column(0).combine_chunks()).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.asarray(top.column(1).combine_chunks())[order]
 
 
-def _hot(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, in order, and gains of the most frequent tokens in context, `FREQUENT` at most."""
-    least = _least(seen)
-    top = seen.filter(F.col("n") >= least).select("far", "near", "next", "gain").collect() if least else []
-    far, near, own = (np.array([r[c] for r in top], np.int64).view(np.uint64) for c in ("far", "near", "next"))
-    hashed = _context(_context(far, near), own)
-    order = np.argsort(hashed)
-    return hashed[order], np.array([r["gain"] for r in top], np.float64)[order]
-
-
-def _map(kept: DataFrame) -> np.ndarray:
-    """The bit map of contexts (far, near), put together from at most `MAP_BITS` / 32 rows."""
+def _map(contexts: DataFrame) -> np.ndarray:
+    """The bit map of a column of contexts, put together from at most `MAP_BITS` / 64 numbers."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.unique(_bit(_context(*(np.asarray(c).view(np.uint64) for c in batch.columns)))).astype(np.int64)
+            found = np.unique(_bit(np.asarray(batch.column(0)).view(np.uint64))).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found)], names=["place"])
 
-    bit = F.expr("shiftleft(1L, cast(place % 32 as int))")
-    packed = np.zeros(MAP_BITS // 32, "<u4")
-    for row in kept.select("far", "near").mapInArrow(places, "place long").groupBy(F.expr("place div 32").alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
-        packed[row["at"]] = row["bits"]
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    rows = contexts.mapInArrow(places, "place long").groupBy(F.expr("place div 64").alias("at")).agg(F.bit_or(bit).alias("bits"))
+    packed = np.zeros(MAP_BITS // 64, "<i8")
+    table = rows.toArrow()
+    packed[np.asarray(table.column(0).combine_chunks())] = np.asarray(table.column(1).combine_chunks())
     return packed.view(np.uint8)
 
 
-def _read(rows: DataFrame, frequent, hot, kept, scale: float) -> DataFrame:
-    """One row a text: its share of the base score from frequent words, its rare words, the gain of
-    its frequent tokens in context, and the other tokens (two words back, one back, itself) after
-    what the map says may be contexts. The word two back is left out where it can't be in one."""
+def _few(frame: DataFrame) -> DataFrame:
+    """`frame`, to be broadcast if it has at most `BROADCAST_KEYS` rows."""
+    return F.broadcast(frame) if frame.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else frame
+
+
+def _p(count: Column, total: Column, kinds: Column, shorter: Column) -> Column:
+    """A next word's probability: its discounted share, the rest by the shorter context."""
+    return (F.greatest(count - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * shorter) / total
+
+
+def _stated(rows: DataFrame) -> DataFrame:
+    """Per context what its rows (n, held, q, q_learned) sum up to.
+
+    total, kinds, learned and learned_kinds are its counts, without held-out texts for the learned ones. `told` and
+    `learned_told` are the nats by which its next words diverge from the shorter context's, less the mean excess
+    that an estimate from few words has by itself.
+    """
+    own = F.col("n") - F.col("held")
+    sums = rows.groupBy("context").agg(
+        F.first("shorter").alias("shorter"),
+        F.sum("n").alias("total"),
+        F.count("*").alias("kinds"),
+        F.sum(own).alias("learned"),
+        F.count_if(own > 0).alias("learned_kinds"),
+        F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).alias("_told"),
+        F.sum(F.when(own > 0, own * F.log(own / F.col("q_learned")))).alias("_learned"),
+    )
+    excess = lambda kinds, total: (F.col(kinds) - 1) / (2 * F.col(total))
+    return sums.withColumns(
+        {
+            "told": F.col("_told") / F.col("total") - F.log("total") - excess("kinds", "total"),
+            "learned_told": F.when(
+                F.col("learned") > 0, F.col("_learned") / F.col("learned") - F.log("learned") - excess("learned_kinds", "learned")
+            ),
+        }
+    ).drop("_told", "_learned")
+
+
+def _with_p(rows: DataFrame, stats: DataFrame) -> DataFrame:
+    """Rows with p and p_learned, by the counts of their contexts in `stats`."""
+    own = F.col("n") - F.col("held")
+    counts = stats.select("context", "total", "kinds", "learned", "learned_kinds")
+    return rows.join(_few(counts), "context").withColumns(
+        {
+            "p": _p(F.col("n"), F.col("total"), F.col("kinds"), F.col("q")),
+            "p_learned": F.when(F.col("learned") > 0, _p(own, F.col("learned"), F.col("learned_kinds"), F.col("q_learned"))),
+        }
+    )
+
+
+def _threshold(rows: DataFrame, stats: DataFrame) -> float:
+    """The least divergence that gives held-out texts the greatest likelihood; without gain none is kept."""
+    told = stats.select("context", "learned_told").filter("learned_told is not null")
+    held = _with_p(rows.filter("held > 0"), stats).filter("p_learned is not null")
+    step = F.floor(F.col("learned_told") / STEP)
+    gain = F.col("held") * F.log(F.col("p_learned") / F.col("q_learned"))
+    bins = held.groupBy("context").agg(F.sum(gain).alias("gain")).join(told, "context").groupBy(step.alias("step")).agg(F.sum("gain").alias("gain"))
+    best, at, total = 0.0, float("inf"), 0.0
+    for row in sorted(bins.collect(), key=lambda r: -r["step"]):
+        total += row["gain"]
+        if total > best:
+            best, at = total, row["step"] * STEP
+    return at
+
+
+class _Level:
+    """Contexts of one length: their runs and what was found of them."""
+
+    def __init__(self, rows: DataFrame):
+        #: context, shorter, next, n, held, q and q_learned by the shorter context, q0 by the root.
+        self.rows = rows
+        self.stats = written(_stated(rows), "stats")
+        self.kept = self.stats.filter(F.col("told") >= _threshold(rows, self.stats)).select("context")
+
+    def close(self) -> None:
+        """Removes the runs; the states stay."""
+        discard(self.rows)
+
+
+def _levels(training: DataFrame, words: DataFrame, frequent, scale: float, learned_scale: float, depth: int, least: int) -> list[_Level]:
+    """The levels of the tree, shortest contexts first; a kept context's shorter ones are kept as well."""
+    shared = training.sparkSession.sparkContext.broadcast
+    levels: list[_Level] = []
+    none = F.lit(0).cast("long")
+    often = words.filter((F.col("n") >= least) & (F.col("word") != int(END)))
+    able = written(_extended(often.select(none.alias("context"), none.alias("shorter"), F.col("word").alias("next"))), "able")
+    for length in range(1, depth + 1):
+        if able.isEmpty():
+            break
+        bits = shared(_map(able.select("context")))
+        raw = _counted(training, length, bits, frequent)
+        if length == 1:
+            # A frequent word has a row for each part of its runs.
+            parts = F.sequence(F.lit(0).cast("long"), F.floor(F.col("n") / GROUP))
+            below = words.select(
+                F.col("word").alias("next"),
+                ((F.col("n") + 1) / F.lit(scale)).alias("q"),
+                ((F.col("n") - F.col("held") + 1) / F.lit(learned_scale)).alias("q_learned"),
+                F.explode(parts).alias("part"),
+            ).withColumn("q0", F.col("q"))
+            keys = ["next", "part"]
+        else:
+            shorter = levels[-1]
+            needed = written(able.select("shorter").distinct(), "needed")
+            picked = shorter.rows.join(_few(needed.withColumnRenamed("shorter", "context")), "context", "left_semi")
+            below = _with_p(picked, shorter.stats).select(F.col("context").alias("shorter"), "next", F.col("p").alias("q"), F.col("p_learned").alias("q_learned"), "q0")
+            keys = ["shorter", "next"]
+        runs = raw.repartition(*keys).groupBy(*keys, "context", *[c for c in ("shorter", "next") if c not in keys])
+        rows = runs.agg(F.sum("n").alias("n"), F.sum("held").alias("held")).join(below, keys)
+        # The map lets a few contexts through that don't occur often enough.
+        rows = rows.join(_few(able.select("context")), "context", "left_semi")
+        rows = written(rows.select("context", "shorter", "next", "n", "held", "q", "q_learned", "q0"), "runs")
+        bits.unpersist()
+        levels.append(_Level(rows))
+        if length < depth:
+            able = written(_extended(rows.filter((F.col("n") >= least) & (F.col("next") != int(END)))), "able")
+    for level, longer in zip(levels[-2::-1], levels[:0:-1]):
+        above = longer.stats.join(longer.kept, "context", "left_semi").select(F.col("shorter").alias("context"))
+        level.kept = written(level.kept.union(above).distinct(), "kept")
+    return levels
+
+
+def _extended(runs: DataFrame) -> DataFrame:
+    """The contexts that runs (context, shorter, next) are, with their shorter ones: context, shorter."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, shorter, word = (np.asarray(c).view(np.uint64) for c in batch.columns)
+            yield pa.RecordBatch.from_arrays(
+                [_long(extended(context, word)), _long(extended(shorter, word))], names=["context", "shorter"]
+            )
+
+    return runs.select("context", "shorter", "next").mapInArrow(name, "context long, shorter long")
+
+
+def _seen(level: _Level) -> DataFrame:
+    """(key, n, gain) of the seen next words of kept contexts: log10 of the probability over the root's."""
+    kept = level.rows.join(_few(level.kept), "context", "left_semi")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, word = (np.asarray(c).view(np.uint64) for c in batch.columns[:2])
+            yield pa.RecordBatch.from_arrays([_long(_key(context, word)), *batch.columns[2:]], names=["key", "n", "gain"])
+
+    gained = _with_p(kept, level.stats).select("context", "next", "n", F.log10(F.col("p") / F.col("q0")).alias("gain"))
+    return gained.mapInArrow(name, "key long, n long, gain double")
+
+
+def _states(level: _Level) -> DataFrame:
+    """(context, rest): kept contexts and log10 of what they give the shorter context for an unseen word."""
+    kept = level.stats.join(_few(level.kept), "context", "left_semi")
+    return kept.select("context", F.log10(DISCOUNT * F.col("kinds") / F.col("total")).alias("rest"))
+
+
+def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame:
+    """One row a text: n_tokens, n_known and base as far as frequent words tell, its rare words, the
+    gain of its frequent tokens in context, and its other tokens in context.
+
+    Such a token has the number of words of the longest context that the maps know (`level`), and for that and all
+    shorter ones, longest first, its key, and in texts that weren't trained on the context as well: all next words
+    of a trained text have been seen.
+    """
     schema = T.StructType(
         [
-            T.StructField("_row", T.LongType()),
-            rows.schema["_id"],
-            rows.schema["_trained"],
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("n_known", T.LongType()),
-            T.StructField("base", T.DoubleType()),
-            T.StructField("hot_gain", T.DoubleType()),
-            *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("rare", "rare_n", "far", "near", "next", "next_n")],
+            *[rows.schema[c] for c in ("_row", "_id", "_trained")],
+            *T.StructType.fromDDL(
+                "n_tokens long, n_known long, base double, hot_gain double, rare array<struct<word:long,times:long>>, "
+                "tokens array<struct<level:int,times:long,keys:array<long>,contexts:array<long>>>"
+            ).fields,
         ]
     )
 
+    def lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = frequent.value
-        known, gains = hot.value
-        bits = np.unpackbits(kept.value, bitorder="little").astype(bool)
-        at = TaskContext.get().partitionId() << 33
+        known, counts = frequent.value
+        keys, gains = hot.value
+        bits = [_unpacked(m.value) for m in maps]
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
-                columns: list[list] = [[] for _ in range(10)]
-                for text in part.column("_text").to_pylist():
-                    own = tokens(text)
-                    distinct, n = np.unique(own, return_counts=True)
-                    k = np.minimum(np.searchsorted(words, distinct), max(len(words) - 1, 0))
-                    held = words[k] == distinct if len(words) else np.zeros(len(distinct), bool)
-                    c = counts[k[held]] if len(words) else np.zeros(0)
-                    near, own_next = own[:-1], own[1:]
-                    far = np.append(NONE, own[:-2]) if len(near) else near
-                    far = np.where((far != NONE) & bits[_bit(_context(far, near))], far, NONE)
-                    hashed = _context(_context(far, near), own_next)
-                    g = np.minimum(np.searchsorted(known, hashed), max(len(known) - 1, 0))
-                    hit = known[g] == hashed if len(known) else np.zeros(len(near), bool)
-                    hot_gain = float(gains[g[hit]].sum()) if len(known) else 0.0
-                    after = np.flatnonzero(~hit & ((far != NONE) | bits[_bit(_context(np.zeros_like(near), near))]))
-                    trio, times = np.unique(
-                        np.stack([far[after], near[after], own_next[after]], axis=1), axis=0, return_counts=True
-                    ) if len(after) else (np.zeros((0, 3), np.uint64), np.zeros(0, np.int64))
-                    made = (
-                        len(own), int(n[held].sum()), float((n[held] * np.log10((c + 1) / scale)).sum()), hot_gain,
-                        distinct[~held].view(np.int64), n[~held], *(trio[:, j].copy().view(np.int64) for j in range(3)), times,
-                    )
-                    for column, value in zip(columns, made):
-                        column.append(value)
-                ids = np.arange(at, at + part.num_rows, dtype=np.int64)
-                at += part.num_rows
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), *[pa.list_(pa.int64())] * 6]
+            for begin in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(begin, TEXTS)
+                n = part.num_rows
+                own, text = _together(part.column("_text").to_pylist())
+                trained = np.asarray(part.column("_trained").to_pylist(), bool)
+                c, hit = _looked_up(known, counts, own)
+                base = np.bincount(text, np.where(hit, np.log10((c + 1) / scale), 0), n)
+                seen = np.bincount(text, hit, n).astype(np.int64)
+                rare = np.flatnonzero(~hit)
+                rare_text, rare_word, rare_n = _distinct(text[rare], [own[rare]])
+                contexts = _contexts(own, text, len(maps))
+                level = np.zeros(len(own), np.int8)
+                for k, ((context, there), bit) in enumerate(zip(contexts, bits), 1):
+                    level[there & bit[_bit(context)]] = k
+                key = np.zeros(len(own), np.uint64)
+                for k, (context, _) in enumerate(contexts, 1):
+                    at = level == k
+                    key[at] = _key(context[at], own[at])
+                gain, hit = _looked_up(keys, gains, key)
+                hit &= level > 0
+                hot_gain = np.bincount(text, np.where(hit, gain, 0), n)
+                left = np.flatnonzero((level > 0) & ~hit)
+                left_text, _, times, first = _distinct(text[left], [key[left]], first=True)
+                left = left[first]
+                levels = level[left].astype(np.int64)
+                # All lengths of a token side by side, longest first.
+                token = np.repeat(np.arange(len(left)), levels)
+                step = np.arange(len(token)) - np.repeat(np.cumsum(levels) - levels, levels)
+                length = levels[token] - step
+                of = left[token]
+                context = np.zeros(len(token), np.uint64)
+                for k, (hashed, _) in enumerate(contexts, 1):
+                    context[length == k] = hashed[of[length == k]]
+                untold = ~trained[left_text[token]]
+                shorter = [
+                    lists(_long(_key(context, own[of])), levels),
+                    lists(_long(context[untold]), np.bincount(token[untold], minlength=len(left))),
+                ]
+                words = pa.StructArray.from_arrays([_long(rare_word), pa.array(rare_n)], ["word", "times"])
+                others = pa.StructArray.from_arrays(
+                    [pa.array(level[left].astype(np.int32)), pa.array(times), *shorter], ["level", "times", "keys", "contexts"]
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), part.column("_id"), part.column("_trained"), *map(pa.array, columns, kinds)],
+                    [
+                        *(part.column(c) for c in ("_row", "_id", "_trained")),
+                        *map(pa.array, (np.bincount(text, minlength=n), seen, base, hot_gain)),
+                        lists(words, np.bincount(rare_text, minlength=n)),
+                        lists(others, np.bincount(left_text, minlength=n)),
+                    ],
                     names=schema.fieldNames(),
                 )
 
     return rows.mapInArrow(read, schema)
 
 
-def _p(count: Column, total: Column, kinds: Column, shorter: Column) -> Column:
-    """A next word's probability: its discounted share, the rest by the shorter context."""
-    return (F.greatest(count - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * shorter) / total
+def _distinct(text: np.ndarray, values: list[np.ndarray], first: bool = False) -> tuple:
+    """Distinct (text, values) in order of the text, and how often each occurs."""
+    order = np.lexsort([*values, text])
+    text, values = text[order], [v[order] for v in values]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([text[1:] != text[:-1], *(v[1:] != v[:-1] for v in values)], axis=0)
+    at = np.flatnonzero(new)
+    out = (text[at], *(v[at] for v in values), np.diff(np.append(at, len(order))))
+    return (*out, order[at]) if first else out
 
 
-def _seen(pairs: DataFrame, trios, counts: DataFrame, scale: float, learned_scale: float) -> tuple[DataFrame, DataFrame]:
-    """States of the tree and their seen next words.
+def _gained(read: DataFrame, levels: list[_Level], seen: list[DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
+    """(_row, gain) of the tokens in context that tasks couldn't score, by their longest states; tables it reads.
 
-    (far, near, rest): the kept contexts and log10 of what they give the shorter context for an
-    unseen word; (far, near, next, n, gain): log10 of the probability over the root's. far is 0 in
-    contexts of one word. `trios` gives the runs after the contexts of a table. Contexts of two
-    words are tested whether or not their last word alone is kept, which then joins them.
+    A token that isn't seen after a context goes on to the shorter one, with what the context gives that one; where the
+    map took something else for a context, with nothing.
     """
-    often = pairs.groupBy("near").agg(F.sum("n").alias("_all")).filter(F.col("_all") >= LEAST_COUNT).select("near")
-    root = counts.select(F.col("word").alias("next"), F.col("n").alias("_c"), F.col("held").alias("_h"))
-    rooted = pairs.join(often, "near").join(root, "next").select(
-        "near", "next", "n", "held",
-        ((F.col("_c") + 1) / F.lit(scale)).alias("q"), ((F.col("_c") - F.col("_h") + 1) / F.lit(learned_scale)).alias("q_learned"),
-    )
-    ones = written(_with_p(rooted, ["near"]), "ones")
-    tested = written(_tested(ones, ["near"]), "tested")
-    kept = tested.filter(F.col("told") >= _threshold(tested)).select("near")
-    able = pairs.filter(F.col("n") >= LEAST_COUNT).select(F.col("near").alias("far"), F.col("next").alias("near")).filter(F.col("near") != int(END))
-    able = written(able, "able")
-    shorter = ones.select("near", "next", F.col("q").alias("p0"), F.col("p").alias("q"), F.col("p_learned").alias("q_learned"))
-    after = written(trios(able), "trios").join(able, ["far", "near"], "left_semi").join(shorter, ["near", "next"])
-    twos = written(_with_p(after, ["far", "near"]), "twos")
-    tested = written(_tested(twos, ["far", "near"]), "tested")
-    longer = written(tested.filter(F.col("told") >= _threshold(tested)).select("far", "near"), "longer")
-    kept = written(kept.union(longer.select("near")).distinct(), "kept")
-    one, two = ones.join(kept, "near"), twos.join(longer, ["far", "near"])
-    none = F.lit(0).cast("long").alias("far")
-    rest = F.log10(DISCOUNT * F.first("kinds") / F.first("total")).alias("rest")
-    states = one.groupBy("near").agg(rest).select(none, "near", "rest").union(two.groupBy("far", "near").agg(rest).select("far", "near", "rest"))
-    seen = one.select(none, "near", "next", "n", F.log10(F.col("p") / F.col("q")).alias("gain")).union(
-        two.select("far", "near", "next", "n", F.log10(F.col("p") / F.col("p0")).alias("gain"))
-    )
-    return written(states, "states"), written(seen, "seen")
-
-
-def _gains(trios: DataFrame, states: DataFrame, seen: DataFrame) -> DataFrame:
-    """(far, near, next, gain) of distinct tokens in context, by the longest state of each."""
-    seen = seen.select("far", "near", "next", "gain")
-    short = seen.filter("far = 0").select("near", "next", F.col("gain").alias("_short"))
-    long = seen.filter("far != 0").withColumnRenamed("gain", "_long")
-    one = states.filter("far = 0").select("near", F.col("rest").alias("_rest"))
-    two = states.filter("far != 0").withColumnRenamed("rest", "_more")
-    by_one = F.coalesce("_short", "_rest", F.lit(0.0))
-    found = trios.join(short, ["near", "next"], "left").join(one, "near", "left")
-    found = found.join(long, ["far", "near", "next"], "left").join(two, ["far", "near"], "left")
-    return found.select("far", "near", "next", F.coalesce("_long", F.col("_more") + by_one, by_one).alias("gain"))
-
-
-def score(documents: DataFrame, trained: Column, identifier: str = "doc_id", text: str = "text") -> DataFrame:
+    tokens = read.select("_row", F.explode("tokens").alias("t")).select("_row", "t.*", F.lit(0.0).alias("gain"))
+    slim = ["_row", "times", "keys", "contexts", "gain"]
+    done, tables, left = [], [], None
+    for k in range(len(levels), 0, -1):
+        here = tokens.filter(F.col("level") == k).select(*slim)
+        here = here if left is None else here.union(left)
+        states = _states(levels[k - 1]).withColumnRenamed("context", "_context")
+        found = (
+            here.withColumns({"key": F.col("keys")[0], "_context": F.get("contexts", F.lit(0))})
+            .join(seen[k - 1].select("key", F.col("gain").alias("_own")), "key", "left")
+            .join(_few(states), "_context", "left")
+            .select("_row", "times", "keys", "contexts", F.col("_own").isNotNull().alias("found"),
+                    (F.col("gain") + F.coalesce("_own", "rest", F.lit(0.0))).alias("gain"))
+        )
+        if k > 1:
+            found = written(found, "found")
+            tables.append(found)
+            later = lambda c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))).alias(c)
+            left = found.filter("not found").select("_row", "times", later("keys"), later("contexts"), "gain")
+            found = found.filter("found")
+        done.append(found.select("_row", (F.col("times") * F.col("gain")).alias("gain")))
+    every = done[0]
+    for more in done[1:]:
+        every = every.union(more)
+    return every.groupBy("_row").agg(F.sum("gain").alias("_gain")), tables
+
+
+def score(
+    documents: DataFrame,
+    trained: Column,
+    identifier: str = "doc_id",
+    text: str = "text",
+    depth: int = DEPTH,
+    least: int = LEAST_COUNT,
+) -> DataFrame:
     """identifier, trained, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Tokens are a text's words, A-Z in lower case, then one end. The model learns from the rows where
     `trained` holds. Its root gives a word (c + 1) / (N + V + 1), and `base_score` sums log10 of
-    that. Contexts of one and two words are states of a suffix tree if they occur `LEAST_COUNT`
-    times and their next words diverge from the shorter context's; the last word of a state of two
+    that. Contexts of up to `depth` words are states of a suffix tree if they occur `least`
+    times and their next words diverge from the shorter context's; a state without its farthest word
     is a state too. For each length the least divergence is the one that gives most to the
     likelihood of one training text in `FOLDS`, under a model of the others. A state's distribution
     is discounted and filled up from the shorter context's. A token is scored by its longest state;
     `score` sums log10 of that.
 
-    Counts cover all training rows and grow with them. Tasks hold the `FREQUENT` commonest words'
-    counts, as many gains of tokens in context and a bit map of `MAP_BITS` of contexts; all are of
-    fixed size. Rare words and other tokens after kept contexts are shuffled, counted before that,
-    and joined.
+    Counts cover all training rows and grow with them: words first, then what comes after words that occur
+    often enough, then after such pairs, and so on. Runs before a very frequent word are dealt out in groups. Tasks
+    hold the `FREQUENT` commonest words' counts, as many gains of tokens in context and bit maps of `MAP_BITS`
+    contexts; all are of fixed size. Rare words and other tokens after kept contexts are shuffled, counted before
+    that, and joined. Tables are removed once their last reader has run.
 
     A null text is empty and has one token, the end. A null `trained` counts as false. Repeated
     rows are learned from and scored each; an empty table gives no rows.
     """
-    spark = documents.sparkSession
     rows = documents.select(
-        F.col(identifier).alias("_id"), F.col(text).alias("_text"), F.coalesce(trained, F.lit(False)).alias("_trained")
+        F.monotonically_increasing_id().alias("_row"),
+        F.col(identifier).alias("_id"),
+        F.col(text).alias("_text"),
+        F.coalesce(trained, F.lit(False)).alias("_trained"),
     )
     training = rows.filter("_trained")
-    pairs = written(_counted(training, 2), "pairs")
-    words = written(pairs.groupBy(F.col("near").alias("word")).agg(F.sum("n").alias("n"), F.sum("held").alias("held")), "words")
-    ends = training.count()
-    out = pairs.filter(F.col("next") == int(END)).agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+    words = written(_words(training), "words")
     known = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0))).first()
-    learned, distinct = known[1] + ends, known[0] + int(ends > 0)
-    scale = float(learned + distinct + 1)
-    end = spark.createDataFrame([(int(END), ends, out)][: int(ends > 0)], "word long, n long, held long")
-    counted = words.union(end)
-    counts = counted.select("word", "n")
-    shared = spark.sparkContext.broadcast
-    held = shared(_frequent(counts))
-    trios_of = lambda able: _counted(training, 3, shared(_map(able)))
-    states, seen = _seen(pairs, trios_of, counted, scale, scale - known[2] - out)
-    read = written(_read(rows, held, shared(_hot(seen)), shared(_map(states)), scale), "read")
-    rare = read.select("_row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("_row", "x.*")
-    found = rare.join(counts.withColumnRenamed("word", "rare"), "rare", "left")
+    learned = known[1]
+    scale = float(learned + known[0] + 1)
+    shared = documents.sparkSession.sparkContext.broadcast
+    frequent = shared(_frequent(words, "word", "n"))
+    levels = _levels(training, words, frequent, scale, scale - known[2], depth, least)
+    levels = [level for level in levels if not level.kept.isEmpty()]
+    seen = [written(_seen(level), "seen") for level in levels]
+    for level in levels:
+        level.close()
+    every = seen[0] if seen else words.select(F.col("word").alias("key"), "n", F.lit(0.0).alias("gain")).limit(0)
+    for more in seen[1:]:
+        every = every.union(more)
+    maps = [shared(_map(level.kept.select("context"))) for level in levels]
+    read = written(_read(rows, frequent, shared(_frequent(every, "key", "gain")), maps, scale), "read")
+    rare = read.select("_row", F.explode("rare").alias("x")).select("_row", "x.*")
+    found = rare.join(words.select("word", "n"), "word", "left")
     c = F.coalesce("n", F.lit(0))
     base = found.groupBy("_row").agg(
-        F.sum(F.col("rare_n") * F.log10((c + 1) / F.lit(scale))).alias("_base"),
-        F.sum(F.when(c > 0, F.col("rare_n")).otherwise(0)).alias("_known"),
+        F.sum(F.col("times") * F.log10((c + 1) / F.lit(scale))).alias("_base"),
+        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("_known"),
     )
-    in_context = read.filter(F.size("next") > 0).select(
-        "_row", F.explode(F.arrays_zip("far", "near", "next", "next_n")).alias("x")
-    ).select("_row", "x.*")
-    trios = in_context.select("far", "near", "next").distinct()
-    gains = written(_gains(trios, states, seen), "gains")
-    gained = in_context.join(gains, ["far", "near", "next"]).groupBy("_row").agg(F.sum(F.col("next_n") * F.col("gain")).alias("_gain"))
+    base = written(base, "base")
+    discard(words)
+    texts = read.select("_row", "_id", "_trained", "n_tokens", "n_known", "base", "hot_gain").join(base, "_row", "left")
+    if levels:
+        gained, tables = _gained(read, levels, seen)
+        gained = written(gained, "gained")
+        discard(*tables, *seen)
+        texts = texts.join(gained, "_row", "left")
+    else:
+        texts = texts.withColumn("_gain", F.lit(0.0))
     total = F.col("base") + F.coalesce("_base", F.lit(0.0))
-    return (
-        read.select("_row", "_id", "_trained", "n_tokens", "n_known", "base", "hot_gain")
-        .join(base, "_row", "left")
-        .join(gained, "_row", "left")
-        .select(
-            F.col("_id").alias(identifier),
-            F.col("_trained").alias("trained"),
-            "n_tokens",
-            (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
-            F.lit(learned).cast("long").alias("train_tokens"),
-            total.alias("base_score"),
-            (total + F.col("hot_gain") + F.coalesce("_gain", F.lit(0.0))).alias("score"),
-        )
+    return texts.select(
+        F.col("_id").alias(identifier),
+        F.col("_trained").alias("trained"),
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
+        F.lit(learned).cast("long").alias("train_tokens"),
+        total.alias("base_score"),
+        (total + F.col("hot_gain") + F.coalesce("_gain", F.lit(0.0))).alias("score"),
     )

@@ -66,3 +66,92 @@ def test_gains_held_by_tasks_and_joined_ones_agree(spark, monkeypatch):
         monkeypatch.setattr(suffix_tree, "FREQUENT", n)
         scores.append({r.doc_id: round(r.score, 6) for r in suffix_tree.score(documents, F.col("doc_id") % 3 != 0).collect()})
     assert scores[0] == scores[1]
+
+
+def brute(texts, trained, depth, least):
+    """log10 of each text's probability under the same tree, with plain dictionaries."""
+    split = lambda t: [w.lower() for w in (t or "").split()] + [None]
+    counts, held = Counter(), Counter()
+    for t in trained:
+        counts.update(split(t))
+        if suffix_tree._held_out(t):
+            held.update(split(t))
+    scale = sum(counts.values()) + len(counts) + 1
+    root = lambda w: (counts[w] + 1) / scale
+    learned_root = lambda w: (counts[w] - held[w] + 1) / (scale - sum(held.values()))
+    able = {(w,) for w, n in counts.items() if n >= least and w is not None}
+    tree, kept = [], []
+    below = {(): {w: (root(w), learned_root(w)) for w in counts}}
+    d = suffix_tree.DISCOUNT
+    for length in range(1, depth + 1):
+        runs = {}
+        for t in trained:
+            words = split(t)
+            for k in range(length, len(words)):
+                if tuple(words[k - length : k]) in able:
+                    n, out = runs.setdefault(tuple(words[k - length : k]), (Counter(), Counter()))
+                    n[words[k]] += 1
+                    out[words[k]] += suffix_tree._held_out(t)
+        if not runs:
+            break
+        level, bins = {}, Counter()
+        for context, (n, out) in runs.items():
+            total, own = sum(n.values()), n - out
+            learned = sum(own.values())
+            p, told, learned_told, gain = {}, 0.0, 0.0, 0.0
+            for w in n:
+                q, ql = below[context[1:]][w]
+                told += n[w] * math.log(n[w] / q)
+                learned_told += own[w] * math.log(own[w] / ql) if own[w] else 0.0
+                pl = (max(own[w] - d, 0) + d * len(own) * ql) / learned if learned else None
+                gain += out[w] * math.log(pl / ql) if learned and out[w] else 0.0
+                p[w] = ((max(n[w] - d, 0) + d * len(n) * q) / total, pl)
+            told = told / total - math.log(total) - (len(n) - 1) / (2 * total)
+            level[context] = (p, told, d * len(n) / total)
+            if learned and any(out.values()):
+                bins[math.floor((learned_told / learned - math.log(learned) - (len(own) - 1) / (2 * learned)) / suffix_tree.STEP)] += gain
+        best, at, total = 0.0, math.inf, 0.0
+        for step in sorted(bins, reverse=True):
+            total += bins[step]
+            if total > best:
+                best, at = total, step * suffix_tree.STEP
+        tree.append(level)
+        kept.append({c for c, (_, told, _) in level.items() if told >= at})
+        below = {c: p for c, (p, _, _) in level.items()}
+        able = {(*c, w) for c, (n, _) in runs.items() for w in n if n[w] >= least and w is not None}
+    for k in range(len(kept) - 1, 0, -1):
+        kept[k - 1] |= {c[1:] for c in kept[k]}
+
+    def probability(context, w):
+        for k in range(len(kept), 0, -1):
+            if len(context) >= k and context[-k:] in kept[k - 1]:
+                p, _, rest = tree[k - 1][context[-k:]]
+                return p[w][0] if w in p else rest * probability(context[-k:][1:], w)
+        return root(w)
+
+    out = []
+    for t in texts:
+        words = split(t)
+        out.append(sum(math.log10(probability(tuple(words[max(0, k - depth) : k]), w)) for k, w in enumerate(words)))
+    return out, [len(k) for k in kept]
+
+
+def test_scores_are_those_of_a_plain_tree(spark, monkeypatch):
+    draw = random.Random(13)
+    rows = []
+    for k in range(300):
+        words = []
+        for _ in range(draw.randint(0, 25)):
+            lead = draw.choice("abcd")
+            words += [f"l{lead}", "Of", "the", f"n{lead}{draw.randint(0, 1)}"] if draw.random() < 0.6 else [f"r{draw.randint(0, 40)}", "the", f"x{draw.randint(0, 9)}"]
+        rows.append((k, " ".join(words)))
+    rows += [(300, None), (None, "la of the na0 unseen words of the"), (7, "of the " * 400)]
+    documents = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, level string")
+    learns = lambda k: k is not None and k % 5 != 2
+    for depth, frequent in ((1, 1 << 20), (3, 1 << 20), (3, 4)):
+        monkeypatch.setattr(suffix_tree, "FREQUENT", frequent)
+        want, sizes = brute([t for _, t in rows], [t for k, t in rows if learns(k)], depth, 6)
+        found = suffix_tree.score(documents, F.col("doc_id") % 5 != 2, depth=depth, least=6).collect()
+        assert len(sizes) == depth and all(sizes)
+        key = lambda r: (str(r[0]), round(r[1], 6))
+        assert sorted(map(key, ((r.doc_id, r.score) for r in found))) == sorted(map(key, zip((k for k, _ in rows), want)))

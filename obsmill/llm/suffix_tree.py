@@ -43,17 +43,40 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _KEY = np.uint64(0xD6E8FEB86659FD93)
 
 
-def tokens(text: str | None) -> np.ndarray:
-    """Hashes of the words, and one end."""
-    words = (text or "").encode().translate(LOWER).split()
-    out = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) & _WORD
-    return np.append(out, END)
+#: Multipliers of a word's bytes by their place; beyond, places share them with another factor.
+_PLACES = mixed(np.arange(1, 4097, dtype=np.uint64) * _STEP) | np.uint64(1)
+_LOWERED = np.frombuffer(LOWER, np.uint8).astype(np.uint64) + np.uint64(1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _together(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of several texts, and the text of each."""
-    own = [tokens(text) for text in texts]
-    return np.concatenate(own), np.repeat(np.arange(len(own)), [len(o) for o in own])
+    """Hashes of the words of several texts, each with one end behind, and the text of each.
+
+    A word's hash sums its bytes, A-Z in lower case, times odd numbers that their places draw.
+    """
+    encoded = [(text or "").encode() for text in texts]
+    data = np.frombuffer(b" ".join([*encoded, b""]), np.uint8)
+    begins = np.cumsum([0, *(len(e) + 1 for e in encoded)])[:-1]
+    at = np.flatnonzero(~_SPACE[data])
+    first = np.ones(len(at), bool)
+    first[1:] = at[1:] != at[:-1] + 1
+    word = np.flatnonzero(first)
+    sizes = np.diff(np.append(word, len(at)))
+    place = np.arange(len(at)) - np.repeat(word, sizes)
+    term = _LOWERED[data[at]] * _PLACES[place & 4095]
+    if len(place) and place.max() > 4095:
+        term *= mixed((place >> 12).astype(np.uint64)) | np.uint64(1)
+    hashed = mixed(np.add.reduceat(term, word) + sizes.astype(np.uint64) * _KEY) & _WORD if len(word) else np.zeros(0, np.uint64)
+    text = np.searchsorted(begins, at[word], side="right") - 1
+    counts = np.bincount(text, minlength=len(texts))
+    ends = np.cumsum(counts + 1) - 1
+    own = np.empty(len(hashed) + len(texts), np.uint64)
+    own[ends] = END
+    inner = np.ones(len(own), bool)
+    inner[ends] = False
+    own[inner] = hashed
+    return own, np.repeat(np.arange(len(texts)), counts + 1)
 
 
 def _contexts(own: np.ndarray, text: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -97,52 +120,102 @@ def _held_out(text: str | None) -> bool:
     return xxhash.xxh3_64_intdigest((text or "").encode(), seed=1) % FOLDS == 0
 
 
-def _combined(held: list[tuple], names: list[str]) -> pa.RecordBatch:
-    """Rows (key, ..., out) with equal keys as one row of its count n and its part of held-out ones."""
-    columns = [np.concatenate([h[k] for h in held]) for k in range(len(held[0]))]
-    order = np.argsort(columns[0])
-    columns = [c[order] for c in columns]
+def _summed(key: np.ndarray, columns: list[np.ndarray], sums: list[np.ndarray]) -> tuple[list, list]:
+    """Rows with equal keys as one row: the first of `columns`, the sum of `sums`."""
+    order = np.argsort(key)
+    key = key[order]
     new = np.ones(len(order), bool)
-    new[1:] = columns[0][1:] != columns[0][:-1]
+    new[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(new)
-    n = np.diff(np.append(at, len(order)))
-    out = np.add.reduceat(columns[-1].astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([*(_long(c[at]) for c in columns[1:-1]), pa.array(n), pa.array(out)], names=names)
+    if not len(at):
+        return columns, sums
+    return [c[order[at]] for c in columns], [np.add.reduceat(c[order], at) for c in sums]
+
+
+_BLOCK = pa.schema([("part", pa.int32()), ("kind", pa.int8()), *[(f"c{k}", pa.binary()) for k in range(6)]])
+_BLOCKS = "part int, kind tinyint, " + ", ".join(f"c{k} binary" for k in range(6))
+
+
+def _blocks(part: np.ndarray, kind: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows as one block for each part: their columns, of eight bytes a value, side by side."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+    ends = np.append(at, len(part))
+    packed = [[c[order[a:b]].tobytes() for a, b in zip(ends, ends[1:])] for c in columns]
+    packed += [[None] * len(at)] * (6 - len(columns))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[at].astype(np.int32)), pa.array(np.full(len(at), kind, np.int8)), *(pa.array(c, pa.binary()) for c in packed)],
+        schema=_BLOCK,
+    )
 
 
-def _runs(training: DataFrame, names: list[str], read) -> DataFrame:
-    """Rows of `names`, n and held, counted within tasks: `read` gives arrays (key, names...) of a part's tokens."""
+def _unblocked(batches: Iterator[pa.RecordBatch], kinds: dict[int, list]) -> dict[int, list[np.ndarray]]:
+    """The columns of each kind of a task's blocks; `kinds` names their types."""
+    held: dict[int, list[list]] = {kind: [[] for _ in types] for kind, types in kinds.items()}
+    for batch in batches:
+        columns = [batch.column(2 + k) for k in range(6)]
+        for row, kind in enumerate(batch.column(1).to_pylist()):
+            for column, place, dtype in zip(columns, held[kind], kinds[kind]):
+                place.append(np.frombuffer(column[row].as_buffer(), dtype))
+    return {
+        kind: [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(held[kind], types)] for kind, types in kinds.items()
+    }
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _part(key: np.ndarray, parts: int) -> np.ndarray:
+    return ((key >> np.uint64(24)) % np.uint64(parts)).astype(np.int64)
+
+
+def _runs(training: DataFrame, read):
+    """A task function: arrays (key, columns...) that `read` gives of a part's tokens, counted within the task.
+
+    Yields the distinct columns, n and held.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]):
         held: list[tuple] = []
         size = 0
+
+        def flushed():
+            columns = [np.concatenate([h[k] for h in held]) for k in range(len(held[0]))]
+            return _summed(columns[0], columns[1:-1], [np.ones(len(columns[0]), np.int64), columns[-1]])
+
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for begin in range(0, len(texts), TEXTS):
                 part = texts[begin : begin + TEXTS]
                 own, text = _together(part)
                 picked, arrays = read(own, text)
-                out = np.array([_held_out(t) for t in part])[text[picked]]
+                out = np.array([_held_out(t) for t in part], np.int64)[text[picked]]
                 held.append((*arrays, out))
                 size += len(out)
                 if size > FLUSH:
-                    yield _combined(held, [*names, "n", "held"])
+                    yield flushed()
                     held, size = [], 0
         if held:
-            yield _combined(held, [*names, "n", "held"])
+            yield flushed()
 
-    return training.select("_text").mapInArrow(count, ", ".join(f"{c} long" for c in [*names, "n", "held"]))
+    return count
 
 
 def _words(training: DataFrame) -> DataFrame:
-    counted = _runs(training, ["word"], lambda own, text: (np.arange(len(own)), (own, own)))
-    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
+    """word, n and held of all training texts."""
+    counted = _runs(training, lambda own, text: (np.arange(len(own)), (own, own)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (word,), (n, held) in counted(batches):
+            yield pa.RecordBatch.from_arrays([_long(word), pa.array(n), pa.array(held)], names=["word", "n", "held"])
+
+    rows = training.select("_text").mapInArrow(count, "word long, n long, held long")
+    return rows.groupBy("word").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
 
 
-def _counted(training: DataFrame, length: int, bits, frequent) -> DataFrame:
-    """Runs (context, shorter, next, part) of `length` words and the next after contexts of the map; n, held.
+def _counted(training: DataFrame, length: int, bits, frequent, parts: int) -> DataFrame:
+    """Blocks of runs (context, shorter, next, n, held) of `length` words and the next after contexts of the map.
 
-    `part` splits the runs before a next word that is very frequent into groups of a bounded size.
+    They are dealt out by what their shorter context's probability is known by: the next word, in groups of a bounded
+    size where it is very frequent, or the shorter context and the next word.
     """
 
     def read(own, text):
@@ -152,20 +225,93 @@ def _counted(training: DataFrame, length: int, bits, frequent) -> DataFrame:
         picked = np.flatnonzero(there & wanted[_bit(context)])
         after, word = context[picked], own[picked]
         shorter = contexts[-2][0][picked] if length > 1 else np.zeros_like(after)
+        return picked, (_key(after, word), after, shorter, word)
+
+    counted = _runs(training, read)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = frequent.value
-        parts = 1 + (_looked_up(known, counts, word)[0] // GROUP).astype(np.uint64)
-        return picked, (_key(after, word), after, shorter, word, (after >> np.uint64(8)) % parts)
+        for (context, shorter, word), sums in counted(batches):
+            if length == 1:
+                groups = 1 + (_looked_up(known, counts, word)[0] // GROUP).astype(np.uint64)
+                key = _key((context >> np.uint64(8)) % groups, word)
+            else:
+                key = _key(shorter, word)
+            yield _blocks(_part(key, parts), 0, [context, shorter, word, *sums])
 
-    return _runs(training, ["context", "shorter", "next", "part"], read)
+    return training.select("_text").mapInArrow(deal, _BLOCKS)
+
+
+def _below_words(words: DataFrame, parts: int) -> DataFrame:
+    """Blocks of words, one for each group of a very frequent word's runs: key, n and held."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, n, held, group = (np.asarray(c) for c in batch.columns)
+            key = _key(group.view(np.uint64), word.view(np.uint64))
+            yield _blocks(_part(key, parts), 1, [key, n, held])
+
+    groups = F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("n") / GROUP)))
+    return words.select("word", "n", "held", groups.alias("group")).mapInArrow(deal, _BLOCKS)
+
+
+def _below_runs(rows: DataFrame, parts: int) -> DataFrame:
+    """Blocks of a level's runs (context, next, p, p_learned, q0): key and the three probabilities."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, word = (np.asarray(c).view(np.uint64) for c in batch.columns[:2])
+            key = _key(context, word)
+            numbers = [np.asarray(c.fill_null(0.0)) for c in batch.columns[2:]]
+            yield _blocks(_part(key, parts), 1, [key, *numbers])
+
+    return rows.select("context", "next", "p", "p_learned", "q0").mapInArrow(deal, _BLOCKS)
+
+
+def _merged(runs: DataFrame, below: DataFrame, frequent, length: int, parts: int) -> DataFrame:
+    """Distinct runs with n and held and what is known below: the next word's own counts (c, h), or q, q_learned and q0.
+
+    A run whose shorter context isn't known follows a context that the map took for another; it drops out.
+    """
+    numbers = ["c", "h"] if length == 1 else ["q", "q_learned", "q0"]
+    kind = np.int64 if length == 1 else np.float64
+    names = ["context", "shorter", "next", "n", "held", *numbers]
+    long, whole = np.uint64, np.int64
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _unblocked(batches, {0: [long, long, long, whole, whole], 1: [long, *[kind] * len(numbers)]})
+        context, shorter, word, n, held = blocks[0]
+        (context, shorter, word), (n, held) = _summed(_key(context, word), [context, shorter, word], [n, held])
+        if length == 1:
+            known, counts = frequent.value
+            groups = 1 + (_looked_up(known, counts, word)[0] // GROUP).astype(np.uint64)
+            key = _key((context >> np.uint64(8)) % groups, word)
+        else:
+            key = _key(shorter, word)
+        by = np.argsort(blocks[1][0])
+        keys = blocks[1][0][by]
+        # Ordered by next word, so that equal numbers stand together in the table.
+        order = np.argsort(word)
+        context, shorter, word, n, held, key = (c[order] for c in (context, shorter, word, n, held, key))
+        at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+        hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+        told = [c[by][at[hit]] for c in blocks[1][1:]] if len(keys) else [np.zeros(0, kind)] * len(numbers)
+        out = [*map(_long, (context[hit], shorter[hit], word[hit])), *map(pa.array, (n[hit], held[hit], *told))]
+        for begin in range(0, max(int(hit.sum()), 1), 100_000):
+            yield pa.RecordBatch.from_arrays([c.slice(begin, 100_000) for c in out], names=names)
+
+    schema = ", ".join(f"{c} {'double' if c in ('q', 'q_learned', 'q0') else 'long'}" for c in names)
+    return runs.union(below).repartitionById(parts, F.col("part")).mapInArrow(merge, schema)
 
 
 def _looked_up(known: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of what is known, else 0, and whether it is."""
-    if not len(known):
+    if not len(known) or not len(asked):
         return np.zeros(len(asked)), np.zeros(len(asked), bool)
-    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-    hit = known[at] == asked
-    return np.where(hit, values[at], 0), hit
+    distinct, of = np.unique(asked, return_inverse=True)
+    at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
+    hit = known[at] == distinct
+    return np.where(hit, values[at], 0)[of], hit[of]
 
 
 def _least(counts: DataFrame) -> int:
@@ -222,8 +368,8 @@ def _p(count: Column, total: Column, kinds: Column, shorter: Column) -> Column:
     return (F.greatest(count - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * shorter) / total
 
 
-def _stated(rows: DataFrame) -> DataFrame:
-    """Per context what its rows (n, held, q, q_learned) sum up to.
+def _stated(rows: DataFrame, least: int) -> DataFrame:
+    """Per context that occurs often enough what its rows (n, held, q, q_learned) sum up to.
 
     total, kinds, learned and learned_kinds are its counts, without held-out texts for the learned ones. `told` and
     `learned_told` are the nats by which its next words diverge from the shorter context's, less the mean excess
@@ -247,7 +393,7 @@ def _stated(rows: DataFrame) -> DataFrame:
                 F.col("learned") > 0, F.col("_learned") / F.col("learned") - F.log("learned") - excess("learned_kinds", "learned")
             ),
         }
-    ).drop("_told", "_learned")
+    ).drop("_told", "_learned").filter(F.col("total") >= least)
 
 
 def _with_p(rows: DataFrame, stats: DataFrame) -> DataFrame:
@@ -280,19 +426,23 @@ def _threshold(rows: DataFrame, stats: DataFrame) -> float:
 class _Level:
     """Contexts of one length: their runs and what was found of them."""
 
-    def __init__(self, rows: DataFrame):
+    def __init__(self, table: DataFrame, scale: float, learned_scale: float, least: int):
+        self.table = table
         #: context, shorter, next, n, held, q and q_learned by the shorter context, q0 by the root.
-        self.rows = rows
-        self.stats = written(_stated(rows), "stats")
-        self.kept = self.stats.filter(F.col("told") >= _threshold(rows, self.stats)).select("context")
+        self.rows = table
+        if "c" in table.columns:
+            q = (F.col("c") + 1) / F.lit(scale)
+            learned = (F.col("c") - F.col("h") + 1) / F.lit(learned_scale)
+            self.rows = table.select("context", "shorter", "next", "n", "held", q.alias("q"), learned.alias("q_learned"), q.alias("q0"))
+        self.stats = written(_stated(self.rows, least), "stats")
+        self.kept = self.stats.filter(F.col("told") >= _threshold(self.rows, self.stats)).select("context")
 
-    def close(self) -> None:
-        """Removes the runs; the states stay."""
-        discard(self.rows)
 
+def _levels(training: DataFrame, words: DataFrame, frequent, scales: tuple[float, float], depth: int, least: int, parts: int) -> list[_Level]:
+    """The levels of the tree, shortest contexts first; a kept context's shorter ones are kept as well.
 
-def _levels(training: DataFrame, words: DataFrame, frequent, scale: float, learned_scale: float, depth: int, least: int) -> list[_Level]:
-    """The levels of the tree, shortest contexts first; a kept context's shorter ones are kept as well."""
+    That a context occurs often enough is exactly told by its runs, once they are counted.
+    """
     shared = training.sparkSession.sparkContext.broadcast
     levels: list[_Level] = []
     none = F.lit(0).cast("long")
@@ -300,34 +450,25 @@ def _levels(training: DataFrame, words: DataFrame, frequent, scale: float, learn
     able = written(_extended(often.select(none.alias("context"), none.alias("shorter"), F.col("word").alias("next"))), "able")
     for length in range(1, depth + 1):
         if able.isEmpty():
+            discard(able)
             break
         bits = shared(_map(able.select("context")))
-        raw = _counted(training, length, bits, frequent)
+        raw = _counted(training, length, bits, frequent, parts)
         if length == 1:
-            # A frequent word has a row for each part of its runs.
-            parts = F.sequence(F.lit(0).cast("long"), F.floor(F.col("n") / GROUP))
-            below = words.select(
-                F.col("word").alias("next"),
-                ((F.col("n") + 1) / F.lit(scale)).alias("q"),
-                ((F.col("n") - F.col("held") + 1) / F.lit(learned_scale)).alias("q_learned"),
-                F.explode(parts).alias("part"),
-            ).withColumn("q0", F.col("q"))
-            keys = ["next", "part"]
+            below = _below_words(words, parts)
         else:
             shorter = levels[-1]
-            needed = written(able.select("shorter").distinct(), "needed")
-            picked = shorter.rows.join(_few(needed.withColumnRenamed("shorter", "context")), "context", "left_semi")
-            below = _with_p(picked, shorter.stats).select(F.col("context").alias("shorter"), "next", F.col("p").alias("q"), F.col("p_learned").alias("q_learned"), "q0")
-            keys = ["shorter", "next"]
-        runs = raw.repartition(*keys).groupBy(*keys, "context", *[c for c in ("shorter", "next") if c not in keys])
-        rows = runs.agg(F.sum("n").alias("n"), F.sum("held").alias("held")).join(below, keys)
-        # The map lets a few contexts through that don't occur often enough.
-        rows = rows.join(_few(able.select("context")), "context", "left_semi")
-        rows = written(rows.select("context", "shorter", "next", "n", "held", "q", "q_learned", "q0"), "runs")
+            needed = written(able.select(F.col("shorter").alias("context")).distinct(), "needed")
+            picked = shorter.rows.join(_few(needed), "context", "left_semi")
+            below = _below_runs(_with_p(picked, shorter.stats), parts)
+        table = written(_merged(raw, below, frequent, length, parts), "runs")
         bits.unpersist()
-        levels.append(_Level(rows))
+        discard(able, *([needed] if length > 1 else []))
+        level = _Level(table, *scales, least)
+        levels.append(level)
         if length < depth:
-            able = written(_extended(rows.filter((F.col("n") >= least) & (F.col("next") != int(END)))), "able")
+            after = table.filter((F.col("n") >= least) & (F.col("next") != int(END)))
+            able = written(_extended(after.join(_few(level.stats.select("context")), "context", "left_semi")), "able")
     for level, longer in zip(levels[-2::-1], levels[:0:-1]):
         above = longer.stats.join(longer.kept, "context", "left_semi").select(F.col("shorter").alias("context"))
         level.kept = written(level.kept.union(above).distinct(), "kept")
@@ -347,17 +488,29 @@ def _extended(runs: DataFrame) -> DataFrame:
     return runs.select("context", "shorter", "next").mapInArrow(name, "context long, shorter long")
 
 
-def _seen(level: _Level) -> DataFrame:
-    """(key, n, gain) of the seen next words of kept contexts: log10 of the probability over the root's."""
-    kept = level.rows.join(_few(level.kept), "context", "left_semi")
+def _gains(level: _Level, least: int = 1) -> DataFrame:
+    """(context, next, gain) of next words seen `least` times after kept contexts: log10 of the probability over the root's."""
+    kept = level.rows.filter(F.col("n") >= least).join(_few(level.kept), "context", "left_semi")
+    return _with_p(kept, level.stats).select("context", "next", F.log10(F.col("p") / F.col("q0")).alias("gain"))
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            context, word = (np.asarray(c).view(np.uint64) for c in batch.columns[:2])
-            yield pa.RecordBatch.from_arrays([_long(_key(context, word)), *batch.columns[2:]], names=["key", "n", "gain"])
 
-    gained = _with_p(kept, level.stats).select("context", "next", "n", F.log10(F.col("p") / F.col("q0")).alias("gain"))
-    return gained.mapInArrow(name, "key long, n long, gain double")
+def _hot(levels: list[_Level]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, in order, and gains of the most frequent tokens in context, `FREQUENT` at most."""
+    if not levels:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    every = levels[0].table.select("n")
+    for level in levels[1:]:
+        every = every.union(level.table.select("n"))
+    least = _least(every)
+    keys, gains = [np.zeros(0, np.uint64)], [np.zeros(0)]
+    for level in levels if least else []:
+        top = _gains(level, least).toArrow()
+        context, word = (np.asarray(top.column(k).combine_chunks()).view(np.uint64) for k in range(2))
+        keys.append(_key(context, word))
+        gains.append(np.asarray(top.column(2).combine_chunks()))
+    keys, gains = np.concatenate(keys), np.concatenate(gains)
+    order = np.argsort(keys)
+    return keys[order], gains[order]
 
 
 def _states(level: _Level) -> DataFrame:
@@ -379,7 +532,7 @@ def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame
             *[rows.schema[c] for c in ("_row", "_id", "_trained")],
             *T.StructType.fromDDL(
                 "n_tokens long, n_known long, base double, hot_gain double, rare array<struct<word:long,times:long>>, "
-                "tokens array<struct<level:int,times:long,keys:array<long>,contexts:array<long>>>"
+                "levels binary, times binary, keys binary, contexts binary"
             ).fields,
         ]
     )
@@ -387,6 +540,10 @@ def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame
     def lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
 
+    def packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return pa.array([values[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = frequent.value
         keys, gains = hot.value
@@ -398,7 +555,7 @@ def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame
                 own, text = _together(part.column("_text").to_pylist())
                 trained = np.asarray(part.column("_trained").to_pylist(), bool)
                 c, hit = _looked_up(known, counts, own)
-                base = np.bincount(text, np.where(hit, np.log10((c + 1) / scale), 0), n)
+                base = np.bincount(text, np.where(hit, np.log10((c + 1) / scale), 0), n).astype(np.float64)
                 seen = np.bincount(text, hit, n).astype(np.int64)
                 rare = np.flatnonzero(~hit)
                 rare_text, rare_word, rare_n = _distinct(text[rare], [own[rare]])
@@ -412,7 +569,7 @@ def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame
                     key[at] = _key(context[at], own[at])
                 gain, hit = _looked_up(keys, gains, key)
                 hit &= level > 0
-                hot_gain = np.bincount(text, np.where(hit, gain, 0), n)
+                hot_gain = np.bincount(text, np.where(hit, gain, 0), n).astype(np.float64)
                 left = np.flatnonzero((level > 0) & ~hit)
                 left_text, _, times, first = _distinct(text[left], [key[left]], first=True)
                 left = left[first]
@@ -425,21 +582,20 @@ def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame
                 context = np.zeros(len(token), np.uint64)
                 for k, (hashed, _) in enumerate(contexts, 1):
                     context[length == k] = hashed[of[length == k]]
-                untold = ~trained[left_text[token]]
-                shorter = [
-                    lists(_long(_key(context, own[of])), levels),
-                    lists(_long(context[untold]), np.bincount(token[untold], minlength=len(left))),
-                ]
+                hashed_context = context.copy()
+                told = trained[left_text[token]]
+                context[told] = 0
                 words = pa.StructArray.from_arrays([_long(rare_word), pa.array(rare_n)], ["word", "times"])
-                others = pa.StructArray.from_arrays(
-                    [pa.array(level[left].astype(np.int32)), pa.array(times), *shorter], ["level", "times", "keys", "contexts"]
-                )
+                tokens, lengths = np.bincount(left_text, minlength=n), np.bincount(left_text[token], minlength=n)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(c) for c in ("_row", "_id", "_trained")),
                         *map(pa.array, (np.bincount(text, minlength=n), seen, base, hot_gain)),
                         lists(words, np.bincount(rare_text, minlength=n)),
-                        lists(others, np.bincount(left_text, minlength=n)),
+                        packed(level[left].astype(np.uint8), tokens),
+                        packed(times.astype(np.int64), tokens),
+                        packed(_key(hashed_context, own[of]), lengths),
+                        packed(context, lengths),
                     ],
                     names=schema.fieldNames(),
                 )
@@ -458,33 +614,117 @@ def _distinct(text: np.ndarray, values: list[np.ndarray], first: bool = False) -
     return (*out, order[at]) if first else out
 
 
-def _gained(read: DataFrame, levels: list[_Level], seen: list[DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
-    """(_row, gain) of the tokens in context that tasks couldn't score, by their longest states; tables it reads.
+def _tokens(read: DataFrame, level: int, parts: int) -> DataFrame:
+    """Blocks of the tokens of a level: row, times, gain so far, and key and context of the lengths from that on."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, packed = np.asarray(batch.column(0)), [batch.column(k).to_pylist() for k in range(1, 5)]
+            sizes = np.array([len(x) for x in packed[0]])
+            levels = np.frombuffer(b"".join(packed[0]), np.uint8).astype(np.int64)
+            times, keys, contexts = (np.frombuffer(b"".join(p), t) for p, t in zip(packed[1:], (np.int64, np.uint64, np.uint64)))
+            begins = np.cumsum(levels) - levels
+            own = np.flatnonzero(levels == level)
+            at = begins[own]
+            row = np.repeat(rows, sizes)[own]
+            columns = [keys[at]] if level == 1 else [keys[at[:, None] + np.arange(level)].reshape(-1)]
+            columns.append(contexts[at] if level == 1 else contexts[at[:, None] + np.arange(level)].reshape(-1))
+            yield from _token_blocks(row, times[own], np.zeros(len(own)), *columns, level, parts)
+
+    return read.select("_row", "levels", "times", "keys", "contexts").mapInArrow(deal, _BLOCKS)
+
+
+def _token_blocks(row, times, gain, keys, contexts, level: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """One block a part; a token's keys and contexts, longest first, stand together."""
+    part = _part(keys.reshape(-1, level)[:, 0], parts) if len(row) else np.zeros(0, np.int64)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+    ends = np.append(at, len(part))
+    columns = [row[order], times[order], gain[order], keys.reshape(-1, level)[order], contexts.reshape(-1, level)[order]]
+    packed = [[c[a:b].tobytes() for a, b in zip(ends, ends[1:])] for c in columns] + [[None] * len(at)]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(part[at].astype(np.int32)), pa.array(np.zeros(len(at), np.int8)), *(pa.array(c, pa.binary()) for c in packed)],
+        schema=_BLOCK,
+    )
+
+
+def _model(gains: DataFrame, parts: int) -> DataFrame:
+    """Blocks of a level's next words: key and gain."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, word = (np.asarray(c).view(np.uint64) for c in batch.columns[:2])
+            key = _key(context, word)
+            yield _blocks(_part(key, parts), 1, [key, np.asarray(batch.column(2))])
+
+    return gains.mapInArrow(deal, _BLOCKS)
+
+
+def _found(tokens: DataFrame, model: DataFrame, level: int, parts: int) -> DataFrame:
+    """What is seen after its longest context, as a sum a row (`times` null), and the other tokens each.
+
+    _row, gain, times, context (0 if the text was trained on), and the keys and contexts of shorter lengths.
+    """
+    long, whole, real = np.uint64, np.int64, np.float64
+    schema = "_row long, gain double, times long, context long, keys binary, contexts binary"
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _unblocked(batches, {0: [whole, whole, real, long, long], 1: [long, real]})
+        row, times, gain, keys, contexts = blocks[0]
+        keys, contexts = keys.reshape(-1, level), contexts.reshape(-1, level)
+        by = np.argsort(blocks[1][0])
+        own, hit = _looked_up(blocks[1][0][by], blocks[1][1][by], keys[:, 0])
+        rows, of = np.unique(row[hit], return_inverse=True)
+        sums = np.bincount(of, times[hit] * (gain[hit] + own[hit]), len(rows)).astype(np.float64)
+        none = pa.nulls(len(rows), pa.int64())
+        nothing = pa.nulls(len(rows), pa.binary())
+        names = [c.split()[0] for c in schema.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(sums), none, none, nothing, nothing], names=names)
+        left = np.flatnonzero(~hit)
+        for begin in range(0, len(left), 100_000):
+            some = left[begin : begin + 100_000]
+            rest = [pa.array([r.tobytes() for r in x[some, 1:]], pa.binary()) for x in (keys, contexts)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row[some]), pa.array(gain[some]), pa.array(times[some]), _long(contexts[some, 0]), *rest], names=names
+            )
+
+    return tokens.union(model).repartitionById(parts, F.col("part")).mapInArrow(find, schema)
+
+
+def _shortened(left: DataFrame, level: int, parts: int) -> DataFrame:
+    """Blocks of tokens that go on to contexts of `level` words."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, times, gain = (np.asarray(batch.column(k)) for k in range(3))
+            keys, contexts = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64) for k in (3, 4))
+            yield from _token_blocks(row, times, gain, keys, contexts, level, parts)
+
+    return left.select("_row", "times", "gain", "keys", "contexts").mapInArrow(deal, _BLOCKS)
+
+
+def _gained(read: DataFrame, levels: list[_Level], parts: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(_row, _gain) of the tokens in context that tasks couldn't score, by their longest states; tables it reads.
 
     A token that isn't seen after a context goes on to the shorter one, with what the context gives that one; where the
     map took something else for a context, with nothing.
     """
-    tokens = read.select("_row", F.explode("tokens").alias("t")).select("_row", "t.*", F.lit(0.0).alias("gain"))
-    slim = ["_row", "times", "keys", "contexts", "gain"]
     done, tables, left = [], [], None
     for k in range(len(levels), 0, -1):
-        here = tokens.filter(F.col("level") == k).select(*slim)
-        here = here if left is None else here.union(left)
-        states = _states(levels[k - 1]).withColumnRenamed("context", "_context")
-        found = (
-            here.withColumns({"key": F.col("keys")[0], "_context": F.get("contexts", F.lit(0))})
-            .join(seen[k - 1].select("key", F.col("gain").alias("_own")), "key", "left")
-            .join(_few(states), "_context", "left")
-            .select("_row", "times", "keys", "contexts", F.col("_own").isNotNull().alias("found"),
-                    (F.col("gain") + F.coalesce("_own", "rest", F.lit(0.0))).alias("gain"))
-        )
+        tokens = _tokens(read, k, parts)
+        tokens = tokens if left is None else tokens.union(_shortened(left, k, parts))
+        found = _found(tokens, _model(_gains(levels[k - 1]), parts), k, parts)
+        states = _states(levels[k - 1])
         if k > 1:
             found = written(found, "found")
             tables.append(found)
-            later = lambda c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))).alias(c)
-            left = found.filter("not found").select("_row", "times", later("keys"), later("contexts"), "gain")
-            found = found.filter("found")
-        done.append(found.select("_row", (F.col("times") * F.col("gain")).alias("gain")))
+        rested = found.join(_few(states), "context", "left").withColumn("gain", F.col("gain") + F.coalesce("rest", F.lit(0.0)))
+        if k > 1:
+            done.append(found.filter("times is null").select("_row", "gain"))
+            left = rested.filter("times is not null")
+        else:
+            done.append(rested.select("_row", (F.coalesce("times", F.lit(1)) * F.col("gain")).alias("gain")))
     every = done[0]
     for more in done[1:]:
         every = every.union(more)
@@ -532,16 +772,11 @@ def score(
     scale = float(learned + known[0] + 1)
     shared = documents.sparkSession.sparkContext.broadcast
     frequent = shared(_frequent(words, "word", "n"))
-    levels = _levels(training, words, frequent, scale, scale - known[2], depth, least)
-    levels = [level for level in levels if not level.kept.isEmpty()]
-    seen = [written(_seen(level), "seen") for level in levels]
-    for level in levels:
-        level.close()
-    every = seen[0] if seen else words.select(F.col("word").alias("key"), "n", F.lit(0.0).alias("gain")).limit(0)
-    for more in seen[1:]:
-        every = every.union(more)
+    parts = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-learned // GROUP))
+    made = _levels(training, words, frequent, (scale, scale - known[2]), depth, least, parts)
+    levels = [level for level in made if not level.kept.isEmpty()]
     maps = [shared(_map(level.kept.select("context"))) for level in levels]
-    read = written(_read(rows, frequent, shared(_frequent(every, "key", "gain")), maps, scale), "read")
+    read = written(_read(rows, frequent, shared(_hot(levels)), maps, scale), "read")
     rare = read.select("_row", F.explode("rare").alias("x")).select("_row", "x.*")
     found = rare.join(words.select("word", "n"), "word", "left")
     c = F.coalesce("n", F.lit(0))
@@ -553,12 +788,13 @@ def score(
     discard(words)
     texts = read.select("_row", "_id", "_trained", "n_tokens", "n_known", "base", "hot_gain").join(base, "_row", "left")
     if levels:
-        gained, tables = _gained(read, levels, seen)
+        gained, tables = _gained(read, levels, parts)
         gained = written(gained, "gained")
-        discard(*tables, *seen)
+        discard(*tables)
         texts = texts.join(gained, "_row", "left")
     else:
         texts = texts.withColumn("_gain", F.lit(0.0))
+    discard(*(level.table for level in made))
     total = F.col("base") + F.coalesce("_base", F.lit(0.0))
     return texts.select(
         F.col("_id").alias(identifier),

@@ -33,7 +33,7 @@ EXACT_COUNTS = 1 << 10
 #: Bits of the maps that tell tasks which contexts there are.
 MAP_BITS = 1 << 24
 #: Runs counted together before they leave a task, texts read together, and a word's runs that one group holds.
-FLUSH = 3_000_000
+FLUSH = 1_000_000
 TEXTS = 256
 GROUP = 2_000_000
 #: A word is its hash without the low bits; the end is a number of its own.
@@ -167,7 +167,7 @@ def _part(key: np.ndarray, parts: int) -> np.ndarray:
     return ((key >> np.uint64(24)) % np.uint64(parts)).astype(np.int64)
 
 
-def _runs(training: DataFrame, read):
+def _runs(read):
     """A task function: arrays (key, columns...) that `read` gives of a part's tokens, counted within the task.
 
     Yields the distinct columns, n and held.
@@ -201,7 +201,7 @@ def _runs(training: DataFrame, read):
 
 def _words(training: DataFrame) -> DataFrame:
     """word, n and held of all training texts."""
-    counted = _runs(training, lambda own, text: (np.arange(len(own)), (own, own)))
+    counted = _runs(lambda own, text: (np.arange(len(own)), (own, own)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (word,), (n, held) in counted(batches):
@@ -218,8 +218,7 @@ def _counted(training: DataFrame, length: int, bits, frequent, parts: int) -> Da
     size where it is very frequent, or the shorter context and the next word.
     """
 
-    def read(own, text):
-        wanted = _unpacked(bits.value)
+    def read(own, text, wanted):
         contexts = _contexts(own, text, length)
         context, there = contexts[-1]
         picked = np.flatnonzero(there & wanted[_bit(context)])
@@ -227,11 +226,10 @@ def _counted(training: DataFrame, length: int, bits, frequent, parts: int) -> Da
         shorter = contexts[-2][0][picked] if length > 1 else np.zeros_like(after)
         return picked, (_key(after, word), after, shorter, word)
 
-    counted = _runs(training, read)
-
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = frequent.value
-        for (context, shorter, word), sums in counted(batches):
+        wanted = _unpacked(bits.value)
+        for (context, shorter, word), sums in _runs(lambda own, text: read(own, text, wanted))(batches):
             if length == 1:
                 groups = 1 + (_looked_up(known, counts, word)[0] // GROUP).astype(np.uint64)
                 key = _key((context >> np.uint64(8)) % groups, word)
@@ -459,8 +457,7 @@ def _levels(training: DataFrame, words: DataFrame, frequent, scales: tuple[float
         else:
             shorter = levels[-1]
             needed = written(able.select(F.col("shorter").alias("context")).distinct(), "needed")
-            picked = shorter.rows.join(_few(needed), "context", "left_semi")
-            below = _below_runs(_with_p(picked, shorter.stats), parts)
+            below = _below_runs(_with_p(shorter.rows, shorter.stats.join(_few(needed), "context", "left_semi")), parts)
         table = written(_merged(raw, below, frequent, length, parts), "runs")
         bits.unpersist()
         discard(able, *([needed] if length > 1 else []))
@@ -490,8 +487,7 @@ def _extended(runs: DataFrame) -> DataFrame:
 
 def _gains(level: _Level, least: int = 1) -> DataFrame:
     """(context, next, gain) of next words seen `least` times after kept contexts: log10 of the probability over the root's."""
-    kept = level.rows.filter(F.col("n") >= least).join(_few(level.kept), "context", "left_semi")
-    return _with_p(kept, level.stats).select("context", "next", F.log10(F.col("p") / F.col("q0")).alias("gain"))
+    return _with_p(level.rows.filter(F.col("n") >= least), _kept_stats(level)).select("context", "next", F.log10(F.col("p") / F.col("q0")).alias("gain"))
 
 
 def _hot(levels: list[_Level]) -> tuple[np.ndarray, np.ndarray]:
@@ -513,10 +509,13 @@ def _hot(levels: list[_Level]) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], gains[order]
 
 
+def _kept_stats(level: _Level) -> DataFrame:
+    return level.stats.join(_few(level.kept), "context", "left_semi")
+
+
 def _states(level: _Level) -> DataFrame:
     """(context, rest): kept contexts and log10 of what they give the shorter context for an unseen word."""
-    kept = level.stats.join(_few(level.kept), "context", "left_semi")
-    return kept.select("context", F.log10(DISCOUNT * F.col("kinds") / F.col("total")).alias("rest"))
+    return _kept_stats(level).select("context", F.log10(DISCOUNT * F.col("kinds") / F.col("total")).alias("rest"))
 
 
 def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame:
@@ -627,9 +626,8 @@ def _tokens(read: DataFrame, level: int, parts: int) -> DataFrame:
             own = np.flatnonzero(levels == level)
             at = begins[own]
             row = np.repeat(rows, sizes)[own]
-            columns = [keys[at]] if level == 1 else [keys[at[:, None] + np.arange(level)].reshape(-1)]
-            columns.append(contexts[at] if level == 1 else contexts[at[:, None] + np.arange(level)].reshape(-1))
-            yield from _token_blocks(row, times[own], np.zeros(len(own)), *columns, level, parts)
+            every = at[:, None] + np.arange(level)
+            yield from _token_blocks(row, times[own], np.zeros(len(own)), keys[every], contexts[every], level, parts)
 
     return read.select("_row", "levels", "times", "keys", "contexts").mapInArrow(deal, _BLOCKS)
 

@@ -18,6 +18,8 @@ from obsmill.sinks.paths import discard, written
 #: A context is tested if it occurs this often, and has at most this many words.
 LEAST_COUNT = 24
 DEPTH = 2
+#: A next word is told apart in a context if it was seen there this often; the others are left to the shorter one.
+SEEN = 2
 #: One of this many texts, by hash, is held out when the least divergence of a context is set.
 FOLDS = 8
 #: Least divergences are tried in steps of this many nats.
@@ -212,10 +214,10 @@ def _words(training: DataFrame) -> DataFrame:
 
 
 def _counted(training: DataFrame, length: int, bits, frequent, parts: int) -> DataFrame:
-    """Blocks of runs (context, shorter, next, n, held) of `length` words and the next after contexts of the map.
+    """Blocks of runs of `length` words and the next after contexts of the map: context, name, n and held.
 
-    They are dealt out by what their shorter context's probability is known by: the next word, in groups of a bounded
-    size where it is very frequent, or the shorter context and the next word.
+    The name is what the shorter context's probability is known by, and runs are dealt out by it: the next word, in
+    groups of a bounded size where it is very frequent, or the key of the shorter context and the next word.
     """
 
     def read(own, text, wanted):
@@ -223,23 +225,24 @@ def _counted(training: DataFrame, length: int, bits, frequent, parts: int) -> Da
         context, there = contexts[-1]
         picked = np.flatnonzero(there & wanted[_bit(context)])
         after, word = context[picked], own[picked]
-        shorter = contexts[-2][0][picked] if length > 1 else np.zeros_like(after)
-        return picked, (_key(after, word), after, shorter, word)
+        name = word if length == 1 else _key(contexts[-2][0][picked], word)
+        return picked, (_key(after, word), after, name)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = frequent.value
         wanted = _unpacked(bits.value)
-        for (context, shorter, word), sums in _runs(lambda own, text: read(own, text, wanted))(batches):
-            if length == 1:
-                groups = 1 + (_looked_up(known, counts, word)[0] // GROUP).astype(np.uint64)
-                key = _key((context >> np.uint64(8)) % groups, word)
-            else:
-                key = _key(shorter, word)
-            yield _blocks(_part(key, parts), 0, [context, shorter, word, *sums])
+        for (context, name), sums in _runs(lambda own, text: read(own, text, wanted))(batches):
+            yield _blocks(_part(_dealt_by(context, name, length, frequent.value), parts), 0, [context, name, *sums])
 
     return training.select("_text").mapInArrow(deal, _BLOCKS)
 
 
+def _dealt_by(context: np.ndarray, name: np.ndarray, length: int, frequent) -> np.ndarray:
+    if length > 1:
+        return name
+    groups = 1 + (_looked_up(*frequent, name)[0] // GROUP).astype(np.uint64)
+    return _key((context >> np.uint64(8)) % groups, name)
+
+
 def _below_words(words: DataFrame, parts: int) -> DataFrame:
     """Blocks of words, one for each group of a very frequent word's runs: key, n and held."""
 
@@ -254,48 +257,47 @@ def _below_words(words: DataFrame, parts: int) -> DataFrame:
 
 
 def _below_runs(rows: DataFrame, parts: int) -> DataFrame:
-    """Blocks of a level's runs (context, next, p, p_learned, q0): key and the three probabilities."""
+    """Blocks of a level's runs: the key of context and next word, that word, and its three probabilities."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             context, word = (np.asarray(c).view(np.uint64) for c in batch.columns[:2])
             key = _key(context, word)
-            numbers = [np.asarray(c.fill_null(0.0)) for c in batch.columns[2:]]
-            yield _blocks(_part(key, parts), 1, [key, *numbers])
+            yield _blocks(_part(key, parts), 1, [key, word, *(np.asarray(c.fill_null(0.0)) for c in batch.columns[2:])])
 
     return rows.select("context", "next", "p", "p_learned", "q0").mapInArrow(deal, _BLOCKS)
 
 
 def _merged(runs: DataFrame, below: DataFrame, frequent, length: int, parts: int) -> DataFrame:
-    """Distinct runs with n and held and what is known below: the next word's own counts (c, h), or q, q_learned and q0.
+    """Distinct runs seen `SEEN` times: context, next, n, held and what is known below: the next word's own counts
+    (c, h), or its probabilities after the shorter context (q, q_learned) and after none (q0).
 
-    A run whose shorter context isn't known follows a context that the map took for another; it drops out.
+    A run that occurs so often also does so after the shorter context, so that it is found there; what isn't follows
+    something that the map took for a context.
     """
-    numbers = ["c", "h"] if length == 1 else ["q", "q_learned", "q0"]
-    kind = np.int64 if length == 1 else np.float64
-    names = ["context", "shorter", "next", "n", "held", *numbers]
+    numbers = [("c", np.int64), ("h", np.int64)] if length == 1 else [(c, np.float64) for c in ("q", "q_learned", "q0")]
+    names = ["context", "next", "n", "held", *(c for c, _ in numbers)]
     long, whole = np.uint64, np.int64
+    told = [long, *([] if length == 1 else [long]), *(kind for _, kind in numbers)]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _unblocked(batches, {0: [long, long, long, whole, whole], 1: [long, *[kind] * len(numbers)]})
-        context, shorter, word, n, held = blocks[0]
-        (context, shorter, word), (n, held) = _summed(_key(context, word), [context, shorter, word], [n, held])
-        if length == 1:
-            known, counts = frequent.value
-            groups = 1 + (_looked_up(known, counts, word)[0] // GROUP).astype(np.uint64)
-            key = _key((context >> np.uint64(8)) % groups, word)
-        else:
-            key = _key(shorter, word)
+        blocks = _unblocked(batches, {0: [long, long, whole, whole], 1: told})
+        context, name, n, held = blocks[0]
+        (context, name), (n, held) = _summed(_key(context, name), [context, name], [n, held])
+        often = np.flatnonzero(n >= SEEN)
+        context, name, n, held = context[often], name[often], n[often], held[often]
         by = np.argsort(blocks[1][0])
         keys = blocks[1][0][by]
-        # Ordered by next word, so that equal numbers stand together in the table.
-        order = np.argsort(word)
-        context, shorter, word, n, held, key = (c[order] for c in (context, shorter, word, n, held, key))
+        key = _dealt_by(context, name, length, frequent.value)
+        # Ordered by name, so that equal numbers stand together in the table.
+        order = np.argsort(name)
+        context, name, n, held, key = (c[order] for c in (context, name, n, held, key))
         at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-        hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-        told = [c[by][at[hit]] for c in blocks[1][1:]] if len(keys) else [np.zeros(0, kind)] * len(numbers)
-        out = [*map(_long, (context[hit], shorter[hit], word[hit])), *map(pa.array, (n[hit], held[hit], *told))]
-        for begin in range(0, max(int(hit.sum()), 1), 100_000):
+        hit = np.flatnonzero(keys[at] == key) if len(keys) else np.zeros(0, np.int64)
+        found = [c[by][at[hit]] for c in blocks[1][1:]]
+        word = [name[hit]] if length == 1 else [found.pop(0)]
+        out = [_long(context[hit]), *map(_long, word), pa.array(n[hit]), pa.array(held[hit]), *map(pa.array, found)]
+        for begin in range(0, max(len(hit), 1), 100_000):
             yield pa.RecordBatch.from_arrays([c.slice(begin, 100_000) for c in out], names=names)
 
     schema = ", ".join(f"{c} {'double' if c in ('q', 'q_learned', 'q0') else 'long'}" for c in names)
@@ -361,58 +363,71 @@ def _few(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else frame
 
 
-def _p(count: Column, total: Column, kinds: Column, shorter: Column) -> Column:
-    """A next word's probability: its discounted share, the rest by the shorter context."""
-    return (F.greatest(count - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * shorter) / total
+def _p(count: Column, total: Column, rest: Column, shorter: Column) -> Column:
+    """A next word's probability: its discounted share if it was seen often enough, and the rest by the shorter context."""
+    return F.when(count >= SEEN, count - DISCOUNT).otherwise(0.0) / total + rest * shorter
 
 
-def _stated(rows: DataFrame, least: int) -> DataFrame:
-    """Per context that occurs often enough what its rows (n, held, q, q_learned) sum up to.
+def _rested(rows: DataFrame, able: DataFrame) -> DataFrame:
+    """Contexts (context, shorter, total, out) with the parts of them that are left to the shorter one.
 
-    total, kinds, learned and learned_kinds are its counts, without held-out texts for the learned ones. `told` and
-    `learned_told` are the nats by which its next words diverge from the shorter context's, less the mean excess
-    that an estimate from few words has by itself.
+    `rest` is what the shares of the next words told apart leave of 1, `learned_rest` that without held-out texts.
     """
     own = F.col("n") - F.col("held")
     sums = rows.groupBy("context").agg(
-        F.first("shorter").alias("shorter"),
-        F.sum("n").alias("total"),
-        F.count("*").alias("kinds"),
-        F.sum(own).alias("learned"),
-        F.count_if(own > 0).alias("learned_kinds"),
-        F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).alias("_told"),
-        F.sum(F.when(own > 0, own * F.log(own / F.col("q_learned")))).alias("_learned"),
+        F.sum(F.col("n") - DISCOUNT).alias("_shares"), F.sum(F.when(own >= SEEN, own - DISCOUNT)).alias("_learned")
     )
-    excess = lambda kinds, total: (F.col(kinds) - 1) / (2 * F.col(total))
-    return sums.withColumns(
-        {
-            "told": F.col("_told") / F.col("total") - F.log("total") - excess("kinds", "total"),
-            "learned_told": F.when(
-                F.col("learned") > 0, F.col("_learned") / F.col("learned") - F.log("learned") - excess("learned_kinds", "learned")
-            ),
-        }
-    ).drop("_told", "_learned").filter(F.col("total") >= least)
+    left = lambda shares, total: 1 - F.coalesce(shares, F.lit(0.0)) / F.col(total)
+    contexts = able.withColumn("learned", F.col("total") - F.col("out"))
+    return contexts.join(sums, "context", "left").select(
+        "context", "shorter", "total", "out", "learned",
+        left("_shares", "total").alias("rest"),
+        F.when(F.col("learned") > 0, left("_learned", "learned")).alias("learned_rest"),
+    )
 
 
 def _with_p(rows: DataFrame, stats: DataFrame) -> DataFrame:
-    """Rows with p and p_learned, by the counts of their contexts in `stats`."""
+    """Rows with p and p_learned, by their contexts in `stats`; rows of other contexts drop out."""
     own = F.col("n") - F.col("held")
-    counts = stats.select("context", "total", "kinds", "learned", "learned_kinds")
-    return rows.join(_few(counts), "context").withColumns(
+    return rows.join(_few(stats), "context").withColumns(
         {
-            "p": _p(F.col("n"), F.col("total"), F.col("kinds"), F.col("q")),
-            "p_learned": F.when(F.col("learned") > 0, _p(own, F.col("learned"), F.col("learned_kinds"), F.col("q_learned"))),
+            "p": _p(F.col("n"), F.col("total"), F.col("rest"), F.col("q")),
+            "p_learned": F.when(F.col("learned") > 0, _p(own, F.col("learned"), F.col("learned_rest"), F.col("q_learned"))),
         }
     )
 
 
-def _threshold(rows: DataFrame, stats: DataFrame) -> float:
+def _tested(rows: DataFrame, rested: DataFrame) -> DataFrame:
+    """Contexts with `told` and `learned_told`, the nats by which their next words diverge from the shorter one's, by
+    all texts and by those not held out, and `gain`, what they give to the held-out ones.
+
+    Words that aren't told apart have the shorter context's probability times the rest.
+    """
+    own = F.col("n") - F.col("held")
+    p = _with_p(rows, rested)
+    sums = p.groupBy("context").agg(
+        F.sum("p").alias("_p"),
+        F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("_told"),
+        F.sum(F.when(own >= SEEN, F.col("p_learned"))).alias("_pl"),
+        F.sum(F.when(own >= SEEN, F.col("p_learned") * F.log(F.col("p_learned") / F.col("q_learned")))).alias("_toldl"),
+        F.sum(F.when(own >= SEEN, F.col("held"))).alias("_held"),
+        F.sum(F.when(own >= SEEN, F.col("held") * F.log(F.col("p_learned") / F.col("q_learned")))).alias("_gain"),
+    )
+    none = lambda c: F.coalesce(c, F.lit(0.0))
+    diverged = lambda told, mass, rest: none(told) + F.greatest(1 - none(mass), F.lit(0.0)) * F.log(rest)
+    others = F.col("out") - F.coalesce("_held", F.lit(0))
+    return rested.join(sums, "context", "left").select(
+        "context", "shorter", "total", "out", "learned", "rest", "learned_rest",
+        diverged("_told", "_p", "rest").alias("told"),
+        F.when(F.col("learned") > 0, diverged("_toldl", "_pl", "learned_rest")).alias("learned_told"),
+        F.when((F.col("out") > 0) & (F.col("learned") > 0), none("_gain") + others * F.log("learned_rest")).alias("gain"),
+    )
+
+
+def _threshold(stats: DataFrame) -> float:
     """The least divergence that gives held-out texts the greatest likelihood; without gain none is kept."""
-    told = stats.select("context", "learned_told").filter("learned_told is not null")
-    held = _with_p(rows.filter("held > 0"), stats).filter("p_learned is not null")
     step = F.floor(F.col("learned_told") / STEP)
-    gain = F.col("held") * F.log(F.col("p_learned") / F.col("q_learned"))
-    bins = held.groupBy("context").agg(F.sum(gain).alias("gain")).join(told, "context").groupBy(step.alias("step")).agg(F.sum("gain").alias("gain"))
+    bins = stats.filter("gain is not null").groupBy(step.alias("step")).agg(F.sum("gain").alias("gain"))
     best, at, total = 0.0, float("inf"), 0.0
     for row in sorted(bins.collect(), key=lambda r: -r["step"]):
         total += row["gain"]
@@ -424,31 +439,31 @@ def _threshold(rows: DataFrame, stats: DataFrame) -> float:
 class _Level:
     """Contexts of one length: their runs and what was found of them."""
 
-    def __init__(self, table: DataFrame, scale: float, learned_scale: float, least: int):
+    def __init__(self, table: DataFrame, able: DataFrame, scale: float, learned_scale: float):
         self.table = table
-        #: context, shorter, next, n, held, q and q_learned by the shorter context, q0 by the root.
+        #: context, next, n, held, q and q_learned by the shorter context, q0 by the root.
         self.rows = table
         if "c" in table.columns:
             q = (F.col("c") + 1) / F.lit(scale)
             learned = (F.col("c") - F.col("h") + 1) / F.lit(learned_scale)
-            self.rows = table.select("context", "shorter", "next", "n", "held", q.alias("q"), learned.alias("q_learned"), q.alias("q0"))
-        self.stats = written(_stated(self.rows, least), "stats")
-        self.kept = self.stats.filter(F.col("told") >= _threshold(self.rows, self.stats)).select("context")
+            self.rows = table.select("context", "next", "n", "held", q.alias("q"), learned.alias("q_learned"), q.alias("q0"))
+        rested = written(_rested(self.rows, able), "rested")
+        self.stats = written(_tested(self.rows, rested), "stats")
+        discard(rested)
+        self.kept = self.stats.filter(F.col("told") >= _threshold(self.stats)).select("context")
 
 
 def _levels(training: DataFrame, words: DataFrame, frequent, scales: tuple[float, float], depth: int, least: int, parts: int) -> list[_Level]:
-    """The levels of the tree, shortest contexts first; a kept context's shorter ones are kept as well.
-
-    That a context occurs often enough is exactly told by its runs, once they are counted.
-    """
+    """The levels of the tree, shortest contexts first; a kept context's shorter ones are kept as well."""
     shared = training.sparkSession.sparkContext.broadcast
     levels: list[_Level] = []
     none = F.lit(0).cast("long")
     often = words.filter((F.col("n") >= least) & (F.col("word") != int(END)))
-    able = written(_extended(often.select(none.alias("context"), none.alias("shorter"), F.col("word").alias("next"))), "able")
+    # Contexts that occur often enough, with the one before them and how often they occur, held out too.
+    able = _extended(often.select(none.alias("context"), none.alias("shorter"), F.col("word").alias("next"), "n", "held"))
+    able = written(able, "able")
     for length in range(1, depth + 1):
         if able.isEmpty():
-            discard(able)
             break
         bits = shared(_map(able.select("context")))
         raw = _counted(training, length, bits, frequent, parts)
@@ -460,12 +475,12 @@ def _levels(training: DataFrame, words: DataFrame, frequent, scales: tuple[float
             below = _below_runs(_with_p(shorter.rows, shorter.stats.join(_few(needed), "context", "left_semi")), parts)
         table = written(_merged(raw, below, frequent, length, parts), "runs")
         bits.unpersist()
+        levels.append(_Level(table, able, *scales))
         discard(able, *([needed] if length > 1 else []))
-        level = _Level(table, *scales, least)
-        levels.append(level)
-        if length < depth:
-            after = table.filter((F.col("n") >= least) & (F.col("next") != int(END)))
-            able = written(_extended(after.join(_few(level.stats.select("context")), "context", "left_semi")), "able")
+        runs = table.filter((F.col("n") >= least) & (F.col("next") != int(END)))
+        known = levels[-1].stats.select("context", "shorter")
+        able = written(_extended(runs.join(_few(known), "context").select("context", "shorter", "next", "n", "held")), "able")
+    discard(able)
     for level, longer in zip(levels[-2::-1], levels[:0:-1]):
         above = longer.stats.join(longer.kept, "context", "left_semi").select(F.col("shorter").alias("context"))
         level.kept = written(level.kept.union(above).distinct(), "kept")
@@ -473,16 +488,18 @@ def _levels(training: DataFrame, words: DataFrame, frequent, scales: tuple[float
 
 
 def _extended(runs: DataFrame) -> DataFrame:
-    """The contexts that runs (context, shorter, next) are, with their shorter ones: context, shorter."""
+    """The contexts that runs (context, shorter, next, n, held) are: context, shorter, total, out.
+
+    `shorter` lacks the farthest word; of a context of one word it is the context of none.
+    """
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            context, shorter, word = (np.asarray(c).view(np.uint64) for c in batch.columns)
-            yield pa.RecordBatch.from_arrays(
-                [_long(extended(context, word)), _long(extended(shorter, word))], names=["context", "shorter"]
-            )
+            context, shorter, word = (np.asarray(c).view(np.uint64) for c in batch.columns[:3])
+            made = [_long(extended(context, word)), _long(np.where(context == 0, shorter, extended(shorter, word)))]
+            yield pa.RecordBatch.from_arrays([*made, *batch.columns[3:]], names=["context", "shorter", "total", "out"])
 
-    return runs.select("context", "shorter", "next").mapInArrow(name, "context long, shorter long")
+    return runs.mapInArrow(name, "context long, shorter long, total long, out long")
 
 
 def _gains(level: _Level, least: int = 1) -> DataFrame:
@@ -515,16 +532,15 @@ def _kept_stats(level: _Level) -> DataFrame:
 
 def _states(level: _Level) -> DataFrame:
     """(context, rest): kept contexts and log10 of what they give the shorter context for an unseen word."""
-    return _kept_stats(level).select("context", F.log10(DISCOUNT * F.col("kinds") / F.col("total")).alias("rest"))
+    return _kept_stats(level).select("context", F.log10("rest").alias("rest"))
 
 
 def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame:
     """One row a text: n_tokens, n_known and base as far as frequent words tell, its rare words, the
     gain of its frequent tokens in context, and its other tokens in context.
 
-    Such a token has the number of words of the longest context that the maps know (`level`), and for that and all
-    shorter ones, longest first, its key, and in texts that weren't trained on the context as well: all next words
-    of a trained text have been seen.
+    Such a token has the number of words of the longest context that the maps know (`levels`), and for that and all
+    shorter ones, longest first, its key and the context.
     """
     schema = T.StructType(
         [
@@ -552,7 +568,6 @@ def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame
                 part = batch.slice(begin, TEXTS)
                 n = part.num_rows
                 own, text = _together(part.column("_text").to_pylist())
-                trained = np.asarray(part.column("_trained").to_pylist(), bool)
                 c, hit = _looked_up(known, counts, own)
                 base = np.bincount(text, np.where(hit, np.log10((c + 1) / scale), 0), n).astype(np.float64)
                 seen = np.bincount(text, hit, n).astype(np.int64)
@@ -581,9 +596,6 @@ def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame
                 context = np.zeros(len(token), np.uint64)
                 for k, (hashed, _) in enumerate(contexts, 1):
                     context[length == k] = hashed[of[length == k]]
-                hashed_context = context.copy()
-                told = trained[left_text[token]]
-                context[told] = 0
                 words = pa.StructArray.from_arrays([_long(rare_word), pa.array(rare_n)], ["word", "times"])
                 tokens, lengths = np.bincount(left_text, minlength=n), np.bincount(left_text[token], minlength=n)
                 yield pa.RecordBatch.from_arrays(
@@ -593,7 +605,7 @@ def _read(rows: DataFrame, frequent, hot, maps: list, scale: float) -> DataFrame
                         lists(words, np.bincount(rare_text, minlength=n)),
                         packed(level[left].astype(np.uint8), tokens),
                         packed(times.astype(np.int64), tokens),
-                        packed(_key(hashed_context, own[of]), lengths),
+                        packed(_key(context, own[of]), lengths),
                         packed(context, lengths),
                     ],
                     names=schema.fieldNames(),
@@ -662,7 +674,7 @@ def _model(gains: DataFrame, parts: int) -> DataFrame:
 def _found(tokens: DataFrame, model: DataFrame, level: int, parts: int) -> DataFrame:
     """What is seen after its longest context, as a sum a row (`times` null), and the other tokens each.
 
-    _row, gain, times, context (0 if the text was trained on), and the keys and contexts of shorter lengths.
+    _row, gain, times, context, and the keys and contexts of shorter lengths.
     """
     long, whole, real = np.uint64, np.int64, np.float64
     schema = "_row long, gain double, times long, context long, keys binary, contexts binary"
@@ -744,9 +756,9 @@ def score(
     that. Contexts of up to `depth` words are states of a suffix tree if they occur `least`
     times and their next words diverge from the shorter context's; a state without its farthest word
     is a state too. For each length the least divergence is the one that gives most to the
-    likelihood of one training text in `FOLDS`, under a model of the others. A state's distribution
-    is discounted and filled up from the shorter context's. A token is scored by its longest state;
-    `score` sums log10 of that.
+    likelihood of one training text in `FOLDS`, under a model of the others. In a state the next words seen there
+    `SEEN` times have their discounted shares, and the rest is dealt out by the shorter context's distribution. A
+    token is scored by its longest state; `score` sums log10 of that.
 
     Counts cover all training rows and grow with them: words first, then what comes after words that occur
     often enough, then after such pairs, and so on. Runs before a very frequent word are dealt out in groups. Tasks

@@ -80,9 +80,9 @@ def brute(texts, trained, depth, least):
     root = lambda w: (counts[w] + 1) / scale
     learned_root = lambda w: (counts[w] - held[w] + 1) / (scale - sum(held.values()))
     able = {(w,) for w, n in counts.items() if n >= least and w is not None}
-    tree, kept = [], []
-    below = {(): {w: (root(w), learned_root(w)) for w in counts}}
-    d = suffix_tree.DISCOUNT
+    tree, kept, runs_of = [], [], []
+    below = lambda context, w: (root(w), learned_root(w))
+    d, seen = suffix_tree.DISCOUNT, suffix_tree.SEEN
     for length in range(1, depth + 1):
         runs = {}
         for t in trained:
@@ -98,26 +98,33 @@ def brute(texts, trained, depth, least):
         for context, (n, out) in runs.items():
             total, own = sum(n.values()), n - out
             learned = sum(own.values())
-            p, told, learned_told, gain = {}, 0.0, 0.0, 0.0
+            rest = 1 - sum(c - d for c in n.values() if c >= seen) / total
+            rest_learned = 1 - sum(c - d for c in own.values() if c >= seen) / learned if learned else None
+            p, pl, told, learned_told, gain = {}, {}, 0.0, 0.0, 0.0
             for w in n:
-                q, ql = below[context[1:]][w]
-                told += n[w] * math.log(n[w] / q)
-                learned_told += own[w] * math.log(own[w] / ql) if own[w] else 0.0
-                pl = (max(own[w] - d, 0) + d * len(own) * ql) / learned if learned else None
-                gain += out[w] * math.log(pl / ql) if learned and out[w] else 0.0
-                p[w] = ((max(n[w] - d, 0) + d * len(n) * q) / total, pl)
-            told = told / total - math.log(total) - (len(n) - 1) / (2 * total)
-            level[context] = (p, told, d * len(n) / total)
+                q, ql = below(context[1:], w)
+                p[w] = (n[w] - d) / total * (n[w] >= seen) + rest * q
+                if n[w] >= seen:
+                    told += p[w] * math.log(p[w] / q)
+                if learned:
+                    pl[w] = (own[w] - d) / learned * (own[w] >= seen) + rest_learned * ql
+                    gain += out[w] * math.log(pl[w] / ql) if out[w] else 0.0
+                    if own[w] >= seen:
+                        learned_told += pl[w] * math.log(pl[w] / ql)
+            told += (1 - sum(p[w] for w in n if n[w] >= seen)) * math.log(rest)
+            level[context] = (p, pl, told, rest, rest_learned)
             if learned and any(out.values()):
-                bins[math.floor((learned_told / learned - math.log(learned) - (len(own) - 1) / (2 * learned)) / suffix_tree.STEP)] += gain
+                learned_told += (1 - sum(pl[w] for w in n if own[w] >= seen)) * math.log(rest_learned)
+                bins[math.floor(learned_told / suffix_tree.STEP)] += gain
         best, at, total = 0.0, math.inf, 0.0
         for step in sorted(bins, reverse=True):
             total += bins[step]
             if total > best:
                 best, at = total, step * suffix_tree.STEP
         tree.append(level)
-        kept.append({c for c, (_, told, _) in level.items() if told >= at})
-        below = {c: p for c, (p, _, _) in level.items()}
+        runs_of.append(runs)
+        kept.append({c for c, (_, _, told, _, _) in level.items() if told >= at})
+        below = lambda context, w, level=level: (level[context][0][w], level[context][1].get(w))
         able = {(*c, w) for c, (n, _) in runs.items() for w in n if n[w] >= least and w is not None}
     for k in range(len(kept) - 1, 0, -1):
         kept[k - 1] |= {c[1:] for c in kept[k]}
@@ -125,8 +132,9 @@ def brute(texts, trained, depth, least):
     def probability(context, w):
         for k in range(len(kept), 0, -1):
             if len(context) >= k and context[-k:] in kept[k - 1]:
-                p, _, rest = tree[k - 1][context[-k:]]
-                return p[w][0] if w in p else rest * probability(context[-k:][1:], w)
+                p, _, _, rest, _ = tree[k - 1][context[-k:]]
+                n = runs_of[k - 1][context[-k:]][0][w]
+                return p[w] if n >= seen else rest * probability(context[-k:][1:], w)
         return root(w)
 
     out = []

@@ -28,16 +28,16 @@ STEP = 0.05
 DISCOUNT = 0.75
 #: Words whose counts, and tokens in context whose gains, every task holds: the most frequent ones, this
 #: many of each at most. The rest are joined.
-FREQUENT = 1 << 20
+FREQUENT = 1 << 18
 #: Counts up to this are told apart when the least count of a frequent word is sought, larger ones by
 #: eighths of a doubling.
 EXACT_COUNTS = 1 << 10
 #: Bits of the maps that tell tasks which contexts there are.
-MAP_BITS = 1 << 24
+MAP_BITS = 1 << 23
 #: Runs counted together before they leave a task, texts read together, and a word's runs that one group holds.
 FLUSH = 1_000_000
 TEXTS = 256
-GROUP = 2_000_000
+GROUP = 1_000_000
 #: A word is its hash without the low bits; the end is a number of its own.
 _WORD = np.uint64((1 << 64) - 32)
 END = np.uint64(16)

@@ -36,7 +36,7 @@ EXACT_COUNTS = 1 << 10
 MAP_BITS = 1 << 23
 #: Runs counted together before they leave a task, texts read together, and a word's runs that one group holds.
 FLUSH = 1_000_000
-TEXTS = 256
+TEXTS = 512
 GROUP = 1_000_000
 #: A word is its hash without the low bits; the end is a number of its own.
 _WORD = np.uint64((1 << 64) - 32)
@@ -630,16 +630,17 @@ def _tokens(read: DataFrame, level: int, parts: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, packed = np.asarray(batch.column(0)), [batch.column(k).to_pylist() for k in range(1, 5)]
-            sizes = np.array([len(x) for x in packed[0]])
-            levels = np.frombuffer(b"".join(packed[0]), np.uint8).astype(np.int64)
-            times, keys, contexts = (np.frombuffer(b"".join(p), t) for p, t in zip(packed[1:], (np.int64, np.uint64, np.uint64)))
-            begins = np.cumsum(levels) - levels
-            own = np.flatnonzero(levels == level)
-            at = begins[own]
-            row = np.repeat(rows, sizes)[own]
-            every = at[:, None] + np.arange(level)
-            yield from _token_blocks(row, times[own], np.zeros(len(own)), keys[every], contexts[every], level, parts)
+            for begin in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(begin, TEXTS)
+                rows, packed = np.asarray(part.column(0)), [part.column(k).to_pylist() for k in range(1, 5)]
+                sizes = np.array([len(x) for x in packed[0]])
+                levels = np.frombuffer(b"".join(packed[0]), np.uint8).astype(np.int64)
+                times, keys, contexts = (np.frombuffer(b"".join(p), t) for p, t in zip(packed[1:], (np.int64, np.uint64, np.uint64)))
+                begins = np.cumsum(levels) - levels
+                own = np.flatnonzero(levels == level)
+                every = begins[own][:, None] + np.arange(level)
+                row = np.repeat(rows, sizes)[own]
+                yield from _token_blocks(row, times[own], np.zeros(len(own)), keys[every], contexts[every], level, parts)
 
     return read.select("_row", "levels", "times", "keys", "contexts").mapInArrow(deal, _BLOCKS)
 

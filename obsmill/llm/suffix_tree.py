@@ -35,9 +35,9 @@ EXACT_COUNTS = 1 << 10
 #: Bits of the maps that tell tasks which contexts there are.
 MAP_BITS = 1 << 23
 #: Runs counted together before they leave a task, texts read together, and a word's runs that one group holds.
-FLUSH = 1_000_000
-TEXTS = 512
-GROUP = 1_000_000
+FLUSH = 400_000
+TEXTS = 256
+GROUP = 500_000
 #: A word is its hash without the low bits; the end is a number of its own.
 _WORD = np.uint64((1 << 64) - 32)
 END = np.uint64(16)
@@ -184,9 +184,8 @@ def _runs(read):
             return _summed(columns[0], columns[1:-1], [np.ones(len(columns[0]), np.int64), columns[-1]])
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for begin in range(0, len(texts), TEXTS):
-                part = texts[begin : begin + TEXTS]
+            for begin in range(0, batch.num_rows, TEXTS):
+                part = batch.column(0).slice(begin, TEXTS).to_pylist()
                 own, text = _together(part)
                 picked, arrays = read(own, text)
                 out = np.array([_held_out(t) for t in part], np.int64)[text[picked]]

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from obsmill.llm.shared import BROADCAST_KEYS, LOWER, mixed
-from obsmill.sinks.paths import discard, written
+from obsmill.sinks.paths import discard, written as written_table
 
 #: A context is tested if it occurs this often, and has at most this many words.
 LEAST_COUNT = 24
@@ -28,7 +28,7 @@ STEP = 0.05
 DISCOUNT = 0.75
 #: Words whose counts, and tokens in context whose gains, every task holds: the most frequent ones, this
 #: many of each at most. The rest are joined.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 19
 #: Counts up to this are told apart when the least count of a frequent word is sought, larger ones by
 #: eighths of a doubling.
 EXACT_COUNTS = 1 << 10
@@ -114,6 +114,20 @@ def _unpacked(bits: np.ndarray) -> np.ndarray:
     return np.unpackbits(bits, bitorder="little").astype(bool)
 
 
+#: Lets Spark remove a query's shuffle files as soon as its table is written, not when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    conf = frame.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return written_table(frame, name)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
 def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 

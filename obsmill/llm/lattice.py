@@ -186,6 +186,12 @@ def _search(threshold: float, tables: int, probes: int):
     return search
 
 
+def _buckets(counts: DataFrame, part: int) -> int:
+    """Buckets for cells of `_all` rows each: a cell of several parts repeats its rows once for every part."""
+    repeated = F.sum(F.col("_all") * F.ceil(F.col("_all") / part))
+    return max(1, -(-(counts.agg(repeated).first()[0] or 0) // BUCKET))
+
+
 def near_vectors(
     embeddings: DataFrame,
     identifier: str = "vec_id",
@@ -245,7 +251,7 @@ def near_vectors(
     # A cell without a home vector, or with one vector, shows nothing.
     counts = keyed.groupBy(*cell).agg(F.count("*").alias("_all"), F.max("at_home").alias("_home")).filter("_all > 1 and _home")
     parts = F.ceil(F.col("_all") / part).cast("int")
-    buckets = max(1, -(-keyed.count() // BUCKET))
+    buckets = _buckets(counts, part)
     placed = (
         keyed.join(counts, cell)
         .withColumn("_parts", parts)

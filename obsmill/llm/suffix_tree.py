@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from obsmill.llm.shared import BROADCAST_KEYS, LOWER, mixed
-from obsmill.sinks.paths import discard, written as written_table
+from obsmill.sinks.paths import discard, written
 
 #: A context is tested if it occurs this often, and has at most this many words.
 LEAST_COUNT = 24
@@ -118,16 +118,6 @@ def _unpacked(bits: np.ndarray) -> np.ndarray:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
-    conf = frame.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    conf.set(_CLEANUP, "true")
-    try:
-        return written_table(frame, name)
-    finally:
-        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
-
-
 def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
@@ -783,6 +773,17 @@ def score(
     A null text is empty and has one token, the end. A null `trained` counts as false. Repeated
     rows are learned from and scored each; an empty table gives no rows.
     """
+    conf = documents.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    # Decided when a frame is made, so it holds for all that are made here.
+    conf.set(_CLEANUP, "true")
+    try:
+        return _score(documents, trained, identifier, text, depth, least)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
+def _score(documents: DataFrame, trained: Column, identifier: str, text: str, depth: int, least: int) -> DataFrame:
     rows = documents.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col(identifier).alias("_id"),

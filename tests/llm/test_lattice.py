@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 
+from obsmill.llm import lattice
 from obsmill.llm.lattice import NEIGHBOURS, near_vectors, nearest_e8
 
 
@@ -44,3 +45,11 @@ def test_links_of_planted_groups_are_exact_and_threshold_recall_is_high(spark):
         assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
         assert found[name].component_id == 0 and found[name + 9].component_id == name + 8 and found[name + 2].n_links == 0
     assert near_vectors(embeddings.limit(0)).count() == 0
+
+
+def test_a_hot_cell_gets_buckets_for_its_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(lattice, "BUCKET", 1_000)
+    counts = spark.createDataFrame([(600,), (2,), (40,)], "_all long")
+    # 600 vectors in parts of 30 are 20 rows each.
+    assert lattice._buckets(counts, 30) == -(-(600 * 20 + 2 + 40 * 2) // 1_000)
+    assert lattice._buckets(counts.limit(0), 30) == 1

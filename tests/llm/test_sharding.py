@@ -40,3 +40,28 @@ def test_carried_columns_and_empty_tables(spark):
     documents = spark.createDataFrame([(1, "a", "u"), (2, "b", None)], "doc_id long, text string, lang string")
     assert shard(documents, carry=True).columns[:3] == ["doc_id", "text", "lang"]
     assert shard(documents.limit(0)).count() == 0
+
+
+def test_partial_partitions_are_differenced_level_by_level(spark):
+    draw = random.Random(12)
+    rows = [(k, "x" * draw.randint(0, 400) + str(k), 1, 2, "s") for k in range(600)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, size int, Shard int, slot_carried string")
+    found = shard(documents, shards=4, groups_per_task=20, partials_at_once=3, carry=True)
+    assert found.columns == ["doc_id", "text", "size_carried", "Shard_carried", "slot_carried", "size", "text_crc32", "shard", "slot"]
+    by, slots = [0] * 4, [[] for _ in range(4)]
+    for r in found.collect():
+        by[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert sum(by) == sum(len(t) + 1 for _, t, *_ in rows) and max(by) - min(by) <= 0.01 * sum(by)
+    assert all(sorted(s) == list(range(len(s))) for s in slots)
+
+
+def test_differencing_against_all_partitions(spark):
+    """Two shards of a few texts: no split is nearer than what differencing can reach by its own bound."""
+    draw = random.Random(3)
+    for _ in range(20):
+        sizes = [draw.randint(1, 30) for _ in range(7)]
+        best = min(abs(sum(sizes) - 2 * sum(s for k, s in enumerate(sizes) if m >> k & 1)) for m in range(128))
+        placed = difference([[0, n] for n in sizes])
+        sums = [sum(n for n, p in zip(sizes, placed) if p[-1] == k) for k in range(2)]
+        assert best <= abs(sums[0] - sums[1]) <= best + max(sizes)

@@ -116,6 +116,8 @@ def _unpacked(bits: np.ndarray) -> np.ndarray:
 
 #: Lets Spark remove a query's shuffle files as soon as its table is written, not when the driver collects garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that a Python worker takes at once: those of long texts are large.
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _long(values: np.ndarray) -> pa.Array:
@@ -774,13 +776,16 @@ def score(
     rows are learned from and scored each; an empty table gives no rows.
     """
     conf = documents.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    # Decided when a frame is made, so it holds for all that are made here.
-    conf.set(_CLEANUP, "true")
+    settings = {_CLEANUP: "true", _ROWS: str(4 * TEXTS)}
+    before = {name: conf.get(name, None) for name in settings}
     try:
+        # They hold for all frames that are made and tables that are written here.
+        for name, value in settings.items():
+            conf.set(name, value)
         return _score(documents, trained, identifier, text, depth, least)
     finally:
-        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
 
 
 def _score(documents: DataFrame, trained: Column, identifier: str, text: str, depth: int, least: int) -> DataFrame:

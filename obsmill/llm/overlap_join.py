@@ -1,7 +1,9 @@
 """N-gram Jaccard self-join by T-occurrence search (DivideSkip)."""
 
+import heapq
 import math
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -152,25 +154,60 @@ def _candidates(sets: DataFrame) -> DataFrame:
     return components(edges, "set_id", "hub").select(F.col("node").alias("set_id"), F.col("root").alias("group"))
 
 
+def _merged(runs: list[tuple[int, int]], owner: list[int], need: int, end: int, passed: Callable[[int], int]) -> Iterator[tuple[int, int]]:
+    """(set, lists) of every set below `end` that at least `need` of the inverted lists `runs` hold.
+
+    A heap has the next entry of each list. Lists that hold its top are popped together; where they
+    are too few, `need` - 1 lists are popped in all and leap by binary search to what is then the
+    top, for no set before that can be in enough lists. `passed` gives the first set from the top on
+    that is still wanted.
+    """
+    heap = [(owner[at], at, stop) for at, stop in runs]
+    heapq.heapify(heap)
+    while len(heap) >= need and heap[0][0] < end:
+        top = heap[0][0]
+        target = passed(top)
+        popped = []
+        if target > top:
+            while heap and heap[0][0] < target:
+                popped.append(heapq.heappop(heap))
+        else:
+            while heap and heap[0][0] == top:
+                popped.append(heapq.heappop(heap))
+            if len(popped) >= need:
+                yield top, len(popped)
+                target = top + 1
+            else:
+                while heap and len(popped) < need - 1:
+                    popped.append(heapq.heappop(heap))
+                if not heap:
+                    return
+                target = heap[0][0]
+        for _, at, stop in popped:
+            at = bisect_left(owner, target, at, stop)
+            if at < stop:
+                heapq.heappush(heap, (owner[at], at, stop))
+
+
 def divide_skip(queries: list[np.ndarray], index: list[np.ndarray], same: bool) -> list[tuple[int, int]]:
     """Links between `queries` and `index` that join what no link joined before.
 
-    An inverted list a shingle. For a query with T = `least_common`, its longest lists (DivideSkip's
-    balance of merging against probing) are set aside; the short ones are merged, and an indexed set
-    met T - (long lists) times there is probed in the long ones by binary search. Sets that links
-    have already joined with the query are skipped: they'd join nothing new.
+    An inverted list a shingle, in order of set. For a query with T = `least_common`, its longest
+    lists (DivideSkip's balance of merging against probing) are set aside; the short ones are merged
+    by a heap, and a set met T - (long lists) times there is probed in the long ones by binary
+    search. Sets that links have already joined with the query are leapt over: they'd join nothing
+    new.
     """
     sizes = np.array([len(s) for s in index])
     flat = np.concatenate(index)
-    owner = np.repeat(np.arange(len(index)), sizes)
     order = np.argsort(flat, kind="stable")
     keys, begin, length = np.unique(flat[order], return_index=True, return_counts=True)
-    lists = owner[order]
+    owner = np.repeat(np.arange(len(index)), sizes)[order].tolist()
     nodes = list(range(len(index))) if same else list(range(len(index), len(index) + len(queries)))
     root = np.arange(len(index) + (0 if same else len(queries)))
     found = []
     for q, own in enumerate(queries):
-        me, n = nodes[q], len(own)
+        me, n, end = nodes[q], len(own), q if same else len(index)
         need = least_common(n)
         at = np.searchsorted(keys, own)
         hit = at < len(keys)
@@ -181,28 +218,29 @@ def divide_skip(queries: list[np.ndarray], index: list[np.ndarray], same: bool)
         by_length = at[np.argsort(-length[at], kind="stable")]
         longest = int(length[by_length[0]])
         long = min(need - 1, int(need / (0.01 * math.log2(longest + 1) + 1)))
-        short = by_length[long:]
-        starts, counts = begin[short], length[short]
-        ends = np.cumsum(counts)
-        merged = lists[np.arange(ends[-1]) - np.repeat(ends - counts, counts) + np.repeat(starts, counts)]
-        met = np.bincount(merged, minlength=len(index))
-        fits = (met >= need - long) & (WHOLE * np.minimum(sizes, n) >= PART * np.maximum(sizes, n)) & (root[: len(index)] != root[me])
-        if same:
-            fits[q:] = False
-        for c in np.flatnonzero(fits)[np.argsort(-met[fits], kind="stable")]:
-            if root[c] == root[me]:
+        runs = [(b, b + k) for b, k in zip(begin[by_length].tolist(), length[by_length].tolist())]
+        apart: list[int] | None = None  # sets not joined with the query; all of them before its first link
+
+        def passed(top: int) -> int:
+            if apart is None:
+                return top
+            k = bisect_left(apart, top)
+            return apart[k] if k < len(apart) else end
+
+        for c, met in _merged(runs[long:], owner, need - long, end, passed):
+            size = int(sizes[c])
+            if WHOLE * min(size, n) < PART * max(size, n):
                 continue
-            common = int(met[c])
-            least = -(-PART * (n + int(sizes[c])) // (PART + WHOLE))
-            for k, l in enumerate(by_length[:long][::-1]):
-                if common >= least or common + long - k < least:
+            least = -(-PART * (n + size) // (PART + WHOLE))
+            for k, (first, stop) in enumerate(reversed(runs[:long])):
+                if met >= least or met + long - k < least:
                     break
-                run = lists[begin[l] : begin[l] + length[l]]
-                at_c = np.searchsorted(run, c)
-                common += int(at_c < len(run) and run[at_c] == c)
-            if common >= least:
-                found.append((me, int(c)))
+                place = bisect_left(owner, c, first, stop)
+                met += place < stop and owner[place] == c
+            if met >= least:
+                found.append((me, c))
                 root[root == root[me]] = root[c]
+                apart = np.flatnonzero(root[:end] != root[me]).tolist()
     return found
 
 

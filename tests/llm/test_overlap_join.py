@@ -1,7 +1,9 @@
 import random
 import re
 
-from obsmill.llm.overlap_join import near_duplicates, one_of_each
+import numpy as np
+
+from obsmill.llm.overlap_join import divide_skip, near_duplicates, one_of_each
 
 
 def brute(rows):
@@ -97,3 +99,29 @@ def test_repeated_and_null_identifiers_are_decided_row_by_row(spark):
     # No two kept rows are near copies.
     left = [(n, t) for n, (_, t) in enumerate(got)]
     assert all(n == c for n, size, c in brute(left) if size)
+
+
+def joined(nodes, links):
+    root = list(range(nodes))
+    for a, b in links:
+        old, new = max(root[a], root[b]), min(root[a], root[b])
+        root = [new if r == old else r for r in root]
+    return root
+
+
+def test_search_joins_what_all_pairs_join():
+    draw = np.random.default_rng(5)
+    link = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+    for _ in range(60):
+        base = [draw.integers(0, 300, 40) for _ in range(4)]
+        sets = []
+        for _ in range(30):
+            own = base[draw.integers(4)].copy()
+            changed = draw.integers(0, 40, draw.integers(0, 9))
+            own[changed] = draw.integers(300, 400, len(changed))
+            sets.append(np.unique(own[: draw.integers(1, 41)] if draw.random() < 0.2 else own).astype(np.uint64))
+        pairs = [(a, b) for a in range(30) for b in range(a) if link(sets[a], sets[b])]
+        assert joined(30, divide_skip(sets, sets, True)) == joined(30, pairs)
+        index, queries = sets[:14], sets[14:]
+        pairs = [(14 + a, b) for a in range(16) for b in range(14) if link(queries[a], index[b])]
+        assert joined(30, divide_skip(queries, index, False)) == joined(30, pairs)

@@ -5,11 +5,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from obsmill.llm.shared import remainder
+from obsmill.llm.shared import LOWER, remainder
 from obsmill.sinks.paths import written
 
 ROUNDS = 2
@@ -20,6 +22,15 @@ LESSON = 0.2
 #: HELD_OUT is seen by nothing, the rest trains.
 FOLDS, CALIBRATION, HELD_OUT = 5, 0, 1
 LANG_SLOTS, SOURCE_SLOTS = 16, 64
+#: Absolute-value penalty of the text view's fit: words that tell little weigh nothing.
+WORDING_PENALTY = 0.003
+#: Rows whose vectors are made at once.
+ROWS = 500
+#: Surface shares of a text, and slots that its words are hashed to.
+SHARES, WORD_SLOTS = 42, 1 << 15
+
+#: Blanks for ASCII characters other than letters; letters beyond ASCII stay.
+_NO_LETTER = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
 def text_view(text: str | None) -> list[float]:
@@ -54,6 +65,13 @@ def text_view(text: str | None) -> list[float]:
     ]
 
 
+def word_view(text: str | None) -> tuple[np.ndarray, float]:
+    """Sorted slots of the distinct words of the whole text, and what each weighs: unit length in all."""
+    words = set((text or "").encode().translate(LOWER).translate(_NO_LETTER).split())
+    slots = np.unique(np.fromiter((xxhash.xxh3_64_intdigest(w) % WORD_SLOTS for w in words), np.int32, len(words)))
+    return slots, 1 / np.sqrt(max(1, len(slots)))
+
+
 def metadata_view(lang: str | None, source: str | None, chars: int | None) -> list[float]:
     """Language and source by slot, and the stated length; nothing from the text."""
     out = np.zeros(LANG_SLOTS + SOURCE_SLOTS + 4)
@@ -74,17 +92,34 @@ def views(documents: DataFrame, identifier: str, text: str, lang: str, source: s
         F.col(source).cast("string").alias("source"),
         F.col(chars).cast("long").alias("chars"),
     )
-    numbers = T.ArrayType(T.DoubleType())
-    schema = T.StructType([rows.schema["_id"], rows.schema["_fold"], T.StructField("text_view", numbers), T.StructField("metadata_view", numbers)])
+    vector = T.StructField("text_view", VectorUDT())
+    schema = T.StructType([rows.schema["_id"], rows.schema["_fold"], vector, T.StructField("metadata_view", T.ArrayType(T.DoubleType()))])
+    shares = np.arange(SHARES, dtype=np.int32)
+
+    def vectors(texts: list[str | None]) -> pa.StructArray:
+        """Spark's sparse vectors: the shares, then a slot a distinct word."""
+        words = [word_view(t) for t in texts]
+        ends = pa.array(np.concatenate([[0], np.cumsum([SHARES + len(w) for w, _ in words])]), pa.int32())
+        at = np.concatenate([np.concatenate([shares, w + SHARES]) for w, _ in words]).astype(np.int32)
+        values = np.concatenate([np.concatenate([text_view(t), np.full(len(w), unit)]) for t, (w, unit) in zip(texts, words)])
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(np.zeros(len(texts)), pa.int8()),
+                pa.array(np.full(len(texts), SHARES + WORD_SLOTS), pa.int32()),
+                pa.ListArray.from_arrays(ends, pa.array(at)),
+                pa.ListArray.from_arrays(ends, pa.array(values)),
+            ],
+            names=["type", "size", "indices", "values"],
+        )
 
     def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             text, lang, source, chars = (batch.column(c).to_pylist() for c in ("text", "lang", "source", "chars"))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
                     batch.column("_fold"),
-                    pa.array([text_view(t) for t in text], pa.list_(pa.float64())),
+                    vectors(text),
                     pa.array([metadata_view(*m) for m in zip(lang, source, chars)], pa.list_(pa.float64())),
                 ],
                 names=schema.fieldNames(),
@@ -93,10 +128,11 @@ def views(documents: DataFrame, identifier: str, text: str, lang: str, source: s
     return rows.mapInArrow(view, schema)
 
 
-def _fit(rows: DataFrame, view: str, label: Column, weight: Column, steps: int) -> LogisticRegressionModel:
+def _fit(rows: DataFrame, view: str, label: Column, weight: Column, steps: int, sparse: bool = False) -> LogisticRegressionModel:
     lessons = rows.select(F.col(view), label.cast("double").alias("_y"), weight.alias("_w")).filter("_y is not null")
     return LogisticRegression(
-        featuresCol=view, labelCol="_y", weightCol="_w", maxIter=steps, regParam=1e-4,
+        featuresCol=view, labelCol="_y", weightCol="_w", maxIter=steps,
+        regParam=WORDING_PENALTY if sparse else 1e-4, elasticNetParam=1.0 if sparse else 0.0,
         probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_yes",
     ).fit(lessons)
 
@@ -134,13 +170,15 @@ def quality(
 ) -> DataFrame:
     """identifier, p_text, p_metadata, score, label (0, 1 or null), held_out of every row.
 
-    Two logistic regressions see different things of a document: its text, or its metadata. Both
+    Two logistic regressions see different things of a document: its text (surface shares and hashed
+    words), or its metadata. Both
     begin with the labelled training folds; in each round every document without a label of which
     one view is `CONFIDENT` becomes a lesson for the other. Then each view's log odds are calibrated
     on a fold that trained nothing, and as the views err apart their calibrated odds are summed, the
     prior's taken off once: `score` is the probability of label 1.
 
-    Views are computed once, written, and are some hundred numbers a row; fits are distributed sums
+    Views are computed once, written, and have some hundred numbers and one a distinct word a row, of
+    `WORD_SLOTS` at most; the text view's fit leaves out words that tell little. Fits are distributed sums
     over all rows, so nothing is sampled and the driver holds coefficients only. Each view's share
     in the score is what its calibration gives it: metadata that tell nothing weigh nothing.
 
@@ -158,9 +196,7 @@ def quality(
     )
     seen = written(views(documents, identifier, text, lang, source, chars), "views")
     rows = seen.join(known, F.col("_id") == F.col("_of"), "left").drop("_of")
-    rows = written(rows, "labelled").withColumns(
-        {"text_view": array_to_vector("text_view"), "metadata_view": array_to_vector("metadata_view")}
-    )
+    rows = written(rows, "labelled").withColumn("metadata_view", array_to_vector("metadata_view"))
     trains = F.when(~F.col("_fold").isin(CALIBRATION, HELD_OUT), F.col("_label"))
     by_label = {r[0]: r[1] for r in rows.groupBy(trains.alias("y")).count().collect() if r[0] is not None}
     held_out = (F.col("_fold") == HELD_OUT).alias("held_out")
@@ -174,7 +210,10 @@ def quality(
     own = {"text_view": F.col("_trains"), "metadata_view": F.col("_trains")}
     weight = F.when(F.col("_trains").isNotNull(), 1.0).otherwise(LESSON)
     for k in range(rounds + 1):
-        models = {view: _fit(ready, view, lesson, weight, 30 if view == "text_view" else 15) for view, lesson in own.items()}
+        models = {
+            "text_view": _fit(ready, "text_view", own["text_view"], weight, 40, sparse=True),
+            "metadata_view": _fit(ready, "metadata_view", own["metadata_view"], weight, 15),
+        }
         scored = _with_odds(_with_odds(rows, models["text_view"], "_text"), models["metadata_view"], "_metadata")
         if k == rounds:
             break

@@ -23,3 +23,21 @@ def test_held_out_accuracy_nulls_and_no_labels(spark):
     assert next(r.label for r in found if r.doc_id == 5) is None
     assert {r.score for r in quality(documents, known.limit(0)).collect()} == {0.5}
     assert quality(documents.limit(0), known).count() == 0
+
+
+def test_documents_told_apart_by_wording_only(spark):
+    draw = random.Random(4)
+    plain = "river stone light window garden morning street bridge".split()
+    rows, labels = [], []
+    for k in range(800):
+        good = draw.random() < 0.6
+        words = draw.choices(plain, k=40)
+        words[draw.randrange(40)] = "tablet" if good else "battle"  # the same letters
+        rows.append((k, " ".join(words), "en", "one", 0))
+        labels.append((k, int(good)))
+    rows += [(None, "tablet " * 60_000, "en", "one", None), (900, "\u00df \ud83d\ude00 7 ...", None, None, 1)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = quality(documents, spark.createDataFrame(labels, "doc_id long, quality int"), rounds=1).collect()
+    assert len(found) == len(rows)
+    held = [r for r in found if r.held_out and r.label is not None]
+    assert sum((r.score >= 0.5) == (r.label == 1) for r in held) >= 0.97 * len(held)

@@ -264,3 +264,17 @@ def test_misses_without_unfolding_what_is_stored(spark, rows, frequency):
     covered = obs.coverage(stored).groupBy("entity_id").agg(F.sum("days"))
     plain = [e for e, d in held if len(d) == 10 and d[4] == "-" and e != 9]
     assert dict(rows(covered.filter("entity_id != 9"))) == {e: plain.count(e) for e in set(plain)}
+
+
+def test_a_body_is_not_read_once_per_entry(spark):
+    """A filter on decoded series takes the decoding along as a whole, not into its lambdas."""
+    responses = spark.createDataFrame(
+        [(1, "fund", 7, None, '{"2024-01-02": 1.5E3, "2024-01-02": true, "2024-01-03": "x"}', 200, "", "day", "s", None, None)],
+        "concept_id INT, entity_type STRING, entity_id BIGINT, date STRING, body STRING, status INT, unit STRING,"
+        " granularity STRING, source STRING, start STRING, end STRING",
+    )
+    items = obs.parse_responses(responses).filter("series IS NOT NULL")
+    exploded = obs.explode_series(items)
+    assert sorted(tuple(r) for r in exploded.select("date", "value").collect()) == [("2024-01-02", "True"), ("2024-01-03", "x")]
+    plan = exploded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 8

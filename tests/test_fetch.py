@@ -11,7 +11,7 @@ from obsmill.operators import extract, failover
 from obsmill.plans import crawl
 from obsmill.plans.expansion import request_key
 from obsmill.sources import landed
-from obsmill.sources.adapters import Adapter, FetchError, SourceUnavailable, fetch_attempts, fetch_table
+from obsmill.sources.adapters import Adapter, FetchError, SourceUnavailable, call_groups, fetch_attempts, fetch_table, GROUP_CALLS
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(sys.modules[fetch_attempts.__module__])
@@ -284,3 +284,9 @@ def test_only_the_chain_s_attempts_count(spark, rows):
     assert rows(failover.in_chain(tasks.drop("chain"), attempts, ["request_key"]), "value") == [("3",), ("5",)]
     found = crawl.task_responses(tasks, attempts)
     assert rows(found, "request_key", "status", "body") == [("a", 200, "1"), ("b", 200, "3"), ("c", 200, "5")]
+
+
+def test_groups_of_calls_grow_in_number_only():
+    assert call_groups(0, 12) == 12
+    assert call_groups(54_000_000, 12) == 5_400
+    assert all(n / call_groups(n, 4) <= GROUP_CALLS for n in (1, 40_000, 40_001, 9_000_000))

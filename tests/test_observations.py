@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from obsmill import schemas
 from obsmill.operators import observations as obs
-from obsmill.sinks.paths import discard, exists
+from obsmill.sinks.paths import discard, exists, written
 from obsmill.sinks.store import BucketedObservations, ObservationStore, append_audit, observed
 
 TASK = {"source": "akshare", "command": "c", "identifier": "1", "date": None, "column": "x", "concept_id": 64,
@@ -278,3 +278,15 @@ def test_a_body_is_not_read_once_per_entry(spark):
     assert sorted(tuple(r) for r in exploded.select("date", "value").collect()) == [("2024-01-02", "True"), ("2024-01-03", "x")]
     plan = exploded._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") <= 8
+
+
+def test_new_batch_is_written_once(spark, tmp_path, monkeypatch):
+    """Rows out of a written table go into a new batch without a copy on the way; a replay still adds what is missing."""
+    rows = _rows(spark, (1, "2024-06-01", "day", 1.0), (1, "2024-06-01", "day", 2.0), (2, "2024-06-01", "day", None))
+    store = ObservationStore(spark, str(tmp_path / "once"))
+    copies = []
+    monkeypatch.setattr("obsmill.sinks.store.written", lambda frame, name: copies.append(name) or written(frame, name))
+    report = store.insert(rows, "0", ["arrival"], computed=True)
+    assert (report.attempted, report.rejected, report.inserted) == (3, 1, 1) and copies == []
+    assert store.insert(rows, "0", ["arrival"], computed=True).inserted == 1 and store.read().count() == 1
+    assert store.insert(rows, "1", ["arrival"]).inserted == 0 and store.read().count() == 1

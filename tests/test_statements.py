@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from obsmill.functions.text import value_text
 from obsmill.operators import statements
 from obsmill.schemas import KEY
 
@@ -75,3 +76,17 @@ def test_migration(spark, rows):
     assert rows(first, "entity_id", "concept_id", "date", "value") == [(1, 234, "2024-01-02", "1.4")]
     with pytest.raises(KeyError):
         statements.migrate_legacy(table, "other")
+
+
+def test_values_become_text_once(spark):
+    """Fields of one type share one conversion to text, after they unfold."""
+    frame = spark.createDataFrame(
+        [(1, "annual_bs", "2024-03-31", 1e20, float("nan"), "nan"), (2, "annual_bs", "2024-03-31", 0.1, None, "7")],
+        "entity_id LONG, function_name STRING, REPORT_DATE STRING, TOTAL_ASSETS DOUBLE, TOTAL_LIABILITIES DOUBLE, TOTAL_EQUITY STRING",
+    )
+    parsed = statements.parse_wide(frame, ["entity_id"])
+    found = {(r["entity_id"], r["field"], r["value"]) for r in parsed.collect()}
+    assert found == {(1, "TOTAL_ASSETS", "1e+20"), (2, "TOTAL_ASSETS", "0.1"), (2, "TOTAL_EQUITY", "7")}
+    plan = lambda rows: rows._jdf.queryExecution().optimizedPlan().toString()
+    one = frame.select(value_text(F.col("TOTAL_ASSETS"), frame.schema["TOTAL_ASSETS"].dataType).alias("value"))
+    assert plan(parsed).count("format_string") == plan(one).count("format_string") > 0

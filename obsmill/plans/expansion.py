@@ -99,22 +99,43 @@ def expand_tasks(
     )
 
 
-def request_key() -> Column:
-    """Text identity of a task over all its non-null fields."""
+def _pairs(names: list[str]) -> list[Column]:
     pairs = []
-    for field in TASK.fields:
+    for field in [TASK[name] for name in names]:
         value = F.col(field.name)
         # Numbers have nothing to encode.
         encoded = text.form_encode(value) if field.dataType == T.StringType() else value.cast("string")
         pairs.append(F.when(value.isNotNull(), F.concat(F.lit(f"{field.name}="), encoded)))
-    return F.concat(
-        F.lit(REQUEST_SCHEME),
-        F.col("source"),
-        F.lit("/"),
-        text.path_quote(F.col("command")),
-        F.lit("?"),
-        F.concat_ws("&", *pairs),
-    )
+    return pairs
+
+
+def _place() -> Column:
+    return F.concat(F.lit(REQUEST_SCHEME), F.col("source"), F.lit("/"), text.path_quote(F.col("command")), F.lit("?"))
+
+
+def request_key() -> Column:
+    """Text identity of a task over all its non-null fields."""
+    return F.concat(_place(), F.concat_ws("&", *_pairs(TASK_FIELDS)))
+
+
+def request_key_parts() -> dict[str, Column]:
+    """What the keys of a range's tasks have in common: the text before and after their date."""
+    at = TASK_FIELDS.index("date")
+    return {
+        "_place": _place(),
+        "_before": F.concat_ws("&", *_pairs(TASK_FIELDS[:at])),
+        "_after": F.concat_ws("&", *_pairs(TASK_FIELDS[at + 1 :])),
+    }
+
+
+def joined_request_key() -> Column:
+    """`request_key` of a task that has its range's `request_key_parts`."""
+    date = F.col("date")
+    # A plain day has nothing to encode either.
+    encoded = F.when(F.length(date) == 10, date).otherwise(text.form_encode(date))
+    dated = F.when(date.isNotNull(), F.concat(F.lit("date="), encoded))
+    given = [F.nullif(F.col("_before"), F.lit("")), dated, F.nullif(F.col("_after"), F.lit(""))]
+    return F.concat("_place", F.concat_ws("&", *given))
 
 
 def distinct_tasks(tasks: DataFrame) -> DataFrame:

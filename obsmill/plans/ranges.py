@@ -82,28 +82,17 @@ def balanced(
 ) -> DataFrame:
     """The same steps as short ranges, dealt out so that all partitions expand to about as many tasks.
 
-    Ranges are cut into runs; a run's place is the number of steps before it, and partitions are equal
-    parts of all steps. Places are a prefix sum in two levels: within a chunk, and over the chunks, whose
-    number is a multiple of the partitions and doesn't depend on the data. `ranges` is written first, for
-    it is summed up before it is dealt. Partitions are at least as many as for other shuffles, and
-    hold `most` tasks and a run at most.
+    Ranges are cut into runs, which are dealt round in the order of their hashes, equal ones too, so that partitions
+    have as many runs each, of mixed lengths: with T tasks a partition, the spread of T is about sqrt(run / T) at
+    most. One exchange, no sort by the ranges' fields. `ranges` is written first, for it is summed up
+    before it is dealt. Partitions are at least as many as for other shuffles, and hold about `most` tasks at most.
     """
     spark = ranges.sparkSession
-    runs = cut_runs(written(ranges, "ranges"), run).withColumn("_size", F.col("last") - F.col("first") + 1)
-    total = runs.agg(F.sum("_size")).first()[0] or 0
+    whole = written(ranges, "ranges")
+    total = whole.agg(F.sum(F.col("last") - F.col("first") + 1)).first()[0] or 0
     least = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     count = max(least, -(-total // most), 1)
-    # Equal rows fall in one chunk; where they are many, runs of a chunk still have places of their own.
-    named = [c for c in runs.columns if c not in ("last", "_size")]
-    chunked = runs.withColumn("_chunk", F.pmod(F.xxhash64(*named), F.lit(8 * count)))
-    sums = chunked.groupBy("_chunk").agg(F.sum("_size").alias("_sum"))
-    over = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sums.select("_chunk", F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_begin"))
-    # A total order: a repeated task must find the same places.
-    inner = Window.partitionBy("_chunk").orderBy(*named, "last").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_size").over(inner), F.lit(0)) + F.col("_begin")
-    placed = chunked.join(begins, "_chunk").withColumn("_part", F.floor(before * count / F.lit(max(total, 1))).cast("int"))
-    return placed.repartitionById(count, F.col("_part")).drop("_size", "_chunk", "_begin", "_part")
+    return cut_runs(whole, run).repartition(count)
 
 
 def expand(ranges: DataFrame) -> DataFrame:
@@ -144,8 +133,9 @@ def _one_axis(ranges: DataFrame, mixed: DataFrame) -> DataFrame:
 def mixed_concepts(*kinds: DataFrame) -> DataFrame:
     """Hashes of the concepts of `kinds` (CONCEPT, axis) that have more than one cadence."""
     every = reduce(DataFrame.union, [k.select(_concept().alias("_concept"), AXIS) for k in kinds])
-    found = every.filter(F.col(AXIS) != SERIES).groupBy("_concept").agg(F.min(AXIS).alias("a"), F.max(AXIS).alias("b"))
-    return found.filter("a != b").select("_concept", F.lit(True).alias("_mixed"))
+    # Distinct pairs first: those aggregate by hash.
+    found = every.filter(F.col(AXIS) != SERIES).distinct().groupBy("_concept").count()
+    return found.filter("count > 1").select("_concept", F.lit(True).alias("_mixed"))
 
 
 def swept(
@@ -159,7 +149,8 @@ def swept(
 
     Of ranges with one key, rank and begin the longest stays, found map-side: a hot key then has as
     many rows as there are steps, at most. The union of each rank and the sweep over all
-    ends share one exchange. A mark in an integer says which ranks cover a step.
+    ends share one exchange, and sort by a hash of the key before the key itself. A mark in an integer says which
+    ranks cover a step.
     """
     words = -(-ranks // MARKS)
     marks = [f"_mark{w}" for w in range(words)]
@@ -167,11 +158,12 @@ def swept(
     if taken is not None:
         theirs = taken.groupBy(*key, "first").agg(F.max("last").alias("last"))
         one = one.unionByName(theirs.withColumn("rank", F.lit(None).cast("int")), allowMissingColumns=True)
-    together = one.repartition(*key)
-    whole = Window.partitionBy(*key)
+    together = one.repartition(*key).withColumn("_hash", F.xxhash64(*key))
+    hashed = ["_hash", *key]
+    whole = Window.partitionBy(*hashed)
     together = together.withColumns({c: F.min(c).over(whole) for c in carry})
     # Within a rank: where the union begins anew, and where it ended before.
-    by_rank = Window.partitionBy(*key, "rank").orderBy("first")
+    by_rank = Window.partitionBy(*hashed, "rank").orderBy("first")
     reach = F.max("last").over(by_rank.rowsBetween(Window.unboundedPreceding, -1))
     unions = together.withColumns({"_reach": reach, "_final": F.lead("first").over(by_rank).isNull()})
     anew = F.col("_reach").isNull() | (F.col("first") > F.col("_reach") + 1)
@@ -182,16 +174,16 @@ def swept(
             F.col("_final"), F.struct((F.greatest("_reach", "last") + 1).alias("at"), F.lit(-1).alias("sign"))
         ),
     )
-    events = unions.select(*key, *carry, "rank", F.explode(F.filter(ends, lambda e: e.isNotNull())).alias("_e"))
+    events = unions.select(*hashed, *carry, "rank", F.explode(ends).alias("_e")).filter("_e IS NOT NULL")
     deltas = {"_taken": F.when(F.col("rank").isNull(), F.col("_e.sign")).otherwise(F.lit(0))}
     for w, name in enumerate(marks):
         own = F.col("rank").between(w * MARKS, w * MARKS + MARKS - 1)
         bit = F.expr(f"shiftleft(cast(1 as bigint), cast(coalesce(rank, 0) as int) - {w * MARKS})")
         deltas[name] = F.when(own, F.col("_e.sign") * bit).otherwise(F.lit(0).cast("long"))
-    sweep = Window.partitionBy(*key).orderBy("at")
+    sweep = Window.partitionBy(*hashed).orderBy("at")
     upto = sweep.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = (
-        events.select(*key, *carry, F.col("_e.at").alias("at"), *[v.alias(c) for c, v in deltas.items()])
+        events.select(*hashed, *carry, F.col("_e.at").alias("at"), *[v.alias(c) for c, v in deltas.items()])
         .withColumns({c: F.sum(c).over(upto) for c in deltas} | {"_next": F.lead("at").over(sweep)})
         .filter(F.col("_next") > F.col("at"))
     )

@@ -105,3 +105,25 @@ def test_runs_compare_ranges(spark, tmp_path, plans, identifiers):  # noqa: F811
     taken = ranges.read_ranges(spark, f"{base}/taken")
     assert crawl.plan_tasks(plans(other), identifiers, taken=taken).count() == 2
     assert ranges.read_ranges(spark, f"{base}/nothing").isEmpty()
+
+
+def test_balance_takes_no_sort_by_fields(spark):
+    """Runs are dealt round, also equal ones, without windows over them."""
+    fields = {f.name: F.lit(None).cast(f.dataType) for f in ranges.RANGE.fields}
+    equal = spark.range(4_000).select(*[v.alias(c) for c, v in {**fields, "first": F.lit(1), "last": F.lit(3)}.items()])
+    equal = equal.withColumns({"axis": F.lit("day"), "first": F.col("first").cast("long"), "last": F.col("last").cast("long")})
+    dealt = ranges.balanced(equal, partitions=8)
+    assert "Window" not in dealt._jdf.queryExecution().optimizedPlan().toString()
+    sizes = [r[1] for r in ranges.expand(dealt).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 12_000 and len(sizes) == 8 and max(sizes) <= 1.1 * min(sizes)
+
+
+def test_key_parts(spark):
+    """A key made of its range's parts is the key of the task, whatever is null or has to be encoded."""
+    null = F.lit(None).cast("string")
+    base = {f.name: F.lit("a b*~é&/") if f.dataType.simpleString() == "string" else F.lit(5).cast(f.dataType) for f in ranges.TASK.fields}
+    for change in ({}, {"date": null}, {"date": F.lit("2024-01-31")}, {"date": F.lit("+12024-01-31")}, {"identifier": null, "unit": F.lit("")},
+                   {"source": null}, {c: null for c in ("command", "date")}, {c: F.lit(None).cast(ranges.TASK[c].dataType) for c in base if c not in ("source", "command")}):
+        tasks = spark.range(1).select(*[v.alias(c) for c, v in {**base, **change}.items()])
+        parted = tasks.withColumns(expansion.request_key_parts())
+        assert parted.select(expansion.joined_request_key()).first()[0] == tasks.select(expansion.request_key()).first()[0]

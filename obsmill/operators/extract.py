@@ -6,7 +6,9 @@ from obsmill.functions import text
 from obsmill.functions.text import is_missing_text, value_text
 from obsmill.schemas import DATE_COLUMN_NAMES
 
-POINT_KEY = ["source", "identifier", "date", "column"]
+#: The most selective columns first, for joins and aggregates sort by them in this order.
+POINT_KEY = ["identifier", "date", "source", "column"]
+POINT = ["source", "identifier", "date", "column", "value"]
 
 
 def date_column(frame: DataFrame) -> str | None:
@@ -38,12 +40,12 @@ def frame_points(frame: DataFrame, order: str, on: str = "identifier", daily: bo
     """
     dated = date_column(frame)
     if dated is None:
-        return frame.sparkSession.createDataFrame([], ", ".join(f"`{c}` STRING" for c in [*POINT_KEY, "value"]))
+        return frame.sparkSession.createDataFrame([], ", ".join(f"`{c}` STRING" for c in POINT))
     values = [c for c in frame.columns if c not in (dated, order, on, "source")]
     row = F.struct(*[value_text(F.col(_name(c)), frame.schema[c].dataType).alias(f"v{n}") for n, c in enumerate(values)])
     date = day_text(frame, dated) if daily else F.col(_name(dated)).cast("string")
     rows = frame.filter(date.isNotNull()) if daily else frame
-    firsts = rows.groupBy("source", F.col(on).alias("identifier"), date.alias("date")).agg(F.min_by(row, order).alias("_row"))
+    firsts = rows.groupBy(F.col(on).alias("identifier"), date.alias("date"), "source").agg(F.min_by(row, order).alias("_row"))
     entries = [F.struct(F.lit(c).alias("column"), F.col(f"_row.v{n}").alias("value")) for n, c in enumerate(values)]
     unfolded = firsts.select("source", "identifier", "date", F.inline(F.array(*entries)))
     return unfolded.filter(~is_missing_text(F.col("value")))
@@ -57,13 +59,13 @@ def open_points(rows: DataFrame, order: str, on: str = "identifier", daily: bool
     characters of a date count, if they are a day.
     """
     fields = F.map_entries("row")
-    known = F.array(*[F.lit(name) for name in DATE_COLUMN_NAMES])
-    dated = F.filter(fields, lambda e: F.array_contains(known, F.lower(e["key"])))
+    dated = F.filter(fields, lambda e: F.lower(e["key"]).isin(*DATE_COLUMN_NAMES))
     told = rows.select(
         "source",
         F.try_variant_get(F.col("row")[on], "$", "string").alias("identifier"),
         F.try_variant_get(F.col("row")[order], "$", "bigint").alias("_order"),
-        F.get(dated, F.lit(0)).alias("_dated"),
+        # Unfolded, for a filter by the date would reach down to the reader and decode each row once more.
+        F.explode(F.slice(dated, 1, 1)).alias("_dated"),
         "row",
     )
     date = F.try_variant_get(F.col("_dated.value"), "$", "string")
@@ -71,14 +73,14 @@ def open_points(rows: DataFrame, order: str, on: str = "identifier", daily: bool
         day = F.substring(date, 1, 10)
         date = F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}\z"), day)
     told = told.withColumn("date", date).filter("date IS NOT NULL")
-    firsts = told.groupBy("source", "identifier", "date").agg(
+    firsts = told.groupBy("identifier", "date", "source").agg(
         F.min_by(F.struct("row", F.col("_dated.key").alias("dated")), "_order").alias("_first")
     )
     unfolded = firsts.select("source", "identifier", "date", "_first.dated", F.explode("_first.row").alias("column", "_value"))
     values = unfolded.filter(~F.col("column").isin(on, order) & (F.col("column") != F.col("dated")))
-    return values.select("source", "identifier", "date", "column", text.variant_text(F.col("_value")).alias("value")).filter(
-        ~is_missing_text(F.col("value"))
-    )
+    # A variant's plain text tells whether its value is missing; only the others are spelled out.
+    given = values.filter(~is_missing_text(F.col("_value").cast("string"))).withColumns(text.variant_parts(F.col("_value")))
+    return given.select("source", "identifier", "date", "column", text.parts_text().alias("value"))
 
 
 def extract_points(tasks: DataFrame, points: DataFrame) -> DataFrame:
@@ -86,7 +88,8 @@ def extract_points(tasks: DataFrame, points: DataFrame) -> DataFrame:
 
     Dates match by their text, so a timestamp column matches no plain date.
     """
-    return tasks.join(points, POINT_KEY, "left")
+    others = [c for f in (tasks, points) for c in f.columns if c not in POINT_KEY]
+    return tasks.join(points, POINT_KEY, "left").select("source", "identifier", "date", "column", *others)
 
 
 def extract_ranges(tasks: DataFrame, points: DataFrame, task: list[str]) -> DataFrame:
@@ -97,7 +100,7 @@ def extract_ranges(tasks: DataFrame, points: DataFrame, task: list[str]) -> Data
     """
     days = points.filter(F.length("date") == 10).withColumnRenamed("date", "_day")
     inside: Column = F.col("_day").between(F.col("start"), F.col("end"))
-    found = tasks.join(days, ["source", "identifier", "column"]).filter(inside)
+    found = tasks.join(days, ["identifier", "source", "column"]).filter(inside)
     entries = F.array_sort(F.collect_list(F.struct("_day", "value")))
     return found.groupBy(*task).agg(F.map_from_entries(entries).alias("series"))
 

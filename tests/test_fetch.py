@@ -290,3 +290,16 @@ def test_groups_of_calls_grow_in_number_only():
     assert call_groups(0, 12) == 12
     assert call_groups(54_000_000, 12) == 5_400
     assert all(n / call_groups(n, 4) <= GROUP_CALLS for n in (1, 40_000, 40_001, 9_000_000))
+
+
+def test_open_rows_are_decoded_once(spark, tmp_path):
+    """A row's JSON is decoded once, and a variant's text is made for values that are there only."""
+    (tmp_path / "source=a").mkdir()
+    lines = ['{"Date": "2024-01-02", "id": "x", "n": 1, "v": 1.50, "w": "nan", "u": null, "t": "NaN x"}', '{"id": "x", "n": 2, "v": 2}',
+             '{"Date": null, "id": "x", "n": 0, "v": 3}', "[1]", '{"id": "y", "日期": "2024-01-02", "date": "z", "n": 1, "v": true}']
+    (tmp_path / "source=a" / "rows.json").write_text("\n".join(lines), encoding="utf-8")
+    points = extract.open_points(landed.read_open_frames(spark, str(tmp_path)), "n", "id")
+    assert {(r["identifier"], r["date"], r["column"], r["value"]) for r in points.collect()} == {
+        ("x", "2024-01-02", "v", "1.5"), ("x", "2024-01-02", "t", "NaN x"), ("y", "2024-01-02", "v", "True"), ("y", "2024-01-02", "date", "z")}
+    plan = points._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("schemaOfVariant(") == 1

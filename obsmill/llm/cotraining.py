@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from obsmill.llm.shared import LOWER, remainder
+from obsmill.llm.shared import CLEANUP, LOWER, configured, remainder
 from obsmill.sinks.paths import written
 
 ROUNDS = 2
@@ -26,6 +26,8 @@ LANG_SLOTS, SOURCE_SLOTS = 16, 64
 WORDING_PENALTY = 0.003
 #: Rows whose vectors are made at once.
 ROWS = 500
+#: Rows that one task of a fit sums, at least, unless there are more cores than that leaves tasks.
+ROWS_A_SUM = 50_000
 #: Surface shares of a text, and slots that its words are hashed to.
 SHARES, WORD_SLOTS = 42, 1 << 15
 
@@ -65,11 +67,10 @@ def text_view(text: str | None) -> list[float]:
     ]
 
 
-def word_view(text: str | None) -> tuple[np.ndarray, float]:
-    """Sorted slots of the distinct words of the whole text, and what each weighs: unit length in all."""
+def word_view(text: str | None) -> np.ndarray:
+    """Sorted slots of the distinct words of the whole text."""
     words = set((text or "").encode().translate(LOWER).translate(_NO_LETTER).split())
-    slots = np.unique(np.fromiter((xxhash.xxh3_64_intdigest(w) % WORD_SLOTS for w in words), np.int32, len(words)))
-    return slots, 1 / np.sqrt(max(1, len(slots)))
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(w) % WORD_SLOTS for w in words), np.int32, len(words)))
 
 
 def metadata_view(lang: str | None, source: str | None, chars: int | None) -> list[float]:
@@ -83,7 +84,10 @@ def metadata_view(lang: str | None, source: str | None, chars: int | None) -> li
 
 
 def views(documents: DataFrame, identifier: str, text: str, lang: str, source: str, chars: str) -> DataFrame:
-    """(_id, _fold, text_view, metadata_view) of every row."""
+    """(_id, _fold, shares, words, lang, source, chars) of every row: what its vectors are made of, packed.
+
+    A text's shares take eight bytes each, and two bytes name a distinct word's slot.
+    """
     rows = documents.select(
         F.col(identifier).alias("_id"),
         F.coalesce(remainder(identifier, FOLDS), F.lit(FOLDS - 1)).cast("int").alias("_fold"),
@@ -92,44 +96,65 @@ def views(documents: DataFrame, identifier: str, text: str, lang: str, source: s
         F.col(source).cast("string").alias("source"),
         F.col(chars).cast("long").alias("chars"),
     )
+    packed = T.StructType.fromDDL("shares binary, words binary").fields
+    schema = T.StructType([rows.schema["_id"], rows.schema["_fold"], *packed, *(rows.schema[c] for c in ("lang", "source", "chars"))])
+
+    def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+            texts = batch.column("text").to_pylist()
+            shares = [np.array(text_view(t), np.float64).tobytes() for t in texts]
+            words = [word_view(t).astype(np.uint16).tobytes() for t in texts]
+            first, last = (batch.column(c) for c in ("_id", "_fold")), (batch.column(c) for c in ("lang", "source", "chars"))
+            yield pa.RecordBatch.from_arrays(
+                [*first, pa.array(shares, pa.binary()), pa.array(words, pa.binary()), *last], names=schema.fieldNames()
+            )
+
+    return rows.mapInArrow(view, schema)
+
+
+def vectors(rows: DataFrame) -> DataFrame:
+    """(_id, _fold, _label, text_view, metadata_view) of rows of `views` with their label."""
     vector = T.StructField("text_view", VectorUDT())
-    schema = T.StructType([rows.schema["_id"], rows.schema["_fold"], vector, T.StructField("metadata_view", T.ArrayType(T.DoubleType()))])
+    numbers = T.StructField("metadata_view", T.ArrayType(T.DoubleType()))
+    schema = T.StructType([*(rows.schema[c] for c in ("_id", "_fold", "_label")), vector, numbers])
     shares = np.arange(SHARES, dtype=np.int32)
 
-    def vectors(texts: list[str | None]) -> pa.StructArray:
-        """Spark's sparse vectors: the shares, then a slot a distinct word."""
-        words = [word_view(t) for t in texts]
-        ends = pa.array(np.concatenate([[0], np.cumsum([SHARES + len(w) for w, _ in words])]), pa.int32())
-        at = np.concatenate([np.concatenate([shares, w + SHARES]) for w, _ in words]).astype(np.int32)
-        values = np.concatenate([np.concatenate([text_view(t), np.full(len(w), unit)]) for t, (w, unit) in zip(texts, words)])
+    def sparse(told: list[bytes], words: list[bytes]) -> pa.StructArray:
+        """Spark's sparse vectors: the shares, then a slot a distinct word, of unit length in all."""
+        slots = [np.frombuffer(w, np.uint16).astype(np.int32) for w in words]
+        ends = pa.array(np.concatenate([[0], np.cumsum([SHARES + len(w) for w in slots])]), pa.int32())
+        at = np.concatenate([np.concatenate([shares, w + SHARES]) for w in slots]).astype(np.int32)
+        values = np.concatenate(
+            [np.concatenate([np.frombuffer(t, np.float64), np.full(len(w), 1 / np.sqrt(max(1, len(w))))]) for t, w in zip(told, slots)]
+        )
         return pa.StructArray.from_arrays(
             [
-                pa.array(np.zeros(len(texts)), pa.int8()),
-                pa.array(np.full(len(texts), SHARES + WORD_SLOTS), pa.int32()),
+                pa.array(np.zeros(len(slots)), pa.int8()),
+                pa.array(np.full(len(slots), SHARES + WORD_SLOTS), pa.int32()),
                 pa.ListArray.from_arrays(ends, pa.array(at)),
                 pa.ListArray.from_arrays(ends, pa.array(values)),
             ],
             names=["type", "size", "indices", "values"],
         )
 
-    def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            text, lang, source, chars = (batch.column(c).to_pylist() for c in ("text", "lang", "source", "chars"))
+            told, words, lang, source, chars = (batch.column(c).to_pylist() for c in ("shares", "words", "lang", "source", "chars"))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_id"),
-                    batch.column("_fold"),
-                    vectors(text),
+                    *(batch.column(c) for c in ("_id", "_fold", "_label")),
+                    sparse(told, words),
                     pa.array([metadata_view(*m) for m in zip(lang, source, chars)], pa.list_(pa.float64())),
                 ],
                 names=schema.fieldNames(),
             )
 
-    return rows.mapInArrow(view, schema)
+    return rows.mapInArrow(make, schema)
 
 
-def _fit(rows: DataFrame, view: str, label: Column, weight: Column, steps: int, sparse: bool = False) -> LogisticRegressionModel:
-    lessons = rows.select(F.col(view), label.cast("double").alias("_y"), weight.alias("_w")).filter("_y is not null")
+def _fit(rows: DataFrame, view: str, label: Column, weight: Column, steps: int, parts: int, sparse: bool = False) -> LogisticRegressionModel:
+    """A fit over `parts` partitions at most, as each shuffles a gradient of all coefficients a step."""
+    lessons = rows.select(F.col(view), label.cast("double").alias("_y"), weight.alias("_w")).filter("_y is not null").coalesce(parts)
     return LogisticRegression(
         featuresCol=view, labelCol="_y", weightCol="_w", maxIter=steps,
         regParam=WORDING_PENALTY if sparse else 1e-4, elasticNetParam=1.0 if sparse else 0.0,
@@ -147,13 +172,13 @@ def _p(odds: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def _scale(rows: DataFrame, odds: str) -> tuple[float, float]:
+def _scale(rows: DataFrame, odds: str, parts: int) -> tuple[float, float]:
     """Slope and shift that calibrate a view's odds on the calibration fold (Platt)."""
     fold = rows.filter((F.col("_fold") == CALIBRATION) & F.col("_label").isNotNull())
     one = fold.select(array_to_vector(F.array(odds)).alias("odds"), "_label")
     if one.select("_label").distinct().count() < 2:
         return 1.0, 0.0
-    model = _fit(one, "odds", F.col("_label"), F.lit(1.0), 30)
+    model = _fit(one, "odds", F.col("_label"), F.lit(1.0), 30, parts)
     return float(model.coefficients[0]), float(model.intercept)
 
 
@@ -177,8 +202,9 @@ def quality(
     on a fold that trained nothing, and as the views err apart their calibrated odds are summed, the
     prior's taken off once: `score` is the probability of label 1.
 
-    Views are computed once, written, and have some hundred numbers and one a distinct word a row, of
-    `WORD_SLOTS` at most; the text view's fit leaves out words that tell little. Fits are distributed sums
+    Views are computed once, joined with the labels while they are packed, written as vectors, and have some hundred
+    numbers and one a distinct word a row, of `WORD_SLOTS` at most; the text view's fit leaves out words that tell
+    little. Fits are distributed sums
     over all rows, so nothing is sampled and the driver holds coefficients only. Each view's share
     in the score is what its calibration gives it: metadata that tell nothing weigh nothing.
 
@@ -194,11 +220,14 @@ def quality(
         .filter("_label = _most")
         .drop("_most")
     )
-    seen = written(views(documents, identifier, text, lang, source, chars), "views")
-    rows = seen.join(known, F.col("_id") == F.col("_of"), "left").drop("_of")
-    rows = written(rows, "labelled").withColumn("metadata_view", array_to_vector("metadata_view"))
+    seen = views(documents, identifier, text, lang, source, chars)
+    with configured(documents.sparkSession, {CLEANUP: "true"}):
+        rows = written(vectors(seen.join(known, F.col("_id") == F.col("_of"), "left")), "labelled")
+    rows = rows.withColumn("metadata_view", array_to_vector("metadata_view"))
     trains = F.when(~F.col("_fold").isin(CALIBRATION, HELD_OUT), F.col("_label"))
-    by_label = {r[0]: r[1] for r in rows.groupBy(trains.alias("y")).count().collect() if r[0] is not None}
+    counts = {r[0]: r[1] for r in rows.groupBy(trains.alias("y")).count().collect()}
+    by_label = {y: n for y, n in counts.items() if y is not None}
+    parts = max(documents.sparkSession.sparkContext.defaultParallelism, -(-sum(counts.values()) // ROWS_A_SUM))
     held_out = (F.col("_fold") == HELD_OUT).alias("held_out")
     if len(by_label) < 2:
         half = F.lit(0.5)
@@ -211,8 +240,8 @@ def quality(
     weight = F.when(F.col("_trains").isNotNull(), 1.0).otherwise(LESSON)
     for k in range(rounds + 1):
         models = {
-            "text_view": _fit(ready, "text_view", own["text_view"], weight, 40, sparse=True),
-            "metadata_view": _fit(ready, "metadata_view", own["metadata_view"], weight, 15),
+            "text_view": _fit(ready, "text_view", own["text_view"], weight, 40, parts, sparse=True),
+            "metadata_view": _fit(ready, "metadata_view", own["metadata_view"], weight, 15, parts),
         }
         scored = _with_odds(_with_odds(rows, models["text_view"], "_text"), models["metadata_view"], "_metadata")
         if k == rounds:
@@ -221,7 +250,7 @@ def quality(
         sure = lambda odds: F.when(F.col("_label").isNull(), F.when(_p(F.col(odds)) >= CONFIDENT, 1).when(_p(F.col(odds)) <= 1 - CONFIDENT, 0))
         own = {"text_view": F.coalesce("_trains", sure("_metadata")), "metadata_view": F.coalesce("_trains", sure("_text"))}
     prior = float(np.log(by_label[1] / by_label[0]))
-    (a, b), (c, d) = _scale(scored, "_text"), _scale(scored, "_metadata")
+    (a, b), (c, d) = _scale(scored, "_text", parts), _scale(scored, "_metadata", parts)
     text_odds, metadata_odds = F.col("_text") * a + b, F.col("_metadata") * c + d
     return scored.select(
         F.col("_id").alias(identifier),

@@ -163,3 +163,34 @@ def test_scores_are_those_of_a_plain_tree(spark, monkeypatch):
         assert len(sizes) == depth and all(sizes)
         key = lambda r: (str(r[0]), round(r[1], 6))
         assert sorted(map(key, ((r.doc_id, r.score) for r in found))) == sorted(map(key, zip((k for k, _ in rows), want)))
+
+
+def test_tasks_score_what_the_model_surely_lacks(spark, monkeypatch):
+    draw = random.Random(21)
+    rows = []
+    for k in range(300):
+        words = []
+        for _ in range(20):
+            lead = draw.choice("abcdef")
+            # Two fifths of the words after a lead come once only: no model has them after it.
+            words += [f"l{lead}", "of", f"n{lead}{draw.randint(0, 1)}" if draw.random() < 0.6 else f"u{draw.randint(0, 10**6)}"]
+        rows.append((k, " ".join(words)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    want, sizes = brute([t for _, t in rows], [t for k, t in rows if k % 4], 2, 6)
+    assert all(sizes)
+    shipped, write = [], suffix_tree.written
+
+    def watched(frame, name):
+        table = write(frame, name)
+        if name == "read":
+            shipped.append(table.agg(F.sum(F.length("levels"))).first()[0])
+        return table
+
+    monkeypatch.setattr(suffix_tree, "written", watched)
+    # Tasks hold all; then next to nothing, beside a map of runs that is full.
+    for frequent, most in ((1 << 19, 1 << 26), (4, 64)):
+        monkeypatch.setattr(suffix_tree, "FREQUENT", frequent)
+        monkeypatch.setattr(suffix_tree, "MOST_RUN_BITS", most)
+        found = suffix_tree.score(documents, F.col("doc_id") % 4 != 0, least=6).collect()
+        assert sorted((r.doc_id, round(r.score, 6)) for r in found) == [(k, round(p, 6)) for (k, _), p in zip(rows, want)]
+    assert 20 * shipped[0] < shipped[1]

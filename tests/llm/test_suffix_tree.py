@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from obsmill.llm import suffix_tree
@@ -194,3 +195,35 @@ def test_tasks_score_what_the_model_surely_lacks(spark, monkeypatch):
         found = suffix_tree.score(documents, F.col("doc_id") % 4 != 0, least=6).collect()
         assert sorted((r.doc_id, round(r.score, 6)) for r in found) == [(k, round(p, 6)) for (k, _), p in zip(rows, want)]
     assert 20 * shipped[0] < shipped[1]
+
+
+def test_many_parts_are_merged_in_few_tasks_with_the_same_scores(spark, monkeypatch):
+    draw = random.Random(34)
+    ending = lambda lead: f"n{lead}{draw.randint(0, 1)}" if draw.random() < 0.6 else f"u{draw.randint(0, 10**6)}"
+    rows = [(k, " ".join(f"l{lead} of {ending(lead)}" for lead in draw.choices("abcdef", k=20))) for k in range(300)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    want, sizes = brute([t for _, t in rows], [t for k, t in rows if k % 4], 2, 6)
+    assert all(sizes)
+    monkeypatch.setattr(suffix_tree, "GROUP", 50)
+    # So few are held by tasks that tokens are joined as well.
+    monkeypatch.setattr(suffix_tree, "FREQUENT", 4)
+    files, write = Counter(), suffix_tree.written
+
+    def watched(frame, name):
+        table = write(frame, name)
+        files[name] = max(files[name], len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(suffix_tree, "written", watched)
+    found = suffix_tree.score(documents, F.col("doc_id") % 4 != 0, least=6).collect()
+    assert sorted((r.doc_id, round(r.score, 6)) for r in found) == [(k, round(p, 6)) for (k, _), p in zip(rows, want)]
+    parts = sum(len(t.split()) + 1 for k, t in rows if k % 4) // 50
+    most = max(4 * spark.sparkContext.defaultParallelism, parts // 8 + 1)
+    assert parts > 5 * most and 0 < files["runs"] <= most and 0 < files["found"] <= most
+
+
+def test_distinct_words_of_texts():
+    texts, values = np.array([1, 0, 1, 255, 1, 0]), np.array([1 << 63, 7 << 20, 1 << 63, 5 << 30, 3 << 40, 7 << 20], np.uint64)
+    text, value, times, where = suffix_tree._distinct(texts, values)
+    assert list(zip(text, value, times)) == [(0, 7 << 20, 2), (1, 3 << 40, 1), (1, 1 << 63, 2), (255, 5 << 30, 1)]
+    assert all(texts[where] == text) and all(values[where] == value)

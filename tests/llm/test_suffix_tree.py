@@ -227,3 +227,88 @@ def test_distinct_words_of_texts():
     text, value, times, where = suffix_tree._distinct(texts, values)
     assert list(zip(text, value, times)) == [(0, 7 << 20, 2), (1, 3 << 40, 1), (1, 1 << 63, 2), (255, 5 << 30, 1)]
     assert all(texts[where] == text) and all(values[where] == value)
+
+
+def test_tokens_that_go_on_find_the_gains_that_tasks_hold(spark, monkeypatch):
+    draw = random.Random(55)
+    rows = []
+    for k in range(300):
+        words = []
+        for _ in range(20):
+            lead = draw.choice("abcdef")
+            # After "of" two words are frequent; after a lead and "of" mostly one of them, so that the other goes on to "of".
+            words += [f"l{lead}", "of", ("n0" if lead < "d" else "n1") if draw.random() < 0.9 else draw.choice(["n0", "n1", f"u{draw.randint(0, 60)}"])]
+        rows.append((k, " ".join(words)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    want, sizes = brute([t for _, t in rows], [t for k, t in rows if k % 4], 2, 6)
+    assert all(sizes)
+    nodes, made = [], suffix_tree._found
+
+    def watched(blocks, *args):
+        found = made(blocks, *args)
+        nodes.append(found)
+        return found
+
+    monkeypatch.setattr(suffix_tree, "_found", watched)
+    # A map that is full lets all go on by way of the parts; contexts are dealt out in one group, then in many.
+    monkeypatch.setattr(suffix_tree, "MOST_RUN_BITS", 64)
+    for frequent, group in ((3, 500_000), (8, 500_000), (8, 20), (20, 20)):
+        monkeypatch.setattr(suffix_tree, "FREQUENT", frequent)
+        monkeypatch.setattr(suffix_tree, "GROUP", group)
+        found = suffix_tree.score(documents, F.col("doc_id") % 4 != 0, least=6).collect()
+        assert sorted((r.doc_id, round(r.score, 6)) for r in found) == [(k, round(p, 6)) for (k, _), p in zip(rows, want)]
+    # What the parts give comes as blocks, not as a row a token: nothing joins tokens one by one.
+    assert nodes and all(frame.columns[:2] == ["part", "kind"] for frame in nodes)
+
+
+def test_runs_and_tokens_leave_tasks_as_few_small_blocks(spark, monkeypatch):
+    draw = random.Random(3)
+    rows = [(k, " ".join(f"w{int(draw.paretovariate(0.7)) % 3000}" for _ in range(100))) for k in range(1500)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(suffix_tree, "FREQUENT", 500)
+    sizes, write = {}, suffix_tree.written
+    deal = suffix_tree._merged
+
+    def merged(runs, below, *args):
+        length = F.coalesce(F.length("c0"), F.lit(0)) + sum(F.coalesce(F.length(f"c{k}"), F.lit(0)) for k in range(1, 6))
+        sizes[len(sizes)] = (runs.agg(F.sum(length)).first()[0], below.count())
+        return deal(runs, below, *args)
+
+    def watched(frame, name):
+        table = write(frame, name)
+        if name == "read":
+            packed = sum(F.length(c) for c in ("levels", "times", "gains", "words", "unknown"))
+            sizes["token"] = table.agg(F.sum(packed) / F.sum(F.length("levels"))).first()[0]
+        return table
+
+    monkeypatch.setattr(suffix_tree, "_merged", merged)
+    monkeypatch.setattr(suffix_tree, "written", watched)
+    suffix_tree.score(documents, F.col("doc_id") % 3 != 0, least=6).collect()
+    tokens = sum(len(t.split()) + 1 for k, t in rows if k % 3)
+    # A run of one word and the next: two places, n and held of four bytes each, 32 bytes in all before.
+    assert 0 < sizes[0][0] <= 24 * tokens
+    # One block a task and part, not one for each thousand rows and part.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(blocks <= 64 * parts for _, blocks in (sizes[0], sizes[1]))
+    # Level, times, gain and two or three words; 33 bytes at least before.
+    assert sizes["token"] < 33
+
+
+def test_words_are_the_same_wherever_they_stand():
+    texts = ["", None, " ", "a", "A a\tb\x0bB\n ", " x", "x ", "\u00e9 \u00c9 \u00e9a", "z" * 600, "Z" * 600 + " " + "z" * 599, "q" * 300_000 + " x a"]
+    split = lambda t: [w for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").replace("\x0b", " ").split(" ")]
+    want = [[w for x in split(t) for w in x.split() if w] for t in texts]
+    own, text = suffix_tree._together([None if t is None else t.encode() for t in texts])
+    found = [own[text == k].tolist() for k in range(len(texts))]
+    assert [len(f) for f in found] == [len(w) + 1 for w in want] and all(f[-1] == suffix_tree.END for f in found)
+    names = {(w, h) for ws, hs in zip(want, found) for w, h in zip(ws, hs)}
+    assert len(names) == len({w for w, _ in names}) == len({h for _, h in names})
+
+
+def test_places_of_hashes():
+    draw = np.random.default_rng(4)
+    for n in (0, 1, 3, 5000):
+        known = np.unique(suffix_tree.mixed(draw.integers(1, 1 << 40, n)))
+        asked = np.concatenate([known, suffix_tree.mixed(draw.integers(1 << 41, 1 << 42, 1000)), np.array([0, 2**64 - 1], np.uint64)])
+        places = suffix_tree._places(suffix_tree._indexed(known), asked)
+        assert places[: len(known)].tolist() == list(range(len(known))) and (places[len(known) :] == -1).all()

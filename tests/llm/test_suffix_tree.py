@@ -277,7 +277,7 @@ def test_runs_and_tokens_leave_tasks_as_few_small_blocks(spark, monkeypatch):
     def watched(frame, name):
         table = write(frame, name)
         if name == "read":
-            packed = sum(F.length(c) for c in ("levels", "times", "gains", "words", "unknown"))
+            packed = sum(F.length(c) for c in ("levels", "times", "words", "unknown"))
             sizes["token"] = table.agg(F.sum(packed) / F.sum(F.length("levels"))).first()[0]
         return table
 
@@ -290,7 +290,7 @@ def test_runs_and_tokens_leave_tasks_as_few_small_blocks(spark, monkeypatch):
     # One block a task and part, not one for each thousand rows and part.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert all(blocks <= 64 * parts for _, blocks in (sizes[0], sizes[1]))
-    # Level, times, gain and two or three words; 33 bytes at least before.
+    # Level, times and two or three words; 33 bytes at least before.
     assert sizes["token"] < 33
 
 
